@@ -36,12 +36,18 @@ def topic_stream(spark: SparkSession, fmt: str = "json", path: str | None = None
 
 def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None = None,
                 deny=(), compression: str = "gzip", available_now: bool = True,
-                processing_time: str | None = None) -> StreamingQuery:
+                processing_time: str | None = None, files_per_hour: int = 1,
+                num_partitions: int | None = None) -> StreamingQuery:
     """Land a message stream into hourly topic folders.
 
     ``allow`` is a regular expression over topic names (all when None);
     ``deny`` a list of names to drop. Hour folders come from the message
     timestamp in the session time zone (UTC by default).
+
+    Rows are shuffled by hour folder before the write, so each micro-batch
+    writes ``files_per_hour`` files per folder instead of one small file per
+    task and folder. A hot hour (one topic burst holding a large share of the
+    batch) is spread over ``files_per_hour`` tasks by a hash of the message.
     """
     s = stream
     if allow is not None:
@@ -51,6 +57,10 @@ def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None
     s = s.select("topic", "value", "timestamp",
                  F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
                  F.dayofmonth("timestamp").alias("day"), F.hour("timestamp").alias("hour"))
+    folder = [F.col(c) for c in ("topic", "year", "month", "day", "hour")]
+    spread = F.pmod(F.xxhash64("value"), F.lit(max(1, files_per_hour)))
+    s = (s.repartition(num_partitions, *folder, spread) if num_partitions
+         else s.repartition(*folder, spread))
     w = (s.writeStream.format("json").option("compression", compression)
          .partitionBy("topic", "year", "month", "day", "hour")
          .option("checkpointLocation", checkpoint).outputMode("append"))
