@@ -9,6 +9,11 @@ keys once per salt. Keys that are not hot take the normal shuffle path, where
 AQE's skew-join split is still active. Results are exactly those of the plain
 join; the salt is a pure function of the row, so re-running a lost task gives
 the same assignment.
+
+The hot-key set is materialised once with a reliable ``checkpoint()`` (into
+the shared ``spark.checkpoint.dir``): both sides of the salted join read the
+same small table instead of each recounting the left side, and when no key is
+hot the plain join is planned without any salting work.
 """
 
 from __future__ import annotations
@@ -37,18 +42,27 @@ def hot_keys(df: DataFrame, on, min_rows: int = DEFAULT_HOT_MIN_ROWS,
 
 def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left",
               buckets: int = DEFAULT_BUCKETS, min_rows: int = DEFAULT_HOT_MIN_ROWS,
-              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, hot: DataFrame | None = None) -> DataFrame:
     """``left.join(right, on, how)`` with hot keys of ``left`` salted.
 
     ``how`` is ``inner`` or ``left`` (the left side is the one split).
-    ``buckets <= 1`` turns salting off and gives the plain join.
+    ``buckets <= 1`` turns salting off and gives the plain join. ``hot`` may
+    pass a known hot-key table (key columns only, e.g. from a maintained
+    follower-count table, at most ``max_hot_keys`` rows); otherwise it is
+    counted from ``left`` in one pass.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("skew_join splits the left side; use how='inner' or 'left'")
     if buckets <= 1:
         return left.join(right, on, how)
-    hot = F.broadcast(hot_keys(left, on, min_rows, max_hot_keys))
+    if hot is None:
+        hot = hot_keys(left, on, min_rows, max_hot_keys).checkpoint(eager=True)
+    else:
+        hot = hot.select(*on).distinct().limit(max_hot_keys).withColumn("_hot", F.lit(True))
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     l2 = (left.join(hot, on, "left")
           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))

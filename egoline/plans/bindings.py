@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from egoline import schemas
 from egoline.session import table_path
+from egoline.sources.readers import spread
 
 # --- fixed values of the bindings --------------------------------------------
 # events.event_type -> timeline event type
@@ -42,8 +43,13 @@ TOPIC_PRIORITY = {"click": 3, "view": 4, "purchase": 5, "signup": 6, "error": 7}
 PAGES_FETCHED = 10
 
 
+# tables large enough to be worth spreading when the scan plans too few splits
+SPREAD_TABLES = ("lineitem", "orders", "events", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df) if name in SPREAD_TABLES else df
 
 
 def _map_col(col, mapping: dict):

@@ -98,3 +98,22 @@ def read_html_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Full scan of a keyed table written by the sinks."""
     return spark.read.format(fmt).load(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that plans fewer partitions than the cluster has task slots.
+
+    A file written as one row group (or one gzip stream) is read by a single
+    task, and everything up to the first shuffle runs there. When the scan
+    has fewer splits than ``min_partitions`` (default: the default parallelism)
+    the rows are redistributed round-robin (deterministic on retry: Spark
+    sorts before a round-robin repartition). A large input already has enough
+    splits and is returned unchanged, so no extra shuffle is paid at scale.
+    """
+    want = min_partitions or spark_parallelism(df.sparkSession)
+    have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
+def spark_parallelism(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
