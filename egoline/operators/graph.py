@@ -143,9 +143,12 @@ def tree_stats(long: DataFrame) -> DataFrame:
 
 def siblings_sorted(df: DataFrame, parent: str, name: str) -> DataFrame:
     """``(parent, children)``: child names sorted case-insensitively, exact name
-    as the tie-break (the tree's display order)."""
+    as the tie-break (the tree's display order). Repeated names are counted
+    map-side first, so a parent's group holds one entry per distinct name."""
+    pairs = df.groupBy(parent, name).agg(F.count(F.lit(1)).alias("_n"))
     arr = F.array_sort(
-        F.collect_list(name),
-        lambda l, r: F.when(F.lower(l) < F.lower(r), -1).when(F.lower(l) > F.lower(r), 1)
-        .when(l < r, -1).when(l > r, 1).otherwise(0))
-    return df.groupBy(parent).agg(arr.alias("children"))
+        F.collect_list(F.struct(F.col(name).alias("v"), F.col("_n").alias("n"))),
+        lambda l, r: F.when(F.lower(l["v"]) < F.lower(r["v"]), -1).when(F.lower(l["v"]) > F.lower(r["v"]), 1)
+        .when(l["v"] < r["v"], -1).when(l["v"] > r["v"], 1).otherwise(0))
+    kids = F.flatten(F.transform(arr, lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
+    return pairs.groupBy(parent).agg(kids.alias("children"))

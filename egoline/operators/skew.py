@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from egoline.session import ensure_checkpoint_dir
+
 DEFAULT_HOT_MIN_ROWS = 1_000_000
 DEFAULT_BUCKETS = 32
 DEFAULT_MAX_HOT_KEYS = 10_000
@@ -57,6 +59,7 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left",
     if buckets <= 1:
         return left.join(right, on, how)
     if hot is None:
+        ensure_checkpoint_dir(left.sparkSession)
         hot = hot_keys(left, on, min_rows, max_hot_keys).checkpoint(eager=True)
     else:
         hot = hot.select(*on).distinct().limit(max_hot_keys).withColumn("_hot", F.lit(True))

@@ -229,3 +229,14 @@ def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.concat(F.lit("events-"), F.col("event_type")).alias("topic"),
                      F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value"),
                      F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def html_follow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored follow pages ``(login, page, html)`` from ``pages``: each stored page
+    belongs to user ``p<page_id>``; its page number is the URL's ``page=``
+    parameter (1 when absent), so a page-2-only user has a gap before it."""
+    pg = table(spark, sf_dir, "pages")
+    num = F.regexp_extract("url", r"[?&]page=([0-9]+)", 1)
+    page = F.when(num != "", num.cast("int")).otherwise(F.lit(1))
+    return pg.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("login"),
+                     page.alias("page"), "html")

@@ -264,6 +264,30 @@ def extract_links(spark, sf):
     return links.select("page_id", _long(F.col("pos")).alias("pos"), "slug", "text")
 
 
+def follow_pages_html(spark, sf):
+    """R2 + R1: links of stored pages become page responses, then stitched."""
+    pg = B.html_follow_pages(spark, sf)
+    st = PG.follow_pages_from_html(pg, LINK_PATTERN)
+    return st.select(F.col("login").alias("username"), F.array_join("following", ",").alias("following"),
+                     _long(F.col("n_following")).alias("n_following"))
+
+
+# --- K1, U3, P18: partitioned edge table, label read prunes folders ------------------
+def edge_table_label(spark, sf):
+    path = shared_path(spark, "edges")
+    K.write_edges(B.edges(spark, sf), path)
+    e = E.select_parts(R.read_table(spark, path), label="2014")
+    return e.select("username", "repo", "type", _ts_str("ts").alias("ts"), "part")
+
+
+# --- K3: reject report ------------------------------------------------------------------
+def rejects_summary(spark, sf):
+    from egoline.operators.normalize import edges_and_rejects
+    _, rej = edges_and_rejects(B.timeline(spark, sf, "v1", faults=True), "v1", part=F.col("part"),
+                               keep=("event_id",))
+    return rej.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- S8, S3, K4, K5 ---------------------------------------------------------------
 def land_topics_q(spark, sf):
     """Write events as topic messages, land them incrementally (second run adds
@@ -313,5 +337,8 @@ QUERIES = {
     "upsert_snapshot": upsert_snapshot,
     "page_stitch": page_stitch,
     "extract_links": extract_links,
+    "follow_pages_html": follow_pages_html,
+    "edge_table_label": edge_table_label,
+    "rejects_summary": rejects_summary,
     "land_topics": land_topics_q,
 }

@@ -238,6 +238,26 @@ GROUP BY u.login""",
 y AS (SELECT page_id, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS hh, unnest(t) AS tt FROM x)
 SELECT page_id, pos::BIGINT AS pos, substr(hh, 2) AS slug, tt AS text FROM y""",
 
+    "follow_pages_html": f"""WITH x AS (
+  SELECT 'p' || page_id AS login,
+         coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 1) AS page,
+         regexp_extract_all(html, '{LINK}', 1) AS h
+  FROM pages)
+SELECT login AS username,
+       CASE WHEN page = 1 THEN array_to_string(list_transform(h, lambda x: substr(x, 2)), ',') ELSE '' END AS following,
+       (CASE WHEN page = 1 THEN len(h) ELSE 0 END)::BIGINT AS n_following
+FROM x""",
+
+    "edge_table_label": f"""WITH {EV}
+SELECT username, repo, type, ts_s AS ts, part FROM ev
+WHERE event_type IN {ACT} AND part IN ('2014_1', '2014_2')""",
+
+    "rejects_summary": f"""WITH {EV}
+SELECT CASE event_id % 10 WHEN 2 THEN 'corrupt' WHEN 0 THEN 'null_user' ELSE 'null_repo' END AS reason,
+       count(*)::BIGINT AS n_rows
+FROM ev WHERE (event_type IN {ACT} OR event_id % 10 = 2) AND event_id % 10 IN (0, 1, 2)
+GROUP BY 1""",
+
     "land_topics": """SELECT 'events-' || event_type AS topic, event_id,
        year(ts)::BIGINT AS year, month(ts)::BIGINT AS month,
        day(ts)::BIGINT AS day, hour(ts)::BIGINT AS hour

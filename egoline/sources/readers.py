@@ -111,7 +111,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     splits and is returned unchanged, so no extra shuffle is paid at scale.
     """
     want = min_partitions or spark_parallelism(df.sparkSession)
-    have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    plan = df._jdf.queryExecution().executedPlan()
+    if "Exchange" in plan.toString() or "AdaptiveSparkPlan" in plan.nodeName():
+        return df  # only plain scans: building an adaptive plan's RDD would run it
+    have = plan.execute().getNumPartitions()
     return df.repartition(want) if have < want else df
 
 
