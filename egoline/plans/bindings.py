@@ -7,13 +7,15 @@ library is derived, inside Spark, from columns of the same shape:
   as the actor login, ``r/<props.k>`` as the repository, ``ts`` as the
   ``...Z`` creation time, day of month -> per-year part.
 * follow edge     <- ``orders JOIN lineitem``: supplier ``s<l_suppkey>``
-  follows customer ``c<o_custkey>``; a supplier whose key is a multiple of 5
-  has an empty list (exercises the "follows no one" answer).
+  follows customer ``c<o_custkey>``; each nation ``n<nationkey>`` is stored
+  with an empty list (exercises the "follows no one" answer).
 * paged responses <- ``orders``: the n-th order of a customer is page n.
 * stored HTML     <- ``pages``.
 
-Fault injection (bad JSON, plain strings, null parts) uses fixed rules on the
-row ids so that the oracle SQL can reproduce them; it never drops rows.
+Fault injection (bad JSON, plain strings, null parts, empty and null lists)
+uses fixed rules on the row ids so that the oracle SQL can reproduce them; it
+replaces values and never drops rows, except the page binding, whose missing
+pages are the failed fetches being simulated.
 """
 
 from __future__ import annotations
@@ -124,26 +126,31 @@ def edges(spark: SparkSession, sf_dir: str, types=None) -> DataFrame:
 
 
 def follows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long follow table ``(username, pos, followee)``; ``pos`` orders a user's list."""
+    """Long follow table ``(username, pos, followee)``; ``pos`` orders a user's list.
+
+    Every (supplier, customer) pair of ``orders JOIN lineitem`` is a follow edge.
+    Each nation ``n<nationkey>`` is stored with an empty list (one row with null
+    ``pos`` and ``followee``), which exercises the "follows no one" answer
+    without dropping any edge."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     pairs = (li.join(o, li.l_orderkey == o.o_orderkey)
-             .filter(F.col("l_suppkey") % 5 != 0)
              .select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("username"),
                      F.col("o_custkey").alias("pos"),
                      F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("followee"))
              .distinct())
-    empty = (table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 5 == 0)
-             .select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("username"),
+    empty = (table(spark, sf_dir, "nation")
+             .select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("username"),
                      F.lit(None).cast("long").alias("pos"), F.lit(None).cast("string").alias("followee")))
     return pairs.unionByName(empty)
 
 
 def all_user_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer and supplier name: the seed / request list."""
+    """Every customer, supplier and nation name: the seed / request list."""
     c = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("username"))
     s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("username"))
-    return c.unionByName(s)
+    n = table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("username"))
+    return c.unionByName(s).unionByName(n)
 
 
 def follower_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,18 +22,18 @@ EV = """ev AS (
 
 FL = """fl AS (
   SELECT DISTINCT 's' || l_suppkey AS seed, 'c' || o_custkey AS followee
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_suppkey % 5 <> 0)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 FL_ALL = """fl2 AS (
   SELECT DISTINCT 's' || l_suppkey AS username, 'c' || o_custkey AS followee
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey % 5 <> 0
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   UNION ALL
-  SELECT 's' || s_suppkey AS username, NULL AS followee FROM supplier WHERE s_suppkey % 5 = 0)"""
+  SELECT 'n' || n_nationkey AS username, NULL AS followee FROM nation)"""
 
 NAMES = """names AS (
   SELECT 'c' || c_custkey AS username FROM customer
-  UNION ALL SELECT 's' || s_suppkey AS username FROM supplier)"""
+  UNION ALL SELECT 's' || s_suppkey AS username FROM supplier
+  UNION ALL SELECT 'n' || n_nationkey AS username FROM nation)"""
 
 WEEK = f"""e AS (SELECT * FROM ev WHERE event_type IN {ACT}),
 m AS (SELECT max(ts_sec) AS as_of FROM e),

@@ -89,3 +89,22 @@ def test_skew_join_equals_plain_join(spark):
 def test_siblings_case_insensitive(spark):
     df = spark.createDataFrame([("p", "b"), ("p", "A"), ("p", "a"), ("p", "C")], "parent string, name string")
     assert G.siblings_sorted(df, "parent", "name").first().children == ["A", "a", "b", "C"]
+
+
+def test_ego_graph_salted_equals_plain(spark):
+    follows, edges = _fixture(spark)
+    cols = ["seed", "pos", "followee", "repo", "part"]
+    salted = G.ego_graph(follows, edges, label="All", salt_buckets=4, hot_min_rows=1)
+    plain = G.ego_graph(follows, edges, label="All", salt_buckets=0)
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    assert sorted(salted.select(cols).collect(), key=key) == sorted(plain.select(cols).collect(), key=key)
+    assert "_salt" in salted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_skew_join_with_given_hot_keys(spark):
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i}") for i in range(20)], "id long, k string")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k4", 3)], "k string, v long")
+    hot = spark.createDataFrame([("hot",)], "k string")
+    salted = skew_join(left, right, "k", "inner", buckets=3, hot=hot)
+    plain = left.join(right, "k", "inner")
+    assert sorted(salted.select("id", "k", "v").collect()) == sorted(plain.select("id", "k", "v").collect())

@@ -107,3 +107,14 @@ def test_snapshot_partitions(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "edges")).filter(F.col("part") == "2013")
     assert [r.repo for r in back.collect()] == ["o/a"]
     assert "PartitionFilters: [isnotnull(part" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_only_small_scans(spark, tmp_path):
+    from egoline.sources.readers import spread
+    p = str(tmp_path / "one")
+    spark.range(1000).coalesce(1).write.parquet(p)
+    df = spark.read.parquet(p)
+    assert spread(df, 4).rdd.getNumPartitions() == 4
+    assert spread(df, 1) is df
+    agg = df.groupBy((F.col("id") % 3).alias("k")).count()
+    assert spread(agg, 4) is agg
