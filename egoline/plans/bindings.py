@@ -50,70 +50,62 @@ SPREAD_TABLES = ("lineitem", "orders", "events", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    r = spark.read
+    if name in schemas.DRIVER_TABLES:
+        r = r.schema(schemas.DRIVER_TABLES[name])
+    df = r.parquet(table_path(sf_dir, name))
     return spread(df) if name in SPREAD_TABLES else df
 
 
-def _map_col(col, mapping: dict):
-    expr = None
-    for k, v in mapping.items():
-        expr = (F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v)))
-    return expr
+def _k(props="props"):
+    return F.get_json_object(F.col(props), "$.k")
 
 
-def day_part(ts_col):
-    day = F.dayofmonth(ts_col)
-    idx = F.least(F.floor((day - 1) / 5).cast("int") + 1, F.lit(len(DAY_PARTS)))
-    return F.element_at(F.array(*[F.lit(p) for p in DAY_PARTS]), idx)
+def _type_case() -> str:
+    return "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_TYPE_MAP.items()) + " END"
 
 
-def _k(props="props"):
-    return F.get_json_object(F.col(props), "$.k")
+def _part_case(ts: str = "ts") -> str:
+    parts = ", ".join(f"'{p}'" for p in DAY_PARTS)
+    return f"element_at(array({parts}), least(CAST(floor((dayofmonth({ts}) - 1) / 5) AS INT) + 1, {len(DAY_PARTS)}))"
+
+
+_LOGIN = "concat('c', CAST(user_id AS STRING))"
+_ACTOR_JSON = f"to_json(named_struct('login', {_LOGIN}))"
+_REPO_JSON = "to_json(named_struct('name', concat('r/', get_json_object(props, '$.k'))))"
+_CREATED = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+_NULL = "CAST(NULL AS STRING)"
 
 
 def timeline(spark: SparkSession, sf_dir: str, variant: str = "v1", faults: bool = False) -> DataFrame:
     """Events shaped like a timeline file read with the all-string schema,
-    plus ``event_id`` and ``part``."""
-    ev = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    login = F.concat(F.lit("c"), F.col("user_id").cast("string"))
-    repo_name = F.concat(F.lit("r/"), _k())
-    typ = _map_col(F.col("event_type"), EVENT_TYPE_MAP)
-    created = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    actor_json = F.to_json(F.struct(login.alias("login")))
-    repo_json = F.to_json(F.struct(repo_name.alias("name")))
-    corrupt = F.lit(None).cast("string")
-    repository = F.lit(None).cast("string")
+    plus ``event_id`` and ``part``. Written as SQL expressions: one planner
+    call instead of one per column operation."""
+    typ, actor, repo, repository, created, corrupt = _type_case(), _ACTOR_JSON, _REPO_JSON, _NULL, _CREATED, _NULL
     if variant == "v1":
-        actor, repo = actor_json, repo_json
         if faults:
-            actor = F.when(eid % 10 == 0, F.lit(None).cast("string")).otherwise(actor)
-            repo = F.when(eid % 10 == 1, F.lit(None).cast("string")).otherwise(repo)
-            corrupt = F.when(eid % 10 == 2, F.concat(F.lit("{broken "), eid.cast("string")))
+            corrupt = "CASE WHEN event_id % 10 = 2 THEN concat('{broken ', CAST(event_id AS STRING)) END"
+            bad = "event_id % 10 = 2"
+            typ = f"CASE WHEN {bad} THEN NULL ELSE {typ} END"
+            actor = f"CASE WHEN event_id % 10 IN (0, 2) THEN NULL ELSE {actor} END"
+            repo = f"CASE WHEN event_id % 10 IN (1, 2) THEN NULL ELSE {repo} END"
+            created = f"CASE WHEN {bad} THEN NULL ELSE {created} END"
     elif variant == "v2":
-        actor, repo = actor_json, repo_json
         if faults:
-            actor = (F.when(eid % 10 == 0, F.substring(actor_json, 1, 6))
-                     .when(eid % 10 == 1, login).otherwise(actor_json))
-            repo = F.when(eid % 10 == 2, F.lit("{}")).otherwise(repo)
+            actor = (f"CASE WHEN event_id % 10 = 0 THEN substring({_ACTOR_JSON}, 1, 6) "
+                     f"WHEN event_id % 10 = 1 THEN {_LOGIN} ELSE {_ACTOR_JSON} END")
+            repo = f"CASE WHEN event_id % 10 = 2 THEN '{{}}' ELSE {_REPO_JSON} END"
     elif variant == "v3":
-        actor, repo = login, F.lit(None).cast("string")
-        owner = F.lit("r")
-        if faults:
-            owner = F.when(eid % 10 == 3, F.lit(None).cast("string")).otherwise(owner)
-        repository = F.to_json(F.struct(owner.alias("owner"), _k().alias("name")))
+        actor, repo = _LOGIN, _NULL
+        owner = "CASE WHEN event_id % 10 = 3 THEN NULL ELSE 'r' END" if faults else "'r'"
+        repository = f"to_json(named_struct('owner', {owner}, 'name', get_json_object(props, '$.k')))"
     else:
         raise ValueError(variant)
-    if faults and variant == "v1":
-        nul = F.lit(None).cast("string")
-        is_bad = corrupt.isNotNull()
-        typ = F.when(is_bad, nul).otherwise(typ)
-        actor = F.when(is_bad, nul).otherwise(actor)
-        repo = F.when(is_bad, nul).otherwise(repo)
-        created = F.when(is_bad, nul).otherwise(created)
-    return ev.select(eid.alias("event_id"), typ.alias("type"), actor.alias("actor"), repo.alias("repo"),
-                     repository.alias("repository"), created.alias("created_at"),
-                     corrupt.alias(schemas.CORRUPT_COL), day_part("ts").alias("part"))
+    ev = table(spark, sf_dir, "events")
+    return ev.selectExpr(
+        "event_id", f"{typ} AS type", f"{actor} AS actor", f"{repo} AS repo",
+        f"{repository} AS repository", f"{created} AS created_at",
+        f"{corrupt} AS {schemas.CORRUPT_COL}", f"{_part_case()} AS part")
 
 
 def edges(spark: SparkSession, sf_dir: str, types=None) -> DataFrame:
