@@ -7,8 +7,10 @@ followed user per year table. Here it is one plan over tables:
     seeds  semi-join  follow edges (username, pos, followee)
            left-join  distinct repo edges of the chosen parts  (on followee)
 
-The long form ``(seed, pos, followee, repo, part)`` is the canonical answer;
-JSON is rendered from it per seed.
+The long form ``(seed, pos, followee, repo, part)`` is the canonical answer.
+The JSON answers and tree statistics use the node form ``(seed, pos,
+followee, repos)`` instead: each user's repository list is built once and
+joined to the edges that point at the user, one row per edge.
 """
 
 from __future__ import annotations
@@ -42,11 +44,7 @@ def ego_graph(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = No
     Repositories are distinct per part (a repository active in two parts of a
     label appears twice) unless ``distinct_across``.
     """
-    f = follows.filter(F.col("followee").isNotNull())
-    s = _seed_names(seeds)
-    if s is not None:
-        f = f.join(s, "username", "left_semi")
-    f = f.select(F.col("username").alias("seed"), "pos", "followee")
+    f = _followed(follows, seeds)
     e = select_parts(edges, label, parts, routing)
     if distinct_across:
         repos = e.select(F.col("username").alias("followee"), "repo").distinct() \
@@ -57,6 +55,44 @@ def ego_graph(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = No
     return j.select("seed", "pos", "followee", "repo", "part")
 
 
+def _followed(follows: DataFrame, seeds) -> DataFrame:
+    """``(seed, pos, followee)`` for the seeds' stored follow edges."""
+    f = follows.filter(F.col("followee").isNotNull())
+    s = _seed_names(seeds)
+    if s is not None:
+        f = f.join(s, "username", "left_semi")
+    return f.select(F.col("username").alias("seed"), "pos", "followee")
+
+
+def followee_repos(edges: DataFrame, label: str | None = None, parts=None, distinct_across: bool = False,
+                   routing=None) -> DataFrame:
+    """``(followee, repos)``: each user's repositories in the chosen parts, once
+    per part (or once overall with ``distinct_across``), sorted by name.
+
+    One shuffle: ``collect_set`` removes repeats map-side, so a user's group
+    holds one entry per distinct (repository, part) pair.
+    """
+    e = select_parts(edges, label, parts, routing)
+    item = F.struct("repo") if distinct_across else F.struct("repo", "part")
+    g = e.groupBy(F.col("username").alias("followee")).agg(F.collect_set(item).alias("_s"))
+    return g.select("followee", F.array_sort(F.transform("_s", lambda x: x["repo"])).alias("repos"))
+
+
+def ego_nodes(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = None,
+              label: str | None = None, parts=None, distinct_across: bool = False, routing=None,
+              salt_buckets: int = DEFAULT_BUCKETS, hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+    """``(seed, pos, followee, repos)``: one row per stored follow edge with the
+    followed user's repository list (null when none).
+
+    Each user's list is built once and joined to every edge that points at
+    the user, so the join emits one row per edge instead of one per edge and
+    repository. This is the input of the JSON answers and tree statistics.
+    """
+    j = skew_join(_followed(follows, seeds), followee_repos(edges, label, parts, distinct_across, routing),
+                  "followee", "left", buckets=salt_buckets, min_rows=hot_min_rows)
+    return j.select("seed", "pos", "followee", "repos")
+
+
 def follow_summary(follows: DataFrame) -> DataFrame:
     """``(username, n_following)`` per stored user (0 = follows no one); one
     partial aggregate, so a user with a huge list costs one row per task."""
@@ -84,15 +120,8 @@ def missing_users(requests: DataFrame, follows: DataFrame) -> DataFrame:
     return r.join(stored, "username", "left_anti")
 
 
-def _followee_nodes(long: DataFrame) -> DataFrame:
-    """One row per (seed, pos, followee) with its sorted repositories (null when none)."""
-    g = (long.groupBy("seed", "pos", "followee")
-         .agg(F.array_sort(F.collect_list("repo")).alias("repos")))
-    return g.withColumn("repos", F.when(F.size("repos") > 0, F.col("repos")))
-
-
-def ego_json(long: DataFrame, status: DataFrame | None = None, form: str = "api") -> DataFrame:
-    """Render the answer per seed as ``(username, json)``.
+def ego_json(nodes: DataFrame, status: DataFrame | None = None, form: str = "api") -> DataFrame:
+    """Render the answer per seed as ``(username, json)`` from :func:`ego_nodes`.
 
     ``form="api"``: ``{"username":u,"following":[{"username":f,"repositories":[..]}]}``;
     ``form="tree"``: ``{"name":u,"children":[{"name":f,"children":[{"name":r,"size":10000}]}]}``.
@@ -101,7 +130,6 @@ def ego_json(long: DataFrame, status: DataFrame | None = None, form: str = "api"
     fields are omitted by ``to_json``). With ``status``, seeds that are not
     ``ok`` get ``{"Response": message}``.
     """
-    nodes = _followee_nodes(long)
     if form == "api":
         node = F.struct(F.col("pos"), F.col("followee").alias("username"), F.col("repos").alias("repositories"))
     elif form == "tree":
@@ -123,17 +151,17 @@ def ego_json(long: DataFrame, status: DataFrame | None = None, form: str = "api"
     return out.unionByName(bad)
 
 
-def tree_stats(long: DataFrame) -> DataFrame:
-    """Layout statistics per seed tree: ``total_nodes`` (root + followed users +
-    repository leaves), ``max_label_length`` over all node names, and the node
-    count per level (``level1``: followed users, ``level2``: leaves)."""
-    per_node = (long.groupBy("seed", "pos", "followee")
-                .agg(F.count("repo").alias("leaves"),
-                     F.coalesce(F.max(F.length("repo")), F.lit(0)).alias("leaf_len")))
-    agg = (per_node.groupBy("seed")
+def tree_stats(nodes: DataFrame) -> DataFrame:
+    """Layout statistics per seed tree from :func:`ego_nodes`: ``total_nodes``
+    (root + followed users + repository leaves), ``max_label_length`` over all
+    node names, and the node count per level (``level1``: followed users,
+    ``level2``: leaves). One partial aggregate per seed."""
+    leaves = F.coalesce(F.size("repos"), F.lit(0))
+    leaf_len = F.coalesce(F.array_max(F.transform("repos", lambda r: F.length(r))), F.lit(0))
+    agg = (nodes.groupBy("seed")
            .agg(F.count(F.lit(1)).alias("level1"),
-                F.sum("leaves").alias("level2"),
-                F.max(F.greatest(F.length("followee"), F.col("leaf_len"))).alias("child_len")))
+                F.sum(leaves).alias("level2"),
+                F.max(F.greatest(F.length("followee"), leaf_len)).alias("child_len")))
     return agg.select(
         F.col("seed").alias("username"),
         (F.lit(1) + F.col("level1") + F.col("level2")).alias("total_nodes"),

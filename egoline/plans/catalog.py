@@ -198,18 +198,18 @@ def ego_status(spark, sf):
 def ego_json(spark, sf):
     fl = B.follows(spark, sf)
     seeds = B.all_user_names(spark, sf)
-    long = G.ego_graph(fl, B.edges(spark, sf), seeds=seeds, label="2013")
-    return G.ego_json(long, G.ego_status(seeds, fl), form="api")
+    nodes = G.ego_nodes(fl, B.edges(spark, sf), seeds=seeds, label="2013")
+    return G.ego_json(nodes, G.ego_status(seeds, fl), form="api")
 
 
 def ego_tree_json(spark, sf):
-    long = G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="2013")
-    return G.ego_json(long, form="tree")
+    nodes = G.ego_nodes(B.follows(spark, sf), B.edges(spark, sf), label="2013")
+    return G.ego_json(nodes, form="tree")
 
 
 # --- R3 -------------------------------------------------------------------------
 def tree_stats(spark, sf):
-    s = G.tree_stats(G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="All"))
+    s = G.tree_stats(G.ego_nodes(B.follows(spark, sf), B.edges(spark, sf), label="All"))
     return s.select("username", _long(F.col("total_nodes")).alias("total_nodes"),
                     _long(F.col("max_label_length")).alias("max_label_length"),
                     _long(F.col("level1")).alias("level1"), _long(F.col("level2")).alias("level2"))

@@ -39,6 +39,32 @@ def get_session(master: str = "local[*]", app: str = "egoline",
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 200_000) -> dict:
+    """Settings for a large run, sized from the input volume.
+
+    Shuffle partitions start near ``input / target`` (AQE then coalesces the
+    small ones to ``target_partition_bytes`` each), scan splits are the same
+    size, a partition counts as skewed once it is 4x the target and 5x the
+    median (AQE splits it), and runtime broadcasts are limited to sides AQE
+    has measured under 64 MB.
+    """
+    parts = min(max_shuffle_partitions, max(200, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(16 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

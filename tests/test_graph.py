@@ -35,8 +35,9 @@ def test_ego_long_and_json(spark):
                     (2, "z", "", ""),
                     (3, "a", "o/r1", "2014_1"), (3, "a", "o/r1", "2014_2"), (3, "a", "o/r2", "2014_1")]
     seeds = spark.createDataFrame([("u",), ("n",), ("x",)], "username string")
+    nodes = G.ego_nodes(follows, edges, seeds=seeds, label="2014")
     out = {r.username: json.loads(r.json)
-           for r in G.ego_json(long, G.ego_status(seeds, follows)).collect()}
+           for r in G.ego_json(nodes, G.ego_status(seeds, follows)).collect()}
     assert out["u"] == {"username": "u", "following": [
         {"username": "b", "repositories": ["o/r4"]},
         {"username": "a", "repositories": ["o/r1", "o/r1", "o/r2"]},
@@ -55,12 +56,12 @@ def test_distinct_across_parts(spark):
 
 def test_tree_form_and_stats(spark):
     follows, edges = _fixture(spark)
-    long = G.ego_graph(follows, edges, label="2013")
-    tree = json.loads(G.ego_json(long, form="tree").first().json)
+    nodes = G.ego_nodes(follows, edges, label="2013")
+    tree = json.loads(G.ego_json(nodes, form="tree").first().json)
     assert tree["name"] == "u"
     assert tree["children"][0] == {"name": "b", "children": [{"name": "o/r3", "size": 10000}]}
     assert tree["children"][1] == {"name": "a"}
-    st = G.tree_stats(long).first()
+    st = G.tree_stats(nodes).first()
     assert (st.total_nodes, st.level1, st.level2, st.max_label_length) == (6, 4, 1, 4)
 
 

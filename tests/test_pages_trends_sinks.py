@@ -118,3 +118,11 @@ def test_spread_only_small_scans(spark, tmp_path):
     assert spread(df, 1) is df
     agg = df.groupBy((F.col("id") % 3).alias("k")).count()
     assert spread(agg, 4) is agg
+
+
+def test_cluster_conf_sizes():
+    from egoline.session import cluster_conf
+    c = cluster_conf(100 * (1 << 40))
+    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
