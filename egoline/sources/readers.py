@@ -101,7 +101,9 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that plans fewer partitions than the cluster has task slots.
+    """Spread a freshly read source that plans fewer splits than the cluster
+    has task slots. Call it right after ``spark.read`` (on a plain scan the
+    split count is known from planning; nothing runs).
 
     A file written as one row group (or one gzip stream) is read by a single
     task, and everything up to the first shuffle runs there. When the scan
@@ -111,10 +113,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     splits and is returned unchanged, so no extra shuffle is paid at scale.
     """
     want = min_partitions or spark_parallelism(df.sparkSession)
-    plan = df._jdf.queryExecution().executedPlan()
-    if "Exchange" in plan.toString() or "AdaptiveSparkPlan" in plan.nodeName():
-        return df  # only plain scans: building an adaptive plan's RDD would run it
-    have = plan.execute().getNumPartitions()
+    have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df
 
 
