@@ -25,7 +25,15 @@ def summarise(plan: str) -> dict:
     plan = plan.split("== Initial Plan ==")[0]  # adaptive plans print the final plan, then the initial one
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
                        r"[^\n]*?(Inner|LeftOuter|LeftSemi|LeftAnti|FullOuter|RightOuter)", plan)
-    scans = re.findall(r"FileScan (\w+) \[[^\]]*\][^\n]*?(?:PushedFilters: (\[[^\]]*\]))?[^\n]*?ReadSchema: (struct<[^>]*>)", plan)
+    scans = []
+    for line in re.findall(r"FileScan [^\n]*", plan):
+        fmt = re.match(r"FileScan (\w+)", line).group(1)
+        pf = re.search(r"PushedFilters: (\[.*?\]), ReadSchema", line)
+        part = re.search(r"PartitionFilters: (\[.*?\]), PushedFilters", line)
+        schema = re.search(r"ReadSchema: (struct<.*>)\s*$", line)
+        extra = (f" pushed={pf.group(1)}" if pf and pf.group(1) != "[]" else "") + \
+                (f" partition={part.group(1)}" if part and part.group(1) != "[]" else "")
+        scans.append((fmt, extra, schema.group(1) if schema else "?"))
     return {
         "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange RoundRobinPartitioning|Exchange SinglePartition|Exchange rangepartitioning", plan)),
         "joins": sorted({f"{a}/{b}" for a, b in joins}),
@@ -33,7 +41,7 @@ def summarise(plan: str) -> dict:
         "topk": "TakeOrderedAndProject" in plan,
         "window_group_limit": "WindowGroupLimit" in plan,
         "python": any(k in plan for k in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")),
-        "scans": sorted({f"{fmt} {schema}" + (f" pushed={pf}" if pf and pf != "[]" else "") for fmt, pf, schema in scans}),
+        "scans": sorted({f"{fmt} {schema}{extra}" for fmt, extra, schema in scans}),
     }
 
 
