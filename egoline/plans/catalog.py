@@ -32,7 +32,9 @@ LINK_PATTERN = r'<a href="(/[^"]*)">([^<]*)</a>'
 
 
 def _ts_str(c):
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    """An instant rendered as its UTC wall clock, whatever the session time zone
+    (the timeline's times are UTC: "...Z")."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
 
 
 def _long(c):
@@ -83,6 +85,16 @@ def normalize_v3(spark, sf):
     return _normalized(B.timeline(spark, sf, "v3", faults=True), "v3")
 
 
+def normalize_all_variants(spark, sf):
+    """P9, U2: the three variants normalised and unioned by column name, each
+    labelled with the year table it stands for."""
+    from egoline.operators.normalize import union_variants
+    years = {"v1": "2015", "v2": "2012", "v3": "2013"}
+    frames = [normalize(B.timeline(spark, sf, v, faults=True), v, part=years[v], keep=("event_id",))
+              .select("event_id", "username", "repo", "part", "reason") for v in ("v1", "v2", "v3")]
+    return union_variants(frames)
+
+
 def _json_lines(tl: DataFrame, variant: str) -> DataFrame:
     """The binding's timeline as raw JSON lines of the given variant."""
     if variant == "v1":
@@ -312,6 +324,7 @@ QUERIES = {
     "normalize_v1": normalize_v1,
     "normalize_v2": normalize_v2,
     "normalize_v3": normalize_v3,
+    "normalize_all_variants": normalize_all_variants,
     "timeline_json_v1": timeline_json_v1,
     "timeline_json_v2": timeline_json_v2,
     "timeline_json_v3": timeline_json_v3,

@@ -81,6 +81,27 @@ SELECT event_id, username,
        CASE WHEN event_id % 10 = 3 THEN 'null_repo' END AS reason
 FROM ev WHERE event_type IN {ACT}"""
 
+NORM_ALL = f"""WITH {EV}
+SELECT event_id,
+       CASE WHEN event_id % 10 IN (0, 2) THEN NULL ELSE username END AS username,
+       CASE WHEN event_id % 10 IN (1, 2) THEN NULL ELSE repo END AS repo,
+       '2015' AS part,
+       CASE event_id % 10 WHEN 2 THEN 'corrupt' WHEN 0 THEN 'null_user' WHEN 1 THEN 'null_repo' END AS reason
+FROM ev WHERE event_type IN {ACT} OR event_id % 10 = 2
+UNION ALL
+SELECT event_id,
+       CASE WHEN event_id % 10 IN (0, 1) THEN NULL ELSE username END,
+       CASE WHEN event_id % 10 = 2 THEN NULL ELSE repo END,
+       '2012',
+       CASE WHEN event_id % 10 IN (0, 1) THEN 'null_user' WHEN event_id % 10 = 2 THEN 'null_repo' END
+FROM ev WHERE event_type IN {ACT}
+UNION ALL
+SELECT event_id, username,
+       CASE WHEN event_id % 10 = 3 THEN NULL ELSE repo END,
+       '2013',
+       CASE WHEN event_id % 10 = 3 THEN 'null_repo' END
+FROM ev WHERE event_type IN {ACT}"""
+
 FOLLOW_PARSE = """WITH r AS (
   SELECT o_orderkey, o_custkey,
          bool_or(o_custkey % 7 = 0 AND l_suppkey % 10 = 0) AS has_bad,
@@ -111,6 +132,7 @@ SELECT DISTINCT username, repo, part FROM ev WHERE event_type IN {ACT}""",
     "normalize_v1": _norm_v1(False),
     "normalize_v2": NORM_V2,
     "normalize_v3": NORM_V3,
+    "normalize_all_variants": NORM_ALL,
     "timeline_json_v1": _norm_v1(True),
     "timeline_json_v2": NORM_V2,
     "timeline_json_v3": NORM_V3,
