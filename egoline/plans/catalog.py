@@ -288,7 +288,7 @@ def follow_pages_html(spark, sf):
 def edge_table_label(spark, sf):
     path = shared_path(spark, "edges")
     K.write_edges(B.edges(spark, sf), path)
-    e = E.select_parts(R.read_table(spark, path), label="2014")
+    e = R.read_edges(spark, path, label="2014")
     return e.select("username", "repo", "type", _ts_str("ts").alias("ts"), "part")
 
 

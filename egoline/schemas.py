@@ -51,8 +51,16 @@ TOPIC_ENVELOPE = T.StructType([
 ])
 
 # Canonical edge table: one row per (user, repository) activity, partitioned
-# by the per-year table the row belongs to.
+# by the per-year table the row belongs to. Declared, so that part names like
+# "2013" are not read back as integers by partition type inference.
 EDGE_COLUMNS = ("username", "repo", "type", "ts", "part")
+EDGE = T.StructType([
+    T.StructField("username", T.StringType()),
+    T.StructField("repo", T.StringType()),
+    T.StructField("type", T.StringType()),
+    T.StructField("ts", T.TimestampType()),
+    T.StructField("part", T.StringType()),
+])
 
 # Schemas of the driver's test tables, declared so a read never infers them
 # from file footers (one footer read per query and table otherwise).

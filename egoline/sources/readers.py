@@ -95,6 +95,16 @@ def read_html_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("url", "html")
 
 
+def read_edges(spark: SparkSession, path: str, label: str | None = None) -> DataFrame:
+    """The partitioned edge table with its declared schema; a year ``label``
+    becomes a partition filter, so only that label's folders are listed and read."""
+    df = spark.read.schema(schemas.EDGE).parquet(path)
+    if label is not None:
+        from egoline.operators.edges import select_parts
+        df = select_parts(df, label)
+    return df
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Full scan of a keyed table written by the sinks."""
     return spark.read.format(fmt).load(path)
