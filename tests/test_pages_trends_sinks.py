@@ -124,3 +124,33 @@ def test_cluster_conf_sizes():
     assert c["spark.sql.shuffle.partitions"] == "200000"
     assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_read_edges_label_prunes_parts(spark, tmp_path):
+    from egoline.sources import read_edges
+    e = _edges(spark, [("u", "o/a", "WatchEvent", None, "2014_1"), ("u", "o/b", "WatchEvent", None, "2014_2"),
+                       ("u", "o/c", "WatchEvent", None, "2015")])
+    K.write_edges(e, str(tmp_path / "edges"))
+    df = read_edges(spark, str(tmp_path / "edges"), label="2014")
+    assert sorted(r.repo for r in df.collect()) == ["o/a", "o/b"]
+    assert dict(df.dtypes)["part"] == "string"
+    import re
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*IN \(2014_1,2014_2\)", plan)
+
+
+def test_user_repo_map_latest_time(spark):
+    from egoline.operators import edges as E
+    t = dt.datetime(2015, 1, 1, 0, 0, 1)
+    e = _edges(spark, [("a", "o/r1", "WatchEvent", t, "2015"),
+                       ("a", "o/r1", "PushEvent", t + dt.timedelta(hours=1), "2015"),
+                       ("a", "o/r2", "ForkEvent", t, "2015")])
+    m = E.user_repo_map(e).first()
+    assert m.username == "a" and m.repos == {"o/r1": t + dt.timedelta(hours=1)}
+
+
+def test_weekly_trends_explicit_as_of(spark):
+    t = dt.datetime(2015, 1, 10)
+    e = _edges(spark, [("u", "o/a", "WatchEvent", t, "2015"), ("u", "o/b", "WatchEvent", t - dt.timedelta(days=10), "2015")])
+    got = {r.reponame: r.watchcount for r in TR.weekly_trends(e, as_of=dt.datetime(2015, 1, 5)).collect()}
+    assert got == {"o/b": 1}

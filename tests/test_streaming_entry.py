@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from egoline.sources import read_topic
 from egoline.streaming import land_topics, topic_stream
