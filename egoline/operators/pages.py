@@ -18,11 +18,12 @@ from egoline.functions.constants import MAX_PAGES
 
 
 def stitch_pages(pages: DataFrame, max_pages: int = MAX_PAGES, login: str = "login",
-                 page: str = "page", response: str = "response") -> DataFrame:
+                 page: str = "page", response: str = "response", users: DataFrame | None = None) -> DataFrame:
     """``(login, page, response array)`` -> ``(login, following, n_following)``.
 
     Every user present in ``pages`` is kept; a user whose first page is empty
-    or missing gets ``[]``.
+    or missing gets ``[]``. With ``users`` (first column: logins), users that
+    have no page rows at all are added with ``[]`` too.
     """
     entry = F.when(F.col(page).between(1, max_pages), F.struct(F.col(page).alias("p"), F.col(response).alias("r")))
     g = pages.groupBy(F.col(login).alias("login")).agg(F.array_sort(F.collect_list(entry)).alias("ps"))
@@ -31,7 +32,12 @@ def stitch_pages(pages: DataFrame, max_pages: int = MAX_PAGES, login: str = "log
     k = F.when(first_bad == 0, F.size("ps")).otherwise(first_bad - 1)
     following = F.flatten(F.transform(F.slice("ps", 1, k), lambda x: x["r"]))
     following = F.coalesce(following, F.array().cast("array<string>"))
-    return g.select("login", following.alias("following"), F.size(following).alias("n_following"))
+    out = g.select("login", following.alias("following"))
+    if users is not None:
+        u = users.select(F.col(users.columns[0]).alias("login")).distinct()
+        out = u.join(out, "login", "left").select(
+            "login", F.coalesce("following", F.array().cast("array<string>")).alias("following"))
+    return out.select("login", "following", F.size("following").alias("n_following"))
 
 
 def extract_links(pages: DataFrame, pattern: str, key: str = "url", html: str = "html",

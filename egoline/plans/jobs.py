@@ -34,15 +34,18 @@ def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, edges_path: str,
-                     rejects_path: str, types=ACTIVITY_TYPES, repartition: int | None = None) -> None:
+                     rejects_path: str, types=ACTIVITY_TYPES, repartition: int | None = None,
+                     on_reject: str = "skip") -> None:
     """Normalise one year's timeline files into the edge table.
 
     Only the ``part=<part>`` folder is replaced (dynamic partition overwrite),
     so re-running a year is idempotent and other years stay untouched. Rejects
-    are written next to it with their reason.
+    are written next to it with their reason; ``on_reject="fail"`` stops the
+    job before the edge table is touched when any row was rejected.
     """
     tl = R.read_timeline(spark, src, repartition=repartition)
     edges, rejects = edges_and_rejects(tl, variant, part=part, types=types)
+    K.enforce_rejects(rejects, on_reject)
     (edges.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("part").parquet(edges_path))
     (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

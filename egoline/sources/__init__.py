@@ -2,5 +2,6 @@ from egoline.sources.readers import (  # noqa: F401
     read_edges, read_html_pages, read_table, read_timeline, read_topic, read_user_dumps,
 )
 from egoline.sources.sinks import (  # noqa: F401
-    split_rejects, to_messages, upsert, write_edges, write_messages, write_snapshot,
+    RejectedRows, enforce_rejects, split_rejects, to_messages, upsert, write_edges, write_messages,
+    write_snapshot,
 )

@@ -47,6 +47,20 @@ def split_rejects(df: DataFrame, reason: Column | str = "reason"):
     return good, bad
 
 
+class RejectedRows(ValueError):
+    """Raised by :func:`enforce_rejects` in ``fail`` mode."""
+
+
+def enforce_rejects(rejects: DataFrame, mode: str = "skip") -> None:
+    """Reject policy before a write: ``skip`` keeps going (the rejects table is
+    the report), ``fail`` stops the job when any row was rejected. The check is
+    one bounded action (is there at least one row), not a count or a collect."""
+    if mode not in ("skip", "fail"):
+        raise ValueError("mode must be 'skip' or 'fail'")
+    if mode == "fail" and not rejects.isEmpty():
+        raise RejectedRows("rows were rejected; see the rejects table (reason, raw)")
+
+
 def to_messages(df: DataFrame, topic: str, key: str | None = None) -> DataFrame:
     """Rows as topic messages: ``(topic, key, value)`` with the row as JSON."""
     cols = [F.lit(topic).alias("topic")]

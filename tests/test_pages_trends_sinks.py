@@ -154,3 +154,19 @@ def test_weekly_trends_explicit_as_of(spark):
     e = _edges(spark, [("u", "o/a", "WatchEvent", t, "2015"), ("u", "o/b", "WatchEvent", t - dt.timedelta(days=10), "2015")])
     got = {r.reponame: r.watchcount for r in TR.weekly_trends(e, as_of=dt.datetime(2015, 1, 5)).collect()}
     assert got == {"o/b": 1}
+
+
+def test_stitch_keeps_users_without_pages(spark):
+    df = spark.createDataFrame([("a", 1, ["x"])], schemas.PAGES)
+    users = spark.createDataFrame([("a",), ("b",)], "login string")
+    got = {r.login: (r.following, r.n_following) for r in PG.stitch_pages(df, users=users).collect()}
+    assert got == {"a": (["x"], 1), "b": ([], 0)}
+
+
+def test_reject_policy(spark):
+    import pytest
+    rej = spark.createDataFrame([("null_user", "{}")], "reason string, raw string")
+    K.enforce_rejects(rej, "skip")
+    K.enforce_rejects(rej.limit(0), "fail")
+    with pytest.raises(K.RejectedRows):
+        K.enforce_rejects(rej, "fail")
