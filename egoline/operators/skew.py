@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from egoline.session import ensure_checkpoint_dir
 
@@ -58,15 +59,22 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left",
         raise ValueError("skew_join splits the left side; use how='inner' or 'left'")
     if buckets <= 1:
         return left.join(right, on, how)
+    ensure_checkpoint_dir(left.sparkSession)
     if hot is None:
-        ensure_checkpoint_dir(left.sparkSession)
-        hot = hot_keys(left, on, min_rows, max_hot_keys).checkpoint(eager=True)
+        hot = hot_keys(left, on, min_rows, max_hot_keys)
     else:
-        hot = hot.select(*on).distinct().limit(max_hot_keys).withColumn("_hot", F.lit(True))
+        # a deterministic choice when more keys are given than the bound allows
+        hot = (hot.select(*on).distinct().orderBy(*on).limit(max_hot_keys)
+               .withColumn("_hot", F.lit(True)))
+    # materialised once: both sides must see exactly the same hot set
+    hot = hot.checkpoint(eager=True)
     if hot.isEmpty():
         return left.join(right, on, how)
     hot = F.broadcast(hot)
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    # the salt hashes the whole row (map columns cannot be hashed and are
+    # skipped); exact duplicate rows share a salt, distinct rows spread
+    hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*[F.col(c) for c in hashable])
     l2 = (left.join(hot, on, "left")
           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))
           .drop("_hot"))

@@ -109,3 +109,12 @@ def test_skew_join_with_given_hot_keys(spark):
     salted = skew_join(left, right, "k", "inner", buckets=3, hot=hot)
     plain = left.join(right, "k", "inner")
     assert sorted(salted.select("id", "k", "v").collect()) == sorted(plain.select("id", "k", "v").collect())
+
+
+def test_skew_join_given_hot_over_bound_and_map_column(spark):
+    left = spark.createDataFrame([(i, f"k{i % 4}", {"x": i}) for i in range(40)], "id long, k string, m map<string,long>")
+    right = spark.createDataFrame([(f"k{j}", j) for j in range(4)], "k string, v long")
+    hot = spark.createDataFrame([(f"k{j}",) for j in range(4)], "k string")
+    salted = skew_join(left, right, "k", "left", buckets=3, hot=hot, max_hot_keys=2)
+    plain = left.join(right, "k", "left")
+    assert sorted(salted.select("id", "k", "v").collect()) == sorted(plain.select("id", "k", "v").collect())
