@@ -103,7 +103,9 @@ def ego_status(seeds: DataFrame, follows: DataFrame) -> DataFrame:
     """``(username, status, message, n_following)`` for each seed: ``not_found``
     (no stored record), ``not_following`` (null or empty list) or ``ok``."""
     s = _seed_names(seeds)
-    j = s.join(follow_summary(follows), "username", "left")
+    # summarise only the seeds' records: a small seed list is broadcast into a
+    # semi join, so the follow table is scanned but not shuffled
+    j = s.join(follow_summary(follows.join(s, "username", "left_semi")), "username", "left")
     status = (F.when(F.col("n_following").isNull(), F.lit(STATUS_NOT_FOUND))
               .when(F.col("n_following") == 0, F.lit(STATUS_NOT_FOLLOWING))
               .otherwise(F.lit(STATUS_OK)))
@@ -116,7 +118,7 @@ def ego_status(seeds: DataFrame, follows: DataFrame) -> DataFrame:
 def missing_users(requests: DataFrame, follows: DataFrame) -> DataFrame:
     """Requested users without a stored follow record: the fetch worklist."""
     r = _seed_names(requests)
-    stored = follows.select("username").distinct()
+    stored = follows.select("username").join(r, "username", "left_semi").distinct()
     return r.join(stored, "username", "left_anti")
 
 

@@ -26,9 +26,15 @@ def user_ids(df: DataFrame, login: str = "login", id_col: str = "id", lo=None, h
 
 def lookup_ids(requests: DataFrame, ids: DataFrame) -> DataFrame:
     """``(username, userid, message)`` per requested name; ``message`` says the
-    name is not in the database when there is no id."""
+    name is not in the database when there is no id.
+
+    The id table is first cut to the requested names with a semi join: a
+    small request batch is broadcast and the (large) id table is only
+    scanned, never shuffled; the outer join then runs on the matches.
+    """
     r = requests.select(F.col(requests.columns[0]).alias("username"))
-    j = r.join(ids.select("username", "userid"), "username", "left")
+    hits = ids.select("username", "userid").join(r.distinct(), "username", "left_semi")
+    j = r.join(hits, "username", "left")
     msg = F.when(F.col("userid").isNull(),
                  F.format_string(MSG_NOT_IN_DB.replace("{user}", "%s"), "username"))
     return j.select("username", "userid", msg.alias("message"))

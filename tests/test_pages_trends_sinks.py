@@ -170,3 +170,14 @@ def test_reject_policy(spark):
     K.enforce_rejects(rej.limit(0), "fail")
     with pytest.raises(K.RejectedRows):
         K.enforce_rejects(rej, "fail")
+
+
+def test_small_lookup_does_not_shuffle_id_table(spark, tmp_path):
+    p = str(tmp_path / "ids")
+    spark.range(200000).selectExpr("concat('u', id) AS username", "id AS userid").write.parquet(p)
+    ids = spark.read.parquet(p)
+    req = spark.createDataFrame([("u7",), ("nobody",)], "username string")
+    out = L.lookup_ids(req, ids)
+    assert sorted((r.username, r.userid) for r in out.collect()) == [("nobody", None), ("u7", 7)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in plan
