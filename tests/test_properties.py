@@ -96,3 +96,26 @@ def test_skew_join_matches_plain(spark, left_rows, right_rows, min_rows, buckets
         key = lambda r: tuple(-1 if x is None else x for x in r)
         assert sorted(salted.select("id", "k", "v").collect(), key=key) == \
             sorted(plain.select("id", "k", "v").collect(), key=key)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(users, st.integers(0, 5), users), max_size=25),
+       st.lists(st.tuples(users, repos, st.sampled_from(["2011", "2014_1", "2014_2"])), max_size=30),
+       st.sampled_from(["2014", "All", "Dec. 2011"]), st.booleans())
+def test_node_form_agrees_with_long_form(spark, follow_rows, edge_rows, label, across):
+    from egoline.operators import graph as G
+    follows = spark.createDataFrame(follow_rows, "username string, pos long, followee string")
+    edges = spark.createDataFrame(edge_rows, "username string, repo string, part string")
+    long = G.ego_graph(follows, edges, label=label, distinct_across=across, salt_buckets=0)
+    nodes = G.ego_nodes(follows, edges, label=label, distinct_across=across, salt_buckets=0)
+    dup = Counter((u, p, f) for u, p, f in follow_rows if f is not None)
+    per_edge = defaultdict(list)
+    for r in long.collect():
+        per_edge[(r.seed, r.pos, r.followee)] += [r.repo] if r.repo is not None else []
+    want = Counter()
+    for k, reps in per_edge.items():
+        n = dup[k]
+        # the long form repeats each of a duplicated edge's rows n times
+        want[(k[0], k[1], k[2], tuple(sorted(reps)[::n] if n > 1 else sorted(reps)))] += n
+    got = Counter((r.seed, r.pos, r.followee, tuple(r.repos or ())) for r in nodes.collect())
+    assert got == want

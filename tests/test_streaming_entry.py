@@ -67,3 +67,19 @@ def test_oracle_matches_on_smoke_data(spark):
         idx = [dcols.index(c) for c in cols]
         drows = sorted((tuple(r[i] for i in idx) for r in cur.fetchall()), key=repr)
         assert srows == drows, name
+
+
+def test_landing_spreads_a_hot_hour(spark, tmp_path):
+    import os
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(
+        json.dumps({"topic": "t", "value": json.dumps({"i": i}), "timestamp": "2015-03-01T05:00:00Z"})
+        for i in range(300)) + "\n")
+    out = str(tmp_path / "out")
+    land_topics(topic_stream(spark, "json", str(src)), out, str(tmp_path / "ck"),
+                files_per_hour=3, num_partitions=64).awaitTermination()
+    folder = os.path.join(out, "topic=t", "year=2015", "month=3", "day=1", "hour=5")
+    files = [f for f in os.listdir(folder) if f.endswith(".gz")]
+    assert 1 < len(files) <= 3  # hash sub-buckets of one hour land in different tasks
+    assert read_topic(spark, out).count() == 300
