@@ -45,8 +45,8 @@ def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None
     timestamp in the session time zone (UTC by default).
 
     Rows are shuffled by hour folder before the write, so each micro-batch
-    writes ``files_per_hour`` files per folder instead of one small file per
-    task and folder. A hot hour (one topic burst holding a large share of the
+    writes up to ``files_per_hour`` files per folder instead of one small file
+    per task and folder (sub-buckets are hashed onto tasks). A hot hour (one topic burst holding a large share of the
     batch) is spread over ``files_per_hour`` tasks by a hash of the message.
     """
     s = stream
