@@ -88,8 +88,19 @@ def ego_nodes(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = No
     the user, so the join emits one row per edge instead of one per edge and
     repository. This is the input of the JSON answers and tree statistics.
     """
-    j = skew_join(_followed(follows, seeds), followee_repos(edges, label, parts, distinct_across, routing),
-                  "followee", "left", buckets=salt_buckets, min_rows=hot_min_rows)
+    return join_nodes(_followed(follows, seeds), followee_repos(edges, label, parts, distinct_across, routing),
+                      salt_buckets, hot_min_rows)
+
+
+def join_nodes(followed: DataFrame, lists: DataFrame, salt_buckets: int = DEFAULT_BUCKETS,
+               hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+    """``followed(seed, pos, followee)`` left-join ``lists(followee, repos)``.
+
+    When both inputs are tables bucketed and sorted by ``followee`` with the same
+    bucket count (see ``plans.jobs.bucket_graph_tables``) and no key is hot, the
+    join reads matching buckets side by side: no shuffle on either side.
+    """
+    j = skew_join(followed, lists, "followee", "left", buckets=salt_buckets, min_rows=hot_min_rows)
     return j.select("seed", "pos", "followee", "repos")
 
 

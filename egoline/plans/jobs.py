@@ -94,6 +94,26 @@ def user_ids_job(spark: SparkSession, users: DataFrame, getuserid_path: str, out
     return out
 
 
+def bucket_graph_tables(spark: SparkSession, follows: DataFrame, edges: DataFrame, label: str | None = None,
+                        buckets: int = 512, follows_table: str = "ego_follows",
+                        lists_table: str = "ego_followee_repos", distinct_across: bool = False) -> None:
+    """Write the two sides of the ego-graph join as tables bucketed and sorted by
+    ``followee`` (same bucket count), so every later all-users ego query joins
+    them bucket by bucket without shuffling either side.
+
+    ``follows``: long follow table ``(username, pos, followee)``; stored as
+    ``(seed, pos, followee)``. ``lists_table`` holds :func:`followee_repos` of
+    the label. Needs a catalog that keeps tables (a metastore on a cluster).
+    """
+    from egoline.operators import graph as G
+    f = follows.filter(F.col("followee").isNotNull()).select(
+        F.col("username").alias("seed"), "pos", "followee")
+    (f.write.mode("overwrite").bucketBy(buckets, "followee").sortBy("followee")
+     .saveAsTable(follows_table))
+    (G.followee_repos(edges, label=label, distinct_across=distinct_across)
+     .write.mode("overwrite").bucketBy(buckets, "followee").sortBy("followee").saveAsTable(lists_table))
+
+
 def trends_job(spark: SparkSession, edges_path: str, trends_path: str, top_path: str,
                as_of=None, days: int = 7, k: int = TOP_K) -> None:
     """Weekly star counts and the top ``k``, each written as a fresh snapshot

@@ -12,7 +12,8 @@ from egoline.session import get_session  # noqa: E402
 def spark(tmp_path_factory):
     s = get_session(master="local[4]", shuffle_partitions=4,
                     extra={"spark.ui.showConsoleProgress": "false",
-                           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt"))})
+                           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt")),
+                           "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield s
     s.stop()
 

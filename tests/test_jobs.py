@@ -58,3 +58,28 @@ def test_user_ids_and_trends_jobs(spark, tmp_path):
     e.write.partitionBy("part").parquet(str(tmp_path / "edges"))
     jobs.trends_job(spark, str(tmp_path / "edges"), str(tmp_path / "trends"), str(tmp_path / "top"), k=1)
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "top")).collect()] == [("o/a", 2)]
+
+
+def test_bucketed_graph_tables_join_without_shuffle(spark):
+    from egoline.operators import graph as G
+    follows = spark.createDataFrame([("u", 0, "a"), ("u", 1, "b"), ("v", 0, "a"), ("w", None, None)],
+                                    "username string, pos long, followee string")
+    edges = spark.createDataFrame([("a", "o/r1", "2015"), ("a", "o/r2", "2015"), ("b", "o/r3", "2013")],
+                                  "username string, repo string, part string")
+    jobs.bucket_graph_tables(spark, follows, edges, label="2015", buckets=4)
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in prev:
+            spark.conf.set(k, "-1")  # force the sort-merge path the tables are laid out for
+        nodes = G.join_nodes(spark.table("ego_follows"), spark.table("ego_followee_repos"), salt_buckets=0)
+        got = sorted((r.seed, r.pos, r.followee, tuple(r.repos or ())) for r in nodes.collect())
+        plan = nodes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == [("u", 0, "a", ("o/r1", "o/r2")), ("u", 1, "b", ()), ("v", 0, "a", ("o/r1", "o/r2"))]
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
