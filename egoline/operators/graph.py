@@ -110,13 +110,20 @@ def follow_summary(follows: DataFrame) -> DataFrame:
     return follows.groupBy("username").agg(F.count("followee").alias("n_following"))
 
 
-def ego_status(seeds: DataFrame, follows: DataFrame) -> DataFrame:
+def ego_status(seeds: DataFrame | None, follows: DataFrame) -> DataFrame:
     """``(username, status, message, n_following)`` for each seed: ``not_found``
-    (no stored record), ``not_following`` (null or empty list) or ``ok``."""
-    s = _seed_names(seeds)
-    # summarise only the seeds' records: a small seed list is broadcast into a
-    # semi join, so the follow table is scanned but not shuffled
-    j = s.join(follow_summary(follows.join(s, "username", "left_semi")), "username", "left")
+    (no stored record), ``not_following`` (null or empty list) or ``ok``.
+
+    Given seeds (the serving case), the follow table is first cut to them
+    with a semi join: a small seed list is broadcast, so the table is scanned
+    but not shuffled. ``seeds=None`` reports every stored user instead and
+    aggregates first, so only per-task partial counts are shuffled.
+    """
+    if seeds is None:
+        j = follow_summary(follows)
+    else:
+        s = _seed_names(seeds)
+        j = s.join(follow_summary(follows.join(s, "username", "left_semi")), "username", "left")
     status = (F.when(F.col("n_following").isNull(), F.lit(STATUS_NOT_FOUND))
               .when(F.col("n_following") == 0, F.lit(STATUS_NOT_FOLLOWING))
               .otherwise(F.lit(STATUS_OK)))

@@ -118,3 +118,9 @@ def test_skew_join_given_hot_over_bound_and_map_column(spark):
     salted = skew_join(left, right, "k", "left", buckets=3, hot=hot, max_hot_keys=2)
     plain = left.join(right, "k", "left")
     assert sorted(salted.select("id", "k", "v").collect()) == sorted(plain.select("id", "k", "v").collect())
+
+
+def test_status_of_every_stored_user(spark):
+    follows, _ = _fixture(spark)
+    got = {r.username: (r.status, r.n_following) for r in G.ego_status(None, follows).collect()}
+    assert got == {"u": ("ok", 4), "n": ("not_following", 0)}
