@@ -119,3 +119,63 @@ def test_node_form_agrees_with_long_form(spark, follow_rows, edge_rows, label, a
         want[(k[0], k[1], k[2], tuple(sorted(reps)[::n] if n > 1 else sorted(reps)))] += n
     got = Counter((r.seed, r.pos, r.followee, tuple(r.repos or ())) for r in nodes.collect())
     assert got == want
+
+
+def _expected(variant, rec):
+    """Brute-force statement of the normalisation rules for one record:
+    ``(reason, username, repo)``, or None when the type is filtered out."""
+    import json as _json
+    if rec is None:
+        return "corrupt", None, None
+    if rec.get("type") not in ("WatchEvent", "CommitCommentEvent", "ForkEvent"):
+        return None  # filtered out
+    if variant in ("v1", "v2"):
+        actor = rec.get("actor")
+        if variant == "v2" and isinstance(actor, str):
+            try:
+                actor = _json.loads(actor)
+            except ValueError:
+                actor = None
+        user = actor.get("login") if isinstance(actor, dict) else None
+        repo = rec.get("repo")
+        name = repo.get("name") if isinstance(repo, dict) else None
+    else:
+        user = rec.get("actor")
+        r = rec.get("repository") or {}
+        name = f"{r['owner']}/{r['name']}" if r.get("owner") is not None and r.get("name") is not None else None
+    # rejects keep whatever did parse, for the report
+    if user is None:
+        return "null_user", None, name
+    if name is None:
+        return "null_repo", user, None
+    return None, user, name
+
+
+actor_v1 = st.one_of(st.none(), st.fixed_dictionaries({"login": users}), st.just({}))
+actor_v2 = st.one_of(actor_v1.map(lambda a: None if a is None else __import__("json").dumps(a)),
+                     st.just("{bad"), st.just("plain"))
+repo_obj = st.one_of(st.none(), st.fixed_dictionaries({"name": repos}), st.just({}))
+types = st.sampled_from(["WatchEvent", "CommitCommentEvent", "ForkEvent", "PushEvent"])
+rec_v1 = st.fixed_dictionaries({"type": types, "actor": actor_v1, "repo": repo_obj})
+rec_v2 = st.fixed_dictionaries({"type": types, "actor": actor_v2, "repo": repo_obj})
+rec_v3 = st.fixed_dictionaries({"type": types, "actor": st.one_of(st.none(), users),
+                                "repository": st.one_of(st.none(), st.fixed_dictionaries(
+                                    {"owner": st.one_of(st.none(), st.just("o")),
+                                     "name": st.one_of(st.none(), st.just("r"))}))})
+
+
+@SETTINGS
+@given(st.sampled_from(["v1", "v2", "v3"]), st.data())
+def test_normalize_matches_rules(spark, tmp_path_factory, variant, data):
+    import json as _json
+    from egoline.operators.normalize import normalize
+    from egoline.sources import read_timeline
+    strat = {"v1": rec_v1, "v2": rec_v2, "v3": rec_v3}[variant]
+    recs = data.draw(st.lists(st.one_of(strat, st.none()), min_size=1, max_size=25))
+    lines = ["{broken" if r is None else _json.dumps(r) for r in recs]
+    path = tmp_path_factory.mktemp("tl") / "t.json"
+    path.write_text("\n".join(lines) + "\n")
+    got = Counter((r.reason, r.username, r.repo)
+                  for r in normalize(read_timeline(spark, str(path)), variant, part="p").collect())
+    want = Counter(e for e in (_expected(variant, r) for r in recs) if e is not None)
+    assert got == want
