@@ -23,6 +23,14 @@ def test_landing_twice_adds_nothing(spark, tmp_path):
     assert {r.topic for r in landed.collect()} == {"scrap-following-3"}
     one_hour = read_topic(spark, out, topic="scrap-following-3", since=dt.datetime(2015, 3, 2), until=dt.datetime(2015, 3, 3))
     assert one_hour.count() == 1
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = one_hour._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pf = plan.split("PartitionFilters: ")[1].split(", PushedFilters")[0]
+    # the topic and the hour range are partition filters: folders are pruned, not rows
+    assert "= scrap-following-3)" in pf and ">= 2015030200)" in pf and "< 2015030300)" in pf
     parsed = read_topic(spark, out, schema="login string")
     assert sorted(r.login for r in parsed.collect()) == ["u0", "u3"]
 
