@@ -223,11 +223,12 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as topic messages ``(topic, value, timestamp)``."""
+    """Events as topic messages ``(topic, value, timestamp)``, one topic per event type."""
+    from egoline.sources.sinks import to_messages
     ev = table(spark, sf_dir, "events")
-    return ev.select(F.concat(F.lit("events-"), F.col("event_type")).alias("topic"),
-                     F.to_json(F.struct("event_id", "user_id", "value", "props")).alias("value"),
-                     F.col("ts").cast("timestamp").alias("timestamp"))
+    m = to_messages(ev, F.concat(F.lit("events-"), F.col("event_type")),
+                    value_cols=("event_id", "user_id", "value", "props"), timestamp="ts")
+    return m.select("topic", "value", "timestamp")
 
 
 def html_follow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,11 +61,20 @@ def enforce_rejects(rejects: DataFrame, mode: str = "skip") -> None:
         raise RejectedRows("rows were rejected; see the rejects table (reason, raw)")
 
 
-def to_messages(df: DataFrame, topic: str, key: str | None = None) -> DataFrame:
-    """Rows as topic messages: ``(topic, key, value)`` with the row as JSON."""
-    cols = [F.lit(topic).alias("topic")]
+def to_messages(df: DataFrame, topic, key: str | None = None, value_cols=None,
+                timestamp: str | None = None) -> DataFrame:
+    """Rows as topic messages ``(topic, key, value[, timestamp])``.
+
+    ``topic`` is a name or a Column (a topic per row); ``value`` is the row
+    (or ``value_cols``) as JSON; ``timestamp`` names a column to carry as the
+    message time.
+    """
+    cols = [(topic if isinstance(topic, Column) else F.lit(topic)).alias("topic")]
     cols.append(F.col(key).cast("string").alias("key") if key else F.lit(None).cast("string").alias("key"))
-    cols.append(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    vals = list(value_cols) if value_cols else list(df.columns)
+    cols.append(F.to_json(F.struct(*[F.col(c) for c in vals])).alias("value"))
+    if timestamp:
+        cols.append(F.col(timestamp).cast("timestamp").alias("timestamp"))
     return df.select(*cols)
 
 
