@@ -181,3 +181,15 @@ def test_small_lookup_does_not_shuffle_id_table(spark, tmp_path):
     assert sorted((r.username, r.userid) for r in out.collect()) == [("nobody", None), ("u7", 7)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi, BuildRight" in plan
+
+
+def test_gzip_user_lines_and_id_shard(spark, tmp_path):
+    import gzip
+    d = tmp_path / "dump"
+    d.mkdir()
+    with gzip.open(d / "usernames.gz", "wt") as f:
+        for login, i in [("a", 1999999), ("b", 2000000), ("c", 3500000), ("d", 4000000), ("e", 4000001)]:
+            f.write(json.dumps({"login": login, "id": i, "site_admin": False}) + "\n")
+    users = read_user_dumps(spark, str(d), prefix="usernames", array_files=False)
+    ids = L.user_ids(users, lo=2000000, hi=4000000)
+    assert sorted(r.username for r in ids.collect()) == ["b", "c", "d"]
