@@ -196,6 +196,11 @@ def ego_graph_multi_part(spark, sf):
     return g.groupBy("seed", "followee", "repo").agg(F.count("part").alias("n_parts"))
 
 
+def ego_graph_all_years(spark, sf):
+    g = G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="All")
+    return g.groupBy("seed", "followee", "repo").agg(F.count("part").alias("n_parts"))
+
+
 def ego_graph_distinct_across(spark, sf):
     g = G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="All", distinct_across=True)
     return g.select("seed", "followee", "repo")
@@ -338,6 +343,7 @@ QUERIES = {
     "source_precedence": source_precedence,
     "ego_graph": ego_graph,
     "ego_graph_multi_part": ego_graph_multi_part,
+    "ego_graph_all_years": ego_graph_all_years,
     "ego_graph_distinct_across": ego_graph_distinct_across,
     "ego_status": ego_status,
     "ego_json": ego_json,

@@ -177,6 +177,11 @@ SELECT fl.seed, fl.followee, eg.repo, eg.part FROM fl LEFT JOIN eg ON fl.followe
     "ego_graph_multi_part": f"""WITH {EV}, {FL}, {_ego("('2014_1', '2014_2')")}
 SELECT fl.seed, fl.followee, eg.repo, count(eg.part)::BIGINT AS n_parts
 FROM fl LEFT JOIN eg ON fl.followee = eg.username
+GROUP BY fl.seed, fl.followee, eg.repo""",
+
+    "ego_graph_all_years": f"""WITH {EV}, {FL}, {_ego("('2011', '2012', '2013', '2014_1', '2014_2', '2015')")}
+SELECT fl.seed, fl.followee, eg.repo, count(eg.part)::BIGINT AS n_parts
+FROM fl LEFT JOIN eg ON fl.followee = eg.username
 GROUP BY fl.seed, fl.followee, eg.repo""",
 
     "ego_graph_distinct_across": f"""WITH {EV}, {FL},
