@@ -64,3 +64,15 @@ def follows_from_structs(arr) -> Column:
     a = _c(arr)
     logins = F.transform(a, lambda x: x.getField("login"))
     return F.when(~F.exists(a, lambda x: x.isNull()), logins)
+
+
+def follows_until_bad(arr) -> Column:
+    """array<struct<login>> -> array<login>, keeping the prefix before the first
+    bad (null) element: the fetch-on-miss parser stops at a bad element but
+    keeps what it collected, unlike the batch parser. Empty or null -> [].
+    """
+    a = _c(arr)
+    logins = F.transform(a, lambda x: x.getField("login"))
+    first_bad = F.array_position(F.transform(a, lambda x: x.isNull()), True)
+    kept = F.when(first_bad == 0, logins).otherwise(F.slice(logins, F.lit(1), first_bad - 1))
+    return F.coalesce(kept, F.array().cast("array<string>"))

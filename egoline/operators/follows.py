@@ -31,6 +31,15 @@ def parse_follows_struct(df: DataFrame, login: str = "login", following: str = "
                      _status(lst).alias("status"))
 
 
+def parse_follows_fetched(df: DataFrame, login: str = "login", following: str = "following",
+                          keep=()) -> DataFrame:
+    """Fetched follow pages (list of structs with ``login``) -> ``(username,
+    following, status)``, keeping the logins before the first bad element."""
+    lst = C.follows_until_bad(following)
+    return df.select(*keep, F.col(login).alias("username"), lst.alias("following"),
+                     _status(lst).alias("status"))
+
+
 def merge_sources(sources, key: str = "username", tie: str | None = None) -> DataFrame:
     """Last-writer-wins across sources given as ``[(priority, df), ...]``.
 

@@ -240,3 +240,24 @@ def html_follow_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.when(num != "", num.cast("int")).otherwise(F.lit(1))
     return pg.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("login"),
                      page.alias("page"), "html")
+
+
+def fetched_follow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-order fetched follow lists ``(record_id, login, following)`` as
+    structs, in line order (line number, then supplier); a null element marks a
+    bad entry (customer key multiple of 7 and supplier key multiple of 10);
+    order key multiple of 9 gives an empty list, multiple of 11 a null list."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    bad = (F.col("o_custkey") % 7 == 0) & (F.col("l_suppkey") % 10 == 0)
+    g = (li.join(o, li.l_orderkey == o.o_orderkey)
+         .groupBy("o_orderkey", "o_custkey")
+         .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", bad.alias("bad")))).alias("lines")))
+    lst = F.transform("lines", lambda x: F.when(~x["bad"], F.struct(
+        F.concat(F.lit("s"), x["l_suppkey"].cast("string")).alias("login"))))
+    typ = "array<struct<login:string>>"
+    lst = (F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast(typ))
+           .when(F.col("o_orderkey") % 9 == 0, F.array().cast(typ)).otherwise(lst))
+    return g.select(F.col("o_orderkey").alias("record_id"),
+                    F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("login"),
+                    lst.alias("following"))

@@ -179,6 +179,13 @@ def follow_parse_f2(spark, sf):
     return _parsed(FL.parse_follows_struct(B.follow_records(spark, sf, "f2"), keep=("record_id",)))
 
 
+def follow_parse_fetched(spark, sf):
+    """Fetch-on-miss parsing: the prefix before the first bad element, in list order."""
+    df = FL.parse_follows_fetched(B.fetched_follow_records(spark, sf), keep=("record_id",))
+    return df.select("record_id", "username", F.array_join("following", ",").alias("following"),
+                     _n(F.col("following")).alias("n_following"), "status")
+
+
 # --- A7, K2 -------------------------------------------------------------------
 def source_precedence(spark, sf):
     m = FL.merge_sources(B.topic_records(spark, sf), key="username", tie="event_id")
@@ -340,6 +347,7 @@ QUERIES = {
     "invert_follows": invert_follows,
     "follow_parse_f1": follow_parse_f1,
     "follow_parse_f2": follow_parse_f2,
+    "follow_parse_fetched": follow_parse_fetched,
     "source_precedence": source_precedence,
     "ego_graph": ego_graph,
     "ego_graph_multi_part": ego_graph_multi_part,

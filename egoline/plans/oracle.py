@@ -161,6 +161,20 @@ GROUP BY o_custkey""",
     "follow_parse_f1": FOLLOW_PARSE,
     "follow_parse_f2": FOLLOW_PARSE,
 
+    "follow_parse_fetched": """WITH r AS (
+  SELECT o_orderkey, o_custkey, l_suppkey, (o_custkey % 7 = 0 AND l_suppkey % 10 = 0) AS bad,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_suppkey) AS rn
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+fb AS (SELECT o_orderkey, min(CASE WHEN bad THEN rn END) AS first_bad FROM r GROUP BY o_orderkey),
+k AS (
+  SELECT r.*, (o_orderkey % 11 <> 0 AND o_orderkey % 9 <> 0 AND (first_bad IS NULL OR rn < first_bad)) AS keep
+  FROM r JOIN fb USING (o_orderkey))
+SELECT o_orderkey AS record_id, 'c' || o_custkey AS username,
+       coalesce(string_agg(CASE WHEN keep THEN 's' || l_suppkey END, ',' ORDER BY rn), '') AS following,
+       count(CASE WHEN keep THEN 1 END)::BIGINT AS n_following,
+       CASE WHEN count(CASE WHEN keep THEN 1 END) = 0 THEN 'not_following' ELSE 'ok' END AS status
+FROM k GROUP BY o_orderkey, o_custkey""",
+
     "source_precedence": """WITH r AS (
   SELECT 'c' || user_id AS username, event_id, event_type, json_extract_string(props, '$.k') AS k,
          CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 4 WHEN 'purchase' THEN 5

@@ -55,3 +55,11 @@ def test_follow_edges_long_form(spark):
     df = spark.createDataFrame([("a", ["x", "y", "x"]), ("b", []), ("c", None)], s)
     got = sorted((r.username, r.pos, r.followee) for r in FL.follow_edges(df).collect())
     assert got == [("a", 0, "x"), ("a", 1, "y"), ("a", 2, "x"), ("b", None, None), ("c", None, None)]
+
+
+def test_fetched_keeps_prefix_before_bad_element(spark):
+    df = spark.createDataFrame([("u1", [("x",), None, ("y",)]), ("u2", [None, ("x",)]), ("u3", []),
+                                ("u4", None), ("u5", [("x",), (None,), ("y",)])], schemas.FOLLOW_F2)
+    got = {r.username: (r.following, r.status) for r in FL.parse_follows_fetched(df).collect()}
+    assert got == {"u1": (["x"], "ok"), "u2": ([], "not_following"), "u3": ([], "not_following"),
+                   "u4": ([], "not_following"), "u5": (["x", None, "y"], "ok")}
