@@ -1,11 +1,12 @@
 """Paged follow responses and stored follow pages.
 
 Stitching: a user's pages are concatenated in page order until the first
-empty page or the first missing page number, and only pages 1..max_pages
-count (the crawler fetched page 10 but dropped it). Rows outside 1..max_pages
-are turned into nulls before the per-user aggregate, so each user's group
-holds at most ``max_pages`` entries (plus duplicates of a page number) and is
-combined map-side; no window over a user's whole history is needed.
+empty page or the first missing page number. For the API crawler only pages
+1..max_pages count (it fetched page 10 but dropped it); rows outside that
+range are turned into nulls before the per-user aggregate, so each user's
+group holds at most ``max_pages`` entries (plus duplicates of a page number)
+and is combined map-side; no window over a user's whole history is needed.
+The HTML scraper had no cap (``max_pages=None``).
 """
 
 from __future__ import annotations
@@ -17,15 +18,17 @@ from egoline.functions import columns as C
 from egoline.functions.constants import MAX_PAGES
 
 
-def stitch_pages(pages: DataFrame, max_pages: int = MAX_PAGES, login: str = "login",
+def stitch_pages(pages: DataFrame, max_pages: int | None = MAX_PAGES, login: str = "login",
                  page: str = "page", response: str = "response", users: DataFrame | None = None) -> DataFrame:
     """``(login, page, response array)`` -> ``(login, following, n_following)``.
 
     Every user present in ``pages`` is kept; a user whose first page is empty
     or missing gets ``[]``. With ``users`` (first column: logins), users that
-    have no page rows at all are added with ``[]`` too.
+    have no page rows at all are added with ``[]`` too. ``max_pages=None``
+    stitches every page up to the first empty or missing one (no cap).
     """
-    entry = F.when(F.col(page).between(1, max_pages), F.struct(F.col(page).alias("p"), F.col(response).alias("r")))
+    in_range = F.col(page) >= 1 if max_pages is None else F.col(page).between(1, max_pages)
+    entry = F.when(in_range, F.struct(F.col(page).alias("p"), F.col(response).alias("r")))
     g = pages.groupBy(F.col(login).alias("login")).agg(F.array_sort(F.collect_list(entry)).alias("ps"))
     ok = F.transform("ps", lambda x, i: (x["p"] == i + 1) & (F.coalesce(F.size(x["r"]), F.lit(0)) > 0))
     first_bad = F.array_position(ok, False)
@@ -57,10 +60,11 @@ def extract_links(pages: DataFrame, pattern: str, key: str = "url", html: str =
 
 
 def follow_pages_from_html(pages: DataFrame, pattern: str, login: str = "login", page: str = "page",
-                           html: str = "html", max_pages: int = MAX_PAGES) -> DataFrame:
+                           html: str = "html", max_pages: int | None = None) -> DataFrame:
     """Stored follow pages ``(login, page, html)`` -> stitched follow lists: the
     links of each page become its response, then :func:`stitch_pages` applies
-    the empty-page and page-gap rules."""
+    the empty-page and page-gap rules. The scraper followed pages until an
+    empty one, so there is no page cap by default."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(pattern), 1)
     resp = F.transform(hrefs, lambda h: C.strip_first(h))
     return stitch_pages(pages.select(login, page, resp.alias("response")), max_pages, login, page, "response")

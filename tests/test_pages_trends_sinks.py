@@ -193,3 +193,13 @@ def test_gzip_user_lines_and_id_shard(spark, tmp_path):
     users = read_user_dumps(spark, str(d), prefix="usernames", array_files=False)
     ids = L.user_ids(users, lo=2000000, hi=4000000)
     assert sorted(r.username for r in ids.collect()) == ["b", "c", "d"]
+
+
+def test_html_pages_have_no_cap(spark):
+    html = '<h3 class="follow-list-name"><a href="/p{0}">P{0}</a></h3>'
+    rows = [("u", p, html.format(p)) for p in range(1, 13)] + [("u", 13, "<p>end</p>"), ("u", 14, html.format(14))]
+    pages = spark.createDataFrame(rows, "login string, page int, html string")
+    st = PG.follow_pages_from_html(pages, FOLLOW_LINK_PATTERN).first()
+    assert st.following == [f"p{p}" for p in range(1, 13)]
+    capped = PG.follow_pages_from_html(pages, FOLLOW_LINK_PATTERN, max_pages=9).first()
+    assert capped.n_following == 9
