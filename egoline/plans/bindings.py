@@ -126,11 +126,12 @@ def follows(spark: SparkSession, sf_dir: str) -> DataFrame:
     without dropping any edge."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    # dedupe the numeric key pair first (a cheaper shuffle), then build names
     pairs = (li.join(o, li.l_orderkey == o.o_orderkey)
+             .select("l_suppkey", "o_custkey").distinct()
              .select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("username"),
                      F.col("o_custkey").alias("pos"),
-                     F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("followee"))
-             .distinct())
+                     F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("followee")))
     empty = (table(spark, sf_dir, "nation")
              .select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("username"),
                      F.lit(None).cast("long").alias("pos"), F.lit(None).cast("string").alias("followee")))
