@@ -91,3 +91,10 @@ def test_landing_spreads_a_hot_hour(spark, tmp_path):
     files = [f for f in os.listdir(folder) if f.endswith(".gz")]
     assert 1 < len(files) <= 3  # hash sub-buckets of one hour land in different tasks
     assert read_topic(spark, out).count() == 300
+
+
+def test_entry_schema_is_stable(spark):
+    import __spark_entry__ as E
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert [f.dataType.simpleString() for f in a.schema.fields] == ["string", "string", "string", "string"]
