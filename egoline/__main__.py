@@ -28,6 +28,7 @@ from egoline.operators import follows as FL
 from egoline.operators import graph as G
 from egoline.operators import lookup as L
 from egoline.operators import trends as TR
+from egoline.operators.skew import DEFAULT_BUCKETS, DEFAULT_HOT_MIN_ROWS
 from egoline.plans import jobs
 from egoline.session import ensure_checkpoint_dir
 from egoline.sources import readers as R
@@ -87,6 +88,10 @@ def main(argv=None) -> None:
     p.add_argument("--year", required=True)
     p.add_argument("--user", action="append", help="seed user (repeatable); all users when absent")
     p.add_argument("--form", default="api", choices=["api", "tree"])
+    p.add_argument("--salt-buckets", type=int, default=DEFAULT_BUCKETS,
+                   help="salts per hot followee (<= 1: no salting, AQE skew split only)")
+    p.add_argument("--hot-min-rows", type=int, default=DEFAULT_HOT_MIN_ROWS,
+                   help="follow edges that make a followee hot")
     p.add_argument("--out", required=True)
 
     p = sub.add_parser("trending", help="trending answer as one JSON line")
@@ -119,7 +124,8 @@ def main(argv=None) -> None:
     elif a.cmd == "ego":
         follows = FL.follow_edges(spark.read.parquet(a.userfollow))
         seeds = _seeds(spark, a.user)
-        nodes = G.ego_nodes(follows, R.read_edges(spark, a.edges), seeds=seeds, label=a.year)
+        nodes = G.ego_nodes(follows, R.read_edges(spark, a.edges), seeds=seeds, label=a.year,
+                            salt_buckets=a.salt_buckets, hot_min_rows=a.hot_min_rows)
         status = G.ego_status(seeds, follows) if seeds is not None else None
         G.ego_json(nodes, status, form=a.form).write.mode("overwrite").json(a.out)
     elif a.cmd == "trending":
