@@ -4,8 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from egoline.llm import pii, quality, sharding
+import public_tokenizers
+
+from egoline.llm import decontaminate, pii, quality, sentencepiece_chunks, sharding, token_count, token_files, toxicity
 from egoline.llm.common import documents
+from egoline.session import shared_path
+
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the compiled counting transducer."""
+    return token_count.token_counts(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), limit=512)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return sentencepiece_chunks.digests(documents(spark, sf_dir), public_tokenizers.path(PIECES))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,15 +32,35 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document words in any window of the benchmark's items."""
+    return decontaminate.report(documents(spark, sf_dir), benchmark(spark, sf_dir), window=10)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data: proposed by pattern, confirmed by checksum, scored by context."""
     return pii.find(documents(spark, sf_dir))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files, written in order of id and read back."""
+    path = shared_path(spark, "llm", "token-files")
+    token_files.write(documents(spark, sf_dir), path, public_tokenizers.path(BYTE_BPE), end_id=2)
+    return token_files.read(spark, path)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxic passages as maximal scoring segments, calibrated by the extreme-value law."""
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minimax contiguous partition of all documents into 16 shards."""
     return sharding.shard_documents(documents(spark, sf_dir), shards=16)
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op6_pii, op10_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_sentencepiece, op4_quality_rules, op5_decontamination, op6_pii,
+    op8_token_files, op9_toxicity, op10_sharding)}
 ORACLE: dict[str, str] = {}
