@@ -10,22 +10,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from egoline.llm import pii, quality
+import public_tokenizers
+
+from egoline.llm import decontaminate, jaccard_join, pii, quality, sentencepiece_chunks
 from egoline.llm.common import documents, written
 
+PIECES = "piece_bpe_32k.model"
+
+
+def recounted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` follows the text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the outlier distance reject go."""
     return quality.judge(docs, keep=docs.columns).filter("kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of similar documents, the one with the smallest id stays."""
+    return jaccard_join.representatives(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents that are mostly such passages go."""
+    return recounted(decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data give way to marks; ``n_chars`` follows the text."""
-    clean = pii.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+    """Personal data give way to marks."""
+    return recounted(pii.redact(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their SentencePiece ids, and the text that these decode to."""
+    model = public_tokenizers.path(PIECES)
+    return sentencepiece_chunks.decode(sentencepiece_chunks.encode(docs, model), model)
 
 
-STAGES = [("quality rules", quality_rules), ("PII", redact_pii)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("PII", redact_pii),
+    ("SentencePiece", encode),
+]
 
 #: SQL can express neither the concentration steps nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from egoline.llm import decontaminate, pii, quality, sentencepiece_chunks, sharding, token_count, token_files, toxicity
+from egoline.llm import (
+    decontaminate,
+    jaccard_join,
+    pii,
+    quality,
+    sentencepiece_chunks,
+    sharding,
+    token_count,
+    token_files,
+    toxicity,
+)
 from egoline.llm.common import documents
 from egoline.session import shared_path
 
@@ -27,6 +37,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_chunks.digests(documents(spark, sf_dir), public_tokenizers.path(PIECES))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard_join.groups(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and minimum-covariance-determinant outliers per language and source."""
     return quality.judge(documents(spark, sf_dir))
@@ -61,6 +76,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_sentencepiece, op4_quality_rules, op5_decontamination, op6_pii,
+    op1_token_counts, op2_sentencepiece, op3_ngram_jaccard, op4_quality_rules, op5_decontamination, op6_pii,
     op8_token_files, op9_toxicity, op10_sharding)}
 ORACLE: dict[str, str] = {}
