@@ -13,6 +13,7 @@ from egoline.llm import (
     quality,
     sentencepiece_chunks,
     sharding,
+    suffix_dedup,
     token_count,
     token_files,
     toxicity,
@@ -57,6 +58,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 200-byte strings that start at two places, removed everywhere."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files, written in order of id and read back."""
     path = shared_path(spark, "llm", "token-files")
@@ -77,5 +83,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_sentencepiece, op3_ngram_jaccard, op4_quality_rules, op5_decontamination, op6_pii,
-    op8_token_files, op9_toxicity, op10_sharding)}
+    op7_suffix_dedup, op8_token_files, op9_toxicity, op10_sharding)}
 ORACLE: dict[str, str] = {}
