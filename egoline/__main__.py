@@ -28,11 +28,11 @@ from egoline.operators import follows as FL
 from egoline.operators import graph as G
 from egoline.operators import lookup as L
 from egoline.operators import trends as TR
-from egoline.operators.skew import DEFAULT_BUCKETS, DEFAULT_HOT_MIN_ROWS
 from egoline.plans import jobs
-from egoline.session import ensure_checkpoint_dir
+from egoline.session import DEFAULT_CONF, ensure_checkpoint_dir
 from egoline.sources import readers as R
 from egoline.streaming import land_topics, topic_stream
+from egoline.streaming.landing import FILES_PER_HOUR
 
 
 def _seeds(spark: SparkSession, users):
@@ -55,14 +55,12 @@ def main(argv=None) -> None:
     p = sub.add_parser("follows", help="landed follow topics -> userfollow (upsert)")
     p.add_argument("--topics-root", required=True)
     p.add_argument("--topic", action="append", required=True, help="name:f1|f2, in precedence order")
-    p.add_argument("--userfollow", required=True)
-    p.add_argument("--out")
+    p.add_argument("--userfollow", required=True, help="its committed version is read, the next one committed")
 
     p = sub.add_parser("userids", help="landed user records -> getuserid (upsert)")
     p.add_argument("--users", required=True, help="landed topic root")
     p.add_argument("--topic", required=True)
-    p.add_argument("--ids", required=True)
-    p.add_argument("--out")
+    p.add_argument("--ids", required=True, help="its committed version is read, the next one committed")
     p.add_argument("--lo", type=int)
     p.add_argument("--hi", type=int)
 
@@ -74,13 +72,14 @@ def main(argv=None) -> None:
     p.add_argument("--days", type=int, default=7)
 
     p = sub.add_parser("land", help="land topic messages into hourly folders")
-    p.add_argument("--src", required=True)
+    p.add_argument("--src", help="folder of a file source")
     p.add_argument("--format", default="json")
+    p.add_argument("--option", action="append", default=[], help="key=value for the source, such as kafka.bootstrap.servers=host:9092")
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--allow")
     p.add_argument("--deny", action="append", default=[])
-    p.add_argument("--files-per-hour", type=int, default=1)
+    p.add_argument("--files-per-hour", type=int, default=FILES_PER_HOUR)
 
     p = sub.add_parser("ego", help="ego-graph answers as JSON lines")
     p.add_argument("--edges", required=True)
@@ -88,10 +87,7 @@ def main(argv=None) -> None:
     p.add_argument("--year", required=True)
     p.add_argument("--user", action="append", help="seed user (repeatable); all users when absent")
     p.add_argument("--form", default="api", choices=["api", "tree"])
-    p.add_argument("--salt-buckets", type=int, default=DEFAULT_BUCKETS,
-                   help="salts per hot followee (<= 1: no salting, AQE skew split only)")
-    p.add_argument("--hot-min-rows", type=int, default=DEFAULT_HOT_MIN_ROWS,
-                   help="follow edges that make a followee hot")
+    p.add_argument("--hot", help="table of hot followees (column followee) to salt")
     p.add_argument("--out", required=True)
 
     p = sub.add_parser("trending", help="trending answer as one JSON line")
@@ -105,6 +101,9 @@ def main(argv=None) -> None:
 
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"egoline-{a.cmd}").getOrCreate()
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
 
     if a.cmd == "edges":
@@ -112,26 +111,25 @@ def main(argv=None) -> None:
                               repartition=a.repartition, on_reject=a.on_reject)
     elif a.cmd == "follows":
         topics = [tuple(t.split(":", 1)) for t in a.topic]
-        jobs.follows_job(spark, a.topics_root, topics, a.userfollow, a.out)
+        jobs.follows_job(spark, a.topics_root, topics, a.userfollow)
     elif a.cmd == "userids":
         users = R.read_topic(spark, a.users, topic=a.topic, schema=schemas.USER)
-        jobs.user_ids_job(spark, users, a.ids, a.out, lo=a.lo, hi=a.hi)
+        jobs.user_ids_job(spark, users, a.ids, lo=a.lo, hi=a.hi)
     elif a.cmd == "trends":
         jobs.trends_job(spark, a.edges, a.trends, a.top, as_of=a.as_of, days=a.days)
     elif a.cmd == "land":
-        land_topics(topic_stream(spark, a.format, a.src), a.out, a.checkpoint, allow=a.allow,
+        options = dict(o.split("=", 1) for o in a.option)
+        land_topics(topic_stream(spark, a.format, a.src, options), a.out, a.checkpoint, allow=a.allow,
                     deny=a.deny, files_per_hour=a.files_per_hour).awaitTermination()
     elif a.cmd == "ego":
-        follows = FL.follow_edges(spark.read.parquet(a.userfollow))
-        seeds = _seeds(spark, a.user)
-        nodes = G.ego_nodes(follows, R.read_edges(spark, a.edges), seeds=seeds, label=a.year,
-                            salt_buckets=a.salt_buckets, hot_min_rows=a.hot_min_rows)
-        status = G.ego_status(seeds, follows) if seeds is not None else None
-        G.ego_json(nodes, status, form=a.form).write.mode("overwrite").json(a.out)
+        follows = FL.follow_edges(R.read_table(spark, a.userfollow))
+        hot = R.read_table(spark, a.hot) if a.hot else None
+        G.ego_json(follows, R.read_edges(spark, a.edges), seeds=_seeds(spark, a.user), label=a.year,
+                   form=a.form, hot=hot).write.mode("overwrite").json(a.out)
     elif a.cmd == "trending":
-        TR.trending_json(spark.read.parquet(a.top)).write.mode("overwrite").json(a.out)
+        TR.trending_json(R.read_table(spark, a.top)).write.mode("overwrite").json(a.out)
     elif a.cmd == "userid":
-        L.lookup_ids(_seeds(spark, a.user), spark.read.parquet(a.ids)).write.mode("overwrite").json(a.out)
+        L.lookup_ids(_seeds(spark, a.user), R.read_table(spark, a.ids)).write.mode("overwrite").json(a.out)
 
 
 if __name__ == "__main__":

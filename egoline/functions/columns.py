@@ -9,17 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from egoline.functions.constants import CREATED_AT_FORMAT
+from egoline.functions.constants import CREATED_AT_FORMATS
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def object_with(c, key: str) -> Column:
+    """Whether a text is exactly one JSON object that has ``key`` (even with a
+    null value). Wrapped in brackets, text after the object makes the parse fail
+    and a second value makes the array longer."""
+    one = F.json_array_length(F.concat(F.lit("["), _c(c), F.lit("]"))) == 1
+    return F.coalesce(one & F.array_contains(F.json_object_keys(_c(c)), key), F.lit(False))
+
+
 def login_from_json(c) -> Column:
-    """``login`` of a JSON object held as text; null when the text is not a
+    """``login`` of a JSON object held as text; null when the text is not one
     JSON object or has no ``login`` (malformed JSON gives null, not an error)."""
-    return F.get_json_object(_c(c), "$.login")
+    return F.when(object_with(c, "login"), F.get_json_object(_c(c), "$.login"))
 
 
 def name_from_json(c) -> Column:
@@ -34,9 +42,9 @@ def owner_slash_name(owner, name) -> Column:
 
 
 def parse_created_at(c) -> Column:
-    """ISO-8601 ``...Z`` text to a timestamp at second precision; null when
-    the text does not parse (try_ variant: no failure under ANSI mode)."""
-    return F.try_to_timestamp(_c(c), F.lit(CREATED_AT_FORMAT))
+    """Text in one of the timeline's time formats to a timestamp; null when
+    it is in none (try_ variant: no failure under ANSI mode)."""
+    return F.coalesce(*[F.try_to_timestamp(_c(c), F.lit(f)) for f in CREATED_AT_FORMATS])
 
 
 def strip_first(c) -> Column:
@@ -47,11 +55,12 @@ def strip_first(c) -> Column:
 def follows_from_json(arr) -> Column:
     """array<JSON text> -> array<login>, all-or-nothing.
 
-    One element that is not a JSON object with a login turns the whole list
-    null; an empty list stays empty; a null list stays null.
+    One element that is not a JSON object with a ``login`` key turns the whole
+    list null; a null login is kept as a null element; an empty list stays
+    empty; a null list stays null.
     """
-    logins = F.transform(_c(arr), lambda x: F.get_json_object(x, "$.login"))
-    return F.when(~F.exists(logins, lambda x: x.isNull()), logins)
+    a = _c(arr)
+    return F.when(~F.exists(a, lambda x: ~object_with(x, "login")), F.transform(a, lambda x: F.get_json_object(x, "$.login")))
 
 
 def follows_from_structs(arr) -> Column:

@@ -27,9 +27,8 @@ LEAF_SIZE = 10000
 # Number of rows in the trending answer.
 TOP_K = 10
 
-# Paged follow lists: 100 entries per page, the 10th page is fetched but
-# discarded, so at most 9 pages survive.
-PAGE_SIZE = 100
+# Pages of a follow list that survive the API crawler's request budget (the
+# 10th is fetched but discarded); pass it to ``stitch_pages`` for its results.
 MAX_PAGES = 9
 
 # Status answers of the ego-graph and id lookups.
@@ -40,13 +39,19 @@ MSG_NOT_FOUND = "Records for {user} were not found"
 MSG_NOT_FOLLOWING = "{user} is not following anyone"
 MSG_NOT_IN_DB = "{user} is not in the database"
 
-# Link elements of stored follow pages: <h3 class="follow-list-name"><a href="/slug">text</a>
-FOLLOW_LINK_PATTERN = r'<h3 class="follow-list-name">\s*<a href="([^"]*)"[^>]*>([^<]*)</a>'
+# Class of the headings that hold the links of stored follow pages.
+FOLLOW_LINK_CLASS = "follow-list-name"
 
-# Timeline timestamps: ISO-8601 with a trailing "Z".
-CREATED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
+# Timeline timestamps: ISO-8601 with "Z" or an offset, with or without
+# fractions, and the older slash form.
+CREATED_AT_FORMATS = ("yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ss.SSSX", "yyyy-MM-dd'T'HH:mm:ssXXX",
+                      "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy/MM/dd HH:mm:ss XX")
+
+# Topic of landed messages without a topic or a readable time.
+REJECTS = "_rejects"
 
 # Reject reasons.
 REJECT_CORRUPT = "corrupt"
 REJECT_NULL_USER = "null_user"
 REJECT_NULL_REPO = "null_repo"
+REJECT_BAD_TIME = "bad_time"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +42,23 @@ def parse_follows_fetched(df: DataFrame, login: str = "login", following: str =
                      _status(lst).alias("status"))
 
 
-def merge_sources(sources, key: str = "username", tie: str | None = None) -> DataFrame:
-    """Last-writer-wins across sources given as ``[(priority, df), ...]``.
+def merge_sources(sources, key: str = "username", tie=None) -> DataFrame:
+    """Last-writer-wins across sources given as ``[(priority, df), ...]``
+    (see :func:`merge_prioritised`)."""
+    frames = [df.withColumn("_prio", F.lit(prio)) for prio, df in sources]
+    return merge_prioritised(reduce(DataFrame.unionByName, frames), "_prio", key, tie).drop("_prio")
+
+
+def merge_prioritised(df: DataFrame, priority: str, key: str = "username", tie=None) -> DataFrame:
+    """For every key the row of the highest ``priority``, ties broken by the
+    ``tie`` columns in order (highest wins). A null list of the winner wins too.
 
-    For every key the row of the highest priority wins, ties broken by the
-    ``tie`` column (highest wins). A null list of the winner wins too. This is
-    one ``max_by`` aggregate: partial per task, so a key present in many rows
-    still sends one candidate per task through the shuffle.
+    This is one ``max_by`` aggregate: partial per task, so a key present in many
+    rows still sends one candidate per task through the shuffle.
     """
-    frames = []
-    for prio, df in sources:
-        frames.append(df.withColumn("_prio", F.lit(prio)))
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f)
-    values = [c for c in u.columns if c not in (key, "_prio")]
-    order = F.struct(F.col("_prio"), F.col(tie)) if tie else F.struct(F.col("_prio"))
-    won = u.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in values]), order).alias("_w"))
+    ties = [tie] if isinstance(tie, str) else list(tie or ())
+    values = [c for c in df.columns if c != key]
+    won = df.groupBy(key).agg(F.max_by(F.struct(*values), F.struct(priority, *ties)).alias("_w"))
     return won.select(key, *[F.col("_w")[c].alias(c) for c in values])
 
 

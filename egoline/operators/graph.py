@@ -8,21 +8,21 @@ followed user per year table. Here it is one plan over tables:
            left-join  distinct repo edges of the chosen parts  (on followee)
 
 The long form ``(seed, pos, followee, repo, part)`` is the canonical answer.
-The JSON answers and tree statistics use the node form ``(seed, pos,
-followee, repos)`` instead: each user's repository list is built once and
-joined to the edges that point at the user, one row per edge.
+The JSON answers use the node form ``(seed, pos, followee, repos)`` instead:
+each user's repository list is built once and joined to the edges that point at
+the user, one row per edge. Tree statistics join two numbers per user.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from egoline.functions.constants import (
     LEAF_SIZE, MSG_NOT_FOLLOWING, MSG_NOT_FOUND, STATUS_NOT_FOLLOWING, STATUS_NOT_FOUND, STATUS_OK,
 )
 from egoline.operators.edges import select_parts
-from egoline.operators.skew import DEFAULT_BUCKETS, DEFAULT_HOT_MIN_ROWS, skew_join
+from egoline.operators.skew import skew_join
 
 
 def _seed_names(seeds) -> DataFrame | None:
@@ -33,8 +33,7 @@ def _seed_names(seeds) -> DataFrame | None:
 
 def ego_graph(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = None,
               label: str | None = None, parts=None, distinct_across: bool = False,
-              routing=None, salt_buckets: int = DEFAULT_BUCKETS,
-              hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+              routing=None, hot: DataFrame | None = None) -> DataFrame:
     """Long-form ego graph ``(seed, pos, followee, repo, part)``.
 
     ``follows``: long follow table ``(username, pos, followee)`` (null followee =
@@ -42,7 +41,9 @@ def ego_graph(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = No
     DataFrame whose first column holds user names, or None for every user.
     Followed users without repositories keep one row with null ``repo``.
     Repositories are distinct per part (a repository active in two parts of a
-    label appears twice) unless ``distinct_across``.
+    label appears twice) unless ``distinct_across``. ``hot`` may name followees
+    (column ``followee``) whose rows are salted; otherwise adaptive execution
+    splits skewed partitions of the join.
     """
     f = _followed(follows, seeds)
     e = select_parts(edges, label, parts, routing)
@@ -51,8 +52,21 @@ def ego_graph(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = No
                  .withColumn("part", F.lit(None).cast("string"))
     else:
         repos = e.select(F.col("username").alias("followee"), "repo", "part").distinct()
-    j = skew_join(f, repos, "followee", "left", buckets=salt_buckets, min_rows=hot_min_rows)
-    return j.select("seed", "pos", "followee", "repo", "part")
+    return skew_join(f, repos, "followee", "left", hot).select("seed", "pos", "followee", "repo", "part")
+
+
+def ego_part_counts(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = None,
+                    label: str | None = None, parts=None, routing=None, hot: DataFrame | None = None) -> DataFrame:
+    """``(seed, pos, followee, repo, n_parts)``: in how many parts of the label the
+    followed user was active in the repository (0 with a null ``repo`` for none).
+
+    Parts are counted per user and repository before the join, so the join
+    emits one row per repository and nothing is aggregated after it.
+    """
+    e = select_parts(edges, label, parts, routing).select(F.col("username").alias("followee"), "repo", "part").distinct()
+    counts = e.groupBy("followee", "repo").agg(F.count("part").alias("n_parts"))
+    j = skew_join(_followed(follows, seeds), counts, "followee", "left", hot)
+    return j.select("seed", "pos", "followee", "repo", F.coalesce("n_parts", F.lit(0)).alias("n_parts"))
 
 
 def _followed(follows: DataFrame, seeds) -> DataFrame:
@@ -80,108 +94,123 @@ def followee_repos(edges: DataFrame, label: str | None = None, parts=None, disti
 
 def ego_nodes(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = None,
               label: str | None = None, parts=None, distinct_across: bool = False, routing=None,
-              salt_buckets: int = DEFAULT_BUCKETS, hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+              hot: DataFrame | None = None) -> DataFrame:
     """``(seed, pos, followee, repos)``: one row per stored follow edge with the
     followed user's repository list (null when none).
 
     Each user's list is built once and joined to every edge that points at
     the user, so the join emits one row per edge instead of one per edge and
-    repository. This is the input of the JSON answers and tree statistics.
+    repository.
     """
-    return join_nodes(_followed(follows, seeds), followee_repos(edges, label, parts, distinct_across, routing),
-                      salt_buckets, hot_min_rows)
+    return join_nodes(_followed(follows, seeds), followee_repos(edges, label, parts, distinct_across, routing), hot)
 
 
-def join_nodes(followed: DataFrame, lists: DataFrame, salt_buckets: int = DEFAULT_BUCKETS,
-               hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+def join_nodes(followed: DataFrame, lists: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """``followed(seed, pos, followee)`` left-join ``lists(followee, repos)``.
 
     When both inputs are tables bucketed and sorted by ``followee`` with the same
-    bucket count (see ``plans.jobs.bucket_graph_tables``) and no key is hot, the
-    join reads matching buckets side by side: no shuffle on either side.
+    bucket count (see ``plans.jobs.bucket_graph_tables``), the join reads matching
+    buckets side by side: no shuffle on either side.
     """
-    j = skew_join(followed, lists, "followee", "left", buckets=salt_buckets, min_rows=hot_min_rows)
-    return j.select("seed", "pos", "followee", "repos")
+    return skew_join(followed, lists, "followee", "left", hot).select("seed", "pos", "followee", "repos")
 
 
 def follow_summary(follows: DataFrame) -> DataFrame:
     """``(username, n_following)`` per stored user (0 = follows no one); one
-    partial aggregate, so a user with a huge list costs one row per task."""
-    return follows.groupBy("username").agg(F.count("followee").alias("n_following"))
+    partial aggregate, so a user with a huge list costs one row per task. A
+    stored list entry without a name counts: the list is not empty."""
+    return follows.groupBy("username").agg(F.count("pos").alias("n_following"))
+
+
+def _answered(n_following) -> tuple:
+    """Status and message of a seed by the length of its stored list (null: none stored)."""
+    status = (F.when(n_following.isNull(), F.lit(STATUS_NOT_FOUND))
+              .when(n_following == 0, F.lit(STATUS_NOT_FOLLOWING))
+              .otherwise(F.lit(STATUS_OK)))
+    message = (F.when(status == STATUS_NOT_FOUND, F.format_string(MSG_NOT_FOUND.replace("{user}", "%s"), "username"))
+               .when(status == STATUS_NOT_FOLLOWING,
+                     F.format_string(MSG_NOT_FOLLOWING.replace("{user}", "%s"), "username")))
+    return status, message
 
 
 def ego_status(seeds: DataFrame | None, follows: DataFrame) -> DataFrame:
     """``(username, status, message, n_following)`` for each seed: ``not_found``
     (no stored record), ``not_following`` (null or empty list) or ``ok``.
 
-    Given seeds (the serving case), the follow table is first cut to them
-    with a semi join: a small seed list is broadcast, so the table is scanned
-    but not shuffled. ``seeds=None`` reports every stored user instead and
-    aggregates first, so only per-task partial counts are shuffled.
+    The follow table is aggregated first, so only per-task partial counts are
+    shuffled; a broadcast seed list filters it before that. ``seeds=None``
+    reports every stored user.
     """
-    if seeds is None:
-        j = follow_summary(follows)
-    else:
-        s = _seed_names(seeds)
-        j = s.join(follow_summary(follows.join(s, "username", "left_semi")), "username", "left")
-    status = (F.when(F.col("n_following").isNull(), F.lit(STATUS_NOT_FOUND))
-              .when(F.col("n_following") == 0, F.lit(STATUS_NOT_FOLLOWING))
-              .otherwise(F.lit(STATUS_OK)))
-    message = (F.when(status == STATUS_NOT_FOUND, F.format_string(MSG_NOT_FOUND.replace("{user}", "%s"), "username"))
-               .when(status == STATUS_NOT_FOLLOWING,
-                     F.format_string(MSG_NOT_FOLLOWING.replace("{user}", "%s"), "username")))
+    j = follow_summary(follows)
+    if seeds is not None:
+        j = _seed_names(seeds).join(j, "username", "left")
+    status, message = _answered(F.col("n_following"))
     return j.select("username", status.alias("status"), message.alias("message"), "n_following")
 
 
 def missing_users(requests: DataFrame, follows: DataFrame) -> DataFrame:
-    """Requested users without a stored follow record: the fetch worklist."""
-    r = _seed_names(requests)
-    stored = follows.select("username").join(r, "username", "left_semi").distinct()
-    return r.join(stored, "username", "left_anti")
+    """Requested users without a stored follow record: the fetch worklist.
+    Stored names are made distinct map-side before anything is shuffled."""
+    return _seed_names(requests).join(follows.select("username").distinct(), "username", "left_anti")
 
 
-def ego_json(nodes: DataFrame, status: DataFrame | None = None, form: str = "api") -> DataFrame:
-    """Render the answer per seed as ``(username, json)`` from :func:`ego_nodes`.
+def ego_json(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = None, label: str | None = None,
+             parts=None, distinct_across: bool = False, routing=None, form: str = "api",
+             hot: DataFrame | None = None) -> DataFrame:
+    """The answer per seed as ``(username, json)``.
 
     ``form="api"``: ``{"username":u,"following":[{"username":f,"repositories":[..]}]}``;
     ``form="tree"``: ``{"name":u,"children":[{"name":f,"children":[{"name":r,"size":10000}]}]}``.
     Followed users keep their stored order (``pos``), duplicates included; the
     repositories key is absent for a followed user without repositories (null
-    fields are omitted by ``to_json``). With ``status``, seeds that are not
-    ``ok`` get ``{"Response": message}``.
+    fields are omitted by ``to_json``). With ``seeds``, names without a stored
+    record or with an empty list get ``{"Response": message}``; without, every
+    stored user that follows someone is answered.
+
+    The follow table is read once: joined to the repository lists, reduced to
+    one row per stored user, and that row carries both the tree and the status.
+    An answer is one document, so a seed's tree is one value by its nature.
     """
+    if form not in ("api", "tree"):
+        raise ValueError("form must be 'api' or 'tree'")
+    f = follows if seeds is None else follows.join(_seed_names(seeds), "username", "left_semi")
+    nodes = skew_join(f, followee_repos(edges, label, parts, distinct_across, routing), "followee", "left", hot)
     if form == "api":
         node = F.struct(F.col("pos"), F.col("followee").alias("username"), F.col("repos").alias("repositories"))
-    elif form == "tree":
+    else:
         leaves = F.transform("repos", lambda r: F.struct(r.alias("name"), F.lit(LEAF_SIZE).alias("size")))
         node = F.struct(F.col("pos"), F.col("followee").alias("name"), leaves.alias("children"))
-    else:
-        raise ValueError("form must be 'api' or 'tree'")
-    per_seed = nodes.groupBy("seed").agg(F.array_sort(F.collect_list(node)).alias("kids"))
+    trees = nodes.groupBy("username").agg(
+        F.array_sort(F.collect_list(F.when(F.col("followee").isNotNull(), node))).alias("kids"),
+        F.count("pos").alias("n_following"))
     kids = F.transform("kids", lambda k: k.dropFields("pos"))
     if form == "api":
-        doc = F.struct(F.col("seed").alias("username"), kids.alias("following"))
+        doc = F.struct(F.col("username"), kids.alias("following"))
     else:
-        doc = F.struct(F.col("seed").alias("name"), kids.alias("children"))
-    out = per_seed.select(F.col("seed").alias("username"), F.to_json(doc).alias("json"))
-    if status is None:
-        return out
-    bad = status.filter(F.col("status") != STATUS_OK).select(
-        "username", F.to_json(F.struct(F.col("message").alias("Response"))).alias("json"))
-    return out.unionByName(bad)
-
-
-def tree_stats(nodes: DataFrame) -> DataFrame:
-    """Layout statistics per seed tree from :func:`ego_nodes`: ``total_nodes``
-    (root + followed users + repository leaves), ``max_label_length`` over all
-    node names, and the node count per level (``level1``: followed users,
-    ``level2``: leaves). One partial aggregate per seed."""
-    leaves = F.coalesce(F.size("repos"), F.lit(0))
-    leaf_len = F.coalesce(F.array_max(F.transform("repos", lambda r: F.length(r))), F.lit(0))
-    agg = (nodes.groupBy("seed")
-           .agg(F.count(F.lit(1)).alias("level1"),
-                F.sum(leaves).alias("level2"),
-                F.max(F.greatest(F.length("followee"), leaf_len)).alias("child_len")))
+        doc = F.struct(F.col("username").alias("name"), kids.alias("children"))
+    if seeds is None:
+        return trees.filter("n_following > 0").select("username", F.to_json(doc).alias("json"))
+    answers = _seed_names(seeds).join(trees, "username", "left")
+    status, message = _answered(F.col("n_following"))
+    return answers.select("username", F.when(status == STATUS_OK, F.to_json(doc)).otherwise(
+        F.to_json(F.struct(message.alias("Response")))).alias("json"))
+
+
+def tree_stats(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = None, label: str | None = None,
+               parts=None, routing=None) -> DataFrame:
+    """Layout statistics per seed tree: ``total_nodes`` (root + followed users +
+    repository leaves), ``max_label_length`` over all node names, and the node
+    count per level (``level1``: followed users, ``level2``: leaves).
+
+    Two numbers per followed user are joined, not lists; the seeds' sums are
+    combined map-side.
+    """
+    e = select_parts(edges, label, parts, routing).select(F.col("username").alias("followee"), "repo", "part").distinct()
+    sizes = e.groupBy("followee").agg(F.count(F.lit(1)).alias("leaves"), F.max(F.length("repo")).alias("longest"))
+    nodes = _followed(follows, seeds).join(sizes, "followee", "left")
+    agg = nodes.groupBy("seed").agg(
+        F.count(F.lit(1)).alias("level1"), F.coalesce(F.sum("leaves"), F.lit(0)).alias("level2"),
+        F.max(F.greatest(F.length("followee"), F.coalesce("longest", F.lit(0)))).alias("child_len"))
     return agg.select(
         F.col("seed").alias("username"),
         (F.lit(1) + F.col("level1") + F.col("level2")).alias("total_nodes"),
@@ -189,14 +218,18 @@ def tree_stats(nodes: DataFrame) -> DataFrame:
         "level1", "level2")
 
 
+def siblings_ranked(df: DataFrame, parent: str, name: str) -> DataFrame:
+    """``(parent, name, n, first)``: each distinct child name with its count and the
+    1-based place of its first occurrence in the tree's display order
+    (case-insensitive, exact name as the tie-break). Repeats are counted
+    map-side, so a parent's window holds one row per distinct name."""
+    pairs = df.groupBy(F.col(parent).alias("parent"), F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("parent").orderBy(F.lower("name"), "name").rowsBetween(Window.unboundedPreceding, -1)
+    return pairs.withColumn("first", F.coalesce(F.sum("n").over(order), F.lit(0)) + 1)
+
+
 def siblings_sorted(df: DataFrame, parent: str, name: str) -> DataFrame:
-    """``(parent, children)``: child names sorted case-insensitively, exact name
-    as the tie-break (the tree's display order). Repeated names are counted
-    map-side first, so a parent's group holds one entry per distinct name."""
-    pairs = df.groupBy(parent, name).agg(F.count(F.lit(1)).alias("_n"))
-    arr = F.array_sort(
-        F.collect_list(F.struct(F.col(name).alias("v"), F.col("_n").alias("n"))),
-        lambda l, r: F.when(F.lower(l["v"]) < F.lower(r["v"]), -1).when(F.lower(l["v"]) > F.lower(r["v"]), 1)
-        .when(l["v"] < r["v"], -1).when(l["v"] > r["v"], 1).otherwise(0))
-    kids = F.flatten(F.transform(arr, lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
-    return pairs.groupBy(parent).agg(kids.alias("children"))
+    """``(parent, children)``: the ranked names as one list per parent, repeats written out."""
+    arr = F.array_sort(F.collect_list(F.struct("first", "name", "n")))
+    kids = F.flatten(F.transform(arr, lambda x: F.array_repeat(x["name"], x["n"].cast("int"))))
+    return siblings_ranked(df, parent, name).groupBy(F.col("parent").alias(parent)).agg(kids.alias("children"))

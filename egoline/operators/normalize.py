@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from egoline import schemas
 from egoline.functions import columns as C
 from egoline.functions.constants import (
-    ACTIVITY_TYPES, REJECT_CORRUPT, REJECT_NULL_REPO, REJECT_NULL_USER,
+    ACTIVITY_TYPES, REJECT_BAD_TIME, REJECT_CORRUPT, REJECT_NULL_REPO, REJECT_NULL_USER,
 )
 
 VARIANTS = ("v1", "v2", "v3")
@@ -51,10 +51,11 @@ def normalize(df: DataFrame, variant: str, part=None, types=ACTIVITY_TYPES,
               keep=()) -> DataFrame:
     """Timeline rows of one variant -> ``(username, repo, type, ts, part, reason, raw)``.
 
-    ``reason`` is null for good rows, else ``corrupt`` / ``null_user`` / ``null_repo``;
+    ``reason`` is null for good rows, else ``corrupt`` / ``null_user`` / ``null_repo`` /
+    ``bad_time`` (a creation time in no known format; an absent one is none);
     ``raw`` is the original line for rejects. ``part`` names the per-year table
     (a string or a Column). ``keep`` lists extra input columns to carry along.
-    Use :func:`egoline.sources.split_rejects` to separate the two outputs.
+    Use :func:`edges_and_rejects` to separate the two outputs.
     """
     user, repo = _fields(variant)
     has_corrupt = schemas.CORRUPT_COL in df.columns
@@ -65,15 +66,17 @@ def normalize(df: DataFrame, variant: str, part=None, types=ACTIVITY_TYPES,
     reason = (F.when(corrupt.isNotNull(), F.lit(REJECT_CORRUPT))
               .when(user.isNull(), F.lit(REJECT_NULL_USER))
               .when(repo.isNull(), F.lit(REJECT_NULL_REPO)))
+    created = F.col("created_at") if "created_at" in df.columns else F.lit(None).cast("string")
+    ts = C.parse_created_at(created)
+    reason = reason.when(created.isNotNull() & ts.isNull(), F.lit(REJECT_BAD_TIME))
     raw_fields = [F.col(c) for c in ("type", "actor", "repo", "repository", "created_at") if c in df.columns]
     raw = F.coalesce(corrupt, F.to_json(F.struct(*raw_fields)))
-    created = F.col("created_at") if "created_at" in df.columns else F.lit(None).cast("string")
     return df.select(
         *[F.col(k) for k in keep],
         user.alias("username"),
         repo.alias("repo"),
         F.col("type"),
-        C.parse_created_at(created).alias("ts"),
+        ts.alias("ts"),
         part_col.alias("part"),
         reason.alias("reason"),
         F.when(reason.isNotNull(), raw).alias("raw"),

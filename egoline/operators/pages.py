@@ -1,46 +1,50 @@
 """Paged follow responses and stored follow pages.
 
 Stitching: a user's pages are concatenated in page order until the first
-empty page or the first missing page number. For the API crawler only pages
-1..max_pages count (it fetched page 10 but dropped it); rows outside that
-range are turned into nulls before the per-user aggregate, so each user's
-group holds at most ``max_pages`` entries (plus duplicates of a page number)
-and is combined map-side; no window over a user's whole history is needed.
-The HTML scraper had no cap (``max_pages=None``).
+empty page or the first missing page number. A page number that was fetched
+more than once counts once, the newest fetch. The API crawler kept pages 1 to 9
+only: pass ``max_pages`` for its results; the default stitches every page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from egoline.functions import columns as C
-from egoline.functions.constants import MAX_PAGES
+from egoline.functions.constants import FOLLOW_LINK_CLASS
 
 
-def stitch_pages(pages: DataFrame, max_pages: int | None = MAX_PAGES, login: str = "login",
-                 page: str = "page", response: str = "response", users: DataFrame | None = None) -> DataFrame:
-    """``(login, page, response array)`` -> ``(login, following, n_following)``.
+def stitch_pages(pages: DataFrame, max_pages: int | None = None, login: str = "login",
+                 page: str = "page", response: str = "response", users: DataFrame | None = None,
+                 fetched: str | None = None, keep=()) -> DataFrame:
+    """``(login, page, response array)`` -> ``(login, *keep, following, n_following)``.
 
     Every user present in ``pages`` is kept; a user whose first page is empty
     or missing gets ``[]``. With ``users`` (first column: logins), users that
-    have no page rows at all are added with ``[]`` too. ``max_pages=None``
-    stitches every page up to the first empty or missing one (no cap).
+    have no page rows at all are added with ``[]`` too. Of several rows of one
+    page the one with the greatest ``fetched`` counts (then, or without that
+    column, the greatest response). A null response is a failed call and ends
+    the list like a missing page. ``keep`` names columns of the user, such as
+    the id, that the stitched record carries on.
     """
     in_range = F.col(page) >= 1 if max_pages is None else F.col(page).between(1, max_pages)
-    entry = F.when(in_range, F.struct(F.col(page).alias("p"), F.col(response).alias("r")))
-    g = pages.groupBy(F.col(login).alias("login")).agg(F.array_sort(F.collect_list(entry)).alias("ps"))
+    newest = F.struct(*([F.col(fetched).alias("at")] if fetched else []), F.col(response).alias("r"))
+    kept = [F.max(c).alias(c) for c in keep]
+    one = pages.groupBy(F.col(login).alias("login"), F.when(in_range, F.col(page)).alias("p")).agg(F.max(newest)["r"].alias("r"), *kept)
+    entry = F.when(F.col("p").isNotNull(), F.struct("p", "r"))
+    g = one.groupBy("login").agg(F.array_sort(F.collect_list(entry)).alias("ps"), *kept)
     ok = F.transform("ps", lambda x, i: (x["p"] == i + 1) & (F.coalesce(F.size(x["r"]), F.lit(0)) > 0))
     first_bad = F.array_position(ok, False)
     k = F.when(first_bad == 0, F.size("ps")).otherwise(first_bad - 1)
     following = F.flatten(F.transform(F.slice("ps", 1, k), lambda x: x["r"]))
     following = F.coalesce(following, F.array().cast("array<string>"))
-    out = g.select("login", following.alias("following"))
+    out = g.select("login", *keep, following.alias("following"))
     if users is not None:
         u = users.select(F.col(users.columns[0]).alias("login")).distinct()
         out = u.join(out, "login", "left").select(
-            "login", F.coalesce("following", F.array().cast("array<string>")).alias("following"))
-    return out.select("login", "following", F.size("following").alias("n_following"))
+            "login", *keep, F.coalesce("following", F.array().cast("array<string>")).alias("following"))
+    return out.select("login", *keep, "following", F.size("following").alias("n_following"))
 
 
 def extract_links(pages: DataFrame, pattern: str, key: str = "url", html: str = "html",
@@ -59,12 +63,44 @@ def extract_links(pages: DataFrame, pattern: str, key: str = "url", html: str =
     return z.select(key, (F.col("pos") + 1).alias("pos"), slug.alias("slug"), F.col("z.t").alias("text"))
 
 
-def follow_pages_from_html(pages: DataFrame, pattern: str, login: str = "login", page: str = "page",
+def plain_text(c) -> Column:
+    """Markup's text: tags taken out, the usual entities decoded."""
+    t = F.trim(F.regexp_replace(c, "<[^>]*>", ""))
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        t = F.replace(t, F.lit(entity), F.lit(char))
+    return t
+
+
+def follow_links(html, cls: str = FOLLOW_LINK_CLASS) -> Column:
+    """``array<struct<slug, text>>``: the first anchor of every ``h3`` whose class
+    list holds ``cls``, whatever the attributes' order and quotes. The slug is the
+    target without its first character. A heading without an anchor with a target
+    is left out."""
+    heads = F.regexp_extract_all(html, F.lit(r"(?is)<h3\b[^>]*>.*?</h3>"), F.lit(0))
+    quoted = lambda c, name: F.coalesce(
+        F.nullif(F.regexp_extract(c, rf"(?is)^<\w+\b[^>]*?\s{name}\s*=\s*\"([^\"]*)\"", 1), F.lit("")),
+        F.nullif(F.regexp_extract(c, rf"(?is)^<\w+\b[^>]*?\s{name}\s*=\s*'([^']*)'", 1), F.lit("")))
+    listed = F.filter(heads, lambda h: F.coalesce(F.array_contains(F.split(quoted(h, "class"), r"\s+"), cls), F.lit(False)))
+    anchors = F.transform(listed, lambda h: F.regexp_extract(h, r"(?is)<a\b[^>]*>.*?</a>", 0))
+    links = F.transform(anchors, lambda a: F.struct(C.strip_first(quoted(a, "href")).alias("slug"), plain_text(a).alias("text")))
+    return F.filter(links, lambda x: x["slug"].isNotNull())
+
+
+def extract_follow_links(pages: DataFrame, key: str = "url", html: str = "html", cls: str = FOLLOW_LINK_CLASS) -> DataFrame:
+    """``(key, pos, slug, text)`` for every follow link of a stored page (:func:`follow_links`)."""
+    z = pages.select(F.col(key), F.posexplode(follow_links(F.col(html), cls)).alias("pos", "z"))
+    return z.select(key, (F.col("pos") + 1).alias("pos"), "z.slug", "z.text")
+
+
+def follow_pages_from_html(pages: DataFrame, pattern: str | None = None, login: str = "login", page: str = "page",
                            html: str = "html", max_pages: int | None = None) -> DataFrame:
     """Stored follow pages ``(login, page, html)`` -> stitched follow lists: the
-    links of each page become its response, then :func:`stitch_pages` applies
-    the empty-page and page-gap rules. The scraper followed pages until an
-    empty one, so there is no page cap by default."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(pattern), 1)
-    resp = F.transform(hrefs, lambda h: C.strip_first(h))
+    follow links of each page become its response (those matched by ``pattern``
+    where one is given), then :func:`stitch_pages` applies the empty-page and
+    page-gap rules. The scraper followed pages until an empty one, so there is
+    no page cap by default."""
+    if pattern is None:
+        resp = F.transform(follow_links(F.col(html)), lambda x: x["slug"])
+    else:
+        resp = F.transform(F.regexp_extract_all(F.col(html), F.lit(pattern), 1), lambda h: C.strip_first(h))
     return stitch_pages(pages.select(login, page, resp.alias("response")), max_pages, login, page, "response")

@@ -1,19 +1,11 @@
-"""Skew-aware equi-join: salt the hot keys of the big side.
-
-A key that holds a large share of the left side (a user followed by millions)
-would put all its rows into one task. We find the hot keys with a map-side
-combined count, keep at most ``max_hot_keys`` of them (so the broadcast table
-has a proven size bound), spread the left rows of a hot key over ``buckets``
-salts by a deterministic hash of the row, and replicate the right rows of hot
-keys once per salt. Keys that are not hot take the normal shuffle path, where
-AQE's skew-join split is still active. Results are exactly those of the plain
-join; the salt is a pure function of the row, so re-running a lost task gives
-the same assignment.
-
-The hot-key set is materialised once with a reliable ``checkpoint()`` (into
-the shared ``spark.checkpoint.dir``): both sides of the salted join read the
-same small table instead of each recounting the left side, and when no key is
-hot the plain join is planned without any salting work.
+"""Equi-join with the known hot keys of the big side salted.
+
+Adaptive execution already splits skewed partitions of an inner or left join
+whose left side is the skewed one, so the plain join is the default. A caller
+that maintains a hot-key table (say, users with millions of followers) may pass
+it: rows of a hot key are spread over ``buckets`` salts by a hash of the row and
+the other side's rows of hot keys are repeated once per salt. The salt is a pure
+function of the row, so a lost task recomputes the same assignment.
 """
 
 from __future__ import annotations
@@ -22,55 +14,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from egoline.session import ensure_checkpoint_dir
-
-DEFAULT_HOT_MIN_ROWS = 1_000_000
 DEFAULT_BUCKETS = 32
-DEFAULT_MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(df: DataFrame, on, min_rows: int = DEFAULT_HOT_MIN_ROWS,
-             max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, the ``max_keys`` largest of them.
-
-    The limit only bounds the broadcast side; keys beyond it are joined on the
-    normal path, so no row is lost.
-    """
+def hot_keys(df: DataFrame, on, min_rows: int) -> DataFrame:
+    """All keys with at least ``min_rows`` rows: what a hot-key table is built from."""
     on = [on] if isinstance(on, str) else list(on)
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.filter(F.col("_n") >= min_rows)
-            .orderBy(F.desc("_n"), *[F.asc(c) for c in on]).limit(max_keys)
-            .select(*on, F.lit(True).alias("_hot")))
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows).select(*on)
 
 
-def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-              buckets: int = DEFAULT_BUCKETS, min_rows: int = DEFAULT_HOT_MIN_ROWS,
-              max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, hot: DataFrame | None = None) -> DataFrame:
-    """``left.join(right, on, how)`` with hot keys of ``left`` salted.
+def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left", hot: DataFrame | None = None,
+              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``left.join(right, on, how)``; keys listed in ``hot`` (key columns only) are salted.
 
     ``how`` is ``inner`` or ``left`` (the left side is the one split).
-    ``buckets <= 1`` turns salting off and gives the plain join. ``hot`` may
-    pass a known hot-key table (key columns only, e.g. from a maintained
-    follower-count table, at most ``max_hot_keys`` rows); otherwise it is
-    counted from ``left`` in one pass.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("skew_join splits the left side; use how='inner' or 'left'")
-    if buckets <= 1:
-        return left.join(right, on, how)
-    ensure_checkpoint_dir(left.sparkSession)
-    if hot is None:
-        hot = hot_keys(left, on, min_rows, max_hot_keys)
-    else:
-        # a deterministic choice when more keys are given than the bound allows
-        hot = (hot.select(*on).distinct().orderBy(*on).limit(max_hot_keys)
-               .withColumn("_hot", F.lit(True)))
-    # materialised once: both sides must see exactly the same hot set
-    hot = hot.checkpoint(eager=True)
-    if hot.isEmpty():
+    if hot is None or buckets <= 1:
         return left.join(right, on, how)
-    hot = F.broadcast(hot)
+    hot = hot.select(*on).distinct().withColumn("_hot", F.lit(True))
     # the salt hashes the whole row (map columns cannot be hashed and are
     # skipped); exact duplicate rows share a salt, distinct rows spread
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]

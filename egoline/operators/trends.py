@@ -11,16 +11,18 @@ from egoline.functions.constants import TOP_K, TREND_TYPE
 def weekly_trends(edges: DataFrame, as_of=None, days: int = 7, event_type: str = TREND_TYPE) -> DataFrame:
     """``(reponame, watchcount)`` for events of ``event_type`` in ``(as_of - days, as_of]``.
 
-    ``as_of`` defaults to the latest event time in the input, computed as a
-    scalar subquery (one small aggregate job, no driver round trip of rows).
+    ``as_of`` defaults to the latest event time in the input. Both bounds are
+    then scalar subqueries over one aggregate, plain values for the scan's
+    filters (no arithmetic on them is left to the rows).
     The count is combined map-side, so a hot repository costs one row per task
     in the shuffle.
     """
+    week = F.expr(f"INTERVAL {int(days)} DAYS")
     if as_of is None:
-        as_of = edges.agg(F.max("ts")).scalar()
-    elif not hasattr(as_of, "_jc"):
-        as_of = F.lit(as_of).cast("timestamp")
-    start = as_of - F.expr(f"INTERVAL {int(days)} DAYS")
+        as_of, start = edges.agg(F.max("ts")).scalar(), edges.agg(F.max("ts") - week).scalar()
+    else:
+        as_of = as_of if hasattr(as_of, "_jc") else F.lit(as_of).cast("timestamp")
+        start = as_of - week
     return (edges
             .filter((F.col("type") == F.lit(event_type)) & (F.col("ts") > start) & (F.col("ts") <= as_of))
             .groupBy(F.col("repo").alias("reponame"))

@@ -14,8 +14,7 @@ library is derived, inside Spark, from columns of the same shape:
 
 Fault injection (bad JSON, plain strings, null parts, empty and null lists)
 uses fixed rules on the row ids so that the oracle SQL can reproduce them; it
-replaces values and never drops rows, except the page binding, whose missing
-pages are the failed fetches being simulated.
+replaces values and never drops rows.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from pyspark.sql import functions as F
 
 from egoline import schemas
 from egoline.session import table_path
-from egoline.sources.readers import spread
 
 # --- fixed values of the bindings --------------------------------------------
 # events.event_type -> timeline event type
@@ -41,20 +39,13 @@ EVENT_TYPE_MAP = {
 DAY_PARTS = ("2011", "2012", "2013", "2014_1", "2014_2", "2015")
 # follow-record sources (topics) and their precedence, by events.event_type
 TOPIC_PRIORITY = {"click": 3, "view": 4, "purchase": 5, "signup": 6, "error": 7}
-# the crawler fetches at most this many pages per user
-PAGES_FETCHED = 10
-
-
-# tables large enough to be worth spreading when the scan plans too few splits
-SPREAD_TABLES = ("lineitem", "orders", "events", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     r = spark.read
     if name in schemas.DRIVER_TABLES:
         r = r.schema(schemas.DRIVER_TABLES[name])
-    df = r.parquet(table_path(sf_dir, name))
-    return spread(df) if name in SPREAD_TABLES else df
+    return r.parquet(table_path(sf_dir, name))
 
 
 def _k(props="props"):
@@ -186,34 +177,49 @@ def follow_records(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
                     lst.alias("following"))
 
 
-def topic_records(spark: SparkSession, sf_dir: str) -> list:
-    """Follow records from several topics: ``[(priority, df(username, event_id, topic, following))]``;
-    records of the ``error`` topic carry a null list."""
-    ev = table(spark, sf_dir, "events")
-    out = []
-    for etype, prio in TOPIC_PRIORITY.items():
-        lst = (F.lit(None).cast("array<string>") if etype == "error"
-               else F.array(F.concat(F.lit("c"), _k())))
-        df = ev.filter(F.col("event_type") == etype).select(
-            F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("username"),
-            "event_id", F.lit(f"following-{prio}").alias("topic"), lst.alias("following"))
-        out.append((prio, df))
-    return out
+def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Follow records of several topics in one table ``(username, event_id, topic,
+    following, priority)``; records of the ``error`` topic carry a null list."""
+    prio = F.lit(None).cast("int")
+    for etype, p in TOPIC_PRIORITY.items():
+        prio = F.when(F.col("event_type") == etype, p).otherwise(prio)
+    lst = F.when(F.col("event_type") != "error", F.array(F.concat(F.lit("c"), _k())))
+    return table(spark, sf_dir, "events").withColumn("priority", prio).select(
+        F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("username"), "event_id",
+        F.concat(F.lit("following-"), F.col("priority").cast("string")).alias("topic"), lst.alias("following"), "priority")
+
+
+def listed_follows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long follow table ``(username, pos, followee)`` in stored order with repeats:
+    supplier ``s<l_suppkey>`` follows the customer of each of its line items, in
+    the order of order key and line number. Nations have empty lists."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("username"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("pos"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("followee"))
+    empty = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("username"),
+        F.lit(None).cast("long").alias("pos"), F.lit(None).cast("string").alias("followee"))
+    return rows.unionByName(empty)
 
 
 def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paged responses ``(login, page, response)``: the n-th order of a customer
-    (by order key) is page n, up to the pages the crawler fetches; pages of
-    orders with key multiple of 13 are missing (failed call), orders with key
-    multiple of 11 give an empty page (end of list)."""
+    """Paged responses ``(login, id, page, fetched, response)``: the n-th order of a
+    customer (by order key) is page n; orders with key multiple of 13 are failed
+    calls (null response), with key multiple of 11 empty pages (end of list).
+    Pages of orders with key multiple of 7 were fetched twice: the older fetch
+    has another answer, which must not count."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    p = o.withColumn("page", F.row_number().over(w)).filter(F.col("page") <= PAGES_FETCHED)
-    resp = (F.when(F.col("o_orderkey") % 11 == 0, F.array().cast("array<string>"))
+    resp = (F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("array<string>"))
+            .when(F.col("o_orderkey") % 11 == 0, F.array().cast("array<string>"))
             .otherwise(F.array(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")))))
-    return (p.filter(F.col("o_orderkey") % 13 != 0)
-            .select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("login"),
-                    F.col("page").cast("int").alias("page"), resp.alias("response")))
+    p = o.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("login"), F.col("o_custkey").alias("id"),
+                 F.row_number().over(w).alias("page"), F.lit(2).alias("fetched"), resp.alias("response"), "o_orderkey")
+    again = p.filter(F.col("o_orderkey") % 7 == 0).withColumn("fetched", F.lit(1)).withColumn("response", F.array(F.lit("zz")))
+    return p.unionByName(again).drop("o_orderkey")
 
 
 def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,3 +268,36 @@ def fetched_follow_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.col("o_orderkey").alias("record_id"),
                     F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("login"),
                     lst.alias("following"))
+
+
+#: Markup of a follow link by page id modulo 6; all are the same link to a reader.
+LINK_MARKUP = (
+    '<h3 class="follow-list-name"><a href="$1">$2</a></h3>',
+    '<h3 class="follow-list-name"><span><a href="$1">$2</a></span></h3>',
+    '<h3 class="follow-list-name"><a class="u" href="$1">$2</a></h3>',
+    '<h3 class="follow-list-name"><a href="$1"><b>$2</b></a></h3>',
+    '<h3 class="css-truncate follow-list-name"><a href="$1">$2</a></h3>',
+    "<h3 class='follow-list-name'><a href='$1'>$2</a></h3>",
+)
+
+
+def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored follow pages ``(page_id, html)``: the links of ``pages`` written as
+    headings of the follow list, in six kinds of markup by page id."""
+    html = F.col("html")
+    for k, markup in enumerate(LINK_MARKUP):
+        html = F.when(F.col("page_id") % 6 == k, F.regexp_replace("html", r'<a href="(/[^"]*)">([^<]*)</a>', markup)).otherwise(html)
+    return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+
+
+def follow_messages(spark: SparkSession, sf_dir: str, second: bool) -> DataFrame:
+    """Landed follow messages ``(topic, value, timestamp)`` of two batches. Events of
+    even ids are the first batch, of odd ids the second. ``view`` events are F1
+    records (lists of JSON texts), ``purchase`` events F2 records (structs)."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase") & (F.col("event_id") % 2 == int(second)))
+    login = F.concat(F.lit("c"), F.col("user_id").cast("string"))
+    followee = F.concat(F.lit("c"), _k())
+    f1 = F.to_json(F.struct(login.alias("login"), F.array(F.to_json(F.struct(followee.alias("login")))).alias("following")))
+    f2 = F.to_json(F.struct(login.alias("login"), F.array(F.struct(followee.alias("login"))).alias("following")))
+    return ev.select(F.when(F.col("event_type") == "view", "following-f1").otherwise("following-f2").alias("topic"),
+                     F.when(F.col("event_type") == "view", f1).otherwise(f2).alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))

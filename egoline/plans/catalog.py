@@ -23,6 +23,7 @@ from egoline.operators import pages as PG
 from egoline.operators import trends as TR
 from egoline.operators.normalize import keep_types, normalize
 from egoline.plans import bindings as B
+from egoline.plans import jobs
 from egoline.session import shared_path
 from egoline.sources import readers as R
 from egoline.sources import sinks as K
@@ -157,6 +158,27 @@ def repo_latest_map(spark, sf):
     return t.select("username", "repo", _ts_str("latest").alias("latest"))
 
 
+def repo_map(spark, sf):
+    """A4: the map itself, its entries written out in order of repository."""
+    m = E.user_repo_map(B.edges(spark, sf, types=PROTOTYPE_TYPES))
+    entries = F.array_sort(F.map_entries("repos"))
+    return m.select("username", F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), _ts_str(e["value"]))), ",").alias("repos"))
+
+
+# --- S7: the trending answer from the stored table ---------------------------------
+def trending_stored(spark, sf):
+    path = shared_path(spark, "top10")
+    K.write_snapshot(TR.top_repos(TR.weekly_trends(B.edges(spark, sf))), path)
+    return TR.trending_json(R.read_table(spark, path))
+
+
+# --- S4: a user list as gzip lines, cut by id ---------------------------------------
+def user_list_gzip(spark, sf):
+    path = shared_path(spark, "users-gz")
+    B.user_records(spark, sf).write.option("compression", "gzip").json(path)
+    return L.user_ids(R.read_user_dumps(spark, path, prefix="part", array_files=False), lo=30, hi=900)
+
+
 # --- A5, P13 ------------------------------------------------------------------
 def invert_follows(spark, sf):
     inv = FL.invert(B.follower_records(spark, sf), key="login", list_col="following", strip=1)
@@ -188,10 +210,23 @@ def follow_parse_fetched(spark, sf):
 
 # --- A7, K2 -------------------------------------------------------------------
 def source_precedence(spark, sf):
-    m = FL.merge_sources(B.topic_records(spark, sf), key="username", tie="event_id")
+    m = FL.merge_prioritised(B.topic_records(spark, sf), "priority", key="username", tie="event_id")
     return m.select("username", "event_id", "topic", _joined(F.col("following")).alias("following"))
 
 
+def follows_pipeline(spark, sf):
+    """S8, S3, P14, P15, A7, K2: two batches of follow messages, each landed, read by
+    topic, parsed, merged by precedence and upserted into the committed table."""
+    table = shared_path(spark, "userfollow")
+    for second in (False, True):
+        src, out, ckpt = (shared_path(spark, f"follows-{x}") for x in ("in", "landed", "ckpt"))
+        B.follow_messages(spark, sf, second).write.json(src)
+        land_topics(topic_stream(spark, "json", src), out, ckpt, allow=r"^following-").awaitTermination()
+        jobs.follows_job(spark, out, [("following-f1", "f1"), ("following-f2", "f2")], table)
+    rows = R.read_table(spark, table)
+    return rows.select("username", _joined(F.col("following")).alias("following"))
+
+
 # --- J1, A6, P18, N4, U3, D10, R4 ----------------------------------------------
 def ego_graph(spark, sf):
     g = G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="2013")
@@ -199,13 +234,13 @@ def ego_graph(spark, sf):
 
 
 def ego_graph_multi_part(spark, sf):
-    g = G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="2014")
-    return g.groupBy("seed", "followee", "repo").agg(F.count("part").alias("n_parts"))
+    g = G.ego_part_counts(B.follows(spark, sf), B.edges(spark, sf), label="2014")
+    return g.select("seed", "followee", "repo", "n_parts")
 
 
 def ego_graph_all_years(spark, sf):
-    g = G.ego_graph(B.follows(spark, sf), B.edges(spark, sf), label="All")
-    return g.groupBy("seed", "followee", "repo").agg(F.count("part").alias("n_parts"))
+    g = G.ego_part_counts(B.follows(spark, sf), B.edges(spark, sf), label="All")
+    return g.select("seed", "followee", "repo", "n_parts")
 
 
 def ego_graph_distinct_across(spark, sf):
@@ -218,22 +253,27 @@ def ego_status(spark, sf):
     return G.ego_status(B.all_user_names(spark, sf), B.follows(spark, sf))
 
 
-# --- N1, N2, P16 (rows-only: JSON text differs between engines) ------------------
+# --- N1, N2, N4, P16, P17 ---------------------------------------------------------
+NAMED = ("s1", "s3", "s9999999", "c1", "n0", "nobody")
+
+
 def ego_json(spark, sf):
-    fl = B.follows(spark, sf)
-    seeds = B.all_user_names(spark, sf)
-    nodes = G.ego_nodes(fl, B.edges(spark, sf), seeds=seeds, label="2013")
-    return G.ego_json(nodes, G.ego_status(seeds, fl), form="api")
+    return G.ego_json(B.listed_follows(spark, sf), B.edges(spark, sf), seeds=B.all_user_names(spark, sf), label="2013")
 
 
 def ego_tree_json(spark, sf):
-    nodes = G.ego_nodes(B.follows(spark, sf), B.edges(spark, sf), label="2013")
-    return G.ego_json(nodes, form="tree")
+    return G.ego_json(B.listed_follows(spark, sf), B.edges(spark, sf), label="2013", form="tree")
+
+
+def ego_json_named(spark, sf):
+    """A few named users, as one request of the serving path asks for them."""
+    seeds = spark.range(1).select(F.explode(F.array(*[F.lit(u) for u in NAMED])).alias("username"))
+    return G.ego_json(B.listed_follows(spark, sf), B.edges(spark, sf), seeds=seeds, label="2014")
 
 
 # --- R3 -------------------------------------------------------------------------
 def tree_stats(spark, sf):
-    s = G.tree_stats(G.ego_nodes(B.follows(spark, sf), B.edges(spark, sf), label="All"))
+    s = G.tree_stats(B.follows(spark, sf), B.edges(spark, sf), label="All")
     return s.select("username", _long(F.col("total_nodes")).alias("total_nodes"),
                     _long(F.col("max_label_length")).alias("max_label_length"),
                     _long(F.col("level1")).alias("level1"), _long(F.col("level2")).alias("level2"))
@@ -278,8 +318,8 @@ def upsert_snapshot(spark, sf):
 
 # --- R1, R2 -----------------------------------------------------------------------
 def page_stitch(spark, sf):
-    st = PG.stitch_pages(B.pages_table(spark, sf))
-    return st.select(F.col("login").alias("username"), F.array_join("following", ",").alias("following"),
+    st = PG.stitch_pages(B.pages_table(spark, sf), fetched="fetched", keep=("id",))
+    return st.select(F.col("login").alias("username"), "id", F.array_join("following", ",").alias("following"),
                      _long(F.col("n_following")).alias("n_following"))
 
 
@@ -288,6 +328,12 @@ def extract_links(spark, sf):
     return links.select("page_id", _long(F.col("pos")).alias("pos"), "slug", "text")
 
 
+def follow_links_html(spark, sf):
+    """R2 by the class rule, over six kinds of markup."""
+    links = PG.extract_follow_links(B.marked_pages(spark, sf), key="page_id")
+    return links.select("page_id", _long(F.col("pos")).alias("pos"), "slug", "text")
+
+
 def follow_pages_html(spark, sf):
     """R2 + R1: links of stored pages become page responses, then stitched."""
     pg = B.html_follow_pages(spark, sf)
@@ -344,6 +390,12 @@ QUERIES = {
     "top10_weekly": top10_weekly,
     "trending_json": trending_json,
     "repo_latest_map": repo_latest_map,
+    "repo_map": repo_map,
+    "trending_stored": trending_stored,
+    "user_list_gzip": user_list_gzip,
+    "follows_pipeline": follows_pipeline,
+    "follow_links_html": follow_links_html,
+    "ego_json_named": ego_json_named,
     "invert_follows": invert_follows,
     "follow_parse_f1": follow_parse_f1,
     "follow_parse_f2": follow_parse_f2,

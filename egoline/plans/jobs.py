@@ -1,18 +1,19 @@
 """Batch jobs that build the keyed tables, one per reference batch script.
 
-Each job reads its source once, runs the operators, and writes a snapshot under the
-given paths; the serving queries then read those tables (partition-pruned
-by year part) instead of recomputing from raw input.
+The serving queries read these tables (partition-pruned by year part) instead
+of recomputing from raw input.
 
     yearly_edges_job   timeline files of one year  -> edge table part + rejects
     follows_job        landed follow topics        -> userfollow (keyed upsert)
     user_ids_job       landed user topic / dumps   -> getuserid (keyed upsert)
     trends_job         edge table                  -> weekly trends + top 10 (overwrite)
+
+The two upserts read the committed version of their table and commit the next
+one (``sources.snapshots``), so batches add up and a failed job changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +22,11 @@ from egoline.functions.constants import ACTIVITY_TYPES, TOP_K
 from egoline.operators import follows as FL
 from egoline.operators import lookup as L
 from egoline.operators import trends as TR
-from egoline.operators.normalize import edges_and_rejects
+from egoline.operators.normalize import normalize
+from egoline.session import shared_path
 from egoline.sources import readers as R
 from egoline.sources import sinks as K
-
-
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # path does not exist yet: first run
-        return None
+from egoline.sources.snapshots import commit, read_current
 
 
 def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, edges_path: str,
@@ -38,60 +34,52 @@ def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, edges_pa
                      on_reject: str = "skip") -> None:
     """Normalise one year's timeline files into the edge table.
 
-    Only the ``part=<part>`` folder is replaced (dynamic partition overwrite),
-    so re-running a year is idempotent and other years stay untouched. Rejects
-    are written next to it with their reason; ``on_reject="fail"`` stops the
-    job before the edge table is touched when any row was rejected.
+    The source is read once into a staged table; the edges and rejects in it
+    then replace the ``part=<part>`` folders, whether they hold a row or not,
+    so a re-run on corrected input leaves no stale reject. Other years stay
+    untouched. ``on_reject="fail"`` stops the job before either table is touched
+    when any row was rejected.
     """
-    tl = R.read_timeline(spark, src, repartition=repartition)
-    edges, rejects = edges_and_rejects(tl, variant, part=part, types=types)
+    staged = shared_path(spark, "staged-edges")
+    normalize(R.read_timeline(spark, src, repartition=repartition), variant, part, types).write.parquet(staged)
+    rows = spark.read.parquet(staged)
+    edges, rejects = rows.filter("reason is null").drop("reason", "raw", "part"), rows.filter("reason is not null").select("reason", "raw")
     K.enforce_rejects(rejects, on_reject)
-    (edges.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("part").parquet(edges_path))
-    (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("part").parquet(rejects_path))
+    for df, path in ((edges, edges_path), (rejects, rejects_path)):
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/part={part}")
 
 
-def follows_job(spark: SparkSession, topic_root: str, topics, userfollow_path: str,
-                out_path: str | None = None) -> str:
+def follows_job(spark: SparkSession, topic_root: str, topics, userfollow_path: str) -> str:
     """Parse follow records of several landed topics and upsert them.
 
     ``topics``: ``[(topic, variant), ...]`` in precedence order (later wins,
     as in the reference's insertion order); ``variant`` is ``"f1"`` (JSON
-    texts) or ``"f2"`` (structs). Within one topic the newest message wins.
-    The merged table is upserted into the existing snapshot at
-    ``userfollow_path`` (if any) and written to ``out_path`` (default:
-    ``userfollow_path + ".next"``); returns the written path.
+    texts) or ``"f2"`` (structs). Within one topic the newest message wins, of
+    equally new ones the greatest text. The merged table is upserted into the
+    committed one at ``userfollow_path`` (if any); returns the new version's path.
     """
     sources = []
     for prio, (topic, variant) in enumerate(topics):
         schema = schemas.FOLLOW_F1 if variant == "f1" else schemas.FOLLOW_F2
         msgs = R.read_topic(spark, topic_root, topic=topic, schema=schema)
         parse = FL.parse_follows_json if variant == "f1" else FL.parse_follows_struct
-        parsed = parse(msgs, keep=("timestamp",)).select("username", "following", "timestamp")
+        parsed = parse(msgs, keep=("timestamp", "value")).select("username", "following", "timestamp", "value")
         sources.append((prio, parsed))
-    merged = FL.merge_sources(sources, key="username", tie="timestamp").select("username", "following")
-    out = out_path or userfollow_path.rstrip("/") + ".next"
-    existing = _read_if_exists(spark, userfollow_path)
-    if existing is not None:
-        merged = K.upsert(existing, merged, "username")
-    K.write_snapshot(merged, out)
-    return out
+    merged = FL.merge_sources(sources, key="username", tie=("timestamp", "value")).select("username", "following")
+    return _upsert(spark, userfollow_path, merged)
 
 
-def user_ids_job(spark: SparkSession, users: DataFrame, getuserid_path: str, out_path: str | None = None,
-                 lo=None, hi=None) -> str:
+def user_ids_job(spark: SparkSession, users: DataFrame, getuserid_path: str, lo=None, hi=None) -> str:
     """Project ``(username, userid)`` from wide user records (a landed topic
     parsed with ``schemas.USER`` or :func:`read_user_dumps`), one row per name
-    (highest id wins on repeats), upserted into the existing table."""
+    (highest id wins on repeats), upserted into the committed table."""
     ids = L.user_ids(users, lo=lo, hi=hi)
-    ids = ids.groupBy("username").agg(F.max("userid").alias("userid"))
-    out = out_path or getuserid_path.rstrip("/") + ".next"
-    existing = _read_if_exists(spark, getuserid_path)
-    if existing is not None:
-        ids = K.upsert(existing, ids, "username")
-    K.write_snapshot(ids, out)
-    return out
+    return _upsert(spark, getuserid_path, ids.groupBy("username").agg(F.max("userid").alias("userid")))
+
+
+def _upsert(spark: SparkSession, path: str, new: DataFrame) -> str:
+    existing = read_current(spark, path)
+    return commit(new if existing is None else K.upsert(existing, new, "username"), path)
 
 
 def bucket_graph_tables(spark: SparkSession, follows: DataFrame, edges: DataFrame, label: str | None = None,

@@ -2,8 +2,7 @@
 
 Each statement recomputes the query's result straight from the driver's
 tables, reproducing the bindings' rules (name prefixes, type mapping, fault
-rules) in plain SQL. ``ego_json`` and ``ego_tree_json`` have none: JSON text
-rendering differs between engines (null fields), so they get a rows-only check.
+rules) in plain SQL; JSON answers are put together as text.
 """
 
 ACT = "('view', 'purchase', 'signup')"
@@ -53,6 +52,32 @@ def _ego(parts: str) -> str:
   WHERE event_type IN {ACT} AND part IN {parts})"""
 
 
+def _ego_json(parts: str, form: str, seeds: str) -> str:
+    """The answers as text: a followed user without repositories has no list, seeds
+    without a stored or filled list (where seeds are named) a response."""
+    name, kids, leaf = (("username", "following", "repositories") if form == "api" else ("name", "children", "children"))
+    item = "'\"' || repo || '\"'" if form == "api" else "'{\"name\":\"' || repo || '\",\"size\":10000}'"
+    answers = f"""'{{"{name}":"' || s.username || '","{kids}":[' || k || ']}}'"""
+    sql = f"""WITH {EV}, {NAMES}, {_ego(parts)},
+li AS (SELECT 's' || l_suppkey AS seed, l_orderkey * 8 + l_linenumber AS pos, 'c' || o_custkey AS followee
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+lists AS (SELECT username, string_agg({item}, ',' ORDER BY repo) AS r FROM eg GROUP BY username),
+kids AS (
+  SELECT seed, string_agg('{{"{name}":"' || followee || '"' || CASE WHEN r IS NULL THEN '' ELSE ',"{leaf}":[' || r || ']' END
+                          || '}}', ',' ORDER BY pos, followee) AS k
+  FROM li LEFT JOIN lists ON followee = username GROUP BY seed),
+stored AS (SELECT seed, k FROM kids UNION ALL SELECT 'n' || n_nationkey, NULL FROM nation),
+s AS ({seeds})
+"""
+    if form == "tree":
+        return sql + f"SELECT s.username, {answers} AS json FROM s JOIN stored ON s.username = seed WHERE k IS NOT NULL"
+    return sql + f"""SELECT s.username,
+       CASE WHEN seed IS NULL THEN '{{"Response":"Records for ' || s.username || ' were not found"}}'
+            WHEN k IS NULL THEN '{{"Response":"' || s.username || ' is not following anyone"}}'
+            ELSE {answers} END AS json
+FROM s LEFT JOIN stored ON s.username = seed"""
+
+
 def _norm_v1(json_source: bool) -> str:
     part = "CASE WHEN event_id % 10 = 2 THEN NULL ELSE part END" if json_source else "part"
     return f"""WITH {EV}
@@ -148,6 +173,34 @@ SELECT '{{"Trending":[' || string_agg('{{"reponame":"' || reponame || '","watchc
        ORDER BY watchcount DESC, reponame) || ']}}' AS json
 FROM top""",
 
+    "trending_stored": f"""WITH {EV}, {WEEK}, {TOP10}
+SELECT '{{"Trending":[' || string_agg('{{"reponame":"' || reponame || '","watchcount":' || watchcount || '}}', ','
+       ORDER BY watchcount DESC, reponame) || ']}}' AS json
+FROM top""",
+
+    "repo_map": f"""WITH {EV},
+l AS (SELECT username, repo, strftime(max(ts_sec), '%Y-%m-%d %H:%M:%S') AS latest
+      FROM ev WHERE event_type IN ('view', 'click') GROUP BY username, repo)
+SELECT username, string_agg(repo || '=' || latest, ',' ORDER BY repo) AS repos FROM l GROUP BY username""",
+
+    "user_list_gzip": """SELECT 'c' || c_custkey AS username, c_custkey AS userid
+FROM customer WHERE c_custkey BETWEEN 30 AND 900""",
+
+    "follow_links_html": f"""WITH x AS (
+  SELECT page_id,
+         regexp_extract_all(html, '{LINK}', 1) AS h,
+         regexp_extract_all(html, '{LINK}', 2) AS t
+  FROM pages),
+y AS (SELECT page_id, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS hh, unnest(t) AS tt FROM x)
+SELECT page_id, pos::BIGINT AS pos, substr(hh, 2) AS slug, tt AS text FROM y""",
+
+    "follows_pipeline": """WITH r AS (
+  SELECT 'c' || user_id AS username, event_id % 2 AS batch, event_type = 'purchase' AS f2,
+         date_trunc('millisecond', ts) AS sent, 'c' || json_extract_string(props, '$.k') AS following
+  FROM events WHERE event_type IN ('view', 'purchase')),
+w AS (SELECT *, row_number() OVER (PARTITION BY username ORDER BY batch DESC, f2 DESC, sent DESC, following DESC) AS rn FROM r)
+SELECT username, following FROM w WHERE rn = 1""",
+
     "repo_latest_map": f"""WITH {EV}
 SELECT username, repo, strftime(max(ts_sec), '%Y-%m-%d %H:%M:%S') AS latest
 FROM ev WHERE event_type IN ('view', 'click') GROUP BY username, repo""",
@@ -202,6 +255,11 @@ GROUP BY fl.seed, fl.followee, eg.repo""",
 eg AS (SELECT DISTINCT username, repo FROM ev WHERE event_type IN {ACT})
 SELECT fl.seed, fl.followee, eg.repo FROM fl LEFT JOIN eg ON fl.followee = eg.username""",
 
+    "ego_json": _ego_json("('2013')", "api", "SELECT DISTINCT username FROM names"),
+    "ego_tree_json": _ego_json("('2013')", "tree", "SELECT seed AS username FROM stored"),
+    "ego_json_named": _ego_json("('2014_1', '2014_2')", "api",
+                                "SELECT unnest(['s1', 's3', 's9999999', 'c1', 'n0', 'nobody']) AS username"),
+
     "ego_status": f"""WITH {FL_ALL}, {NAMES},
 c AS (SELECT username, count(followee) AS n FROM fl2 GROUP BY username),
 s AS (SELECT DISTINCT username FROM names)
@@ -252,24 +310,17 @@ SELECT * FROM ex WHERE c_custkey NOT IN (SELECT c_custkey FROM nw)
 UNION ALL SELECT * FROM nw""",
 
     "page_stitch": """WITH p AS (
-  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page,
+         CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN 0 ELSE 1 END AS nonempty
   FROM orders),
-q AS (
-  SELECT 'c' || o_custkey AS login, page, o_orderkey,
-         CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE 1 END AS nonempty
-  FROM p WHERE page <= 10 AND o_orderkey % 13 <> 0),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY login ORDER BY page) AS rn,
-         min(nonempty) OVER (PARTITION BY login ORDER BY page
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS all_ok
-  FROM q),
-u AS (SELECT DISTINCT login FROM q),
-ok AS (SELECT * FROM r WHERE page = rn AND all_ok = 1 AND page <= 9)
-SELECT u.login AS username,
-       coalesce(string_agg('o' || ok.o_orderkey, ',' ORDER BY ok.page), '') AS following,
-       count(ok.page)::BIGINT AS n_following
-FROM u LEFT JOIN ok ON u.login = ok.login
-GROUP BY u.login""",
+  SELECT *, min(nonempty) OVER (PARTITION BY o_custkey ORDER BY page
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS all_ok
+  FROM p)
+SELECT 'c' || o_custkey AS username, o_custkey AS id,
+       coalesce(string_agg(CASE WHEN all_ok = 1 THEN 'o' || o_orderkey END, ',' ORDER BY page), '') AS following,
+       count(CASE WHEN all_ok = 1 THEN 1 END)::BIGINT AS n_following
+FROM r GROUP BY o_custkey""",
 
     "extract_links": f"""WITH x AS (
   SELECT page_id,

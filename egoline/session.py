@@ -41,8 +41,7 @@ def get_session(master: str = "local[*]", app: str = "egoline",
     return spark
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 max_shuffle_partitions: int = 200_000) -> dict:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a large run, sized from the input volume.
 
     Shuffle partitions start near ``input / target`` (AQE then coalesces the
@@ -51,7 +50,7 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     median (AQE splits it), and runtime broadcasts are limited to sides AQE
     has measured under 64 MB.
     """
-    parts = min(max_shuffle_partitions, max(200, -(-input_bytes // target_partition_bytes)))
+    parts = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -70,11 +69,14 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment (a shared file system);
-    we only read it. Only when it is unset (local tests) do we create one.
+    On a cluster the folder is set by the deployment (a shared file system) and
+    a session without it is an error: no folder of the driver's own machine
+    could hold what executors write. A local session gets a folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="egoline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

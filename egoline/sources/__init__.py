@@ -1,7 +1,8 @@
 from egoline.sources.readers import (  # noqa: F401
-    read_edges, read_html_pages, read_table, read_timeline, read_topic, read_user_dumps,
+    read_edges, read_table, read_timeline, read_topic, read_user_dumps,
 )
 from egoline.sources.sinks import (  # noqa: F401
-    RejectedRows, enforce_rejects, split_rejects, to_messages, upsert, write_edges, write_messages,
+    RejectedRows, enforce_rejects, to_messages, upsert, write_edges, write_messages,
     write_snapshot,
 )
+from egoline.sources.snapshots import commit, current_path, read_current  # noqa: F401

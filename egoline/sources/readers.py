@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from egoline import schemas
+from egoline.functions.constants import REJECTS
+from egoline.sources.snapshots import current_path
 
 
 def read_timeline(spark: SparkSession, path, schema: T.StructType = schemas.TIMELINE_READ,
@@ -38,10 +40,10 @@ def read_topic(spark: SparkSession, root: str, topic: str | None = None,
     Partition columns are discovered from the folder names, so a filter on
     ``topic`` or on the hour range prunes whole folders before any file opens.
     ``schema`` parses the message value; without it the raw JSON text is kept.
+    Messages that could not be placed are only read by their own topic.
     """
     df = spark.read.option("basePath", root).json(root, schema=_landed_schema())
-    if topic is not None:
-        df = df.filter(F.col("topic") == topic)
+    df = df.filter(F.col("topic") == topic if topic is not None else F.col("topic") != REJECTS)
     hour_key = (F.col("year") * 1000000 + F.col("month") * 10000
                 + F.col("day") * 100 + F.col("hour"))
     if since is not None:
@@ -81,7 +83,8 @@ def read_user_dumps(spark: SparkSession, path: str, lo: int | None = None, hi: i
     if array_files:
         r = r.option("multiLine", True)
     df = r.json(path)
-    file_no = F.regexp_extract(F.input_file_name(), prefix + r"(\d+)(\.[a-z0-9]+)?$", 1)
+    # the file's name is metadata: a filter on it drops whole files before they are opened
+    file_no = F.regexp_extract(F.col("_metadata.file_name"), prefix + r"(\d+)(\.[a-z0-9]+)*$", 1)
     df = df.withColumn("file_no", F.when(file_no != "", file_no.cast("long")))
     if lo is not None:
         df = df.filter(F.col("file_no") >= lo)
@@ -90,11 +93,6 @@ def read_user_dumps(spark: SparkSession, path: str, lo: int | None = None, hi: i
     return df
 
 
-def read_html_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored follow pages ``(url, html)`` from parquet."""
-    return spark.read.parquet(path).select("url", "html")
-
-
 def read_edges(spark: SparkSession, path: str, label: str | None = None) -> DataFrame:
     """The partitioned edge table with its declared schema; a year ``label``
     becomes a partition filter, so only that label's folders are listed and read."""
@@ -106,26 +104,6 @@ def read_edges(spark: SparkSession, path: str, label: str | None = None) -> Data
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Full scan of a keyed table written by the sinks."""
-    return spark.read.format(fmt).load(path)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a freshly read source that plans fewer splits than the cluster
-    has task slots. Call it right after ``spark.read`` (on a plain scan the
-    split count is known from planning; nothing runs).
-
-    A file written as one row group (or one gzip stream) is read by a single
-    task, and everything up to the first shuffle runs there. When the scan
-    has fewer splits than ``min_partitions`` (default: the default parallelism)
-    the rows are redistributed round-robin (deterministic on retry: Spark
-    sorts before a round-robin repartition). A large input already has enough
-    splits and is returned unchanged, so no extra shuffle is paid at scale.
-    """
-    want = min_partitions or spark_parallelism(df.sparkSession)
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
-
-
-def spark_parallelism(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+    """Full scan of a keyed table: its committed snapshot, or the files at ``path``
+    where it was written as plain files."""
+    return spark.read.format(fmt).load(current_path(spark, path) or path)

@@ -39,14 +39,6 @@ def upsert(existing: DataFrame, new: DataFrame, key) -> DataFrame:
     return kept.unionByName(new.select(*existing.columns))
 
 
-def split_rejects(df: DataFrame, reason: Column | str = "reason"):
-    """Split rows by a reason column: (good rows without it, rejected rows)."""
-    r = F.col(reason) if isinstance(reason, str) else reason
-    good = df.filter(r.isNull()).drop(reason if isinstance(reason, str) else "reason")
-    bad = df.filter(r.isNotNull())
-    return good, bad
-
-
 class RejectedRows(ValueError):
     """Raised by :func:`enforce_rejects` in ``fail`` mode."""
 

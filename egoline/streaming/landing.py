@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from egoline import schemas
+from egoline.functions.constants import REJECTS
+
+#: Files that one hour of a topic may spread over in a batch.
+FILES_PER_HOUR = 4
 
 
 def topic_stream(spark: SparkSession, fmt: str = "json", path: str | None = None,
@@ -36,13 +40,16 @@ def topic_stream(spark: SparkSession, fmt: str = "json", path: str | None = None
 
 def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None = None,
                 deny=(), compression: str = "gzip", available_now: bool = True,
-                processing_time: str | None = None, files_per_hour: int = 1,
+                processing_time: str | None = None, files_per_hour: int = FILES_PER_HOUR,
                 num_partitions: int | None = None) -> StreamingQuery:
     """Land a message stream into hourly topic folders.
 
     ``allow`` is a regular expression over topic names (all when None);
     ``deny`` a list of names to drop. Hour folders come from the message
-    timestamp in the session time zone (UTC by default).
+    timestamp in the session time zone (UTC by default). Messages without a
+    topic or a readable timestamp have no folder: they go to the same tree under
+    ``topic=_rejects`` with the hour zero of the year zero, and their value is
+    the whole message.
 
     Rows are shuffled by hour folder before the write, so each micro-batch
     writes up to ``files_per_hour`` files per folder instead of one small file
@@ -51,12 +58,15 @@ def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None
     """
     s = stream
     if allow is not None:
-        s = s.filter(F.col("topic").rlike(allow))
+        s = s.filter(F.coalesce(F.col("topic").rlike(allow), F.lit(True)))
     if deny:
-        s = s.filter(~F.col("topic").isin(list(deny)))
-    s = s.select("topic", "value", "timestamp",
-                 F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
-                 F.dayofmonth("timestamp").alias("day"), F.hour("timestamp").alias("hour"))
+        s = s.filter(F.coalesce(~F.col("topic").isin(list(deny)), F.lit(True)))
+    good = F.col("topic").isNotNull() & F.col("timestamp").isNotNull()
+    part = lambda f: F.when(good, f("timestamp")).otherwise(0)
+    s = s.select(F.when(good, F.col("topic")).otherwise(REJECTS).alias("topic"),
+                 F.when(good, F.col("value")).otherwise(F.to_json(F.struct("topic", "value"))).alias("value"), "timestamp",
+                 part(F.year).alias("year"), part(F.month).alias("month"),
+                 part(F.dayofmonth).alias("day"), part(F.hour).alias("hour"))
     folder = [F.col(c) for c in ("topic", "year", "month", "day", "hour")]
     spread = F.pmod(F.xxhash64("value"), F.lit(max(1, files_per_hour)))
     s = (s.repartition(num_partitions, *folder, spread) if num_partitions

@@ -63,3 +63,12 @@ def test_fetched_keeps_prefix_before_bad_element(spark):
     got = {r.username: (r.following, r.status) for r in FL.parse_follows_fetched(df).collect()}
     assert got == {"u1": (["x"], "ok"), "u2": ([], "not_following"), "u3": ([], "not_following"),
                    "u4": ([], "not_following"), "u5": (["x", None, "y"], "ok")}
+
+
+def test_f1_null_login_stays_and_junk_drops_the_list(spark):
+    rows = [("a", ['{"login":"x"}', '{"login":null}']), ("b", ['{"login":"x"} junk']), ("c", ['{"name":"x"}']), ("d", ['{"login":"x"},{"login":"y"}']),
+            ("e", ["[1]"]), ("f", [None]), ("g", ['{"login":"x","more":{"k":[1]}}'])]
+    df = spark.createDataFrame(rows, "login string, following array<string>")
+    got = {r.username: (r.following, r.status) for r in FL.parse_follows_json(df).collect()}
+    bad = (None, "not_following")
+    assert got == {"a": (["x", None], "ok"), "b": bad, "c": bad, "d": bad, "e": bad, "f": bad, "g": (["x"], "ok")}

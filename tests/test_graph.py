@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from egoline.operators import graph as G
 from egoline.operators.edges import parts_for_label
-from egoline.operators.skew import skew_join
+from egoline.operators.skew import hot_keys, skew_join
 
 FOLLOW = T.StructType([T.StructField("username", T.StringType()), T.StructField("pos", T.LongType()),
                        T.StructField("followee", T.StringType())])
@@ -35,9 +35,7 @@ def test_ego_long_and_json(spark):
                     (2, "z", "", ""),
                     (3, "a", "o/r1", "2014_1"), (3, "a", "o/r1", "2014_2"), (3, "a", "o/r2", "2014_1")]
     seeds = spark.createDataFrame([("u",), ("n",), ("x",)], "username string")
-    nodes = G.ego_nodes(follows, edges, seeds=seeds, label="2014")
-    out = {r.username: json.loads(r.json)
-           for r in G.ego_json(nodes, G.ego_status(seeds, follows)).collect()}
+    out = {r.username: json.loads(r.json) for r in G.ego_json(follows, edges, seeds=seeds, label="2014").collect()}
     assert out["u"] == {"username": "u", "following": [
         {"username": "b", "repositories": ["o/r4"]},
         {"username": "a", "repositories": ["o/r1", "o/r1", "o/r2"]},
@@ -56,12 +54,11 @@ def test_distinct_across_parts(spark):
 
 def test_tree_form_and_stats(spark):
     follows, edges = _fixture(spark)
-    nodes = G.ego_nodes(follows, edges, label="2013")
-    tree = json.loads(G.ego_json(nodes, form="tree").first().json)
+    tree = json.loads(G.ego_json(follows, edges, label="2013", form="tree").first().json)
     assert tree["name"] == "u"
     assert tree["children"][0] == {"name": "b", "children": [{"name": "o/r3", "size": 10000}]}
     assert tree["children"][1] == {"name": "a"}
-    st = G.tree_stats(nodes).first()
+    st = G.tree_stats(follows, edges, label="2013").first()
     assert (st.total_nodes, st.level1, st.level2, st.max_label_length) == (6, 4, 1, 4)
 
 
@@ -81,7 +78,7 @@ def test_unknown_label(spark):
 def test_skew_join_equals_plain_join(spark):
     left = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(60)], "id long, k string")
     right = spark.createDataFrame([("hot", j) for j in range(5)] + [("k3", 9)], "k string, v long")
-    salted = skew_join(left, right, "k", "left", buckets=4, min_rows=5)
+    salted = skew_join(left, right, "k", "left", hot_keys(left, "k", 5), buckets=4)
     plain = left.join(right, "k", "left")
     cols = ["id", "k", "v"]
     assert sorted(salted.select(cols).collect()) == sorted(plain.select(cols).collect())
@@ -95,8 +92,8 @@ def test_siblings_case_insensitive(spark):
 def test_ego_graph_salted_equals_plain(spark):
     follows, edges = _fixture(spark)
     cols = ["seed", "pos", "followee", "repo", "part"]
-    salted = G.ego_graph(follows, edges, label="All", salt_buckets=4, hot_min_rows=1)
-    plain = G.ego_graph(follows, edges, label="All", salt_buckets=0)
+    salted = G.ego_graph(follows, edges, label="All", hot=edges.selectExpr("username AS followee"))
+    plain = G.ego_graph(follows, edges, label="All")
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(salted.select(cols).collect(), key=key) == sorted(plain.select(cols).collect(), key=key)
     assert "_salt" in salted._jdf.queryExecution().executedPlan().toString()
@@ -111,11 +108,11 @@ def test_skew_join_with_given_hot_keys(spark):
     assert sorted(salted.select("id", "k", "v").collect()) == sorted(plain.select("id", "k", "v").collect())
 
 
-def test_skew_join_given_hot_over_bound_and_map_column(spark):
+def test_skew_join_with_a_map_column(spark):
     left = spark.createDataFrame([(i, f"k{i % 4}", {"x": i}) for i in range(40)], "id long, k string, m map<string,long>")
     right = spark.createDataFrame([(f"k{j}", j) for j in range(4)], "k string, v long")
     hot = spark.createDataFrame([(f"k{j}",) for j in range(4)], "k string")
-    salted = skew_join(left, right, "k", "left", buckets=3, hot=hot, max_hot_keys=2)
+    salted = skew_join(left, right, "k", "left", buckets=3, hot=hot)
     plain = left.join(right, "k", "left")
     assert sorted(salted.select("id", "k", "v").collect()) == sorted(plain.select("id", "k", "v").collect())
 
@@ -124,3 +121,26 @@ def test_status_of_every_stored_user(spark):
     follows, _ = _fixture(spark)
     got = {r.username: (r.status, r.n_following) for r in G.ego_status(None, follows).collect()}
     assert got == {"u": ("ok", 4), "n": ("not_following", 0)}
+
+
+def test_stored_list_of_one_null_login_is_a_list(spark):
+    follows = spark.createDataFrame([("u", 0, None)], FOLLOW)
+    seeds = spark.createDataFrame([("u",)], "username string")
+    _, edges = _fixture(spark)
+    assert G.ego_status(seeds, follows).first().status == "ok"
+    assert json.loads(G.ego_json(follows, edges, seeds=seeds, label="2014").first().json) == {"username": "u", "following": []}
+
+
+def test_part_counts_agree_with_the_long_form(spark):
+    follows, edges = _fixture(spark)
+    counts = sorted((r.pos, r.followee, r.repo or "", r.n_parts) for r in G.ego_part_counts(follows, edges, label="2014").collect())
+    long = G.ego_graph(follows, edges, label="2014").groupBy("pos", "followee", "repo").agg({"part": "count"}).collect()
+    assert counts == sorted((r[0], r[1], r[2] or "", r[3]) for r in long)
+
+
+def test_building_an_answer_runs_no_job_and_reads_follows_once(spark, tmp_path):
+    follows, edges = _fixture(spark)
+    follows.write.parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    plan = G.ego_json(stored, edges, seeds=edges.select("username"), label="2014")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [username") == 1

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from egoline.plans import jobs
+from egoline.sources import read_table
 from egoline.streaming import land_topics, topic_stream
 from tests.conftest import write_lines
 
@@ -43,8 +44,8 @@ def test_follows_job_precedence_and_upsert(spark, tmp_path):
     assert got == {"u": ["z"], "v": None}
     prev = spark.createDataFrame([("w", ["q"]), ("u", ["old"])], "username string, following array<string>")
     prev.write.parquet(str(tmp_path / "uf1"))
-    second = jobs.follows_job(spark, root, topics, str(tmp_path / "uf1"))
-    got = {r.username: r.following for r in spark.read.parquet(second).collect()}
+    jobs.follows_job(spark, root, topics, str(tmp_path / "uf1"))
+    got = {r.username: r.following for r in read_table(spark, str(tmp_path / "uf1")).collect()}
     assert got == {"u": ["z"], "v": None, "w": ["q"]}
 
 
@@ -72,7 +73,7 @@ def test_bucketed_graph_tables_join_without_shuffle(spark):
     try:
         for k in prev:
             spark.conf.set(k, "-1")  # force the sort-merge path the tables are laid out for
-        nodes = G.join_nodes(spark.table("ego_follows"), spark.table("ego_followee_repos"), salt_buckets=0)
+        nodes = G.join_nodes(spark.table("ego_follows"), spark.table("ego_followee_repos"))
         got = sorted((r.seed, r.pos, r.followee, tuple(r.repos or ())) for r in nodes.collect())
         plan = nodes._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -83,3 +84,44 @@ def test_bucketed_graph_tables_join_without_shuffle(spark):
                 spark.conf.set(k, v)
     assert got == [("u", 0, "a", ("o/r1", "o/r2")), ("u", 1, "b", ()), ("v", 0, "a", ("o/r1", "o/r2"))]
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def _land(spark, tmp_path, name, msgs):
+    src = tmp_path / f"{name}-in"
+    src.mkdir()
+    (src / "m.json").write_text("\n".join(json.dumps({"topic": t, "value": json.dumps(v), "timestamp": ts}) for t, v, ts in msgs) + "\n")
+    root = str(tmp_path / name)
+    land_topics(topic_stream(spark, "json", str(src)), root, str(tmp_path / f"{name}-ck")).awaitTermination()
+    return root
+
+
+def test_batches_add_up_and_ties_are_decided(spark, tmp_path):
+    f = lambda *names: {"following": [{"login": n} for n in names]}
+    ts = "2015-06-01T01:00:00Z"
+    one = _land(spark, tmp_path, "one", [("t", {"login": "a", **f("x")}, ts), ("t", {"login": "b", **f("y")}, ts)])
+    two = _land(spark, tmp_path, "two", [("t", {"login": "b", **f("p")}, ts), ("t", {"login": "b", **f("q")}, ts), ("t", {"login": "c", **f("z")}, ts)])
+    table = str(tmp_path / "uf")
+    for root in (one, two):
+        jobs.follows_job(spark, root, [("t", "f2")], table)
+    got = {r.username: r.following for r in read_table(spark, table).collect()}
+    assert got == {"a": ["x"], "b": ["q"], "c": ["z"]}
+
+
+def test_unreadable_table_is_no_first_run(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    (tmp_path / "ids").mkdir()
+    users = spark.createDataFrame([("a", 1)], "login string, id long")
+    with pytest.raises(AnalysisException):
+        jobs.user_ids_job(spark, users, str(tmp_path / "ids"))
+
+
+def test_rerun_on_corrected_input_leaves_no_stale_reject(spark, tmp_path):
+    bad = write_lines(tmp_path / "bad" / "a.json", [json.dumps({"type": "ForkEvent", "repo": {"name": "o/r2"}}),
+                                                     json.dumps({"type": "WatchEvent", "actor": {"login": "b"}, "repo": {"name": "o/r2"}, "created_at": "noon"})])
+    good = write_lines(tmp_path / "good" / "a.json", [json.dumps({"type": "ForkEvent", "actor": {"login": "b"}, "repo": {"name": "o/r2"}})])
+    edges, rejects = str(tmp_path / "edges"), str(tmp_path / "rejects")
+    jobs.yearly_edges_job(spark, bad, "v1", "2015", edges, rejects)
+    assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == ["bad_time", "null_user"]
+    jobs.yearly_edges_job(spark, good, "v1", "2015", edges, rejects)
+    assert spark.read.parquet(rejects).count() == 0 and spark.read.parquet(edges).count() == 1

@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from egoline import schemas
-from egoline.functions.constants import FOLLOW_LINK_PATTERN
+from egoline.functions.constants import MAX_PAGES
 from egoline.operators import lookup as L
 from egoline.operators import pages as PG
 from egoline.operators import trends as TR
@@ -24,7 +24,8 @@ def test_stitch_rules(spark):
             ("e", 1, []),
             ("m", 2, ["x"])]
     rows += [("c", p, [f"e{p}"]) for p in range(1, 12)]
-    got = _stitch(spark, rows)
+    got = _stitch(spark, rows, max_pages=MAX_PAGES)
+    assert _stitch(spark, rows)["c"] == [f"e{p}" for p in range(1, 12)]
     assert got["s"] == ["a", "b"]
     assert got["g"] == ["a"]
     assert got["e"] == []
@@ -36,11 +37,11 @@ def test_extract_links_from_follow_pages(spark):
     html = ('<div><h3 class="follow-list-name"><a href="/alice">Alice A</a></h3>'
             '<h3 class="follow-list-name"><a href="/bob">Bob</a></h3><a href="/other">x</a></div>')
     df = spark.createDataFrame([("u/following", html)], schemas.STORED_HTML)
-    got = [(r.pos, r.slug, r.text) for r in PG.extract_links(df, FOLLOW_LINK_PATTERN).orderBy("pos").collect()]
+    got = [(r.pos, r.slug, r.text) for r in PG.extract_follow_links(df).orderBy("pos").collect()]
     assert got == [(1, "alice", "Alice A"), (2, "bob", "Bob")]
     pages = spark.createDataFrame([("u", 1, html), ("u", 2, "<p>none</p>"), ("u", 3, html)],
                                   "login string, page int, html string")
-    st = PG.follow_pages_from_html(pages, FOLLOW_LINK_PATTERN).first()
+    st = PG.follow_pages_from_html(pages).first()
     assert st.following == ["alice", "bob"]
 
 
@@ -109,19 +110,10 @@ def test_snapshot_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(part" in back._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_only_small_scans(spark, tmp_path):
-    from egoline.sources.readers import spread
-    p = str(tmp_path / "one")
-    spark.range(1000).coalesce(1).write.parquet(p)
-    df = spark.read.parquet(p)
-    assert spread(df, 4).rdd.getNumPartitions() == 4
-    assert spread(df, 1) is df
-
-
 def test_cluster_conf_sizes():
     from egoline.session import cluster_conf
     c = cluster_conf(100 * (1 << 40))
-    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert c["spark.sql.shuffle.partitions"] == "409600"
     assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
@@ -199,7 +191,45 @@ def test_html_pages_have_no_cap(spark):
     html = '<h3 class="follow-list-name"><a href="/p{0}">P{0}</a></h3>'
     rows = [("u", p, html.format(p)) for p in range(1, 13)] + [("u", 13, "<p>end</p>"), ("u", 14, html.format(14))]
     pages = spark.createDataFrame(rows, "login string, page int, html string")
-    st = PG.follow_pages_from_html(pages, FOLLOW_LINK_PATTERN).first()
+    st = PG.follow_pages_from_html(pages).first()
     assert st.following == [f"p{p}" for p in range(1, 13)]
-    capped = PG.follow_pages_from_html(pages, FOLLOW_LINK_PATTERN, max_pages=9).first()
+    capped = PG.follow_pages_from_html(pages, max_pages=9).first()
     assert capped.n_following == 9
+
+
+def test_stitch_duplicate_pages_failed_calls_and_ids(spark):
+    rows = [("a", 7, 1, 1, ["old"]), ("a", 7, 1, 2, ["new"]), ("a", 7, 2, 1, ["x"]), ("a", 7, 3, 1, ["y"]),
+            ("b", 8, 1, 1, ["p"]), ("b", 8, 2, 1, None), ("b", 8, 3, 1, ["q"])]
+    df = spark.createDataFrame(rows, "login string, id long, page int, fetched int, response array<string>")
+    got = {r.login: (r.id, r.following) for r in PG.stitch_pages(df, fetched="fetched", keep=("id",)).collect()}
+    assert got == {"a": (7, ["new", "x", "y"]), "b": (8, ["p"])}
+
+
+def test_follow_links_in_any_markup(spark):
+    h = 'follow-list-name'
+    cases = [f'<h3 class="{h}"><a href="/a">A &amp; B</a></h3>', f'<h3 class="{h}"><span class="x"><a href="/a">A</a></span></h3>',
+             f'<h3 class="{h}"><a class="u" href="/a">A</a></h3>', f'<h3 class="{h}"><a href="/a"><b>A</b></a></h3>',
+             f'<h3 id="i" class="css {h}"><a href="/a">A</a></h3>', f"<h3 class='{h}'><a href='/a'>A</a></h3>"]
+    none = ['<h3 class="other"><a href="/a">A</a></h3>', f'<h3 class="{h}">no link</h3>', f'<h3 class="{h}-x"><a href="/a">A</a></h3>',
+            '<a href="/a">A</a>', "", None]
+    df = spark.createDataFrame(list(enumerate(cases + none)), "url long, html string")
+    got = {r.url: (r.slug, r.text) for r in PG.extract_follow_links(df).collect()}
+    assert got == {0: ("a", "A & B"), **{i: ("a", "A") for i in range(1, 6)}}
+    pages = spark.createDataFrame([("u", 1, cases[0]), ("u", 2, cases[3]), ("u", 3, cases[5])], "login string, page int, html string")
+    assert PG.follow_pages_from_html(pages).first().following == ["a", "a", "a"]
+
+
+def test_times_of_the_timeline(spark):
+    from egoline.functions import columns as C
+    texts = ["2012-03-10T22:42:06Z", "2012-03-10T22:42:06.000Z", "2012-03-10T14:42:06-08:00", "2012/03/10 14:42:06 -0800", "noon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.date_format(C.parse_created_at("t"), "yyyy-MM-dd HH:mm:ss").alias("x"))
+    assert [r.x for r in df.collect()] == ["2012-03-10 22:42:06"] * 4 + [None, None]
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from egoline.session import ensure_checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(cluster)

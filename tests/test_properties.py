@@ -9,7 +9,7 @@ from egoline import schemas
 from egoline.operators import edges as E
 from egoline.operators import follows as FL
 from egoline.operators import pages as PG
-from egoline.operators.skew import skew_join
+from egoline.operators.skew import hot_keys, skew_join
 
 SETTINGS = settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
@@ -19,19 +19,17 @@ pages_rows = st.lists(st.tuples(users, st.integers(0, 12),
                                 st.lists(st.sampled_from(["a", "b", "c"]), max_size=3)), max_size=30)
 
 
-def brute_stitch(rows, max_pages=9):
-    by_user = defaultdict(list)
+def brute_stitch(rows, max_pages):
+    """Page after page until one is empty or missing; of a page fetched twice the greater response."""
+    best = {}
     for login, page, resp in rows:
-        by_user[login].append((page, resp))
+        best[login, page] = max(resp, best.get((login, page), []))
     out = {}
-    for login, ps in by_user.items():
-        kept = sorted((p, r) for p, r in ps if 1 <= p <= max_pages)
-        lst = []
-        for i, (p, r) in enumerate(kept):
-            if p != i + 1 or not r:
-                break
-            lst.extend(r)
-        out[login] = lst
+    for login in {r[0] for r in rows}:
+        out[login], page = [], 1
+        while page <= max_pages and best.get((login, page)):
+            out[login] += best[login, page]
+            page += 1
     return out
 
 
@@ -39,8 +37,9 @@ def brute_stitch(rows, max_pages=9):
 @given(pages_rows)
 def test_stitch_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, schemas.PAGES)
-    got = {r.login: r.following for r in PG.stitch_pages(df).collect()}
-    assert got == brute_stitch(rows)
+    for cap in (None, 9):
+        got = {r.login: r.following for r in PG.stitch_pages(df, cap).collect()}
+        assert got == brute_stitch(rows, cap or 99)
 
 
 @SETTINGS
@@ -73,14 +72,11 @@ def test_invert_matches_brute_force(spark, rows):
 def test_merge_sources_matches_brute_force(spark, rows):
     schema = "username string, event_id long, following array<string>"
     srcs = [(p, spark.createDataFrame([(u, e, f) for pp, u, e, f in rows if pp == p], schema)) for p in (3, 4, 5, 7)]
-    got = {r.username: (r.event_id, r.following) for r in FL.merge_sources(srcs, tie="event_id").collect()}
+    got = {r.username: (r.event_id, r.following) for r in FL.merge_sources(srcs, tie=("event_id", "following")).collect()}
     best = {}
     for p, u, e, f in rows:
-        if u not in best or (p, e) > best[u][0]:
-            best[u] = ((p, e), (e, f))
-    # equal (priority, tie) pairs make the winner ambiguous; compare only unambiguous keys
-    amb = {u for u in best if sum(1 for p, uu, e, _ in rows if uu == u and (p, e) == best[u][0]) > 1}
-    assert {u: v for u, v in got.items() if u not in amb} == {u: v[1] for u, v in best.items() if u not in amb}
+        best[u] = max(best.get(u, ((), None)), ((p, e, f is not None, f or []), (e, f)), key=lambda x: x[0])
+    assert got == {u: v[1] for u, v in best.items()}
 
 
 @SETTINGS
@@ -91,7 +87,7 @@ def test_skew_join_matches_plain(spark, left_rows, right_rows, min_rows, buckets
     left = spark.createDataFrame(left_rows, "id long, k string")
     right = spark.createDataFrame(right_rows, "k string, v long")
     for how in ("left", "inner"):
-        salted = skew_join(left, right, "k", how, buckets=buckets, min_rows=min_rows)
+        salted = skew_join(left, right, "k", how, hot_keys(left, "k", min_rows), buckets)
         plain = left.join(right, "k", how)
         key = lambda r: tuple(-1 if x is None else x for x in r)
         assert sorted(salted.select("id", "k", "v").collect(), key=key) == \
@@ -106,8 +102,8 @@ def test_node_form_agrees_with_long_form(spark, follow_rows, edge_rows, label, a
     from egoline.operators import graph as G
     follows = spark.createDataFrame(follow_rows, "username string, pos long, followee string")
     edges = spark.createDataFrame(edge_rows, "username string, repo string, part string")
-    long = G.ego_graph(follows, edges, label=label, distinct_across=across, salt_buckets=0)
-    nodes = G.ego_nodes(follows, edges, label=label, distinct_across=across, salt_buckets=0)
+    long = G.ego_graph(follows, edges, label=label, distinct_across=across)
+    nodes = G.ego_nodes(follows, edges, label=label, distinct_across=across)
     dup = Counter((u, p, f) for u, p, f in follow_rows if f is not None)
     per_edge = defaultdict(list)
     for r in long.collect():
