@@ -14,7 +14,7 @@ Use: a linear-time scan finds every maximal segment of every document (the
 algorithm of Ruzzo and Tompa, over the significant words only, since the drift
 between two of them is known). Texts alone are scored; labels, languages,
 sources and ids are no inputs. Only the fitted words (at most ``LEXICON``) and
-five numbers are broadcast.
+four numbers are broadcast.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def segments(positions: list[int], scores: list[float], drift: float) -> list[tu
 class Model:
     scores: dict[bytes, float]
     decay: float
-    factor: float
+    log_factor: float
     bias: float
     slope: float
 
@@ -80,7 +80,7 @@ class Model:
         """Maximal segments with their evidence beyond chance, the significant ones only."""
         got = list(map(self.scores.get, ws, repeat(0.0)))
         at = [i for i, s in enumerate(got) if s]
-        chance = math.log(max(self.factor * len(ws), 1e-9)) if ws else 0.0
+        chance = self.log_factor + math.log(len(ws)) if at else 0.0
         found = [(self.decay * s - chance, a, e) for s, a, e in segments(at, [got[i] for i in at], DRIFT)]
         return [x for x in found if x[0] > 0]
 
@@ -107,7 +107,7 @@ def decay_of(share: np.ndarray, score: np.ndarray) -> float:
     """The positive root of ``E exp(x * score) = 1``; scores have a negative mean."""
     lo, hi = 1e-6, 1.0
     over = lambda x: float((share * np.exp(x * score)).sum()) > 1
-    while not over(hi) and hi < 1e3:
+    while not over(hi) and hi < 64:
         hi *= 2
     for _ in range(80):
         mid = (lo + hi) / 2
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str
     n1, n0 = by_class.get(1, 0), by_class.get(0, 0)
     if not n1 or not n0:
         share = n1 / (n1 + n0) if n1 + n0 else 0.5
-        return Model({}, 1.0, 1.0, math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0)
+        return Model({}, 1.0, 0.0, math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0)
     both = F.col("toxic") + F.col("clean")
     count = picked.mapInArrow(counted, "word binary, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     prior1 = F.lit(PRIOR) * both / (n1 + n0)
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str
     rare = count.filter(both <= 0.5 * (n1 + n0)).select("word", "toxic", "clean", delta.alias("delta"), (delta / spread).alias("z"))
     best = rare.filter((F.col("toxic") >= LEAST_DOCS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(LEXICON).collect()
     scores = {bytes(r["word"]): r["delta"] for r in best}
-    model = Model(scores, 1.0, 1.0, 0.0, 1.0)
+    model = Model(scores, 1.0, 0.0, 0.0, 1.0)
 
     def measured(batches):
         """Words, best segment and the number of each score's occurrences, as the sample has them."""
@@ -172,12 +172,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str
     clean = [r for r in rows if r["y"] == 0 and r["n"]]
     total = sum(r["n"] for r in clean)
     hits = sum(r["hits"] for r in clean)
-    if scores and hits:
-        mean = sum(r["sum"] for r in clean) / hits
-        share = min(hits / total, 0.5 * -DRIFT / (mean - DRIFT))  # the mean score of clean text is negative
+    if scores and total:
+        mean = sum(r["sum"] for r in clean) / hits if hits else sum(scores.values()) / len(scores)
+        share = min(max(hits, 0.5) / total, 0.5 * -DRIFT / (mean - DRIFT))  # the mean score of clean text is negative
         model.decay = decay_of(np.array([1 - share, share]), np.array([DRIFT, mean]))
-        # the mean of exp(-decay * best) over clean documents, scaled by length, is the factor's moment estimate
-        model.factor = max(1e-6, sum(math.exp(model.decay * r["top"]) > 1 for r in clean) / total)
+        # segments of at least the mean score per word of clean text give the factor of the law
+        reached = max(0.5, sum(r["top"] >= mean for r in clean))
+        model.log_factor = math.log(reached / total) + model.decay * mean
     weighed = picked.mapInArrow(lambda batches: weigh(batches, model), "y int, x double").collect()
     model.bias, model.slope = logistic(np.array([r["x"] for r in weighed]), np.array([r["y"] for r in weighed], float))
     return model
