@@ -84,4 +84,39 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_sentencepiece, op3_ngram_jaccard, op4_quality_rules, op5_decontamination, op6_pii,
     op7_suffix_dedup, op8_token_files, op9_toxicity, op10_sharding)}
-ORACLE: dict[str, str] = {}
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+NORMAL = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: Tokenizers, concentration steps, spans with checksums, suffix sorting, fitted models and hashed
+#: orders are beyond SQL; their queries are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op3_ngram_jaccard": f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM w),
+x AS (SELECT doc_id, unnest(s) AS t FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM x a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)),
+r AS (SELECT doc_id, doc_id AS node FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, m.least AS component_id
+FROM s JOIN (SELECT doc_id, min(node) AS least FROM r GROUP BY doc_id) m ON m.doc_id = s.doc_id""",
+
+    "op5_decontamination": f"""WITH d AS (SELECT doc_id, {NORMAL} AS w FROM documents),
+i AS (SELECT item_id, {NORMAL} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[p:p + least(10, len(w)) - 1] AS win
+  FROM i, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS u(p) WHERE len(w) > 0),
+dw AS (
+  SELECT doc_id, p, z.n, w[p:p + z.n - 1] AS win
+  FROM (SELECT DISTINCT n FROM iw) z, d, unnest(generate_series(1, len(w))) AS u(p) WHERE p + z.n - 1 <= len(w)),
+h AS (SELECT DISTINCT dw.doc_id, dw.p, dw.n, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+k AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM h, unnest(generate_series(p, p + n - 1)) AS u(q) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id""",
+}
