@@ -230,15 +230,24 @@ class Counter(dict):
             return n + sum(map(self.plain, self.split.split(text)))
         return self.plain(text)
 
+    def simple(self, word: str, lead: str) -> int | None:
+        """Tokens of a word of letters, perhaps with one mark at its end; None for any other."""
+        if word.isalpha():
+            return self.pre_token(lead + word)
+        if word[-1:] in ENDS and word[:-1].isalpha():
+            return self.pre_token(lead + word[:-1]) + self.pre_token(word[-1])
+        return None
+
     def __missing__(self, word: str) -> int:
+        n = self.simple(word, " ")
+        if n is None:
+            # the last word of a line and the first of the next: the line's end is a pre-token of its own
+            last, end, first = word.partition("\n")
+            if end and (a := self.simple(last, " ")) is not None and (b := self.simple(first, "")) is not None:
+                return a + self.pre_token("\n") + b
+            n = self.text(" " + word)
         if len(self) >= TABLE:
             self.clear()
-        if word.isalpha():
-            n = self.pre_token(" " + word)
-        elif word[-1:] in ENDS and word[:-1].isalpha():
-            n = self.pre_token(" " + word[:-1]) + self.pre_token(word[-1])
-        else:
-            n = self.text(" " + word)
         self[word] = n
         return n
 

@@ -115,6 +115,7 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.model, self.symbols = self.tokenizer.model, byte_alphabet()
+        self.code = "H" if self.kind == "<u2" else "I"
         self.words: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
@@ -126,19 +127,29 @@ class Encoder(dict):
         if got is None:
             if len(self.words) >= TABLE:
                 self.words.clear()
-            ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.symbols))]
-            got = self.words[text] = pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+            symbols = "Ġ" + text[1:] if text[0] == " " and text.isascii() else text.encode().decode("latin-1").translate(self.symbols)
+            ids = [t.id for t in self.model.tokenize(symbols)]
+            got = self.words[text] = pack(f"<{len(ids)}{self.code}", *ids)
         return got
 
+    def plain(self, word: str, lead: str) -> bytes | None:
+        """The ids of a word of letters, perhaps with one mark at its end; None for any other."""
+        if word.isalpha():
+            return self.word(lead + word)
+        if word[-1:] in ENDS and word[:-1].isalpha():
+            return self.word(lead + word[:-1]) + self.word(word[-1])
+        return None
+
     def __missing__(self, word: str) -> bytes:
+        got = self.plain(word, " ")
+        if got is None:
+            # the last word of a line and the first of the next: the line's end is a pre-token of its own
+            last, end, first = word.partition("\n")
+            if end and (a := self.plain(last, " ")) is not None and (b := self.plain(first, "")) is not None:
+                return a + self.word("\n") + b
+            got = self.ids(" " + word)
         if len(self) >= TABLE:
             self.clear()
-        if word[-1:] in ENDS and word[:-1].isalpha():
-            got = self.word(" " + word[:-1]) + self.word(word[-1])
-        elif word.isalpha():
-            got = self.word(" " + word)
-        else:
-            got = self.ids(" " + word)
         self[word] = got
         return got
 
@@ -154,7 +165,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
+          block_ids: int = BLOCK) -> None:
     """Write the file set of ``docs``, in ascending order of id, below ``path``.
 
     Null texts count as empty and hold the end id alone. Null ids come first.
@@ -180,7 +192,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 got = enc.encode(text or "") + end
-                if ids and n_ids + len(got) // width > BLOCK:
+                if ids and n_ids + len(got) // width > block_ids:
                     yield flush()
                 ids.append(i)
                 parts.append(got)

@@ -93,21 +93,20 @@ def test_elias_fano_round_trip():
             e.select(len(v))
 
 
-def files(spark, d):
+def files(spark, d, **options):
     path = shared_path(spark, "test-token-files")
-    token_files.write(d, path, P.path("byte_bpe_50k.json"), end_id=2)
+    token_files.write(d, path, P.path("byte_bpe_50k.json"), end_id=2, **options)
     return [tuple(r) for r in token_files.read(spark, path).collect()]
 
 
-def test_token_files(spark, docs, plain, table, library, monkeypatch):
+def test_token_files(spark, docs, plain, table, library):
     import zlib
-    monkeypatch.setattr(token_files, "BLOCK", 2000)
     want, start = [], 0
     for i in sorted(plain):
         ids = [*library(plain[i]), 2]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    assert sorted(files(spark, docs.repartition(5))) == want
+    assert sorted(files(spark, docs.repartition(5), block_ids=2000)) == want
     d = table([(None, "a", 1), (None, None, 1), (-5, "b c", 1), (7, "", 1), (7, "x", 1), (2**62, "y", 1)], "doc_id long, text string, start int")
     got = sorted(files(spark, d), key=lambda r: r[1])
     assert [r[0] for r in got] == [None, None, -5, 7, 7, 2**62] and [r[2] for r in got] == [1, 2, 3, 1, 2, 2]
