@@ -29,7 +29,7 @@ from egoline.operators import graph as G
 from egoline.operators import lookup as L
 from egoline.operators import trends as TR
 from egoline.plans import jobs
-from egoline.session import DEFAULT_CONF, ensure_checkpoint_dir
+from egoline.session import DEFAULT_CONF, ensure_checkpoint_dir, release_scratch
 from egoline.sources import readers as R
 from egoline.streaming import land_topics, topic_stream
 from egoline.streaming.landing import FILES_PER_HOUR
@@ -130,6 +130,7 @@ def main(argv=None) -> None:
         TR.trending_json(R.read_table(spark, a.top)).write.mode("overwrite").json(a.out)
     elif a.cmd == "userid":
         L.lookup_ids(_seeds(spark, a.user), R.read_table(spark, a.ids)).write.mode("overwrite").json(a.out)
+    release_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -84,10 +84,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Paths handed out by ``shared_path`` in this process.
+_SCRATCH: list[str] = []
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path below the shared checkpoint folder (never host-local on a cluster)."""
+    """A fresh path below the shared checkpoint folder (never host-local on a cluster).
+
+    What is written there must outlive the lazy plans that read it; call
+    :func:`release_scratch` when their results have been stored.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts, uuid.uuid4().hex])
+    _SCRATCH.append("/".join([base, *parts, uuid.uuid4().hex]))
+    return _SCRATCH[-1]
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote below ``shared_path``; returns how many paths there were."""
+    n = len(_SCRATCH)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return n
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -125,3 +125,13 @@ def test_rerun_on_corrected_input_leaves_no_stale_reject(spark, tmp_path):
     assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == ["bad_time", "null_user"]
     jobs.yearly_edges_job(spark, good, "v1", "2015", edges, rejects)
     assert spark.read.parquet(rejects).count() == 0 and spark.read.parquet(edges).count() == 1
+
+
+def test_scratch_is_released(spark):
+    import os
+    from egoline.session import release_scratch, shared_path
+    release_scratch(spark)
+    path = shared_path(spark, "test-scratch")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path.removeprefix("file:"))
+    assert release_scratch(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
