@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from egoline.session import shared_path
@@ -31,6 +31,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def same_key(a: Column, b: Column) -> Column:
-    """Equality of keys that may be null."""
-    return a.eqNullSafe(b)
+def small(batches, rows: int = 512):
+    """The batches in slices, so that a task holds few rows as Python objects at a time."""
+    for b in batches:
+        for first in range(0, b.num_rows, rows):
+            yield b.slice(first, rows)

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from egoline.llm.common import id_text, written
+from egoline.llm.common import id_text, small, written
 from egoline.llm.components import components
 
 WORDS = 4
 #: Threshold as a fraction: 100 * intersection >= 85 * union.
 NUM, DEN = 85, 100
 #: Shingles that a task counts at a time; most entries of the frequency table (it is broadcast); largest size tried as boundary.
-CHUNK, FREQUENT, SMALL = 8_000_000, 1 << 19, 16
+CHUNK, FREQUENT, SMALL = 1_000_000, 1 << 19, 16
 #: Most ids for which the rows to re-read are picked by a broadcast; beyond, by a shuffle.
 PICKED = 1_000_000
 U = np.uint64
@@ -119,7 +119,7 @@ def census(batches):
                                pa.nulls(int(often.sum()), pa.int64())], ["token", "n", "size"])
         yield pa.record_batch([pa.nulls(len(keys), pa.int64()), pa.array(values, pa.int64()), pa.array(keys, pa.int64())], ["token", "n", "size"])
 
-    for b in batches:
+    for b in small(batches):
         for text in b.column("text").to_pylist():
             s = shingles(text)
             if not len(s) or (k := klass(s)) in seen:
@@ -155,7 +155,7 @@ def profiled(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary:
     def work(batches):
         tokens, rank = shared.value
         seen: set[int] = set()
-        for b in batches:
+        for b in small(batches):
             rows: list[list] = [[] for _ in range(7)]
             for text in b.column("text").to_pylist():
                 s = shingles(text)
@@ -241,7 +241,7 @@ def linked(pairs: DataFrame, docs: DataFrame, profiles: DataFrame) -> DataFrame:
     picked = F.broadcast(picked) if ids.count() <= PICKED else picked
 
     def work(batches):
-        for b in batches:
+        for b in small(batches):
             sets = [shingles(t) for t in b.column("text").to_pylist()]
             yield pa.record_batch([b.column("doc_id"), pa.array([klass(s) if len(s) else None for s in sets], pa.int64()),
                                    pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "c", "s"])
