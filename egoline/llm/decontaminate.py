@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from egoline.llm.common import small
+
 WINDOW = 10
 #: Most item words for which the automaton is broadcast (some hundred bytes a word on each executor).
 MAX_WORDS = 5_000_000
@@ -209,7 +211,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
 
     def work(batches):
         sam = shared.value
-        for b in batches:
+        for b in small(batches):
             texts, keep = b.column(at).to_pylist(), []
             for k, text in enumerate(texts):
                 ws = words(text)

@@ -18,10 +18,13 @@ import hashlib
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from egoline.llm.common import small
+
 TABLE = 800_000
 MARKS = " ▁"
 #: Where a marker follows another character and something follows the marker.
@@ -92,7 +95,7 @@ def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     """
     def work(batches):
         t = table(model)
-        for b in batches:
+        for b in small(batches):
             n, ids_sha, text_sha = [], [], []
             for text in b.column(1).to_pylist():
                 ids, plain = t.both(text or "")
@@ -113,8 +116,8 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
 
     def work(batches):
         t = table(model)
-        for b in batches:
-            ids = [[int(x) for x in e.split(",")] if (e := t.encode(text or "")) else [] for text in b.column(at).to_pylist()]
+        for b in small(batches, 256):
+            ids = [np.array(e.split(","), np.int32) if (e := t.encode(text or "")) else [] for text in b.column(at).to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*rest, ids_col])
 
     slim = docs.select(*rest)
@@ -128,7 +131,7 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", text_col: str = "d
 
     def work(batches):
         sp = table(model).sp
-        for b in batches:
+        for b in small(batches, 256):
             text = [sp.decode(x or []) if x else "" for x in b.column(at).to_pylist()]
             yield pa.record_batch([*b.columns, pa.array(text, pa.string())], [*rest, text_col])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from egoline.llm.common import written
+from egoline.llm.common import small, written
 from egoline.llm.decontaminate import words
 
 #: Bound on the labelled documents that the classifier is fitted on: those with the smallest hashed ids.
@@ -200,7 +200,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def work(batches):
         m = shared.value
-        for b in batches:
+        for b in small(batches):
             all_words = [words(t) for t in b.column(2).to_pylist()]
             s = [m.score(ws) for ws in all_words]
             yield pa.record_batch([b.column(0), b.column(1), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32()),
