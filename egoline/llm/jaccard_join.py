@@ -232,22 +232,43 @@ def rest_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs_of(couples.join(rows, ["token", "k"]).join(right, ["token", "l"]))
 
 
+def promising(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that what they have posted does not rule out.
+
+    Both post in one global order. Up to the last shingle that they have both
+    posted, whatever one has posted and the other has not is not in the other
+    at all; with more such shingles than a link allows the pair is none.
+    """
+    nodes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    rows = profiles.filter("posts is not null").select("c", "n", "posts").join(nodes, "c", "left_semi").dropDuplicates(["c"])
+    rows = written(rows, "posted")
+    both = pairs.join(rows.select(F.col("c").alias("a"), "n", F.col("posts").alias("x")), "a")
+    both = both.join(rows.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("posts").alias("y")), "b")
+    both = both.withColumn("common", F.array_intersect("x", "y"))
+    last, shared = F.element_at("common", -1), F.size("common")
+    both = both.select("a", "b", "n", "m", (F.array_position("x", last) - shared).alias("u"), (F.array_position("y", last) - shared).alias("v"))
+    need = f"(({NUM} * (n + m) + {DEN + NUM - 1}) div {DEN + NUM})"
+    return both.filter(f"n - u >= {need} and m - v >= {need}").select("a", "b")
+
+
 def linked(pairs: DataFrame, docs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough, by their exact intersection."""
-    pairs = written(pairs, "pairs")
+    """The pairs ``a, b`` whose sets are similar enough, by their exact intersection.
+
+    Sets are made anew, from the text of one document per class, only for the
+    classes of pairs that their postings leave open.
+    """
+    pairs = written(promising(written(pairs, "pairs"), profiles), "pairs")
     nodes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
     ids = written(profiles.select("doc_id", "c").join(nodes, "c").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    picked = ids.select("doc_id").distinct()
-    picked = F.broadcast(picked) if ids.count() <= PICKED else picked
+    picked = F.broadcast(ids) if ids.count() <= PICKED else ids
 
     def work(batches):
         for b in small(batches):
-            sets = [shingles(t) for t in b.column("text").to_pylist()]
-            yield pa.record_batch([b.column("doc_id"), pa.array([klass(s) if len(s) else None for s in sets], pa.int64()),
-                                   pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc_id", "c", "s"])
+            found = [(c, s.astype(np.int64)) for c, t in zip(b.column("c").to_pylist(), b.column("text").to_pylist())
+                     if len(s := shingles(t)) and klass(s) == c]
+            yield pa.record_batch([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["c", "s"])
 
-    sets = docs.join(picked, "doc_id", "left_semi").mapInArrow(work, "doc_id long, c long, s array<long>")
-    sets = written(sets.join(ids, ["doc_id", "c"], "left_semi").select("c", "s"), "sets")
+    sets = docs.join(picked, "doc_id").select("c", "text").mapInArrow(work, "c long, s array<long>").repartition("c")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("y")), "b")
     common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
     return written(common.filter(f"{DEN + NUM} * i >= {NUM} * t").select("a", "b").distinct(), "links")
