@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from egoline.plans.catalog import QUERIES  # noqa: E402
 from egoline.session import get_session  # noqa: E402
 
-SKIP = {"land_topics"}
+SKIP = {"land_topics", "follows_pipeline"}
 
 
 def summarise(plan: str) -> dict:
