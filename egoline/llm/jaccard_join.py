@@ -192,43 +192,56 @@ def subset_links(profiles: DataFrame) -> DataFrame:
 
 
 def posted(profiles: DataFrame) -> DataFrame:
-    """Postings ``token, c, n, own`` on lists with several classes."""
+    """Postings ``token, c, n, own, reach, g`` on lists with several classes.
+
+    A link of sizes n and m shares a shingle among the first ``n - overlap(n, m) + 1``
+    of either, so a posting at place i only serves partners of sizes up to ``reach``.
+    """
     rows = profiles.filter("posts is not null")
     cols = ["c", "n", "own"]
     # a task holds a shingle outside the table at most once, so such lists are as short as there are tasks
-    rare = rows.select(*cols, F.explode(F.slice("posts", F.lit(1), F.col("light"))).alias("token"))
-    rare = rare.selectExpr("*", "min(c) over (partition by token) <> max(c) over (partition by token) as several").filter("several").drop("several")
-    often = rows.select(*cols, F.explode(F.slice("posts", F.col("light") + 1, F.greatest(F.size("posts") - F.col("light"), F.lit(0)))).alias("token"))
+    rare = rows.select(*cols, F.posexplode(F.slice("posts", F.lit(1), F.col("light"))).alias("i", "token"))
+    rare = reaching(rare).selectExpr("*", "min(c) over (partition by token) <> max(c) over (partition by token) as several",
+                                     "min(n) over (partition by token) as low").filter("several and low <= reach").drop("several", "low")
+    often = rows.select(*cols, "light", F.posexplode(F.slice("posts", F.col("light") + 1, F.greatest(F.size("posts") - F.col("light"), F.lit(0)))).alias("i", "token"))
+    often = reaching(often.withColumn("i", F.col("i") + F.col("light")).drop("light"))
+    low = often.groupBy("token").agg(F.min("n").alias("low"), F.min("c").alias("one"), F.max("c").alias("two")).filter("one <> two")
+    often = often.join(low.select("token", "low"), "token").filter("low <= reach").drop("low")
     return rare.unionByName(often).withColumn("g", F.floor(F.log("n") / -math.log(NUM / DEN)).cast("int"))
 
 
+def reaching(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("reach", F.expr(f"(n - i) * {DEN + NUM} div {NUM} - n")).drop("i")
+
+
 def alike(n: str, m: str) -> str:
     return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m})"
 
 
 def pairs_of(rows: DataFrame) -> DataFrame:
-    """Distinct unordered pairs of ``c, n`` and ``d, m`` whose sizes may link."""
-    rows = rows.filter(f"c <> d and {alike('n', 'm')}")
+    """Distinct unordered pairs of ``c, n, reach`` and ``d, m, far`` whose sizes and places may link."""
+    rows = rows.filter(f"c <> d and m <= reach and n <= far and {alike('n', 'm')}")
     first = F.col("c") < F.col("d")
     return rows.select(F.when(first, F.col("c")).otherwise(F.col("d")).alias("a"), F.when(first, F.col("d")).otherwise(F.col("c")).alias("b")).distinct()
 
 
 def hub_pairs(posts: DataFrame) -> DataFrame:
     """Each posting with the hub of its size class and of the next one on its list."""
-    hubs = posts.groupBy("token", "g").agg(F.min(F.struct("own", "c", "n")).alias("h"))
-    hubs = hubs.select("token", F.explode(F.array("g", F.col("g") - 1)).alias("g"), F.col("h.c").alias("d"), F.col("h.n").alias("m"))
+    hubs = posts.groupBy("token", "g").agg(F.min(F.struct("own", "c", "n", "reach")).alias("h"))
+    hubs = hubs.select("token", F.explode(F.array("g", F.col("g") - 1)).alias("g"), F.col("h.c").alias("d"), F.col("h.n").alias("m"), F.col("h.reach").alias("far"))
     return pairs_of(posts.join(hubs, ["token", "g"]))
 
 
 def rest_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one list in different components: components are paired first, then opened."""
-    rows = posts.join(labels, posts["c"] == labels["node"], "left").select("token", "c", "n", F.coalesce("label", "c").alias("k"))
+    """Pairs of one list in different components: components are paired first, by
+    whether any sizes of theirs are in reach of each other, then opened."""
+    rows = posts.join(labels, posts["c"] == labels["node"], "left").select("token", "c", "n", "reach", F.coalesce("label", "c").alias("k"))
     mixed = rows.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo <> hi").select("token")
     rows = written(rows.join(mixed, "token").distinct(), "lists")
-    groups = rows.select("token", "k").distinct()
-    other = groups.withColumnRenamed("k", "l")
-    couples = groups.join(other, "token").filter("k < l")
-    right = rows.select("token", F.col("k").alias("l"), F.col("c").alias("d"), F.col("n").alias("m"))
+    groups = rows.groupBy("token", "k").agg(F.min("n").alias("low"), F.max("reach").alias("top"))
+    other = groups.select("token", F.col("k").alias("l"), F.col("low").alias("low2"), F.col("top").alias("top2"))
+    couples = groups.join(other, "token").filter("k < l and low <= top2 and low2 <= top").select("token", "k", "l")
+    right = rows.select("token", F.col("k").alias("l"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("reach").alias("far"))
     return pairs_of(couples.join(rows, ["token", "k"]).join(right, ["token", "l"]))
 
 
