@@ -226,10 +226,15 @@ def pairs_of(rows: DataFrame) -> DataFrame:
 
 
 def hub_pairs(posts: DataFrame) -> DataFrame:
-    """Each posting with the hub of its size class and of the next one on its list."""
+    """Each class with one hub: of the hubs of its size class and the next one on its
+    lists the one that it meets most often, then the one with the fewest shingles of its own."""
     hubs = posts.groupBy("token", "g").agg(F.min(F.struct("own", "c", "n", "reach")).alias("h"))
-    hubs = hubs.select("token", F.explode(F.array("g", F.col("g") - 1)).alias("g"), F.col("h.c").alias("d"), F.col("h.n").alias("m"), F.col("h.reach").alias("far"))
-    return pairs_of(posts.join(hubs, ["token", "g"]))
+    hubs = hubs.select("token", F.explode(F.array("g", F.col("g") - 1)).alias("g"), F.col("h.c").alias("d"), F.col("h.n").alias("m"),
+                       F.col("h.reach").alias("far"), F.col("h.own").alias("of_hub"))
+    met = posts.join(hubs, ["token", "g"]).filter(f"c <> d and m <= reach and n <= far and {alike('n', 'm')}")
+    met = met.groupBy("c", "d").agg(F.count(F.lit(1)).alias("times"), F.min("of_hub").alias("of_hub"))
+    best = met.groupBy("c").agg(F.max_by("d", F.struct("times", -F.col("of_hub"), "d")).alias("d"))
+    return best.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
 def rest_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
