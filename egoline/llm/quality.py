@@ -1,6 +1,6 @@
 """Quality rules: base rules and robust multivariate outliers (DataFrame functions only).
 
-Per language and source, the minimum covariance determinant (MCD) estimate of
+Per language and source (small ones are pooled, see ``pools``), the minimum covariance determinant (MCD) estimate of
 location and scatter of five transformed statistics: deterministic start from
 medians and absolute deviations, then concentration steps, each of which keeps
 the ``SUPPORT`` share of rows with the smallest Mahalanobis distances and
@@ -13,7 +13,7 @@ source that holds a third of all rows is combined map-side and never gathered.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from egoline.llm.common import written
@@ -24,7 +24,8 @@ MIN_WORDS = 50
 #: Share of a group's rows that a concentration step keeps.
 SUPPORT = 0.75
 STEPS = 3
-#: Groups with fewer documents that pass the base rules have no scatter worth the name; base rules alone decide there.
+#: Groups with fewer documents that pass the base rules are judged by the estimate of their language, and languages
+#: with fewer by that of all documents.
 MIN_GROUP = 30
 #: Chi-square quantile with 5 degrees of freedom at 1 - 1e-9, and at one half.
 CUTOFF = 51.4
@@ -106,16 +107,35 @@ def factored(groups: DataFrame) -> DataFrame:
 
 
 def by_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    g = groups.withColumnsRenamed({"lang": "_gl", "source": "_gs"})
-    return rows.join(g, rows["lang"].eqNullSafe(g["_gl"]) & rows["source"].eqNullSafe(g["_gs"]), "left").drop("_gl", "_gs")
+    return rows.join(groups, "g")
+
+
+def pools(stats: DataFrame) -> DataFrame:
+    """One row per language and source: the group ``g`` that judges its documents, and all groups ``into`` that count them.
+
+    A group's name is the JSON list of its language and source, of its language
+    alone, or of nothing for all documents; nulls are values of their own.
+    """
+    own, lang, every = F.to_json(F.array("lang", "source")), F.to_json(F.array("lang")), F.lit("[]")
+    n = stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    of_lang = Window.partitionBy("lang")
+    n = n.withColumn("n_lang", F.sum("n").over(of_lang)).withColumn("least", F.min("n").over(of_lang))
+    small_lang = n.agg((F.min("n_lang") < MIN_GROUP).alias("any_small"))
+    large, large_lang = F.col("n") >= MIN_GROUP, F.col("n_lang") >= MIN_GROUP
+    into = F.array(F.when(large, own), F.when(large_lang & (F.col("least") < MIN_GROUP), lang), F.when(F.col("any_small"), every))
+    return n.crossJoin(small_lang).select("lang", "source", F.when(large, own).when(large_lang, lang).otherwise(every).alias("g"),
+                                          F.array_compact(into).alias("into")).checkpoint()
+
+
+def pooled(rows: DataFrame, of: DataFrame) -> DataFrame:
+    of = of.withColumnsRenamed({"lang": "_gl", "source": "_gs"})
+    return rows.join(of, rows["lang"].eqNullSafe(of["_gl"]) & rows["source"].eqNullSafe(of["_gs"]), "left").drop("_gl", "_gs")
 
 
 def mcd(stats: DataFrame) -> DataFrame:
-    """One row per language and source: location ``m*``, factor ``c*`` and the scale ``k`` of its distances."""
-    keys = ["lang", "source"]
-    med = stats.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(XS)])
-    med = med.filter(F.col("n") >= MIN_GROUP).checkpoint()
-    mad = by_group(stats, med).filter(F.col("m0").isNotNull()).groupBy(*keys).agg(
+    """One row per group ``g``: location ``m*``, factor ``c*`` and the scale ``k`` of its distances."""
+    med = stats.groupBy("g").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(XS)]).checkpoint()
+    mad = by_group(stats, med).groupBy("g").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(5)],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000).alias(f"a{i}") for i, x in enumerate(XS)])
     for i, j in PAIRS:
@@ -123,16 +143,16 @@ def mcd(stats: DataFrame) -> DataFrame:
     groups = factored(mad.drop(*[f"a{i}" for i in range(5)])).checkpoint()
     x = [F.col(c) for c in XS]
     for _ in range(STEPS):
-        near = by_group(stats, groups).filter(F.col("m0").isNotNull()).withColumn("d", distance(x))
-        cut = near.groupBy(*keys).agg(F.percentile_approx("d", SUPPORT, 10000).alias("cut")).checkpoint()
-        kept = by_group(near.select(*keys, *XS, "d"), cut).filter(F.col("d") <= F.col("cut"))
-        sums = kept.groupBy(*keys).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(XS)],
-                                       *[F.covar_pop(XS[i], XS[j]).alias(f"s{i}{j}") for i, j in PAIRS])
+        near = by_group(stats, groups).withColumn("d", distance(x))
+        cut = near.groupBy("g").agg(F.percentile_approx("d", SUPPORT, 10000).alias("cut")).checkpoint()
+        kept = by_group(near.select("g", *XS, "d"), cut).filter(F.col("d") <= F.col("cut"))
+        sums = kept.groupBy("g").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(XS)],
+                                     *[F.covar_pop(XS[i], XS[j]).alias(f"s{i}{j}") for i, j in PAIRS])
         for i in range(5):
             sums = sums.withColumn(f"s{i}{i}", F.col(f"s{i}{i}") + F.lit(FLOORS[i] ** 2))
         groups = factored(sums).checkpoint()
-    near = by_group(stats, groups).filter(F.col("m0").isNotNull()).withColumn("d", distance(x))
-    scale = near.groupBy(*keys).agg(F.greatest(F.percentile_approx("d", 0.5, 10000) / CHI_HALF, F.lit(1.0)).alias("k")).checkpoint()
+    near = by_group(stats, groups).withColumn("d", distance(x))
+    scale = near.groupBy("g").agg(F.greatest(F.percentile_approx("d", 0.5, 10000) / CHI_HALF, F.lit(1.0)).alias("k")).checkpoint()
     return by_group(groups, scale)
 
 
@@ -142,9 +162,10 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
 
     A null text has no words and fails the base rules. Null languages and
     sources are groups of their own. Groups of fewer than ``MIN_GROUP``
-    documents that pass the base rules have a null distance: those documents
-    are kept. Repeated rows are judged one by one, alike. An empty table gives
-    an empty result.
+    documents that pass the base rules are judged by their language, smaller
+    languages by all documents. Only documents of a group with no document that
+    passes the base rules have a null distance. Repeated rows are judged one by
+    one, alike. An empty table gives an empty result.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
@@ -152,7 +173,9 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
                         F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("_text"))
     rows = base_counts(named, F.col("_text")).drop("_text").withColumn("base_failed", failed())
     rows = written(rows.select("*", *[x.alias(XS[i]) for i, x in enumerate(transformed())]), "quality")
-    groups = mcd(rows.filter(~F.col("base_failed")).select("lang", "source", *XS))
-    out = by_group(rows, groups).withColumn("distance", distance([F.col(c) for c in XS]) / F.col("k"))
+    stats = rows.filter(~F.col("base_failed")).select("lang", "source", *XS)
+    of = pools(stats)
+    groups = mcd(written(pooled(stats, of).select(F.explode("into").alias("g"), *XS), "pools"))
+    out = pooled(rows, by_group(of.select("lang", "source", "g"), groups)).withColumn("distance", distance([F.col(c) for c in XS]) / F.col("k"))
     return out.select(*[F.col(f"k_{c}").alias(c) for c in keep], *COUNTS, "base_failed", "distance",
                       (~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= CUTOFF))).alias("kept"))

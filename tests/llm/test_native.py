@@ -34,6 +34,20 @@ def test_quality_rejects_outliers_and_keeps_clean(table):
     assert kept == set(range(300))
 
 
+def test_quality_judges_small_groups_by_their_language_or_all(table):
+    rng = random.Random(2)
+    vocab = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    text = lambda n: " ".join(rng.choices(vocab, k=n))
+    junk = lambda: " ".join(w + "$$$" for w in text(100).split())
+    # ten sources of six, a language of three and a null one, each with a junk document; no group has thirty
+    rows = [(i, text(rng.randint(60, 400)), "en", f"s{i % 10}") for i in range(60)]
+    rows += [(100 + i, text(100), "xx", "t") for i in range(3)] + [(200 + i, text(100), None, None) for i in range(3)]
+    rows += [(1000 + i, junk(), "en", f"s{i}") for i in range(5)] + [(1100, junk(), "xx", "t"), (1101, junk(), None, None)]
+    got = quality.judge(table(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id for r in got if r.kept} == {i for i, *_ in rows if i < 1000}
+    assert all(r.distance is not None for r in got)
+
+
 def test_pii_matches_brute_force(docs, plain):
     for r in pii.find(docs).collect():
         t = plain[r.doc_id]
