@@ -1,11 +1,13 @@
 """Quality rules: base rules and robust multivariate outliers (DataFrame functions only).
 
 Per language and source (small ones are pooled, see ``pools``), the minimum covariance determinant (MCD) estimate of
-location and scatter of five transformed statistics: deterministic start from
-medians and absolute deviations, then concentration steps, each of which keeps
-the ``SUPPORT`` share of rows with the smallest Mahalanobis distances and
-re-estimates mean and covariance from them. A document is rejected when its
-squared distance under the final estimate exceeds ``CUTOFF``.
+location and scatter of five transformed statistics: several deterministic
+starts (``STARTS``), each taken through concentration steps until its
+determinant stops falling. A step keeps the half of the rows with the smallest
+Mahalanobis distances and re-estimates mean and covariance from them. The start
+of least determinant stays and is reweighted once: mean and covariance of all
+rows within the 0.975 quantile. A document is rejected when its squared distance
+under the final estimate exceeds ``CUTOFF``.
 
 All statistics are mergeable aggregates (sums, ``percentile_approx``), so a
 source that holds a third of all rows is combined map-side and never gathered.
@@ -13,6 +15,8 @@ source that holds a third of all rows is combined map-side and never gathered.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,15 +25,20 @@ from egoline.session import ensure_checkpoint_dir
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
-#: Share of a group's rows that a concentration step keeps.
-SUPPORT = 0.75
-STEPS = 3
+#: Starts, all from medians and absolute deviations: no correlation; that of hyperbolic tangents, of spatial signs, of all
+#: rows; and the covariance of the rows below the median of all standardised statistics' sum.
+STARTS = ["plain", "tanh", "sign", "all", "low"]
+#: A determinant that falls by a smaller share has stopped falling.
+FALL = 1e-6
+#: A step keeps (n + 6) / 2 of n rows, the subset of the highest breakdown in five dimensions, rounded up to a hundredth.
+SHARES = [k / 100 for k in range(50, 101)]
 #: Groups with fewer documents that pass the base rules are judged by the estimate of their language, and languages
 #: with fewer by that of all documents.
 MIN_GROUP = 30
-#: Chi-square quantile with 5 degrees of freedom at 1 - 1e-9, and at one half.
+#: Chi-square quantile with 5 degrees of freedom at 1 - 1e-9, at one half and at 0.975.
 CUTOFF = 51.4
 CHI_HALF = 4.351
+CHI_NEAR = 12.833
 #: Least standard deviation of each transformed statistic. Most clean texts have no
 #: symbol and no repeated line at all, and a scatter of zero would reject the first that has one.
 FLOORS = [0.06, 0.3, 0.12, 0.12, 0.3]
@@ -95,7 +104,7 @@ def distance(x: list[Column]) -> Column:
 
 
 def factored(groups: DataFrame) -> DataFrame:
-    """The lower Cholesky factor ``c*`` of the scatter ``s*``, floored on its diagonal."""
+    """The lower Cholesky factor ``c*`` of the scatter ``s*``, floored on its diagonal, and the logarithm ``det`` of its determinant."""
     for i in range(5):
         for j in range(i + 1):
             v = F.col(f"s{i}{j}")
@@ -103,9 +112,16 @@ def factored(groups: DataFrame) -> DataFrame:
                 v = v - F.col(f"c{i}{k}") * F.col(f"c{j}{k}")
             least = (FLOORS[i] ** 2) * 0.25  # rounding can leave a pivot at or below zero
             groups = groups.withColumn(f"c{i}{j}", F.sqrt(F.greatest(v, F.lit(least))) if i == j else v / F.col(f"c{j}{j}"))
+    groups = groups.withColumn("det", sum((F.log(f"c{i}{i}") * 2 for i in range(5)), F.lit(0.0)))
     return groups.drop(*[f"s{i}{j}" for i, j in PAIRS])
 
 
+def estimate() -> list[Column]:
+    """Mean and floored covariance of a group's rows."""
+    return [*[F.avg(c).alias(f"m{i}") for i, c in enumerate(XS)],
+            *[(F.covar_pop(XS[i], XS[j]) + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(f"s{i}{j}") for i, j in PAIRS]]
+
+
 def by_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, "g")
 
@@ -132,28 +148,74 @@ def pooled(rows: DataFrame, of: DataFrame) -> DataFrame:
     return rows.join(of, rows["lang"].eqNullSafe(of["_gl"]) & rows["source"].eqNullSafe(of["_gs"]), "left").drop("_gl", "_gs")
 
 
-def mcd(stats: DataFrame) -> DataFrame:
-    """One row per group ``g``: location ``m*``, factor ``c*`` and the scale ``k`` of its distances."""
-    med = stats.groupBy("g").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(XS)]).checkpoint()
+def starts(stats: DataFrame) -> DataFrame:
+    """A row per group and start: ``n``, location ``m*``, scatter ``s*``."""
+    med = stats.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(XS)]).checkpoint()
     mad = by_group(stats, med).groupBy("g").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(5)],
-        *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000).alias(f"a{i}") for i, x in enumerate(XS)])
-    for i, j in PAIRS:
-        mad = mad.withColumn(f"s{i}{j}", F.pow(F.greatest(F.col(f"a{i}") * 1.4826, F.lit(FLOORS[i])), 2) if i == j else F.lit(0.0))
-    groups = factored(mad.drop(*[f"a{i}" for i in range(5)])).checkpoint()
+        F.first("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(5)],
+        *[F.greatest(F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000) * 1.4826, F.lit(FLOORS[i])).alias(f"a{i}") for i, x in enumerate(XS)]).checkpoint()
+    z = by_group(stats, mad).select("g", *XS, *[((F.col(x) - F.col(f"m{i}")) / F.col(f"a{i}")).alias(f"z{i}") for i, x in enumerate(XS)])
+    size = F.greatest(F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(5)), F.lit(0.0))), F.lit(1e-9))
+    z = z.withColumn("size", size).withColumn("sum", sum((F.col(f"z{i}") for i in range(5)), F.lit(0.0)))
+    # written, or the planner repeats the terms in each of the 45 sums below
+    z = written(z.select("*", *[F.tanh(f"z{i}").alias(f"tanh{i}") for i in range(5)], *[(F.col(f"z{i}") / F.col("size")).alias(f"sign{i}") for i in range(5)]), "standard")
+    shape = {"tanh": "tanh", "sign": "sign", "all": "z"}
+    made = z.groupBy("g").agg(F.percentile_approx("sum", 0.5, 10000).alias("half"), *[
+        F.avg(F.col(f"{c}{i}") * F.col(f"{c}{j}")).alias(f"{name}{i}{j}") for name, c in shape.items() for i, j in PAIRS])
+    made = made.join(mad, "g").checkpoint()
+    out = []
+    for name in STARTS[:4]:
+        def cor(i, j, name=name):
+            if i == j or name == "plain":
+                return F.lit(float(i == j))
+            over = F.sqrt(F.col(f"{name}{i}{i}") * F.col(f"{name}{j}{j}"))
+            return F.when(over > 0, F.col(f"{name}{i}{j}") / over).otherwise(0.0)
+        out.append(made.select("g", "n", F.lit(name).alias("start"), *[f"m{i}" for i in range(5)],
+                               *[(cor(i, j) * F.col(f"a{i}") * F.col(f"a{j}")).alias(f"s{i}{j}") for i, j in PAIRS]))
+    low = by_group(z, made.select("g", "n", "half")).filter(F.col("sum") <= F.col("half")).groupBy("g").agg(F.first("n").alias("n"), *estimate())
+    out.append(low.withColumn("start", F.lit(STARTS[4])).select(*out[0].columns))
+    return reduce(DataFrame.unionByName, out)
+
+
+FITTED = ["det", *[f"m{i}" for i in range(5)], *[f"c{i}{j}" for i, j in PAIRS]]
+
+
+def concentrated(stats: DataFrame, groups: DataFrame) -> DataFrame:
+    """One concentration step of each group and start: the estimate from the rows nearest to the ``last`` one.
+
+    Written rather than checkpointed: a checkpoint keeps the planner's constraints, which double with every step.
+    """
     x = [F.col(c) for c in XS]
-    for _ in range(STEPS):
-        near = by_group(stats, groups).withColumn("d", distance(x))
-        cut = near.groupBy("g").agg(F.percentile_approx("d", SUPPORT, 10000).alias("cut")).checkpoint()
-        kept = by_group(near.select("g", *XS, "d"), cut).filter(F.col("d") <= F.col("cut"))
-        sums = kept.groupBy("g").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(XS)],
-                                     *[F.covar_pop(XS[i], XS[j]).alias(f"s{i}{j}") for i, j in PAIRS])
-        for i in range(5):
-            sums = sums.withColumn(f"s{i}{i}", F.col(f"s{i}{i}") + F.lit(FLOORS[i] ** 2))
-        groups = factored(sums).checkpoint()
-    near = by_group(stats, groups).withColumn("d", distance(x))
-    scale = near.groupBy("g").agg(F.greatest(F.percentile_approx("d", 0.5, 10000) / CHI_HALF, F.lit(1.0)).alias("k")).checkpoint()
-    return by_group(groups, scale)
+    share = F.least(F.ceil((F.col("n") + 6) * 50 / F.col("n")) - 49, F.lit(len(SHARES))).cast("int")
+    cut = by_group(stats, groups).groupBy("g", "start").agg(F.element_at(F.percentile_approx(distance(x), SHARES, 10000), F.first(share)).alias("cut"))
+    cut = groups.join(written(cut, "cuts"), ["g", "start"])
+    near = by_group(stats, cut).filter(distance(x) <= F.col("cut"))
+    return written(factored(near.groupBy("g", "start").agg(F.first("n").alias("n"), F.first(F.struct(*FITTED)).alias("last"), *estimate())), "step")
+
+
+def scaled(stats: DataFrame, groups: DataFrame) -> DataFrame:
+    """``groups`` with the consistency factor ``k``: their rows' median distance over that of the normal law, one at least."""
+    near = by_group(stats, groups).withColumn("d", distance([F.col(c) for c in XS]))
+    scale = near.groupBy("g").agg(F.greatest(F.percentile_approx("d", 0.5, 10000) / CHI_HALF, F.lit(1.0)).alias("k"))
+    return by_group(groups, scale.checkpoint())
+
+
+def mcd(stats: DataFrame) -> DataFrame:
+    """One row per group ``g``: location ``m*``, factor ``c*`` and the scale ``k`` of its distances.
+
+    Starts whose determinant has stopped falling take no part in further steps.
+    The first step of a start always counts, as it only then has a subset.
+    """
+    active, settled = concentrated(stats, written(factored(starts(stats)), "starts")).drop("last"), []
+    falls = F.col("det") < F.col("last.det") - FALL
+    while not settled or not active.isEmpty():
+        after = concentrated(stats, active)
+        settled.append(after.filter(~falls).select("g", "start", "last.*"))
+        active = after.filter(falls).drop("last")
+    ends = reduce(DataFrame.unionByName, settled)
+    best = scaled(stats, ends.groupBy("g").agg(F.min(F.struct(*FITTED)).alias("b")).select("g", "b.*").checkpoint())
+    near = by_group(stats, best).filter(distance([F.col(c) for c in XS]) <= F.col("k") * CHI_NEAR)
+    return scaled(stats, factored(near.groupBy("g").agg(*estimate())).checkpoint()).drop("det")
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",

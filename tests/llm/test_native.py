@@ -48,6 +48,19 @@ def test_quality_judges_small_groups_by_their_language_or_all(table):
     assert all(r.distance is not None for r in got)
 
 
+def test_quality_rejects_junk_up_to_near_half_of_a_source(table):
+    rng = random.Random(4)
+    vocab = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    text = lambda n: " ".join(rng.choices(vocab, k=n))
+    junk = lambda: " ".join(w + "$$$" for w in text(100).split())
+    copy = junk()
+    rows = [(i, text(rng.randint(60, 400)), "en", "third") for i in range(100)] + [(1000 + i, junk(), "en", "third") for i in range(50)]
+    rows += [(200 + i, text(rng.randint(60, 400)), "en", "more") for i in range(110)] + [(1200 + i, junk(), "en", "more") for i in range(85)]
+    rows += [(400 + i, text(rng.randint(60, 400)), "en", "copies") for i in range(100)] + [(1400 + i, copy, "en", "copies") for i in range(50)]
+    kept = {r.doc_id for r in quality.judge(table(rows, "doc_id long, text string, lang string, source string")).collect() if r.kept}
+    assert kept == {i for i, *_ in rows if i < 1000}
+
+
 def test_pii_matches_brute_force(docs, plain):
     for r in pii.find(docs).collect():
         t = plain[r.doc_id]
