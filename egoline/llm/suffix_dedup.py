@@ -15,7 +15,9 @@ contexts such that equal strings are always found in one shard:
    suffixes are sorted by induction (``induced``); neighbours in suffix order
    that begin windows and share ``LENGTH`` bytes are repeated. A key with more
    than ``HOT`` distinct contexts is split into bands of offsets and, in each, by
-   the bytes that all windows of the band have in common.
+   the bytes that all windows of the band have in common. Where these bytes
+   come with more than ``HOT`` surroundings too, the band's windows are counted
+   one by one by a 128-bit hash, so that no shard holds a group that grows.
 4. Each occurrence takes over the windows found in its context.
 
 Only keys, hashes and positions are shuffled for all text; bytes are read
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from egoline.llm import induced
-from egoline.llm.common import id_text, written
+from egoline.llm.common import id_text, small, written
 from egoline.llm.jaccard_join import MULTIPLY, U, mix
 
 LENGTH, GRAM = 200, 64
@@ -130,7 +132,7 @@ def pieces(batches, hot: int):
 
     h = Hasher()
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    for b in batches:
+    for b in small(batches):
         rows: list[list] = [[] for _ in range(6)]
         for text, wanted in zip(b.column("text").to_pylist(), b.column("wanted").to_pylist()):
             data = text.encode()
@@ -158,6 +160,23 @@ def pieces(batches, hot: int):
                               ["g", "key", "ctx", "m", "off", "bytes"])
 
 
+WINDOW = "h binary, key long, ctx long, m long, off int"
+
+
+def windows(batches):
+    """A row per window of the pieces: its hash and its start in the context."""
+    from xxhash import xxh3_128_digest
+
+    for b in small(batches):
+        rows: list[list] = [[] for _ in range(5)]
+        for key, ctx, m, off, data in zip(*(b.column(c).to_pylist() for c in ("key", "ctx", "m", "off", "bytes"))):
+            for i in range(len(data) - LENGTH + 1):
+                for column, x in zip(rows, (xxh3_128_digest(data[i:i + LENGTH]), key, ctx, m, off + i)):
+                    column.append(x)
+        yield pa.record_batch([pa.array(rows[0], pa.binary()), *(pa.array(c, pa.int64()) for c in rows[1:4]), pa.array(rows[4], pa.int32())],
+                              ["h", "key", "ctx", "m", "off"])
+
+
 def repeated(strings: list[bytes]) -> list[np.ndarray]:
     """For distinct strings of at least ``LENGTH`` bytes: which of their windows occur elsewhere, as flags per start."""
     sizes = np.array([len(x) for x in strings], np.int64)
@@ -222,7 +241,7 @@ def sorted_shards(batches, shard: int):
                     column.append(x)
         return pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int32()))], ["key", "ctx", "found"])
 
-    for b in batches:
+    for b in small(batches):
         for row in zip(*(b.column(c).to_pylist() for c in ("g", "key", "ctx", "m", "off", "bytes"))):
             if row[0] != group and size >= shard:
                 yield flush()
@@ -236,7 +255,7 @@ def sorted_shards(batches, shard: int):
 
 def cut(batches):
     """The documents without their marked bytes; ``found`` holds first and end of repeated window starts."""
-    for b in batches:
+    for b in small(batches):
         out: list[list] = [[], [], []]
         for text, found in zip(b.column("text").to_pylist(), b.column("found").to_pylist()):
             data = text.encode()
@@ -279,9 +298,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = runs.filter("m > 0").repartition("key").groupBy("key", "ctx").agg(F.sum("m").alias("m"), F.min(F.struct("ref", "first", "end")).alias("at"))
     keyed = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
     shared = written(keyed.filter("n > 1 or m > 1").select("key", "ctx", "m", "n", "at.*"), "shared")
-    wanted = shared.filter("n > 1").groupBy("ref").agg(F.collect_list(F.struct("key", "ctx", "m", "n", "first", "end")).alias("wanted"))
-    parts = of_documents(docs, wanted).select("text", "wanted").mapInArrow(partial(pieces, hot=hot), PIECE)
+    def read(keys: DataFrame) -> DataFrame:
+        wanted = keys.groupBy("ref").agg(F.collect_list(F.struct("key", "ctx", "m", "n", "first", "end")).alias("wanted"))
+        return of_documents(docs, wanted).select("text", "wanted").mapInArrow(partial(pieces, hot=hot), PIECE)
+
+    bands = written(read(shared.filter((F.col("n") > 1) & (F.col("n") > hot))), "bands")
+    crowded = written(bands.groupBy("g").count().filter(F.col("count") > hot).select("g"), "crowded")
+    crowded = F.broadcast(crowded) if crowded.count() <= PICKED else crowded
+    parts = read(shared.filter((F.col("n") > 1) & (F.col("n") <= hot))).unionByName(bands.join(crowded, "g", "left_anti"))
     found = parts.repartition("g").sortWithinPartitions("g").mapInArrow(partial(sorted_shards, shard=shard), "key long, ctx long, found array<int>")
+    single = written(bands.join(crowded, "g", "left_semi").select("key", "ctx", "m", "off", "bytes").mapInArrow(windows, WINDOW), "windows")
+    twice = single.groupBy("h").count().filter("count > 1").select("h")
+    # the hashes are unique on the right; a common window's rows on the left are split by adaptive execution
+    single = single.filter("m = 1").join(twice, "h").select("key", "ctx", F.array(F.col("off"), F.col("off") + 1).alias("found"))
+    found = found.unionByName(single)
     found = found.groupBy("key", "ctx").agg(F.flatten(F.collect_list("found")).alias("found"))
     whole = shared.filter("m > 1").select("key", "ctx", F.array(F.lit(0), F.col("end") - F.col("first")).alias("found"))
     marks = written(found.unionByName(whole), "marks")

@@ -69,6 +69,25 @@ def test_against_definition(table, seed, hot):
     assert got(d, hot=hot) == by_definition(rows)
 
 
+def test_no_shard_holds_a_passage_with_many_surroundings(table, monkeypatch):
+    rng = random.Random(9)
+    text = lambda k: "".join(rng.choices("abcdefghijklmnop ", k=k))
+    passage = text(420)
+    rows = [(i, text(60) + passage + text(60)) for i in range(60)]
+
+    def watched(batches, shard, sort=suffix_dedup.sorted_shards):
+        def counted():
+            seen = Counter()
+            for b in batches:
+                seen.update(b.column("g").to_pylist())
+                assert max(seen.values()) <= 8, "a group of a shard grows with the documents"
+                yield b
+        yield from sort(counted(), shard)
+
+    monkeypatch.setattr(suffix_dedup, "sorted_shards", watched)
+    assert got(table(rows), hot=8) == by_definition(rows)
+
+
 def test_periodic_texts(table):
     rows = [(1, "a" * 1000), (2, "a" * 300), (3, "ab" * 400), (4, "abc" * 300 + "z" + "abc" * 80), (5, "q" * 250 + "r")]
     assert got(table(rows)) == got(table(rows), hot=0) == by_definition(rows)
