@@ -1,7 +1,7 @@
 """Command line: the batch jobs and the serving queries, for spark-submit.
 
-    egoline edges   --src 'hdfs:///timeline/2015-*' --variant v1 --part 2015 \
-                    --edges /tables/edges --rejects /tables/rejects
+    egoline edges   --src 'hdfs:///timeline/2015-*' --variant v1 --part 2015 --edges /tables/edges
+    egoline expire  --table /tables/edges
     egoline follows --topics-root /landed --topic scrap-following-3:f1 \
                     --topic scrap-following-7:f2 --userfollow /tables/userfollow
     egoline userids --users /landed --topic users --ids /tables/getuserid
@@ -28,15 +28,12 @@ from egoline.operators import follows as FL
 from egoline.operators import graph as G
 from egoline.operators import lookup as L
 from egoline.operators import trends as TR
-from egoline.plans import jobs
+from egoline.plans import jobs, serving
 from egoline.session import DEFAULT_CONF, ensure_checkpoint_dir, release_scratch
 from egoline.sources import readers as R
+from egoline.sources.snapshots import expire
 from egoline.streaming import land_topics, topic_stream
-from egoline.streaming.landing import FILES_PER_HOUR
-
-
-def _seeds(spark: SparkSession, users):
-    return spark.createDataFrame([(u,) for u in users], "username string") if users else None
+from egoline.streaming.landing import TASK_BYTES
 
 
 def main(argv=None) -> None:
@@ -47,8 +44,7 @@ def main(argv=None) -> None:
     p.add_argument("--src", required=True)
     p.add_argument("--variant", required=True, choices=["v1", "v2", "v3"])
     p.add_argument("--part", required=True)
-    p.add_argument("--edges", required=True)
-    p.add_argument("--rejects", required=True)
+    p.add_argument("--edges", required=True, help="root of the edge tables; rejects are committed beside the edges")
     p.add_argument("--on-reject", default="skip", choices=["skip", "fail"])
     p.add_argument("--repartition", type=int)
 
@@ -79,7 +75,7 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--allow")
     p.add_argument("--deny", action="append", default=[])
-    p.add_argument("--files-per-hour", type=int, default=FILES_PER_HOUR)
+    p.add_argument("--task-bytes", type=int, default=TASK_BYTES, help="bytes that one task writes at most")
 
     p = sub.add_parser("ego", help="ego-graph answers as JSON lines")
     p.add_argument("--edges", required=True)
@@ -87,13 +83,16 @@ def main(argv=None) -> None:
     p.add_argument("--year", required=True)
     p.add_argument("--user", action="append", help="seed user (repeatable); all users when absent")
     p.add_argument("--form", default="api", choices=["api", "tree"])
-    p.add_argument("--hot", help="table of hot followees (column followee) to salt")
     p.add_argument("--out", required=True)
 
     p = sub.add_parser("trending", help="trending answer as one JSON line")
     p.add_argument("--top", required=True)
     p.add_argument("--out", required=True)
 
+    p = sub.add_parser("expire", help="drop old commits and the files only they name")
+    p.add_argument("--table", required=True)
+    p.add_argument("--keep", type=int, default=2)
+
     p = sub.add_parser("userid", help="id lookups as JSON lines")
     p.add_argument("--ids", required=True)
     p.add_argument("--user", action="append", required=True)
@@ -107,7 +106,7 @@ def main(argv=None) -> None:
     ensure_checkpoint_dir(spark)
 
     if a.cmd == "edges":
-        jobs.yearly_edges_job(spark, a.src, a.variant, a.part, a.edges, a.rejects,
+        jobs.yearly_edges_job(spark, a.src, a.variant, a.part, a.edges,
                               repartition=a.repartition, on_reject=a.on_reject)
     elif a.cmd == "follows":
         topics = [tuple(t.split(":", 1)) for t in a.topic]
@@ -120,16 +119,20 @@ def main(argv=None) -> None:
     elif a.cmd == "land":
         options = dict(o.split("=", 1) for o in a.option)
         land_topics(topic_stream(spark, a.format, a.src, options), a.out, a.checkpoint, allow=a.allow,
-                    deny=a.deny, files_per_hour=a.files_per_hour).awaitTermination()
+                    deny=a.deny, task_bytes=a.task_bytes).awaitTermination()
     elif a.cmd == "ego":
-        follows = FL.follow_edges(R.read_table(spark, a.userfollow))
-        hot = R.read_table(spark, a.hot) if a.hot else None
-        G.ego_json(follows, R.read_edges(spark, a.edges), seeds=_seeds(spark, a.user), label=a.year,
-                   form=a.form, hot=hot).write.mode("overwrite").json(a.out)
+        if a.user:
+            answers = serving.ego_answers(spark, a.userfollow, a.edges, a.user, a.year, form=a.form)
+        else:
+            follows = FL.follow_edges(R.read_table(spark, a.userfollow))
+            answers = G.ego_json(follows, R.read_edges(spark, a.edges), label=a.year, form=a.form)
+        answers.write.mode("overwrite").json(a.out)
+    elif a.cmd == "expire":
+        expire(spark, a.table, keep=a.keep)
     elif a.cmd == "trending":
         TR.trending_json(R.read_table(spark, a.top)).write.mode("overwrite").json(a.out)
     elif a.cmd == "userid":
-        L.lookup_ids(_seeds(spark, a.user), R.read_table(spark, a.ids)).write.mode("overwrite").json(a.out)
+        L.lookup_ids(serving.named(spark, a.user), serving.rows_of(spark, a.ids, serving.named(spark, a.user))).write.mode("overwrite").json(a.out)
     release_scratch(spark)
 
 

@@ -78,6 +78,14 @@ def _followed(follows: DataFrame, seeds) -> DataFrame:
     return f.select(F.col("username").alias("seed"), "pos", "followee")
 
 
+def followee_edges(edges: DataFrame, follows: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The edges of users that the seeds follow: what a request for a few seeds passes
+    on, so that other users' edges are gone before anything is aggregated. (For all
+    users there is nothing to cut, so the operators here do not do it themselves.)"""
+    followed = _followed(follows, seeds).select(F.col("followee").alias("username")).distinct()
+    return edges.join(followed, "username", "left_semi")
+
+
 def followee_repos(edges: DataFrame, label: str | None = None, parts=None, distinct_across: bool = False,
                    routing=None) -> DataFrame:
     """``(followee, repos)``: each user's repositories in the chosen parts, once

@@ -290,14 +290,34 @@ def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
 
 
-def follow_messages(spark: SparkSession, sf_dir: str, second: bool) -> DataFrame:
-    """Landed follow messages ``(topic, value, timestamp)`` of two batches. Events of
-    even ids are the first batch, of odd ids the second. ``view`` events are F1
-    records (lists of JSON texts), ``purchase`` events F2 records (structs)."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase") & (F.col("event_id") % 2 == int(second)))
-    login = F.concat(F.lit("c"), F.col("user_id").cast("string"))
-    followee = F.concat(F.lit("c"), _k())
-    f1 = F.to_json(F.struct(login.alias("login"), F.array(F.to_json(F.struct(followee.alias("login")))).alias("following")))
-    f2 = F.to_json(F.struct(login.alias("login"), F.array(F.struct(followee.alias("login"))).alias("following")))
-    return ev.select(F.when(F.col("event_type") == "view", "following-f1").otherwise("following-f2").alias("topic"),
-                     F.when(F.col("event_type") == "view", f1).otherwise(f2).alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
+#: Follow topics of the three batches, those of the highest precedence first.
+FOLLOW_BATCHES = ((6, 7), (4, 5), (3,))
+
+
+def follow_messages(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+    """Landed follow messages ``(topic, value, timestamp)`` of one of three batches.
+    Every event is a follow record of its type's topic (``TOPIC_PRIORITY``): odd
+    topics hold F1 records (lists of JSON texts), even ones F2 records (structs),
+    and those of ``error`` events have no list."""
+    prio = F.lit(None).cast("int")
+    for etype, p in TOPIC_PRIORITY.items():
+        prio = F.when(F.col("event_type") == etype, p).otherwise(prio)
+    ev = table(spark, sf_dir, "events").withColumn("prio", prio).filter(F.col("prio").isin(*FOLLOW_BATCHES[batch]))
+    login = F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("login")
+    followee = F.struct(F.concat(F.lit("c"), _k()).alias("login"))
+    listed = F.col("event_type") != "error"
+    f1 = F.to_json(F.struct(login, F.when(listed, F.array(F.to_json(followee))).alias("following")))
+    f2 = F.to_json(F.struct(login, F.when(listed, F.array(followee)).alias("following")))
+    return ev.select(F.concat(F.lit("following-"), F.col("prio").cast("string")).alias("topic"),
+                     F.when(F.col("prio") % 2 == 1, f1).otherwise(f2).alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def normalized_events(spark: SparkSession, sf_dir: str, late: bool | None = None) -> DataFrame:
+    """Normalised timeline rows (edges, and rejects with a reason); ``late`` picks
+    the events whose id is a multiple of five (which came late) or the others."""
+    from egoline.functions.constants import ACTIVITY_TYPES
+    from egoline.operators.normalize import normalize
+    tl = timeline(spark, sf_dir, "v1")
+    if late is not None:
+        tl = tl.filter((F.col("event_id") % 5 == 0) == F.lit(late))
+    return normalize(tl, "v1", part=F.col("part"), types=ACTIVITY_TYPES)

@@ -23,10 +23,12 @@ from egoline.operators import pages as PG
 from egoline.operators import trends as TR
 from egoline.operators.normalize import keep_types, normalize
 from egoline.plans import bindings as B
-from egoline.plans import jobs
+from egoline.plans import jobs, serving
 from egoline.session import shared_path
 from egoline.sources import readers as R
 from egoline.sources import sinks as K
+from egoline.sources.keyed import upsert_table
+from egoline.sources.snapshots import commit
 from egoline.streaming import land_topics, topic_stream
 
 LINK_PATTERN = r'<a href="(/[^"]*)">([^<]*)</a>'
@@ -151,6 +153,16 @@ def trending_json(spark, sf):
     return TR.trending_json(TR.top_repos(TR.weekly_trends(B.edges(spark, sf))))
 
 
+def weekly_trends_by_day(spark, sf):
+    """S2, A3: the week from stored day counts. Two batches are added; the second
+    holds late events, which change the counts of their days only. Raw edges are read
+    for the first and last day of the window."""
+    root = shared_path(spark, "edges-by-day")
+    for late in (False, True):
+        jobs.add_events_job(spark, B.normalized_events(spark, sf, late), root, batch=f"late={late}")
+    return jobs.weekly_trends(spark, root)
+
+
 # --- A4, P3, P12 -------------------------------------------------------------
 def repo_latest_map(spark, sf):
     e = B.edges(spark, sf, types=PROTOTYPE_TYPES)
@@ -168,7 +180,7 @@ def repo_map(spark, sf):
 # --- S7: the trending answer from the stored table ---------------------------------
 def trending_stored(spark, sf):
     path = shared_path(spark, "top10")
-    K.write_snapshot(TR.top_repos(TR.weekly_trends(B.edges(spark, sf))), path)
+    commit(TR.top_repos(TR.weekly_trends(B.edges(spark, sf))), path)
     return TR.trending_json(R.read_table(spark, path))
 
 
@@ -215,16 +227,17 @@ def source_precedence(spark, sf):
 
 
 def follows_pipeline(spark, sf):
-    """S8, S3, P14, P15, A7, K2: two batches of follow messages, each landed, read by
-    topic, parsed, merged by precedence and upserted into the committed table."""
+    """S8, S3, P14, P15, A7, K2: three batches of follow messages, the topics of the
+    highest precedence first; each is landed, read by topic, parsed and merged into
+    the committed table. A later batch of a lower topic must not overwrite."""
     table = shared_path(spark, "userfollow")
-    for second in (False, True):
+    for k, topics in enumerate(B.FOLLOW_BATCHES):
         src, out, ckpt = (shared_path(spark, f"follows-{x}") for x in ("in", "landed", "ckpt"))
-        B.follow_messages(spark, sf, second).write.json(src)
+        B.follow_messages(spark, sf, k).write.json(src)
         land_topics(topic_stream(spark, "json", src), out, ckpt, allow=r"^following-").awaitTermination()
-        jobs.follows_job(spark, out, [("following-f1", "f1"), ("following-f2", "f2")], table)
+        jobs.follows_job(spark, out, [(f"following-{t}", "f1" if t % 2 else "f2", t) for t in topics], table)
     rows = R.read_table(spark, table)
-    return rows.select("username", _joined(F.col("following")).alias("following"))
+    return rows.select("username", _joined(F.col("following")).alias("following"), "priority")
 
 
 # --- J1, A6, P18, N4, U3, D10, R4 ----------------------------------------------
@@ -266,9 +279,13 @@ def ego_tree_json(spark, sf):
 
 
 def ego_json_named(spark, sf):
-    """A few named users, as one request of the serving path asks for them."""
-    seeds = spark.range(1).select(F.explode(F.array(*[F.lit(u) for u in NAMED])).alias("username"))
-    return G.ego_json(B.listed_follows(spark, sf), B.edges(spark, sf), seeds=seeds, label="2014")
+    """P17: a few named users, as one request of the serving path asks for them, from
+    tables dealt into buckets by user: only the buckets of the names and of the users
+    they follow are opened."""
+    follows, edges = shared_path(spark, "userfollow"), shared_path(spark, "edges")
+    upsert_table(spark, follows, B.listed_follows(spark, sf), "username")
+    jobs.add_events_job(spark, B.normalized_events(spark, sf), edges, batch="all")
+    return serving.ego_answers(spark, follows, edges, NAMED, label="2014")
 
 
 # --- R3 -------------------------------------------------------------------------
@@ -387,6 +404,7 @@ QUERIES = {
     "timeline_json_v2": timeline_json_v2,
     "timeline_json_v3": timeline_json_v3,
     "weekly_trends": weekly_trends,
+    "weekly_trends_by_day": weekly_trends_by_day,
     "top10_weekly": top10_weekly,
     "trending_json": trending_json,
     "repo_latest_map": repo_latest_map,

@@ -1,15 +1,22 @@
 """Batch jobs that build the keyed tables, one per reference batch script.
 
-The serving queries read these tables (partition-pruned by year part) instead
-of recomputing from raw input.
+The serving queries read these tables instead of recomputing from raw input.
 
-    yearly_edges_job   timeline files of one year  -> edge table part + rejects
-    follows_job        landed follow topics        -> userfollow (keyed upsert)
+    yearly_edges_job   timeline files of one year  -> the year's edges, rejects and derived tables
+    add_events_job     a later batch of events     -> the same tables, touched folders only
+    follows_job        landed follow topics        -> userfollow (merged by precedence)
     user_ids_job       landed user topic / dumps   -> getuserid (keyed upsert)
-    trends_job         edge table                  -> weekly trends + top 10 (overwrite)
+    trends_job         day counts                  -> weekly trends + top 10
 
-The two upserts read the committed version of their table and commit the next
-one (``sources.snapshots``), so batches add up and a failed job changes nothing.
+All of them commit (``sources.snapshots``): a job that fails changes nothing, and
+of two jobs that change the same version one fails or is done again.
+
+The edge jobs keep four tables under one root and commit them together:
+
+    edges        by part and UTC day     every normalised edge
+    user_repos   by part and bucket      distinct (username, repo), for lookups by user
+    day_counts   by part and UTC day     counts per type and repository, which add up
+    rejects      by part                 rows that could not be normalised, with the reason
 """
 
 from __future__ import annotations
@@ -26,60 +33,128 @@ from egoline.operators.normalize import normalize
 from egoline.session import shared_path
 from egoline.sources import readers as R
 from egoline.sources import sinks as K
-from egoline.sources.snapshots import commit, read_current
+from egoline.sources.keyed import BUCKET, BUCKETS, bucket_of, upsert_table
+from egoline.sources.snapshots import Conflict, Version, commit, current, key_values, publish, read_version, stage
+
+EDGES, USER_REPOS, DAY_COUNTS, REJECTS = "edges", "user_repos", "day_counts", "rejects"
+LAYOUT = {EDGES: ("part", "day"), USER_REPOS: ("part", BUCKET), DAY_COUNTS: ("part", "day"), REJECTS: ("part",)}
+
+
+def _tables(rows: DataFrame) -> dict[str, DataFrame]:
+    """The four tables of normalised rows (edges and rejects in one frame)."""
+    edges = rows.filter("reason is null").select(*schemas.EDGE.names).withColumn("day", TR.day_of("ts"))
+    return {EDGES: edges, USER_REPOS: edges.select("username", "repo", "part", bucket_of("username", BUCKETS).alias(BUCKET)).distinct(),
+            DAY_COUNTS: TR.day_counts(edges.filter("ts is not null")), REJECTS: rows.filter("reason is not null").select("reason", "raw", "part")}
+
+
+def _stage(df: DataFrame, root: str, name: str):
+    sort = ("username",) if name == USER_REPOS else ()
+    return stage(df, root, name, LAYOUT[name], sort, BUCKETS if name == USER_REPOS else None)
 
 
-def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, edges_path: str,
-                     rejects_path: str, types=ACTIVITY_TYPES, repartition: int | None = None,
-                     on_reject: str = "skip") -> None:
-    """Normalise one year's timeline files into the edge table.
+def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, root: str, types=ACTIVITY_TYPES,
+                     repartition: int | None = None, on_reject: str = "skip") -> Version:
+    """Normalise one year's timeline files and make them that part's content.
 
-    The source is read once into a staged table; the edges and rejects in it
-    then replace the ``part=<part>`` folders, whether they hold a row or not,
-    so a re-run on corrected input leaves no stale reject. Other years stay
-    untouched. ``on_reject="fail"`` stops the job before either table is touched
-    when any row was rejected.
+    The source is read once into a staged table. The part's folders of all four
+    tables are replaced in one commit, whether they hold a row or not, so a
+    re-run on corrected input leaves no stale reject and a job killed half-way
+    changes nothing. Other parts stay untouched. ``on_reject="fail"`` stops the
+    job before the commit when any row was rejected.
     """
     staged = shared_path(spark, "staged-edges")
     normalize(R.read_timeline(spark, src, repartition=repartition), variant, part, types).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    edges, rejects = rows.filter("reason is null").drop("reason", "raw", "part"), rows.filter("reason is not null").select("reason", "raw")
-    K.enforce_rejects(rejects, on_reject)
-    for df, path in ((edges, edges_path), (rejects, rejects_path)):
-        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/part={part}")
+    return put_part(spark, spark.read.parquet(staged), part, root, on_reject)
 
 
-def follows_job(spark: SparkSession, topic_root: str, topics, userfollow_path: str) -> str:
-    """Parse follow records of several landed topics and upsert them.
+def put_part(spark: SparkSession, rows: DataFrame, part: str, root: str, on_reject: str = "skip") -> Version:
+    """Normalised rows (edges, and rejects with a reason) become the content of ``part``."""
+    base = current(spark, root)
+    K.enforce_rejects(rows.filter("reason is not null"), on_reject)
+    rows = rows.withColumn("part", F.lit(part))
+    files = {name: _stage(df, root, name) for name, df in _tables(rows).items()}
+    return publish(spark, root, base, files, lambda _, key: key_values(key)["part"] == part)
 
-    ``topics``: ``[(topic, variant), ...]`` in precedence order (later wins,
-    as in the reference's insertion order); ``variant`` is ``"f1"`` (JSON
-    texts) or ``"f2"`` (structs). Within one topic the newest message wins, of
-    equally new ones the greatest text. The merged table is upserted into the
-    committed one at ``userfollow_path`` (if any); returns the new version's path.
+
+def add_events_job(spark: SparkSession, rows: DataFrame, root: str, batch: str, retries: int = 3) -> Version:
+    """Add a batch of normalised rows (late ones too) to the tables.
+
+    Edges and rejects are added as further files; day counts and user
+    repositories are merged with the stored rows of the touched days and buckets
+    only. ``batch`` names the batch: one that was committed before is not added
+    again. When another writer commits first, the merge is done again.
     """
-    sources = []
-    for prio, (topic, variant) in enumerate(topics):
+    for attempt in range(retries + 1):
+        base = current(spark, root)
+        if base is not None and batch in base.batches:
+            return base
+        files, touched = {}, {}
+        for name, df in _tables(rows).items():
+            if name in (USER_REPOS, DAY_COUNTS):
+                by = LAYOUT[name]
+                keys = df.select(*[F.col(c).cast("string").alias(c) for c in by]).distinct().collect()  # folders, bounded by the layout
+                touched[name] = {"/".join(f"{c}={v}" for c, v in zip(by, k)) for k in keys}
+                old = read_version(spark, root, base, name, {c: sorted({k[i] for k in keys if k[i] is not None}) for i, c in enumerate(by)}) if base else None
+                if old is not None:
+                    # parts and days are told apart by column here; folders that only fit crosswise stay as they are
+                    here = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by])
+                    old = old.filter(here.isin(*touched[name])) if touched[name] else old.limit(0)
+                    df = TR.merge_day_counts(old, df) if name == DAY_COUNTS else old.unionByName(df).distinct()
+            files[name] = _stage(df, root, name)
+        try:
+            return publish(spark, root, base, files, lambda name, key: key in touched.get(name, ()), batch)
+        except Conflict:
+            if attempt == retries:
+                raise
+
+
+def newest_lists(lists: DataFrame, key: str = "username") -> DataFrame:
+    """One list per user: of the highest priority, then the latest time, then the greatest text."""
+    told = lists.withColumn("_text", F.to_json(F.struct("following")))
+    return FL.merge_prioritised(told, "priority", key=key, tie=("timestamp", "_text")).select(key, "following", "priority", "timestamp")
+
+
+def merge_follows(old: DataFrame, new: DataFrame, key: str = "username") -> DataFrame:
+    """Stored and new lists by precedence. A maximum, so batches in any order give
+    the same table. Stored lists without a priority (plain tables) give way to any other."""
+    if "priority" not in old.columns:
+        old = old.select(key, "following", F.lit(None).cast("int").alias("priority"), F.lit(None).cast("timestamp").alias("timestamp"))
+    return newest_lists(old.unionByName(new), key)
+
+
+def follows_job(spark: SparkSession, topic_root: str, topics, userfollow_path: str) -> Version:
+    """Parse follow records of several landed topics and merge them into the table.
+
+    ``topics``: ``[(topic, variant), ...]`` in precedence order (later wins, as
+    in the reference's insertion order), or ``(topic, variant, priority)`` where
+    jobs read different topics; ``variant`` is ``"f1"`` (JSON texts) or ``"f2"``
+    (structs). Priority and time are stored with each list, so a later batch of a
+    lower topic does not overwrite a higher one. Within one topic the newest
+    message wins, of equally new ones the list of the greatest text.
+    """
+    frames = []
+    for place, (topic, variant, *given) in enumerate(topics):
         schema = schemas.FOLLOW_F1 if variant == "f1" else schemas.FOLLOW_F2
         msgs = R.read_topic(spark, topic_root, topic=topic, schema=schema)
         parse = FL.parse_follows_json if variant == "f1" else FL.parse_follows_struct
-        parsed = parse(msgs, keep=("timestamp", "value")).select("username", "following", "timestamp", "value")
-        sources.append((prio, parsed))
-    merged = FL.merge_sources(sources, key="username", tie=("timestamp", "value")).select("username", "following")
-    return _upsert(spark, userfollow_path, merged)
+        parsed = parse(msgs, keep=("timestamp",)).select("username", "following", F.lit(given[0] if given else place).alias("priority"), "timestamp")
+        frames.append(parsed)
+    new = frames[0]
+    for f in frames[1:]:
+        new = new.unionByName(f)
+    merged = shared_path(spark, "userfollow-batch")  # read once per attempt of the commit
+    newest_lists(new).write.parquet(merged)
+    return upsert_table(spark, userfollow_path, spark.read.parquet(merged), "username", merge=merge_follows)
 
 
-def user_ids_job(spark: SparkSession, users: DataFrame, getuserid_path: str, lo=None, hi=None) -> str:
+def user_ids_job(spark: SparkSession, users: DataFrame, getuserid_path: str, lo=None, hi=None) -> Version:
     """Project ``(username, userid)`` from wide user records (a landed topic
     parsed with ``schemas.USER`` or :func:`read_user_dumps`), one row per name
     (highest id wins on repeats), upserted into the committed table."""
     ids = L.user_ids(users, lo=lo, hi=hi)
-    return _upsert(spark, getuserid_path, ids.groupBy("username").agg(F.max("userid").alias("userid")))
-
-
-def _upsert(spark: SparkSession, path: str, new: DataFrame) -> str:
-    existing = read_current(spark, path)
-    return commit(new if existing is None else K.upsert(existing, new, "username"), path)
+    batch = shared_path(spark, "userids-batch")
+    ids.groupBy("username").agg(F.max("userid").alias("userid")).write.parquet(batch)
+    return upsert_table(spark, getuserid_path, spark.read.parquet(batch), "username")
 
 
 def bucket_graph_tables(spark: SparkSession, follows: DataFrame, edges: DataFrame, label: str | None = None,
@@ -102,11 +177,33 @@ def bucket_graph_tables(spark: SparkSession, follows: DataFrame, edges: DataFram
      .write.mode("overwrite").bucketBy(buckets, "followee").sortBy("followee").saveAsTable(lists_table))
 
 
+def weekly_trends(spark: SparkSession, root: str, as_of: str | None = None, days: int = 7) -> DataFrame:
+    """The week's counts from the stored day counts; raw edges are read for the
+    window's first and last day only. ``as_of`` (a UTC time) defaults to the
+    latest edge, which the counts of the last stored day tell."""
+    version = current(spark, root)
+    stored = [key_values(k)["day"] for k in version.tables[DAY_COUNTS]["folders"]] if version else []
+    known = sorted({d for d in stored if d[:1].isdigit()})
+    empty = spark.createDataFrame([], "reponame string, watchcount long")
+    if not known:
+        return empty
+    if as_of is None:
+        last = read_version(spark, root, version, DAY_COUNTS, {"day": known[-1:]}).agg(F.max(F.unix_micros("latest"))).first()[0]
+    else:
+        last = spark.range(1).select(F.unix_micros(F.to_timestamp(F.concat(F.lit(str(as_of).rstrip("Z")), F.lit("+00:00"))))).first()[0]
+    touched = [d.isoformat() for d in TR.week_days(last, days)]
+    counts = read_version(spark, root, version, DAY_COUNTS, {"day": touched[1:-1]})
+    edges = read_version(spark, root, version, EDGES, {"day": [touched[0], touched[-1]]})
+    return TR.weekly_trends_from_days(counts, edges, last, days)
+
+
 def trends_job(spark: SparkSession, edges_path: str, trends_path: str, top_path: str,
                as_of=None, days: int = 7, k: int = TOP_K) -> None:
-    """Weekly star counts and the top ``k``, each written as a fresh snapshot
+    """Weekly star counts and the top ``k``, each committed as the whole table
     (repositories of past weeks do not linger)."""
-    edges = R.read_edges(spark, edges_path)
-    trends = TR.weekly_trends(edges, as_of=as_of, days=days)
-    K.write_snapshot(trends, trends_path)
-    K.write_snapshot(TR.top_repos(spark.read.parquet(trends_path), k), top_path)
+    if current(spark, edges_path) is None:  # plain files
+        trends = TR.weekly_trends(R.read_edges(spark, edges_path), as_of=as_of, days=days)
+    else:
+        trends = weekly_trends(spark, edges_path, as_of, days)
+    commit(trends, trends_path)
+    commit(TR.top_repos(R.read_table(spark, trends_path), k), top_path)

@@ -165,6 +165,9 @@ SELECT DISTINCT username, repo, part FROM ev WHERE event_type IN {ACT}""",
     "weekly_trends": f"""WITH {EV}, {WEEK}
 SELECT reponame, watchcount FROM wk""",
 
+    "weekly_trends_by_day": f"""WITH {EV}, {WEEK}
+SELECT reponame, watchcount FROM wk""",
+
     "top10_weekly": f"""WITH {EV}, {WEEK}, {TOP10}
 SELECT reponame, watchcount FROM top""",
 
@@ -195,11 +198,12 @@ y AS (SELECT page_id, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS hh
 SELECT page_id, pos::BIGINT AS pos, substr(hh, 2) AS slug, tt AS text FROM y""",
 
     "follows_pipeline": """WITH r AS (
-  SELECT 'c' || user_id AS username, event_id % 2 AS batch, event_type = 'purchase' AS f2,
-         date_trunc('millisecond', ts) AS sent, 'c' || json_extract_string(props, '$.k') AS following
-  FROM events WHERE event_type IN ('view', 'purchase')),
-w AS (SELECT *, row_number() OVER (PARTITION BY username ORDER BY batch DESC, f2 DESC, sent DESC, following DESC) AS rn FROM r)
-SELECT username, following FROM w WHERE rn = 1""",
+  SELECT 'c' || user_id AS username, CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 4 WHEN 'purchase' THEN 5
+           WHEN 'signup' THEN 6 WHEN 'error' THEN 7 END AS priority,
+         date_trunc('millisecond', ts) AS sent, CASE WHEN event_type <> 'error' THEN 'c' || json_extract_string(props, '$.k') END AS following
+  FROM events),
+w AS (SELECT *, row_number() OVER (PARTITION BY username ORDER BY priority DESC, sent DESC, following DESC) AS rn FROM r)
+SELECT username, following, priority FROM w WHERE rn = 1""",
 
     "repo_latest_map": f"""WITH {EV}
 SELECT username, repo, strftime(max(ts_sec), '%Y-%m-%d %H:%M:%S') AS latest

@@ -5,4 +5,5 @@ from egoline.sources.sinks import (  # noqa: F401
     RejectedRows, enforce_rejects, to_messages, upsert, write_edges, write_messages,
     write_snapshot,
 )
-from egoline.sources.snapshots import commit, current_path, read_current  # noqa: F401
+from egoline.sources.keyed import lookup, upsert_table  # noqa: F401
+from egoline.sources.snapshots import Conflict, commit, current, expire, read_current  # noqa: F401

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from egoline import schemas
 from egoline.functions.constants import REJECTS
-from egoline.sources.snapshots import current_path
+from egoline.sources.snapshots import DATA, current, read_version
 
 
 def read_timeline(spark: SparkSession, path, schema: T.StructType = schemas.TIMELINE_READ,
@@ -42,7 +42,7 @@ def read_topic(spark: SparkSession, root: str, topic: str | None = None,
     ``schema`` parses the message value; without it the raw JSON text is kept.
     Messages that could not be placed are only read by their own topic.
     """
-    df = spark.read.option("basePath", root).json(root, schema=_landed_schema())
+    df = spark.read.option("basePath", root).json(root, schema=_landed_schema()).select(*_landed_schema().names)
     df = df.filter(F.col("topic") == topic if topic is not None else F.col("topic") != REJECTS)
     hour_key = (F.col("year") * 1000000 + F.col("month") * 10000
                 + F.col("day") * 100 + F.col("hour"))
@@ -94,16 +94,19 @@ def read_user_dumps(spark: SparkSession, path: str, lo: int | None = None, hi: i
 
 
 def read_edges(spark: SparkSession, path: str, label: str | None = None) -> DataFrame:
-    """The partitioned edge table with its declared schema; a year ``label``
-    becomes a partition filter, so only that label's folders are listed and read."""
-    df = spark.read.schema(schemas.EDGE).parquet(path)
-    if label is not None:
-        from egoline.operators.edges import select_parts
-        df = select_parts(df, label)
-    return df
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Full scan of a keyed table: its committed snapshot, or the files at ``path``
-    where it was written as plain files."""
-    return spark.read.format(fmt).load(current_path(spark, path) or path)
+    """The edge table (a committed one, or plain files under ``part=`` folders); a
+    year ``label`` becomes a partition filter, so only that label's folders are
+    listed and read."""
+    from egoline.operators.edges import parts_for_label, select_parts
+    version = current(spark, path)
+    if version is None:
+        return select_parts(spark.read.schema(schemas.EDGE).parquet(path), label)
+    where = {"part": parts_for_label(label)} if label is not None else None
+    return read_version(spark, path, version, "edges", where).select(*schemas.EDGE.names)
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", table: str = DATA, where: dict | None = None) -> DataFrame:
+    """A keyed table: its committed version (``where``: of these partition values
+    only), or the files at ``path`` where it was written as plain files."""
+    version = current(spark, path)
+    return spark.read.format(fmt).load(path) if version is None else read_version(spark, path, version, table, where)

@@ -1,23 +1,27 @@
 """Incremental topic landing with Structured Streaming.
 
 Messages ``(topic, value, timestamp)`` are written as compressed JSON lines
-under ``topic=/year=/month=/day=/hour=`` folders. The checkpoint remembers the
-source offsets, so a second run over the same input adds nothing and a run
-that dies half-way resumes where it stopped (the file sink's log makes the
-output exactly-once). Allow and deny lists pick the topics.
+under ``topic=/year=/month=/day=/hour=/batch=`` folders. The checkpoint remembers
+the source offsets, so a second run over the same input adds nothing. A batch
+overwrites its own ``batch=`` folders only, so one that died half-way and is
+replayed leaves no duplicate. Allow and deny lists pick the topics.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from egoline import schemas
 from egoline.functions.constants import REJECTS
+from egoline.sources.snapshots import read_text
 
-#: Files that one hour of a topic may spread over in a batch.
-FILES_PER_HOUR = 4
+FOLDER = ("topic", "year", "month", "day", "hour")
+#: Bytes of shuffled rows that a task writes at most, whatever the number of folders.
+TASK_BYTES = 64 << 20
 
 
 def topic_stream(spark: SparkSession, fmt: str = "json", path: str | None = None,
@@ -38,10 +42,24 @@ def topic_stream(spark: SparkSession, fmt: str = "json", path: str | None = None
     return r.load(path)
 
 
+def write_batch(batch: DataFrame, out: str, name: str, compression: str = "gzip", task_bytes: int = TASK_BYTES) -> None:
+    """Write one batch into its hour folders, replacing what an earlier attempt of the same name left.
+
+    Rows are rebalanced by folder: cold hours share a task, which writes one
+    file for each, and a hot hour is split over as many tasks as its bytes need.
+    """
+    conf = batch.sparkSession.conf  # the stream's own copy of the session
+    conf.set("spark.sql.adaptive.enabled", "true")
+    conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes))
+    conf.set("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+    (batch.withColumn("batch", F.lit(name)).hint("rebalance", *[F.col(c) for c in FOLDER])
+     .write.format("json").option("compression", compression).partitionBy(*FOLDER, "batch")
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic").save(out))
+
+
 def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None = None,
                 deny=(), compression: str = "gzip", available_now: bool = True,
-                processing_time: str | None = None, files_per_hour: int = FILES_PER_HOUR,
-                num_partitions: int | None = None) -> StreamingQuery:
+                processing_time: str | None = None, task_bytes: int = TASK_BYTES) -> StreamingQuery:
     """Land a message stream into hourly topic folders.
 
     ``allow`` is a regular expression over topic names (all when None);
@@ -49,12 +67,8 @@ def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None
     timestamp in the session time zone (UTC by default). Messages without a
     topic or a readable timestamp have no folder: they go to the same tree under
     ``topic=_rejects`` with the hour zero of the year zero, and their value is
-    the whole message.
-
-    Rows are shuffled by hour folder before the write, so each micro-batch
-    writes up to ``files_per_hour`` files per folder instead of one small file
-    per task and folder (sub-buckets are hashed onto tasks). A hot hour (one topic burst holding a large share of the
-    batch) is spread over ``files_per_hour`` tasks by a hash of the message.
+    the whole message. Within an hour, a micro-batch has a folder of its own,
+    named by the stream's id and the batch's number.
     """
     s = stream
     if allow is not None:
@@ -67,15 +81,13 @@ def land_topics(stream: DataFrame, out: str, checkpoint: str, allow: str | None
                  F.when(good, F.col("value")).otherwise(F.to_json(F.struct("topic", "value"))).alias("value"), "timestamp",
                  part(F.year).alias("year"), part(F.month).alias("month"),
                  part(F.dayofmonth).alias("day"), part(F.hour).alias("hour"))
-    folder = [F.col(c) for c in ("topic", "year", "month", "day", "hour")]
-    spread = F.pmod(F.xxhash64("value"), F.lit(max(1, files_per_hour)))
-    s = (s.repartition(num_partitions, *folder, spread) if num_partitions
-         else s.repartition(*folder, spread))
-    w = (s.writeStream.format("json").option("compression", compression)
-         .partitionBy("topic", "year", "month", "day", "hour")
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+
+    def land(batch: DataFrame, number: int) -> None:
+        stream_id = json.loads(read_text(batch.sparkSession, f"{checkpoint.rstrip('/')}/metadata").splitlines()[-1])["id"]
+        write_batch(batch, out, f"{stream_id}-{number}", compression, task_bytes)
+    w = s.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).outputMode("append")
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:
         w = w.trigger(availableNow=True)
-    return w.start(out)
+    return w.start()

@@ -14,8 +14,8 @@ def test_cli_edges_ego_trends(spark, tmp_path):
                     "created_at": "2015-01-03T00:00:00Z"}),
         json.dumps({"type": "ForkEvent", "actor": {"login": "b"}, "repo": {"name": "o/r2"},
                     "created_at": "2015-01-03T00:00:00Z"})])
-    edges, rejects = str(tmp_path / "edges"), str(tmp_path / "rejects")
-    main(["edges", "--src", src, "--variant", "v1", "--part", "2015", "--edges", edges, "--rejects", rejects])
+    edges = str(tmp_path / "edges")
+    main(["edges", "--src", src, "--variant", "v1", "--part", "2015", "--edges", edges])
     uf = str(tmp_path / "userfollow")
     spark.createDataFrame([("u", ["b", "a", "z"]), ("n", [])], "username string, following array<string>") \
         .write.parquet(uf)

@@ -16,14 +16,14 @@ def test_yearly_edges_job_idempotent_per_part(spark, tmp_path):
         json.dumps({"type": "ForkEvent", "repo": {"name": "o/r2"}})])
     v3 = write_lines(tmp_path / "2013" / "a.json", [
         json.dumps({"type": "ForkEvent", "actor": "b", "repository": {"owner": "o", "name": "r2"}})])
-    edges, rejects = str(tmp_path / "edges"), str(tmp_path / "rejects")
-    jobs.yearly_edges_job(spark, v1, "v1", "2015", edges, rejects)
-    jobs.yearly_edges_job(spark, v3, "v3", "2013", edges, rejects)
-    jobs.yearly_edges_job(spark, v1, "v1", "2015", edges, rejects)   # re-run one year
+    edges = str(tmp_path / "edges")
+    jobs.yearly_edges_job(spark, v1, "v1", "2015", edges)
+    jobs.yearly_edges_job(spark, v3, "v3", "2013", edges)
+    jobs.yearly_edges_job(spark, v1, "v1", "2015", edges)   # re-run one year
     from egoline.sources import read_edges
     got = sorted((r.username, r.repo, r.part) for r in read_edges(spark, edges).collect())
     assert got == [("a", "o/r1", "2015"), ("b", "o/r2", "2013")]
-    assert [r.reason for r in spark.read.parquet(rejects).collect()] == ["null_user"]
+    assert [r.reason for r in read_table(spark, edges, table="rejects").collect()] == ["null_user"]
 
 
 def test_follows_job_precedence_and_upsert(spark, tmp_path):
@@ -39,8 +39,8 @@ def test_follows_job_precedence_and_upsert(spark, tmp_path):
     root = str(tmp_path / "landed")
     land_topics(topic_stream(spark, "json", str(src)), root, str(tmp_path / "ck")).awaitTermination()
     topics = [("scrap-following-3", "f1"), ("scrap-following-7", "f2")]
-    first = jobs.follows_job(spark, root, topics, str(tmp_path / "uf0"))
-    got = {r.username: r.following for r in spark.read.parquet(first).collect()}
+    jobs.follows_job(spark, root, topics, str(tmp_path / "uf0"))
+    got = {r.username: r.following for r in read_table(spark, str(tmp_path / "uf0")).collect()}
     assert got == {"u": ["z"], "v": None}
     prev = spark.createDataFrame([("w", ["q"]), ("u", ["old"])], "username string, following array<string>")
     prev.write.parquet(str(tmp_path / "uf1"))
@@ -51,14 +51,14 @@ def test_follows_job_precedence_and_upsert(spark, tmp_path):
 
 def test_user_ids_and_trends_jobs(spark, tmp_path):
     users = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("b", 3, "y")], "login string, id long, extra string")
-    out = jobs.user_ids_job(spark, users, str(tmp_path / "ids"))
-    assert sorted(spark.read.parquet(out).collect()) == [("a", 1), ("b", 3)]
+    jobs.user_ids_job(spark, users, str(tmp_path / "ids"))
+    assert sorted(read_table(spark, str(tmp_path / "ids")).drop("bucket").collect()) == [("a", 1), ("b", 3)]
     e = spark.createDataFrame([("u1", "o/a", "WatchEvent", "2015"), ("u2", "o/a", "WatchEvent", "2015"),
                                ("u3", "o/b", "WatchEvent", "2015")], "username string, repo string, type string, part string") \
         .withColumn("ts", F.lit("2015-01-10 00:00:00").cast("timestamp"))
     e.write.partitionBy("part").parquet(str(tmp_path / "edges"))
     jobs.trends_job(spark, str(tmp_path / "edges"), str(tmp_path / "trends"), str(tmp_path / "top"), k=1)
-    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "top")).collect()] == [("o/a", 2)]
+    assert [tuple(r) for r in read_table(spark, str(tmp_path / "top")).collect()] == [("o/a", 2)]
 
 
 def test_bucketed_graph_tables_join_without_shuffle(spark):
@@ -98,7 +98,8 @@ def _land(spark, tmp_path, name, msgs):
 def test_batches_add_up_and_ties_are_decided(spark, tmp_path):
     f = lambda *names: {"following": [{"login": n} for n in names]}
     ts = "2015-06-01T01:00:00Z"
-    one = _land(spark, tmp_path, "one", [("t", {"login": "a", **f("x")}, ts), ("t", {"login": "b", **f("y")}, ts)])
+    early = "2015-06-01T00:59:00Z"
+    one = _land(spark, tmp_path, "one", [("t", {"login": "a", **f("x")}, ts), ("t", {"login": "b", **f("y")}, early)])
     two = _land(spark, tmp_path, "two", [("t", {"login": "b", **f("p")}, ts), ("t", {"login": "b", **f("q")}, ts), ("t", {"login": "c", **f("z")}, ts)])
     table = str(tmp_path / "uf")
     for root in (one, two):
@@ -120,11 +121,11 @@ def test_rerun_on_corrected_input_leaves_no_stale_reject(spark, tmp_path):
     bad = write_lines(tmp_path / "bad" / "a.json", [json.dumps({"type": "ForkEvent", "repo": {"name": "o/r2"}}),
                                                      json.dumps({"type": "WatchEvent", "actor": {"login": "b"}, "repo": {"name": "o/r2"}, "created_at": "noon"})])
     good = write_lines(tmp_path / "good" / "a.json", [json.dumps({"type": "ForkEvent", "actor": {"login": "b"}, "repo": {"name": "o/r2"}})])
-    edges, rejects = str(tmp_path / "edges"), str(tmp_path / "rejects")
-    jobs.yearly_edges_job(spark, bad, "v1", "2015", edges, rejects)
-    assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == ["bad_time", "null_user"]
-    jobs.yearly_edges_job(spark, good, "v1", "2015", edges, rejects)
-    assert spark.read.parquet(rejects).count() == 0 and spark.read.parquet(edges).count() == 1
+    edges = str(tmp_path / "edges")
+    jobs.yearly_edges_job(spark, bad, "v1", "2015", edges)
+    assert sorted(r.reason for r in read_table(spark, edges, table="rejects").collect()) == ["bad_time", "null_user"]
+    jobs.yearly_edges_job(spark, good, "v1", "2015", edges)
+    assert read_table(spark, edges, table="rejects").count() == 0 and read_table(spark, edges, table="edges").count() == 1
 
 
 def test_scratch_is_released(spark):

@@ -1,0 +1,198 @@
+"""Commits, keyed tables, stored precedence, day counts and the lookups that read them."""
+
+import itertools
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from egoline.operators import trends as TR
+from egoline.plans import jobs, serving
+from egoline.sources import Conflict, commit, current, expire, lookup, read_table, upsert_table
+from egoline.sources import snapshots as S
+
+FOLLOW = "username string, following array<string>, priority int, timestamp timestamp"
+
+
+def rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def kv(spark, pairs):
+    return spark.createDataFrame(pairs, "k string, n long")
+
+
+def files(root):
+    return {os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    root = str(tmp_path / "t")
+    upsert_table(spark, root, kv(spark, [(f"k{i}", i) for i in range(200)]), "k", buckets=8)
+    before = {f: os.stat(f).st_mtime_ns for f in files(root)}
+    upsert_table(spark, root, kv(spark, [("k7", -7), ("new", 1)]), "k")
+    want = {(f"k{i}", i) for i in range(200)} - {("k7", 7)} | {("k7", -7), ("new", 1)}
+    assert set(rows(read_table(spark, root), "k", "n")) == want
+    assert {f: os.stat(f).st_mtime_ns for f in before} == before  # nothing that was there is written again
+    v = current(spark, root)
+    touched = [k for k, vs in v.tables["data"]["folders"].items() if vs != S._load(spark, root, 1).tables["data"]["folders"].get(k)]
+    assert 1 <= len(touched) <= 2 and v.number == 2
+
+
+def test_upsert_edges(spark, tmp_path):
+    root = str(tmp_path / "t")
+    upsert_table(spark, root, kv(spark, []), "k")
+    assert read_table(spark, root).count() == 0 and "n" in read_table(spark, root).columns
+    upsert_table(spark, root, kv(spark, [(None, 1), ("", 2)]), "k")
+    upsert_table(spark, root, kv(spark, []), "k")
+    assert set(rows(read_table(spark, root), F.coalesce("k", F.lit("null")), "n")) == {("null", 1), ("", 2)}
+
+
+def test_second_of_two_writers_fails_or_is_done_again(spark, tmp_path):
+    root = str(tmp_path / "t")
+    upsert_table(spark, root, kv(spark, [("a", 1)]), "k")
+    base = current(spark, root)
+    one, two = (S.stage(kv(spark, [(k, 2)]).withColumn("bucket", F.lit(0)), root, by=("bucket",)) for k in "bc")
+    S.publish(spark, root, base, {"data": one})
+    with pytest.raises(Conflict):
+        S.publish(spark, root, base, {"data": two})
+    assert "b" in {r.k for r in read_table(spark, root).collect()}
+
+    def interrupted(old, new, key, left=[2]):  # another writer commits while the merge runs, twice
+        if left[0]:
+            left[0] -= 1
+            upsert_table(spark, root, kv(spark, [(f"other{left[0]}", 9)]), "k")
+        return jobs.upsert_table.__globals__["replace_rows"](old, new, key)
+    upsert_table(spark, root, kv(spark, [("a", 5)]), "k", merge=interrupted)
+    got = dict(rows(read_table(spark, root), "k", "n"))
+    assert got["a"] == 5 and {"other0", "other1", "b"} <= set(got)
+
+    def always(old, new, key):
+        upsert_table(spark, root, kv(spark, [("a", 6)]), "k")
+        return new
+    with pytest.raises(Conflict):
+        upsert_table(spark, root, kv(spark, [("a", 7)]), "k", merge=always, retries=1)
+    assert dict(rows(read_table(spark, root), "k", "n"))["a"] == 6
+
+
+def test_versions_expire(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in range(5):
+        upsert_table(spark, root, kv(spark, [("a", n), (f"k{n}", n)]), "k", buckets=2)
+    want = rows(read_table(spark, root), "k", "n")
+    assert expire(spark, root, keep=1) == 0  # young files stay
+    assert expire(spark, root, keep=1, older_than_s=0) > 0
+    assert rows(read_table(spark, root), "k", "n") == want and len(os.listdir(os.path.join(root, "_commits"))) <= 3
+    upsert_table(spark, root, kv(spark, [("z", 1)]), "k")
+    assert len(rows(read_table(spark, root), "k", "n")) == len(want) + 1
+
+
+def test_unpartitioned_commit_replaces_all(spark, tmp_path):
+    root = str(tmp_path / "t")
+    commit(kv(spark, [("a", 1)]), root)
+    commit(kv(spark, [("b", 2)]), root)
+    assert rows(read_table(spark, root), "k", "n") == [("b", 2)]
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(range(3))))
+def test_follow_batches_in_any_order_give_the_same_table(spark, tmp_path, order):
+    t = lambda h: F.lit(f"2015-06-01 0{h}:00:00").cast("timestamp")
+    batch = lambda lst, p, h: spark.createDataFrame(lst, "username string, following array<string>") \
+        .select("username", "following", F.lit(p).alias("priority"), t(h).alias("timestamp"))
+    batches = [batch([("a", ["x"]), ("b", ["y"]), ("c", None)], 7, 1), batch([("a", ["low"]), ("d", ["z"]), ("c", ["low"])], 3, 5),
+               batch([("b", ["newer"]), ("a", ["v"])], 7, 1)]
+    root = str(tmp_path / "uf")
+    for k in order:
+        upsert_table(spark, root, batches[k], "username", merge=jobs.merge_follows)
+    assert rows(read_table(spark, root), "username", F.concat_ws(",", "following"), "priority") == [
+        ("a", "x", 7), ("b", "y", 7), ("c", "", 7), ("d", "z", 3)]
+    assert read_table(spark, root).filter("username = 'c' AND following IS NULL").count() == 1
+
+
+def edge_rows(spark, data):
+    df = spark.createDataFrame(data, "username string, repo string, type string, at string, reason string")
+    return df.select("username", "repo", "type", F.to_timestamp("at").alias("ts"), F.lit("2015").alias("part"), "reason", F.lit("raw").alias("raw"))
+
+
+def day_data(n=300):
+    return [(f"u{i % 23}", f"o/r{i * i % 11}", "WatchEvent" if i % 3 else "ForkEvent", f"2015-01-{1 + i % 14:02d} {i % 24:02d}:30:00", None) for i in range(n)]
+
+
+def test_job_killed_between_two_writes_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "edges")
+    jobs.put_part(spark, edge_rows(spark, day_data(20) + [(None, "o/r", "ForkEvent", None, "null_user")]), "2015", root)
+    before = rows(read_table(spark, root, table="edges"), "username", "repo"), rows(read_table(spark, root, table="rejects"), "reason")
+    real = jobs.stage
+    for stop in range(4):
+        done = []
+
+        def dying(*a, done=done, stop=stop):
+            if len(done) == stop:
+                raise RuntimeError("killed")
+            done.append(1)
+            return real(*a)
+        monkeypatch.setattr(jobs, "stage", dying)
+        with pytest.raises(RuntimeError, match="killed"):
+            jobs.put_part(spark, edge_rows(spark, day_data(50)), "2015", root)
+    monkeypatch.setattr(jobs, "stage", real)
+    assert (rows(read_table(spark, root, table="edges"), "username", "repo"), rows(read_table(spark, root, table="rejects"), "reason")) == before
+    with pytest.raises(Exception, match="rejected"):
+        jobs.put_part(spark, edge_rows(spark, [(None, "o/r", "ForkEvent", None, "null_user")]), "2015", root, on_reject="fail")
+    assert rows(read_table(spark, root, table="rejects"), "reason") == before[1]
+
+
+def test_day_counts_in_batches_equal_a_full_recount(spark, tmp_path):
+    root, data = str(tmp_path / "edges"), day_data()
+    parts = [data[:100], data[100:220], data[220:], [("late", "o/late", "WatchEvent", "2015-01-10 05:00:00", None), ("nt", "o/r", "ForkEvent", None, None)]]
+    for k, p in enumerate(parts[:3]):
+        jobs.add_events_job(spark, edge_rows(spark, p), root, batch=str(k))
+    before = current(spark, root).tables["day_counts"]["folders"]
+    jobs.add_events_job(spark, edge_rows(spark, parts[3]), root, batch="late")
+    after = current(spark, root).tables["day_counts"]["folders"]
+    assert {k for k in after if after[k] != before.get(k)} == {"part=2015/day=2015-01-10"}  # a late event changes its day
+    jobs.add_events_job(spark, edge_rows(spark, parts[1]), root, batch="1")  # replayed: not added again
+    whole = edge_rows(spark, data + parts[3])
+    edges = read_table(spark, root, table="edges")
+    assert rows(edges, "username", "repo") == rows(whole, "username", "repo")
+    recount = TR.day_counts(whole.filter("ts is not null").withColumn("day", TR.day_of("ts")))
+    assert rows(read_table(spark, root, table="day_counts"), "day", "type", "repo", "n", "latest") == rows(recount, "day", "type", "repo", "n", "latest")
+    assert rows(read_table(spark, root, table="user_repos"), "username", "repo") == sorted(set(rows(whole, "username", "repo")))
+    for as_of in (None, "2015-01-09 07:00:00", "2015-01-12 00:00:00", "2014-12-01 00:00:00", "2015-01-08 00:30:00"):
+        want = TR.weekly_trends(whole.filter("ts is not null"), as_of=as_of)
+        assert rows(jobs.weekly_trends(spark, root, as_of), "reponame", "watchcount") == rows(want, "reponame", "watchcount"), as_of
+
+
+def test_week_reads_its_days_only(spark, tmp_path):
+    root = str(tmp_path / "edges")
+    jobs.add_events_job(spark, edge_rows(spark, day_data()), root, batch="all")
+    df = jobs.weekly_trends(spark, root)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and plan.count("PartitionFilters: [") == 2
+    days = {p.split("day=")[1][:10] for p in df.inputFiles()}
+    assert min(days) == "2015-01-07" and max(days) == "2015-01-14"
+
+
+def test_weekly_trends_of_nothing(spark, tmp_path):
+    assert jobs.weekly_trends(spark, str(tmp_path / "none")).count() == 0
+    jobs.add_events_job(spark, edge_rows(spark, []), str(tmp_path / "empty"), batch="0")
+    assert jobs.weekly_trends(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_named_answer_opens_its_buckets_and_edges_of_followees(spark, tmp_path):
+    uf, edges = str(tmp_path / "uf"), str(tmp_path / "edges")
+    lists = [(f"u{i}", [f"u{(i + d) % 400}" for d in (1, 2)]) for i in range(400)] + [("none", []), ("gone", ["nobody"])]
+    upsert_table(spark, uf, spark.createDataFrame(lists, "username string, following array<string>"), "username")
+    data = [(f"u{i}", f"o/r{i % 7}", "WatchEvent", "2015-01-05 00:00:00", None) for i in range(400)]
+    jobs.add_events_job(spark, edge_rows(spark, data), edges, batch="all")
+    df = serving.ego_answers(spark, uf, edges, ["u5", "none", "missing"], label="2015")
+    opened = {p.split("/part-")[0].split("/v=")[1].split("/", 1)[1] for p in df.inputFiles()}
+    assert 0 < len([p for p in opened if "part=" not in p]) <= 3 and 0 < len([p for p in opened if "part=2015" in p]) <= 2
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("collect_set"):]
+    assert "LeftSemi" in below  # edges are cut to the followees before they are gathered
+    got = {r.username: json.loads(r.json) for r in df.collect()}
+    assert got["u5"] == {"username": "u5", "following": [{"username": "u6", "repositories": ["o/r6"]}, {"username": "u7", "repositories": ["o/r0"]}]}
+    assert got["none"] == {"Response": "none is not following anyone"} and got["missing"] == {"Response": "Records for missing were not found"}
+    assert rows(lookup(spark, uf, spark.createDataFrame([("gone",), ("gone",)], "u string"), "username"), "username") == [("gone",)]
+    assert lookup(spark, str(tmp_path / "nothing"), spark.createDataFrame([("a",)], "u string"), "username") is None

@@ -66,7 +66,8 @@ def test_oracle_matches_on_smoke_data(spark):
     for t in ["nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name in ["ego_graph", "page_stitch", "follow_parse_f1", "normalize_v2", "tree_stats", "weekly_trends", "ego_json",
-                 "ego_json_named", "ego_tree_json", "repo_map", "follow_links_html", "trending_stored", "source_precedence"]:
+                 "ego_json_named", "ego_tree_json", "repo_map", "follow_links_html", "trending_stored", "source_precedence",
+                 "weekly_trends_by_day", "follows_pipeline"]:
         df = E.queries()[name](spark, sf)
         cols = sorted(df.columns)
         srows = sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
@@ -78,20 +79,50 @@ def test_oracle_matches_on_smoke_data(spark):
         assert srows == drows, name
 
 
-def test_landing_spreads_a_hot_hour(spark, tmp_path):
+def _hour(out, topic, hour):
     import os
+    return os.path.join(out, f"topic={topic}", "year=2015", "month=3", "day=1", f"hour={hour}")
+
+
+def _gz(folder):
+    import os
+    return [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".gz")]
+
+
+def test_landing_is_sized_by_volume(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    (src / "a.json").write_text("\n".join(
-        json.dumps({"topic": "t", "value": json.dumps({"i": i}), "timestamp": "2015-03-01T05:00:00Z"})
-        for i in range(300)) + "\n")
+    lines = [("hot", 5, i) for i in range(20_000)] + [("cold", h, h) for h in range(20)]
+    for k in range(4):
+        (src / f"{k}.json").write_text("\n".join(json.dumps({"topic": t, "value": json.dumps({"i": i, "pad": f"{i:0200d}"}),
+                                                            "timestamp": f"2015-03-01T{h:02d}:00:00Z"}) for t, h, i in lines[k::4]) + "\n")
     out = str(tmp_path / "out")
-    land_topics(topic_stream(spark, "json", str(src)), out, str(tmp_path / "ck"),
-                files_per_hour=3, num_partitions=64).awaitTermination()
-    folder = os.path.join(out, "topic=t", "year=2015", "month=3", "day=1", "hour=5")
-    files = [f for f in os.listdir(folder) if f.endswith(".gz")]
-    assert 1 < len(files) <= 3  # hash sub-buckets of one hour land in different tasks
-    assert read_topic(spark, out).count() == 300
+    land_topics(topic_stream(spark, "json", str(src)), out, str(tmp_path / "ck"), task_bytes=100_000).awaitTermination()
+    assert len(_gz(_hour(out, "hot", 5))) > 2  # split over tasks
+    assert all(len(_gz(_hour(out, "cold", h))) == 1 for h in range(20))  # one file each, however many tasks there were
+    assert read_topic(spark, out).count() == len(lines)
+
+
+def test_replayed_batch_leaves_no_duplicate(spark, tmp_path):
+    import os
+    import shutil
+    src, ck, out = tmp_path / "in", tmp_path / "ck", str(tmp_path / "out")
+    src.mkdir()
+    write = lambda name, h, n: (src / name).write_text("\n".join(json.dumps({"topic": "t", "value": str(i), "timestamp": f"2015-03-01T{h:02d}:00:00Z"}) for i in range(n)) + "\n")
+    land = lambda: land_topics(topic_stream(spark, "json", str(src)), out, str(ck)).awaitTermination()
+    write("a.json", 1, 30)
+    land()
+    write("b.json", 1, 20)
+    land()
+    assert read_topic(spark, out).count() == 50
+    # the second batch was written, but the stream died before it noted that
+    for log in os.listdir(ck / "commits"):
+        if log.strip(".").split(".")[0] == "1":
+            os.remove(ck / "commits" / log)
+    half = sorted(_gz(_hour(out, "t", 1)), key=os.path.getmtime)[-1]
+    shutil.copy(half, half.replace("part-", "part-9"))  # left by an attempt that was killed
+    land()
+    assert read_topic(spark, out).count() == 50
 
 
 def test_entry_schema_is_stable(spark):
