@@ -159,7 +159,7 @@ def weekly_trends_by_day(spark, sf):
     for the first and last day of the window."""
     root = shared_path(spark, "edges-by-day")
     for late in (False, True):
-        jobs.add_events_job(spark, B.normalized_events(spark, sf, late), root, batch=f"late={late}")
+        jobs.add_events_job(spark, B.normalized_events(spark, sf, late), root, batch=f"late={late}", buckets=8)
     return jobs.weekly_trends(spark, root)
 
 
@@ -283,8 +283,8 @@ def ego_json_named(spark, sf):
     tables dealt into buckets by user: only the buckets of the names and of the users
     they follow are opened."""
     follows, edges = shared_path(spark, "userfollow"), shared_path(spark, "edges")
-    upsert_table(spark, follows, B.listed_follows(spark, sf), "username")
-    jobs.add_events_job(spark, B.normalized_events(spark, sf), edges, batch="all")
+    upsert_table(spark, follows, B.listed_follows(spark, sf), "username", buckets=8)
+    jobs.add_events_job(spark, B.normalized_events(spark, sf), edges, batch="all", buckets=8)
     return serving.ego_answers(spark, follows, edges, NAMED, label="2014")
 
 

@@ -40,20 +40,25 @@ EDGES, USER_REPOS, DAY_COUNTS, REJECTS = "edges", "user_repos", "day_counts", "r
 LAYOUT = {EDGES: ("part", "day"), USER_REPOS: ("part", BUCKET), DAY_COUNTS: ("part", "day"), REJECTS: ("part",)}
 
 
-def _tables(rows: DataFrame) -> dict[str, DataFrame]:
+def _tables(rows: DataFrame, buckets: int) -> dict[str, DataFrame]:
     """The four tables of normalised rows (edges and rejects in one frame)."""
     edges = rows.filter("reason is null").select(*schemas.EDGE.names).withColumn("day", TR.day_of("ts"))
-    return {EDGES: edges, USER_REPOS: edges.select("username", "repo", "part", bucket_of("username", BUCKETS).alias(BUCKET)).distinct(),
+    return {EDGES: edges, USER_REPOS: edges.select("username", "repo", "part", bucket_of("username", buckets).alias(BUCKET)).distinct(),
             DAY_COUNTS: TR.day_counts(edges.filter("ts is not null")), REJECTS: rows.filter("reason is not null").select("reason", "raw", "part")}
 
 
-def _stage(df: DataFrame, root: str, name: str):
+def _stage(df: DataFrame, root: str, name: str, buckets: int):
     sort = ("username",) if name == USER_REPOS else ()
-    return stage(df, root, name, LAYOUT[name], sort, BUCKETS if name == USER_REPOS else None)
+    return stage(df, root, name, LAYOUT[name], sort, buckets if name == USER_REPOS else None)
+
+
+def _buckets(base: Version | None, buckets: int) -> int:
+    """A table keeps the number of buckets that it was created with."""
+    return base.tables[USER_REPOS]["buckets"] if base and USER_REPOS in base.tables else buckets
 
 
 def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, root: str, types=ACTIVITY_TYPES,
-                     repartition: int | None = None, on_reject: str = "skip") -> Version:
+                     repartition: int | None = None, on_reject: str = "skip", buckets: int = BUCKETS) -> Version:
     """Normalise one year's timeline files and make them that part's content.
 
     The source is read once into a staged table. The part's folders of all four
@@ -64,19 +69,20 @@ def yearly_edges_job(spark: SparkSession, src, variant: str, part: str, root: st
     """
     staged = shared_path(spark, "staged-edges")
     normalize(R.read_timeline(spark, src, repartition=repartition), variant, part, types).write.parquet(staged)
-    return put_part(spark, spark.read.parquet(staged), part, root, on_reject)
+    return put_part(spark, spark.read.parquet(staged), part, root, on_reject, buckets)
 
 
-def put_part(spark: SparkSession, rows: DataFrame, part: str, root: str, on_reject: str = "skip") -> Version:
+def put_part(spark: SparkSession, rows: DataFrame, part: str, root: str, on_reject: str = "skip", buckets: int = BUCKETS) -> Version:
     """Normalised rows (edges, and rejects with a reason) become the content of ``part``."""
     base = current(spark, root)
     K.enforce_rejects(rows.filter("reason is not null"), on_reject)
     rows = rows.withColumn("part", F.lit(part))
-    files = {name: _stage(df, root, name) for name, df in _tables(rows).items()}
+    buckets = _buckets(base, buckets)
+    files = {name: _stage(df, root, name, buckets) for name, df in _tables(rows, buckets).items()}
     return publish(spark, root, base, files, lambda _, key: key_values(key)["part"] == part)
 
 
-def add_events_job(spark: SparkSession, rows: DataFrame, root: str, batch: str, retries: int = 3) -> Version:
+def add_events_job(spark: SparkSession, rows: DataFrame, root: str, batch: str, retries: int = 3, buckets: int = BUCKETS) -> Version:
     """Add a batch of normalised rows (late ones too) to the tables.
 
     Edges and rejects are added as further files; day counts and user
@@ -84,12 +90,15 @@ def add_events_job(spark: SparkSession, rows: DataFrame, root: str, batch: str,
     only. ``batch`` names the batch: one that was committed before is not added
     again. When another writer commits first, the merge is done again.
     """
+    staged = shared_path(spark, "staged-events")  # normalised once, however many tables and attempts read it
+    rows.write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
     for attempt in range(retries + 1):
         base = current(spark, root)
         if base is not None and batch in base.batches:
             return base
-        files, touched = {}, {}
-        for name, df in _tables(rows).items():
+        files, touched, n = {}, {}, _buckets(base, buckets)
+        for name, df in _tables(rows, n).items():
             if name in (USER_REPOS, DAY_COUNTS):
                 by = LAYOUT[name]
                 keys = df.select(*[F.col(c).cast("string").alias(c) for c in by]).distinct().collect()  # folders, bounded by the layout
@@ -100,7 +109,7 @@ def add_events_job(spark: SparkSession, rows: DataFrame, root: str, batch: str,
                     here = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by])
                     old = old.filter(here.isin(*touched[name])) if touched[name] else old.limit(0)
                     df = TR.merge_day_counts(old, df) if name == DAY_COUNTS else old.unionByName(df).distinct()
-            files[name] = _stage(df, root, name)
+            files[name] = _stage(df, root, name, n)
         try:
             return publish(spark, root, base, files, lambda name, key: key in touched.get(name, ()), batch)
         except Conflict:

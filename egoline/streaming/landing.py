@@ -51,6 +51,7 @@ def write_batch(batch: DataFrame, out: str, name: str, compression: str = "gzip"
     conf = batch.sparkSession.conf  # the stream's own copy of the session
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(task_bytes))
+    conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")  # many small files are written by several tasks
     conf.set("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
     (batch.withColumn("batch", F.lit(name)).hint("rebalance", *[F.col(c) for c in FOLDER])
      .write.format("json").option("compression", compression).partitionBy(*FOLDER, "batch")
