@@ -26,6 +26,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +36,9 @@ from pyspark.sql import functions as F
 from egoline.llm.common import id_text, small, written
 from egoline.llm.components import components
 
-WORDS = 4
-#: Threshold as a fraction: 100 * intersection >= 85 * union.
-NUM, DEN = 85, 100
 #: Shingles that a task counts at a time; most entries of the frequency table (it is broadcast); largest size tried as boundary.
 CHUNK, FREQUENT, SMALL = 1_000_000, 1 << 19, 16
-#: Most ids for which the rows to re-read are picked by a broadcast; beyond, by a shuffle.
+#: Most rows to re-read that are picked by a broadcast; beyond, by a shuffle.
 PICKED = 1_000_000
 U = np.uint64
 MULTIPLY = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
@@ -52,7 +50,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, words: int = 4) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's word shingles."""
     from xxhash import xxh3_64_intdigest
 
@@ -60,37 +58,44 @@ def shingles(text: str | None) -> np.ndarray:
     if not ws:
         return np.zeros(0, U)
     w = np.array(list(map(xxh3_64_intdigest, ws)), U)
-    k = min(WORDS, len(w))
+    k = min(words, len(w))
     h = np.full(len(w) - k + 1, k, U)
     for i in range(k):
-        h = h + mix(w[i:len(w) - k + 1 + i] + MULTIPLY[i])
+        h = h + mix(w[i:len(w) - k + 1 + i] + MULTIPLY[i % 3])
         h = h * MULTIPLY[2]
     return np.unique(mix(h))
 
 
-def overlap(n: int, m: int) -> int:
-    """Least intersection of linked sets of sizes n and m."""
-    return -(-NUM * (n + m) // (DEN + NUM))
+@dataclass(frozen=True)
+class Rule:
+    """What links two documents: shingles of so many words, and ``den * intersection >= num * union``."""
+    words: int = 4
+    num: int = 85
+    den: int = 100
 
+    def overlap(self, n: int, m: int) -> int:
+        """Least intersection of linked sets of sizes n and m."""
+        return -(-self.num * (n + m) // (self.den + self.num))
 
-def prefix(n: int) -> int:
-    """Shingles that a set of size n posts."""
-    return n - -(-NUM * n // DEN) + 1
+    def prefix(self, n: int) -> int:
+        """Shingles that a set of size n posts."""
+        return n - -(-self.num * n // self.den) + 1
 
+    def partners(self, n: int) -> range:
+        return range(-(-self.num * n // self.den), n * self.den // self.num + 1)
 
-def partners(n: int) -> range:
-    return range(-(-NUM * n // DEN), n * DEN // NUM + 1)
+    def subset_cost(self, n: int) -> int:
+        return sum(math.comb(n, self.overlap(n, m)) for m in self.partners(n) if self.overlap(n, m) <= min(n, m))
 
+    def alike(self, n: str, m: str) -> str:
+        return f"{self.den} * least({n}, {m}) >= {self.num} * greatest({n}, {m})"
 
-def subset_cost(n: int) -> int:
-    return sum(math.comb(n, overlap(n, m)) for m in partners(n) if overlap(n, m) <= min(n, m))
 
-
-def subset_keys(s: np.ndarray, boundary: int) -> tuple[list[int], list[int]]:
+def subset_keys(s: np.ndarray, boundary: int, rule: Rule = Rule()) -> tuple[list[int], list[int]]:
     """Keys of the subsets through which a small set may link, and its side of each bucket (0: the smaller, 1: the larger, 2: alike)."""
     keys, sides, n = [], [], len(s)
-    for m in partners(n):
-        c = overlap(n, m)
+    for m in rule.partners(n):
+        c = rule.overlap(n, m)
         if m > boundary or c > min(n, m):
             continue
         mark = U(min(n, m) * 1_000_003 + max(n, m))
@@ -100,14 +105,14 @@ def subset_keys(s: np.ndarray, boundary: int) -> tuple[list[int], list[int]]:
     return keys, sides
 
 
-def klass(s: np.ndarray) -> int:
-    """Identity of a shingle set: a 64-bit hash of all of it."""
-    from xxhash import xxh3_64_intdigest
+def klass(s: np.ndarray) -> bytes:
+    """Identity of a shingle set: a 128-bit hash of all of it."""
+    from xxhash import xxh3_128_digest
 
-    return int(np.array([xxh3_64_intdigest(s.tobytes(), seed=len(s))], U).astype(np.int64)[0])
+    return xxh3_128_digest(s.tobytes(), seed=len(s))
 
 
-def census(batches):
+def census(batches, words: int):
     """How often a task's classes hold the shingles that several of them hold, and how many classes have each size."""
     seen, held, n, sizes = set(), [], 0, Counter()
 
@@ -121,7 +126,7 @@ def census(batches):
 
     for b in small(batches):
         for text in b.column("text").to_pylist():
-            s = shingles(text)
+            s = shingles(text, words)
             if not len(s) or (k := klass(s)) in seen:
                 continue
             seen.add(k)
@@ -134,31 +139,32 @@ def census(batches):
     yield from flush()
 
 
-def boundary_of(sizes: dict[int, int], mean_list: float) -> int:
+def boundary_of(sizes: dict[int, int], mean_list: float, rule: Rule = Rule()) -> int:
     """The size up to which subsets cost less than lists: each posting reads a list of the mean length."""
     best, at, cost = 0.0, 0, 0.0
     for n in range(1, SMALL + 1):
-        cost += sizes.get(n, 0) * (subset_cost(n) - prefix(n) * (1 + mean_list))
+        cost += sizes.get(n, 0) * (rule.subset_cost(n) - rule.prefix(n) * (1 + mean_list))
         if cost < best:
             best, at = cost, n
     return at
 
 
-def profiled(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary: int) -> DataFrame:
+def profiled(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary: int, rule: Rule) -> DataFrame:
     """One row per document: its class, and once per task and class what the class posts.
 
-    ``own``: shingles outside the frequency table; the first ``light`` of ``posts`` are such.
+    ``h`` is the hash of the text, by which a row is found again. ``own``:
+    shingles outside the frequency table; the first ``light`` of ``posts`` are such.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    least = -(-NUM * (boundary + 1) // DEN)
+    least = -(-rule.num * (boundary + 1) // rule.den)
 
     def work(batches):
         tokens, rank = shared.value
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for b in small(batches):
             rows: list[list] = [[] for _ in range(7)]
             for text in b.column("text").to_pylist():
-                s = shingles(text)
+                s = shingles(text, rule.words)
                 n = len(s)
                 k = klass(s) if n else None
                 posts = light = own = keys = sides = None
@@ -170,17 +176,18 @@ def profiled(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary:
                     rest, often = s[~known], s[known][np.argsort(rank[at[known]], kind="stable")]
                     own = len(rest)
                     if n >= least:
-                        p = prefix(n)
+                        p = rule.prefix(n)
                         light = min(p, own)
                         posts = np.concatenate([rest, often])[:p].astype(np.int64)
-                    keys, sides = subset_keys(s, boundary) if n <= boundary else (None, None)
+                    keys, sides = subset_keys(s, boundary, rule) if n <= boundary else (None, None)
                 for column, x in zip(rows, (n, k, own, light, posts, keys, sides)):
                     column.append(x)
-            yield pa.record_batch([b.column("doc_id"), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()),
+            yield pa.record_batch([b.column("doc_id"), b.column("h"), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int32()),
                                    pa.array(rows[3], pa.int32()), pa.array(rows[4], pa.list_(pa.int64())), pa.array(rows[5], pa.list_(pa.int64())),
-                                   pa.array(rows[6], pa.list_(pa.int32()))], ["doc_id", "n", "c", "own", "light", "posts", "keys", "sides"])
+                                   pa.array(rows[6], pa.list_(pa.int32()))], ["doc_id", "h", "n", "c", "own", "light", "posts", "keys", "sides"])
 
-    return docs.mapInArrow(work, "doc_id long, n long, c long, own int, light int, posts array<long>, keys array<long>, sides array<int>")
+    return docs.withColumn("h", F.xxhash64("text")).mapInArrow(
+        work, "doc_id long, h long, n long, c binary, own int, light int, posts array<long>, keys array<long>, sides array<int>")
 
 
 def subset_links(profiles: DataFrame) -> DataFrame:
@@ -191,7 +198,7 @@ def subset_links(profiles: DataFrame) -> DataFrame:
     return rows.join(groups, "keys").filter("c <> lo").select(F.col("c").alias("a"), F.col("lo").alias("b"))
 
 
-def posted(profiles: DataFrame) -> DataFrame:
+def posted(profiles: DataFrame, rule: Rule) -> DataFrame:
     """Postings ``token, c, n, own, reach, g`` on lists with several classes.
 
     A link of sizes n and m shares a shingle among the first ``n - overlap(n, m) + 1``
@@ -201,43 +208,39 @@ def posted(profiles: DataFrame) -> DataFrame:
     cols = ["c", "n", "own"]
     # a task holds a shingle outside the table at most once, so such lists are as short as there are tasks
     rare = rows.select(*cols, F.posexplode(F.slice("posts", F.lit(1), F.col("light"))).alias("i", "token"))
-    rare = reaching(rare).selectExpr("*", "min(c) over (partition by token) <> max(c) over (partition by token) as several",
+    rare = reaching(rare, rule).selectExpr("*", "min(c) over (partition by token) <> max(c) over (partition by token) as several",
                                      "min(n) over (partition by token) as low").filter("several and low <= reach").drop("several", "low")
     often = rows.select(*cols, "light", F.posexplode(F.slice("posts", F.col("light") + 1, F.greatest(F.size("posts") - F.col("light"), F.lit(0)))).alias("i", "token"))
-    often = reaching(often.withColumn("i", F.col("i") + F.col("light")).drop("light"))
+    often = reaching(often.withColumn("i", F.col("i") + F.col("light")).drop("light"), rule)
     low = often.groupBy("token").agg(F.min("n").alias("low"), F.min("c").alias("one"), F.max("c").alias("two")).filter("one <> two")
     often = often.join(low.select("token", "low"), "token").filter("low <= reach").drop("low")
-    return rare.unionByName(often).withColumn("g", F.floor(F.log("n") / -math.log(NUM / DEN)).cast("int"))
-
+    return rare.unionByName(often).withColumn("g", F.floor(F.log("n") / -math.log(rule.num / rule.den)).cast("int"))
 
-def reaching(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("reach", F.expr(f"(n - i) * {DEN + NUM} div {NUM} - n")).drop("i")
 
+def reaching(rows: DataFrame, rule: Rule) -> DataFrame:
+    return rows.withColumn("reach", F.expr(f"(n - i) * {rule.den + rule.num} div {rule.num} - n")).drop("i")
 
-def alike(n: str, m: str) -> str:
-    return f"{DEN} * least({n}, {m}) >= {NUM} * greatest({n}, {m})"
 
-
-def pairs_of(rows: DataFrame) -> DataFrame:
+def pairs_of(rows: DataFrame, rule: Rule) -> DataFrame:
     """Distinct unordered pairs of ``c, n, reach`` and ``d, m, far`` whose sizes and places may link."""
-    rows = rows.filter(f"c <> d and m <= reach and n <= far and {alike('n', 'm')}")
+    rows = rows.filter(f"c <> d and m <= reach and n <= far and {rule.alike('n', 'm')}")
     first = F.col("c") < F.col("d")
     return rows.select(F.when(first, F.col("c")).otherwise(F.col("d")).alias("a"), F.when(first, F.col("d")).otherwise(F.col("c")).alias("b")).distinct()
 
 
-def hub_pairs(posts: DataFrame) -> DataFrame:
+def hub_pairs(posts: DataFrame, rule: Rule) -> DataFrame:
     """Each class with one hub: of the hubs of its size class and the next one on its
     lists the one that it meets most often, then the one with the fewest shingles of its own."""
     hubs = posts.groupBy("token", "g").agg(F.min(F.struct("own", "c", "n", "reach")).alias("h"))
     hubs = hubs.select("token", F.explode(F.array("g", F.col("g") - 1)).alias("g"), F.col("h.c").alias("d"), F.col("h.n").alias("m"),
                        F.col("h.reach").alias("far"), F.col("h.own").alias("of_hub"))
-    met = posts.join(hubs, ["token", "g"]).filter(f"c <> d and m <= reach and n <= far and {alike('n', 'm')}")
+    met = posts.join(hubs, ["token", "g"]).filter(f"c <> d and m <= reach and n <= far and {rule.alike('n', 'm')}")
     met = met.groupBy("c", "d").agg(F.count(F.lit(1)).alias("times"), F.min("of_hub").alias("of_hub"))
     best = met.groupBy("c").agg(F.max_by("d", F.struct("times", -F.col("of_hub"), "d")).alias("d"))
     return best.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
-def rest_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
+def rest_pairs(posts: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of one list in different components: components are paired first, by
     whether any sizes of theirs are in reach of each other, then opened."""
     rows = posts.join(labels, posts["c"] == labels["node"], "left").select("token", "c", "n", "reach", F.coalesce("label", "c").alias("k"))
@@ -247,10 +250,10 @@ def rest_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
     other = groups.select("token", F.col("k").alias("l"), F.col("low").alias("low2"), F.col("top").alias("top2"))
     couples = groups.join(other, "token").filter("k < l and low <= top2 and low2 <= top").select("token", "k", "l")
     right = rows.select("token", F.col("k").alias("l"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("reach").alias("far"))
-    return pairs_of(couples.join(rows, ["token", "k"]).join(right, ["token", "l"]))
+    return pairs_of(couples.join(rows, ["token", "k"]).join(right, ["token", "l"]), rule)
 
 
-def promising(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+def promising(pairs: DataFrame, profiles: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a, b`` that what they have posted does not rule out.
 
     Both post in one global order. Up to the last shingle that they have both
@@ -265,77 +268,105 @@ def promising(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     both = both.withColumn("common", F.array_intersect("x", "y"))
     last, shared = F.element_at("common", -1), F.size("common")
     both = both.select("a", "b", "n", "m", (F.array_position("x", last) - shared).alias("u"), (F.array_position("y", last) - shared).alias("v"))
-    need = f"(({NUM} * (n + m) + {DEN + NUM - 1}) div {DEN + NUM})"
+    need = f"(({rule.num} * (n + m) + {rule.den + rule.num - 1}) div {rule.den + rule.num})"
     return both.filter(f"n - u >= {need} and m - v >= {need}").select("a", "b")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, profiles: DataFrame) -> DataFrame:
+def found_again(docs: DataFrame, profiles: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``c, text`` of one document of each class in ``nodes`` (rows that repeat id and text come more than once).
+
+    A row is named by its id, null ids included, and the hash of its text.
+    """
+    name = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("h")]
+    ids = written(profiles.select("c", *name).join(nodes, "c").groupBy("c").agg(F.min(F.struct("none", "id", "h")).alias("r")).select("c", "r.*"), "nodes")
+    picked = F.broadcast(ids) if ids.count() <= PICKED else ids
+    return docs.withColumn("h", F.xxhash64("text")).select("text", *name).join(picked, ["none", "id", "h"]).select("c", "text")
+
+
+def linked(pairs: DataFrame, docs: DataFrame, profiles: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough, by their exact intersection.
 
     Sets are made anew, from the text of one document per class, only for the
     classes of pairs that their postings leave open.
     """
-    pairs = written(promising(written(pairs, "pairs"), profiles), "pairs")
+    pairs = written(promising(written(pairs, "pairs"), profiles, rule), "pairs")
     nodes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    ids = written(profiles.select("doc_id", "c").join(nodes, "c").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "nodes")
-    picked = F.broadcast(ids) if ids.count() <= PICKED else ids
 
     def work(batches):
+        seen: set[bytes] = set()
         for b in small(batches):
-            found = [(c, s.astype(np.int64)) for c, t in zip(b.column("c").to_pylist(), b.column("text").to_pylist())
-                     if len(s := shingles(t)) and klass(s) == c]
-            yield pa.record_batch([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["c", "s"])
-
-    sets = docs.join(picked, "doc_id").select("c", "text").mapInArrow(work, "c long, s array<long>").repartition("c")
+            found = []
+            for c, t in zip(b.column("c").to_pylist(), b.column("text").to_pylist()):
+                if c not in seen and len(s := shingles(t, rule.words)) and klass(s) == c:
+                    seen.add(c)
+                    found.append((c, s.astype(np.int64)))
+            yield pa.record_batch([pa.array([c for c, _ in found], pa.binary()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["c", "s"])
+
+    sets = found_again(docs, profiles, nodes).mapInArrow(work, "c binary, s array<long>").repartition("c")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("y")), "b")
     common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
-    return written(common.filter(f"{DEN + NUM} * i >= {NUM} * t").select("a", "b").distinct(), "links")
+    return written(common.filter(f"{rule.den + rule.num} * i >= {rule.num} * t").select("a", "b").distinct(), "links")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def frequent_ones(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, with their counts: as many whole buckets of
+    like counts as hold ``FREQUENT`` at most. Buckets are sixteenths of a power of two,
+    without an upper end, so their number is bounded too."""
+    bucket = F.floor(F.log2("n") * 16).cast("int")
+    sizes = sorted(((r["b"], r["k"]) for r in tokens.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
+    least, room = None, FREQUENT
+    for b, k in sizes:
+        room -= k
+        if room < 0:
+            break
+        least = b
+    if least is None:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    table = tokens.filter(bucket >= least).select("token", "n").toPandas()  # at most FREQUENT rows
+    token = table["token"].to_numpy(np.int64).astype(U)
+    order = np.argsort(token)
+    return token[order], table["n"].to_numpy(np.int64)[order]
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``.
 
     Texts without words, null ones included, have no shingle and link with
     nothing. Rows that repeat an id are rows of their own, linked by their
-    texts. A null id names no component. An empty table gives an empty result.
+    texts. A null id names no component, but its row links others. Texts of any
+    length are taken whole. Columns other than the id and the text are ignored,
+    whatever their names. An empty table gives an empty result.
     """
     docs = id_text(docs, id_col, text_col)
-    counts = written(docs.select("text").mapInArrow(census, "token long, n long, size long"), "census")
+    words = rule.words
+    counts = written(docs.select("text").mapInArrow(lambda it: census(it, words), "token long, n long, size long"), "census")
     tokens = written(counts.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
-    by_count = sorted((r["n"], r["k"]) for r in tokens.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).collect())
-    least, room = 0, FREQUENT
-    for n, k in reversed(by_count):
-        if k > room:
-            least = n + 1
-            break
-        room -= k
-    table = tokens.filter(F.col("n") >= least).select("token", "n").toPandas()  # at most FREQUENT rows
-    token = table["token"].to_numpy(np.int64).astype(U)
-    order = np.argsort(token)
-    frequent = token[order], table["n"].to_numpy(np.int64)[order]
+    frequent = frequent_ones(tokens)
     sizes = {r["size"]: r["n"] for r in counts.filter(f"size <= {SMALL}").groupBy("size").agg(F.sum("n").alias("n")).collect()}
     total = counts.filter("size is not null").agg(F.sum(F.col("n") * F.col("size"))).first()[0] or 0
     again = tokens.agg(F.sum(F.col("n") * F.col("n")), F.sum("n")).first()
     mean_list = (float(again[0] or 0) + total - (again[1] or 0)) / total if total else 1.0
-    profiles = written(profiled(docs, frequent, boundary_of(sizes, mean_list)), "profiles")
-    posts = written(posted(profiles), "postings")
+    profiles = written(profiled(docs, frequent, boundary_of(sizes, mean_list, rule), rule), "profiles")
+    posts = written(posted(profiles, rule), "postings")
     small = written(subset_links(profiles), "links")
-    first = small.union(linked(hub_pairs(posts), docs, profiles))
+    first = small.union(linked(hub_pairs(posts, rule), docs, profiles, rule))
     labels = components(first, "a", "b")
-    rest = rest_pairs(posts, labels)
-    links = first.union(linked(rest, docs, profiles))
-    labels = components(links, "a", "b")
+    rest = rest_pairs(posts, labels, rule)
+    links = first.union(linked(rest, docs, profiles, rule))
+    # both right sides are written first: then the rows of a large class or component can be split at the join
+    labels = written(components(links, "a", "b"), "labels")
     rows = profiles.select("doc_id", "n", "c").join(labels, F.col("c") == F.col("node"), "left")
     rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "c").alias("label"))
-    named = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    named = written(rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id")), "named")
     return rows.join(named, "label", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component: one document of each group stays.
 
-    Rows that repeat an id are one document and stay or go together, and rows with a null id stay.
+    Rows that repeat an id are one document and stay or go together, and rows
+    with a null id stay. All columns are returned, whatever their names.
     """
-    found = groups(docs, id_col, text_col).groupBy("doc_id").agg(F.min("component_id").alias("_least"))
-    gone = found.filter("_least < doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    found = groups(docs, id_col, text_col, rule).groupBy("doc_id").agg(F.min("component_id").alias("least"))
+    gone = written(found.filter("least < doc_id").select(F.col("doc_id").alias("gone")), "gone")
+    return docs.join(gone, docs[id_col].cast("long") == gone["gone"], "left_anti")

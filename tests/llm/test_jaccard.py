@@ -9,14 +9,14 @@ from egoline.llm.components import components
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingle_set(text):
+def shingle_set(text, k=4):
     words = WORD.findall("".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else c for c in text or ""))
-    return {tuple(words[i:i + 4]) for i in range(len(words) - 3)} if len(words) >= 4 else ({tuple(words)} if words else set())
+    return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else ({tuple(words)} if words else set())
 
 
-def brute(rows):
+def brute(rows, k=4, percent=85):
     """Components by all pairs, from the contract."""
-    sets = [shingle_set(t) for _, t in rows]
+    sets = [shingle_set(t, k) for _, t in rows]
     top = list(range(len(rows)))
 
     def find(i):
@@ -27,7 +27,7 @@ def brute(rows):
     for i in range(len(rows)):
         for j in range(i):
             common = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
                 top[find(i)] = find(j)
     least = {}
     for i, (doc, _) in enumerate(rows):
@@ -35,8 +35,8 @@ def brute(rows):
     return sorted((doc, len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(rows))
 
 
-def got(d):
-    return sorted(tuple(r) for r in jaccard_join.groups(d).collect())
+def got(d, **kw):
+    return sorted(tuple(r) for r in jaccard_join.groups(d, **kw).collect())
 
 
 def corpus(seed, n=60):
@@ -66,12 +66,52 @@ def test_components_match_all_pairs(table, monkeypatch, seed, frequent, small):
 
 
 def test_subsets_alone_match_all_pairs(table, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "boundary_of", lambda sizes, mean: 14)
+    monkeypatch.setattr(jaccard_join, "boundary_of", lambda sizes, mean, rule: 14)
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choices("abcdef", k=rng.randint(1, 5)) + [f"x{k}" for k in range(rng.randint(3, 12))])) for i in range(150)]
     assert got(table(rows)) == brute(rows)
 
 
+@pytest.mark.parametrize("words,percent", [(5, 80), (1, 50), (3, 95)])
+def test_other_shingles_and_thresholds(table, words, percent):
+    rows = corpus(words)
+    assert got(table(rows), rule=jaccard_join.Rule(words, percent, 100)) == brute(rows, words, percent)
+
+
+def test_re_read_by_shuffle(table, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PICKED", 0)
+    rows = corpus(4)
+    assert got(table(rows)) == brute(rows)
+
+
+def test_links_run_through_null_ids(table):
+    base = [f"w{i}" for i in range(120)]
+    edit = lambda *at: " ".join(f"e{i}" if i in at else w for i, w in enumerate(base))
+    a, m, b = edit(), edit(20, 60), edit(20, 60, 90, 100)
+    rows = [(3, a), (None, m), (9, b), (None, m), (7, "quite another text of its own here"), (None, None)]
+    found = {r.doc_id: r.component_id for r in jaccard_join.groups(table(rows)).collect() if r.doc_id is not None}
+    ends = {r.doc_id: r.component_id for r in jaccard_join.groups(table([rows[0], rows[2]])).collect()}
+    assert found == {3: 3, 9: 3, 7: 7} and ends == {3: 3, 9: 9}
+    left = jaccard_join.representatives(table(rows))
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 0, 0, 3, 7]
+
+
+def test_names_that_clash(table):
+    rows = [(1, "a b c d e", 1, 2, "x"), (2, "a b c d e", 1, 2, "y")]
+    d = table(rows, "doc_id long, text string, _gone int, gone int, least string")
+    left = jaccard_join.representatives(d)
+    assert left.columns == d.columns and [r.doc_id for r in left.collect()] == [1]
+
+
+def test_frequency_table_is_bounded(table, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 10)
+    tokens = table([(i, 200_000 + i % 3) for i in range(40)] + [(100 + i, 5_000_000) for i in range(7)], "token long, n long")
+    held, n = jaccard_join.frequent_ones(tokens)
+    assert held.tolist() == list(range(100, 107)) and set(n.tolist()) == {5_000_000}
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
+    assert len(jaccard_join.frequent_ones(tokens)[0]) == 0
+
+
 def test_tables_match_all_pairs(docs, plain):
     assert got(docs) == brute(list(plain.items()))
 
@@ -110,4 +150,4 @@ def test_costs_are_those_of_the_enumeration():
     rng = np.random.default_rng(1)
     for n in range(1, 15):
         s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        assert len(jaccard_join.subset_keys(s, 10**6)[0]) == jaccard_join.subset_cost(n)
+        assert len(jaccard_join.subset_keys(s, 10**6)[0]) == jaccard_join.Rule().subset_cost(n)

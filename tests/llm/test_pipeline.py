@@ -45,7 +45,7 @@ def test_quality_stage(steps):
 
 def test_join_stage(steps):
     before, after = by_id(steps[1]), by_id(steps[2])
-    assert after == {i: before[i] for i, _, least in brute_components([(i, r.text) for i, r in before.items()]) if i == least}
+    assert after == {i: before[i] for i, _, least in brute_components([(i, r.text) for i, r in before.items()], 5, 80) if i == least}
 
 
 def test_decontamination_stage(spark, steps):
