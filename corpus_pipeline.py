@@ -28,9 +28,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs, keep=docs.columns).filter("kept").select(*docs.columns)
 
 
+#: Near duplicates share 0.8 of their shingles of five words.
+NEAR = jaccard_join.Rule(words=5, num=80, den=100)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar documents, the one with the smallest id stays."""
-    return jaccard_join.representatives(docs)
+    return jaccard_join.representatives(docs, rule=NEAR)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
