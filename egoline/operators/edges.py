@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from egoline.functions.constants import PROTOTYPE_TYPES, YEAR_LABEL_PARTS
+from egoline.operators.ordered import segments
+
+#: Entries of a list's segment at most.
+SEGMENT = 10_000
 
 
 def parts_for_label(label: str, routing=None) -> tuple:
@@ -50,6 +54,18 @@ def user_repos(edges: DataFrame, by_part: bool = True, distinct: bool = False) -
     return pairs.select(*keys, repos.alias("repos"))
 
 
+def user_repo_segments(edges: DataFrame, by_part: bool = True, size: int = SEGMENT) -> DataFrame:
+    """``(username[, part], segment, entries)``: :func:`user_repos` in cells of at most
+    ``size`` entries ``(repo, n)``, a repository's repeats as its count ``n``.
+
+    No cell and no task grows with a user: the counts are keyed by user and
+    repository, their order comes from a range sort.
+    """
+    keys = ["username", "part"] if by_part else ["username"]
+    pairs = edges.groupBy(*keys, "repo").agg(F.count(F.lit(1)).alias("n"))
+    return segments(pairs, keys, ["repo"], F.struct("repo", "n"), size)
+
+
 def user_repo_distinct(edges: DataFrame, across_parts: bool = False) -> DataFrame:
     """Distinct ``(username, repo, part)`` rows (``across_parts``: distinct ``(username, repo)``)."""
     cols = ["username", "repo"] if across_parts else ["username", "repo", "part"]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from egoline.functions import columns as C
 from egoline.functions.constants import STATUS_NOT_FOLLOWING, STATUS_OK
+from egoline.operators.edges import SEGMENT
+from egoline.operators.ordered import segments
 
 
 def _status(lst):
@@ -72,6 +74,24 @@ def follow_edges(userfollow: DataFrame, key: str = "username", following: str =
                              F.posexplode_outer(following).alias("pos", "followee"))
 
 
+def _follower_counts(df: DataFrame, key: str, list_col: str, strip: int) -> DataFrame:
+    """``(member, k, n)``: how often ``k`` lists a member, counted map-side."""
+    member = F.col("m")
+    for _ in range(strip):
+        member = C.strip_first(member)
+    return (df.select(F.col(key).alias("k"), F.explode(list_col).alias("m"))
+            .select(member.alias("member"), F.col("k"))
+            .groupBy("member", "k").agg(F.count(F.lit(1)).alias("n")))
+
+
+def invert_segments(df: DataFrame, key: str = "login", list_col: str = "following", strip: int = 1, size: int = SEGMENT) -> DataFrame:
+    """``(username, segment, entries)``: :func:`invert` in cells of at most ``size``
+    entries ``(follower, n)``, so a member with a third of all followers fills
+    many cells, written by many tasks."""
+    pairs = _follower_counts(df, key, list_col, strip).select(F.col("member").alias("username"), F.col("k").alias("follower"), "n")
+    return segments(pairs, ["username"], ["follower"], F.struct("follower", "n"), size)
+
+
 def invert(df: DataFrame, key: str = "login", list_col: str = "following", strip: int = 1,
            out_key: str = "username", out_list: str = "following") -> DataFrame:
     """Invert adjacency: rows ``(key, [members])`` -> ``(member, [keys])``.
@@ -81,12 +101,6 @@ def invert(df: DataFrame, key: str = "login", list_col: str = "following", strip
     pairs are counted first (map-side combine), so the per-member group holds
     one entry per distinct partner, not one per raw row.
     """
-    member = F.col("m")
-    for _ in range(strip):
-        member = C.strip_first(member)
-    pairs = (df.select(F.col(key).alias("k"), F.explode(list_col).alias("m"))
-             .select(member.alias("member"), F.col("k"))
-             .groupBy("member", "k").agg(F.count(F.lit(1)).alias("n")))
-    grouped = pairs.groupBy("member").agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("p"))
+    grouped = _follower_counts(df, key, list_col, strip).groupBy("member").agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("p"))
     lst = F.flatten(F.transform("p", lambda x: F.array_repeat(x["k"], x["n"].cast("int"))))
     return grouped.select(F.col("member").alias(out_key), lst.alias(out_list))

@@ -15,13 +15,14 @@ the user, one row per edge. Tree statistics join two numbers per user.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from egoline.functions.constants import (
     LEAF_SIZE, MSG_NOT_FOLLOWING, MSG_NOT_FOUND, STATUS_NOT_FOLLOWING, STATUS_NOT_FOUND, STATUS_OK,
 )
 from egoline.operators.edges import select_parts
+from egoline.operators.ordered import preceded
 from egoline.operators.skew import skew_join
 
 
@@ -229,11 +230,11 @@ def tree_stats(follows: DataFrame, edges: DataFrame, seeds: DataFrame | None = N
 def siblings_ranked(df: DataFrame, parent: str, name: str) -> DataFrame:
     """``(parent, name, n, first)``: each distinct child name with its count and the
     1-based place of its first occurrence in the tree's display order
-    (case-insensitive, exact name as the tie-break). Repeats are counted
-    map-side, so a parent's window holds one row per distinct name."""
+    (case-insensitive, exact name as the tie-break). Repeats are counted map-side;
+    places come from a range sort, so a hot parent's names lie over many tasks."""
     pairs = df.groupBy(F.col(parent).alias("parent"), F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("parent").orderBy(F.lower("name"), "name").rowsBetween(Window.unboundedPreceding, -1)
-    return pairs.withColumn("first", F.coalesce(F.sum("n").over(order), F.lit(0)) + 1)
+    placed = preceded(pairs.withColumn("lower", F.lower("name")), ["parent"], ["lower", "name"], "n")
+    return placed.select("parent", "name", "n", (F.col("before") + 1).alias("first"))
 
 
 def siblings_sorted(df: DataFrame, parent: str, name: str) -> DataFrame:

@@ -8,11 +8,12 @@ only: pass ``max_pages`` for its results; the default stitches every page.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from egoline.functions import columns as C
-from egoline.functions.constants import FOLLOW_LINK_CLASS
+from egoline.operators.markup import extract_follow_links, with_follow_links  # noqa: F401
+from egoline.operators.ordered import preceded, stored
 
 
 def stitch_pages(pages: DataFrame, max_pages: int | None = None, login: str = "login",
@@ -47,6 +48,29 @@ def stitch_pages(pages: DataFrame, max_pages: int | None = None, login: str = "l
     return out.select("login", *keep, "following", F.size("following").alias("n_following"))
 
 
+def stitch_pages_long(pages: DataFrame, max_pages: int | None = None, login: str = "login", page: str = "page",
+                      response: str = "response", fetched: str | None = None) -> DataFrame:
+    """``(login, pos, followee)``: the lists of :func:`stitch_pages`, one row per entry, ``pos`` from 1.
+
+    No user's pages are gathered. The first gap is the least page that is good (or
+    zero, before the first) with no good page after it: an anti join on page + 1
+    and a minimum that combines map-side. Positions are sums of the pages' sizes in
+    a range sort.
+    """
+    in_range = F.col(page) >= 1 if max_pages is None else F.col(page).between(1, max_pages)
+    newest = F.struct(*([F.col(fetched).alias("at")] if fetched else []), F.col(response).alias("r"))
+    one = (pages.filter(in_range).groupBy(F.col(login).alias("login"), F.col(page).cast("long").alias("p"))
+           .agg(F.max(newest)["r"].alias("r")).withColumn("size", F.coalesce(F.size("r"), F.lit(0))))
+    good = stored(one.filter("size > 0"), "good-pages")
+    ends = good.select("login", "p").unionByName(good.select("login", F.lit(0).cast("long").alias("p")).distinct())
+    after = good.select("login", (F.col("p") - 1).alias("p"))
+    gap = stored(ends.join(after, ["login", "p"], "left_anti").groupBy("login").agg((F.min("p") + 1).alias("gap")), "gaps")
+    kept = good.join(gap, "login").filter("p < gap").select("login", "p", "r", "size")
+    placed = preceded(kept, ["login"], ["p"], "size")
+    return placed.select("login", "before", F.posexplode("r").alias("i", "followee")).select(
+        "login", (F.col("before") + F.col("i") + 1).alias("pos"), "followee")
+
+
 def extract_links(pages: DataFrame, pattern: str, key: str = "url", html: str = "html",
                   strip: int = 1) -> DataFrame:
     """``(key, pos, slug, text)`` for every link matched by ``pattern`` in a page.
@@ -63,35 +87,6 @@ def extract_links(pages: DataFrame, pattern: str, key: str = "url", html: str =
     return z.select(key, (F.col("pos") + 1).alias("pos"), slug.alias("slug"), F.col("z.t").alias("text"))
 
 
-def plain_text(c) -> Column:
-    """Markup's text: tags taken out, the usual entities decoded."""
-    t = F.trim(F.regexp_replace(c, "<[^>]*>", ""))
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return t
-
-
-def follow_links(html, cls: str = FOLLOW_LINK_CLASS) -> Column:
-    """``array<struct<slug, text>>``: the first anchor of every ``h3`` whose class
-    list holds ``cls``, whatever the attributes' order and quotes. The slug is the
-    target without its first character. A heading without an anchor with a target
-    is left out."""
-    heads = F.regexp_extract_all(html, F.lit(r"(?is)<h3\b[^>]*>.*?</h3>"), F.lit(0))
-    quoted = lambda c, name: F.coalesce(
-        F.nullif(F.regexp_extract(c, rf"(?is)^<\w+\b[^>]*?\s{name}\s*=\s*\"([^\"]*)\"", 1), F.lit("")),
-        F.nullif(F.regexp_extract(c, rf"(?is)^<\w+\b[^>]*?\s{name}\s*=\s*'([^']*)'", 1), F.lit("")))
-    listed = F.filter(heads, lambda h: F.coalesce(F.array_contains(F.split(quoted(h, "class"), r"\s+"), cls), F.lit(False)))
-    anchors = F.transform(listed, lambda h: F.regexp_extract(h, r"(?is)<a\b[^>]*>.*?</a>", 0))
-    links = F.transform(anchors, lambda a: F.struct(C.strip_first(quoted(a, "href")).alias("slug"), plain_text(a).alias("text")))
-    return F.filter(links, lambda x: x["slug"].isNotNull())
-
-
-def extract_follow_links(pages: DataFrame, key: str = "url", html: str = "html", cls: str = FOLLOW_LINK_CLASS) -> DataFrame:
-    """``(key, pos, slug, text)`` for every follow link of a stored page (:func:`follow_links`)."""
-    z = pages.select(F.col(key), F.posexplode(follow_links(F.col(html), cls)).alias("pos", "z"))
-    return z.select(key, (F.col("pos") + 1).alias("pos"), "z.slug", "z.text")
-
-
 def follow_pages_from_html(pages: DataFrame, pattern: str | None = None, login: str = "login", page: str = "page",
                            html: str = "html", max_pages: int | None = None) -> DataFrame:
     """Stored follow pages ``(login, page, html)`` -> stitched follow lists: the
@@ -100,7 +95,9 @@ def follow_pages_from_html(pages: DataFrame, pattern: str | None = None, login:
     page-gap rules. The scraper followed pages until an empty one, so there is
     no page cap by default."""
     if pattern is None:
-        resp = F.transform(follow_links(F.col(html)), lambda x: x["slug"])
+        rows = with_follow_links(pages.select(login, page, html), html)
+        rows = rows.select(login, page, F.transform("links", lambda x: x["slug"]).alias("response"))
     else:
         resp = F.transform(F.regexp_extract_all(F.col(html), F.lit(pattern), 1), lambda h: C.strip_first(h))
-    return stitch_pages(pages.select(login, page, resp.alias("response")), max_pages, login, page, "response")
+        rows = pages.select(login, page, resp.alias("response"))
+    return stitch_pages(rows, max_pages, login, page, "response")

@@ -294,6 +294,49 @@ def marked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 FOLLOW_BATCHES = ((6, 7), (4, 5), (3,))
 
 
+#: Harder markup of a follow link by page id modulo 6, and what text its reader sees.
+HARD_MARKUP = (
+    "<h3 class=follow-list-name><a href=$1>$2</a></h3>",
+    '<!-- <h3 class="follow-list-name"><a href="/no">no</a></h3> --><H3 CLASS="follow-list-name"><A HREF="$1">$2</A></H3>',
+    "<script>var s = '<h3 class=\"follow-list-name\"><a href=\"/no\">no</a></h3>';</script><h3 class=\"follow-list-name\"><a href=\"$1\">$2</a></h3>",
+    '<h3 class="follow-list-name"><a href="$1">&lt;$2&gt; &eacute;&#x41;&copy</a></h3>',
+    '<h3 data-x="a>b" class="x follow-list-name y"><i></i><a title=\'<a href="/no">\' href="$1"> $2 </a><a href="/second">no</a></h3>',
+    '<h3 class="follow-list-name"><a href="$1">$2<b>!<!-- no --></b></a> no</h3><h3 class="follow-list-names"><a href="/no">no</a></h3>',
+)
+
+
+def hard_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored follow pages ``(page_id, html)``: the links of ``pages`` in six kinds of
+    markup that patterns miss (no quotes, comments, scripts, references)."""
+    html = F.col("html")
+    for k, markup in enumerate(HARD_MARKUP):
+        html = F.when(F.col("page_id") % 6 == k, F.regexp_replace("html", r'<a href="(/[^"]*)">([^<]*)</a>', markup)).otherwise(html)
+    return table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+
+
+#: Number of the first of the user dump files, and how many there are.
+FIRST_DUMP, DUMPS = 1499999, 4
+
+
+def write_user_dumps(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Customers as numbered files of one JSON array each (``users<N>`` by customer
+    key); every user has a nested object and strings with braces, quotes and commas."""
+    user = F.to_json(F.struct(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("login"), F.col("c_custkey").alias("id"),
+        F.struct(F.concat(F.lit('}, {"login": "x'), F.col("c_name"), F.lit('\\')).alias("bio"), F.lit("]").alias("end")).alias("more")))
+    number = (F.col("c_custkey") % DUMPS + FIRST_DUMP).alias("number")
+    made = (table(spark, sf_dir, "customer").select(number, user.alias("u")).groupBy("number")
+            .agg(F.concat(F.lit("["), F.array_join(F.collect_list("u"), ",\n "), F.lit("]")).alias("value")))
+    made.write.partitionBy("number").text(path + "-parts")
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for k in range(DUMPS):  # Spark's writers choose file names; dump files are numbered
+        folder = fs.Path(f"{path}-parts/number={FIRST_DUMP + k}")
+        store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if store.exists(folder):
+            store.mkdirs(fs.Path(path))
+            store.rename(next(s.getPath() for s in store.listStatus(folder)), fs.Path(f"{path}/users{FIRST_DUMP + k}"))
+
+
 def follow_messages(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
     """Landed follow messages ``(topic, value, timestamp)`` of one of three batches.
     Every event is a follow record of its type's topic (``TOPIC_PRIORITY``): odd

@@ -65,6 +65,12 @@ def user_repo_list(spark: SparkSession, sf: str) -> DataFrame:
     return lists.select("username", _joined(F.col("repos")).alias("repos"), _n(F.col("repos")).alias("n_repos"))
 
 
+def user_repo_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """A1, A2 in cells of at most eight entries."""
+    seg = E.user_repo_segments(B.edges(spark, sf), by_part=False, size=8)
+    return seg.select("username", "segment", F.array_join(F.transform("entries", lambda e: F.concat(e["repo"], F.lit("*"), e["n"])), ",").alias("repos"))
+
+
 # --- A6 ----------------------------------------------------------------------
 def user_repo_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return E.user_repo_distinct(B.edges(spark, sf))
@@ -191,6 +197,14 @@ def user_list_gzip(spark, sf):
     return L.user_ids(R.read_user_dumps(spark, path, prefix="part", array_files=False), lo=30, hi=900)
 
 
+def user_dumps_range(spark, sf):
+    """S5, S6: numbered files of one JSON array each, those of a range of numbers, in splits."""
+    path = shared_path(spark, "user-dumps")
+    B.write_user_dumps(spark, sf, path)
+    users = R.read_user_dumps(spark, path, lo=B.FIRST_DUMP + 1, hi=B.FIRST_DUMP + 2, split=True)
+    return users.select(F.col("login").alias("username"), F.col("id").alias("userid"), "file_no")
+
+
 # --- A5, P13 ------------------------------------------------------------------
 def invert_follows(spark, sf):
     inv = FL.invert(B.follower_records(spark, sf), key="login", list_col="following", strip=1)
@@ -198,6 +212,12 @@ def invert_follows(spark, sf):
                       _n(F.col("following")).alias("n_following"))
 
 
+def invert_segments(spark, sf):
+    """A5 in cells of at most five entries."""
+    seg = FL.invert_segments(B.follower_records(spark, sf), size=5)
+    return seg.select("username", "segment", F.array_join(F.transform("entries", lambda e: F.concat(e["follower"], F.lit("*"), e["n"])), ",").alias("followers"))
+
+
 # --- P14, P15 -----------------------------------------------------------------
 def _parsed(df):
     srt = F.array_sort("following")
@@ -305,6 +325,12 @@ def siblings_sorted(spark, sf):
                     _n(F.col("children")).alias("n_children"))
 
 
+def siblings_ranked(spark, sf):
+    p = B.table(spark, sf, "part")
+    name = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    return G.siblings_ranked(p.select(F.col("p_brand").alias("parent"), name.alias("name")), "parent", "name")
+
+
 # --- J2, P10, J4, P11 -------------------------------------------------------------
 def _requests(spark, sf):
     ev = B.table(spark, sf, "events").select(F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("username"))
@@ -340,6 +366,12 @@ def page_stitch(spark, sf):
                      _long(F.col("n_following")).alias("n_following"))
 
 
+def page_stitch_long(spark, sf):
+    """R1 in long form: no user's pages are gathered."""
+    st = PG.stitch_pages_long(B.pages_table(spark, sf), fetched="fetched")
+    return st.select(F.col("login").alias("username"), "pos", "followee")
+
+
 def extract_links(spark, sf):
     links = PG.extract_links(B.table(spark, sf, "pages"), LINK_PATTERN, key="page_id")
     return links.select("page_id", _long(F.col("pos")).alias("pos"), "slug", "text")
@@ -351,6 +383,12 @@ def follow_links_html(spark, sf):
     return links.select("page_id", _long(F.col("pos")).alias("pos"), "slug", "text")
 
 
+def follow_links_markup(spark, sf):
+    """R2 by the tokenizer, over six kinds of harder markup."""
+    links = PG.extract_follow_links(B.hard_pages(spark, sf), key="page_id")
+    return links.select("page_id", _long(F.col("pos")).alias("pos"), "slug", "text")
+
+
 def follow_pages_html(spark, sf):
     """R2 + R1: links of stored pages become page responses, then stitched."""
     pg = B.html_follow_pages(spark, sf)
@@ -395,6 +433,10 @@ def land_topics_q(spark, sf):
 QUERIES = {
     "activity_filter": activity_filter,
     "user_repo_list": user_repo_list,
+    "user_repo_segments": user_repo_segments,
+    "invert_segments": invert_segments,
+    "siblings_ranked": siblings_ranked,
+    "page_stitch_long": page_stitch_long,
     "user_repo_distinct": user_repo_distinct,
     "normalize_v1": normalize_v1,
     "normalize_v2": normalize_v2,
@@ -413,6 +455,8 @@ QUERIES = {
     "user_list_gzip": user_list_gzip,
     "follows_pipeline": follows_pipeline,
     "follow_links_html": follow_links_html,
+    "follow_links_markup": follow_links_markup,
+    "user_dumps_range": user_dumps_range,
     "ego_json_named": ego_json_named,
     "invert_follows": invert_follows,
     "follow_parse_f1": follow_parse_f1,

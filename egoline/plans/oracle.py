@@ -151,6 +151,31 @@ SELECT event_id, username, repo, type FROM ev WHERE event_type IN {ACT}""",
 SELECT username, string_agg(repo, ',' ORDER BY repo) AS repos, count(*)::BIGINT AS n_repos
 FROM ev WHERE event_type IN {ACT} GROUP BY username""",
 
+    "user_repo_segments": f"""WITH {EV},
+c AS (SELECT username, repo, count(*) AS n FROM ev WHERE event_type IN {ACT} GROUP BY ALL),
+r AS (SELECT *, (row_number() OVER (PARTITION BY username ORDER BY repo) - 1) // 8 AS segment FROM c)
+SELECT username, segment::BIGINT AS segment, string_agg(repo || '*' || n, ',' ORDER BY repo) AS repos FROM r GROUP BY ALL""",
+
+    "invert_segments": """WITH c AS (
+  SELECT 'c' || o_custkey AS username, 's' || l_suppkey AS follower, count(*) AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+r AS (SELECT *, (row_number() OVER (PARTITION BY username ORDER BY follower) - 1) // 5 AS segment FROM c)
+SELECT username, segment::BIGINT AS segment, string_agg(follower || '*' || n, ',' ORDER BY follower) AS followers FROM r GROUP BY ALL""",
+
+    "siblings_ranked": """WITH p AS (
+  SELECT p_brand AS parent, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS name FROM part),
+c AS (SELECT parent, name, count(*) AS n FROM p GROUP BY ALL)
+SELECT parent, name, n::BIGINT AS n,
+       (1 + coalesce(sum(n) OVER (PARTITION BY parent ORDER BY lower(name), name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS first
+FROM c""",
+
+    "page_stitch_long": """WITH p AS (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page,
+         CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN 0 ELSE 1 END AS nonempty
+  FROM orders),
+r AS (SELECT *, min(nonempty) OVER (PARTITION BY o_custkey ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS all_ok FROM p)
+SELECT 'c' || o_custkey AS username, page::BIGINT AS pos, 'o' || o_orderkey AS followee FROM r WHERE all_ok = 1""",
+
     "user_repo_distinct": f"""WITH {EV}
 SELECT DISTINCT username, repo, part FROM ev WHERE event_type IN {ACT}""",
 
@@ -197,6 +222,16 @@ FROM customer WHERE c_custkey BETWEEN 30 AND 900""",
 y AS (SELECT page_id, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS hh, unnest(t) AS tt FROM x)
 SELECT page_id, pos::BIGINT AS pos, substr(hh, 2) AS slug, tt AS text FROM y""",
 
+    "follow_links_markup": f"""WITH x AS (
+  SELECT page_id, regexp_extract_all(html, '{LINK}', 1) AS h, regexp_extract_all(html, '{LINK}', 2) AS t FROM pages),
+y AS (SELECT page_id, unnest(generate_series(1, len(h))) AS pos, unnest(h) AS hh, unnest(t) AS tt FROM x)
+SELECT page_id, pos::BIGINT AS pos, substr(hh, 2) AS slug,
+       CASE page_id % 6 WHEN 3 THEN '<' || tt || '> éA©' WHEN 4 THEN ' ' || tt || ' ' WHEN 5 THEN tt || '!' ELSE tt END AS text
+FROM y""",
+
+    "user_dumps_range": """SELECT 'c' || c_custkey AS username, c_custkey AS userid, (c_custkey % 4 + 1499999)::BIGINT AS file_no
+FROM customer WHERE c_custkey % 4 IN (1, 2)""",
+
     "follows_pipeline": """WITH r AS (
   SELECT 'c' || user_id AS username, CASE event_type WHEN 'click' THEN 3 WHEN 'view' THEN 4 WHEN 'purchase' THEN 5
            WHEN 'signup' THEN 6 WHEN 'error' THEN 7 END AS priority,

@@ -6,13 +6,15 @@ pass and Catalyst can prune columns and push filters into it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from egoline import schemas
 from egoline.functions.constants import REJECTS
-from egoline.sources.snapshots import DATA, current, read_version
+from egoline.sources.snapshots import DATA, current, listed, read_version
 
 
 def read_timeline(spark: SparkSession, path, schema: T.StructType = schemas.TIMELINE_READ,
@@ -71,14 +73,30 @@ def _hour_key(t) -> int:
     return t.year * 1000000 + t.month * 10000 + t.day * 100 + t.hour
 
 
+def _file_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    names = [s.getPath().getName() for s in listed(spark, path)]
+    found = (re.fullmatch(re.escape(prefix) + r"(\d+)(\.[a-z0-9]+)*", n) for n in names)
+    return sorted({int(m[1]) for m in found if m})
+
+
 def read_user_dumps(spark: SparkSession, path: str, lo: int | None = None, hi: int | None = None,
-                    prefix: str = "users", array_files: bool = True) -> DataFrame:
+                    prefix: str = "users", array_files: bool = True, split: bool = False) -> DataFrame:
     """Scan user dumps: files named ``<prefix><N>``, each one JSON array of users
     (``array_files``) or JSON lines. ``lo``/``hi`` keep files whose numeric suffix
     lies in the inclusive range, as the scraper selected its share of files.
+    With ``split``, array files are read in many splits (``sources.arrays``)
+    instead of one task each.
 
     Returns ``(login, id, file_no)``.
     """
+    if array_files and split:
+        from egoline.sources.arrays import read_json_arrays
+        numbers = [n for n in _file_numbers(spark, path, prefix) if (lo is None or n >= lo) and (hi is None or n <= hi)]
+        if not numbers:
+            return spark.createDataFrame([], T.StructType([*schemas.USER.fields, T.StructField("file_no", T.LongType())]))
+        names = ",".join(f"{prefix}{n}{{,.*}}" for n in numbers)
+        df = read_json_arrays(spark, path, schemas.USER, f"{{{names}}}")
+        return df.select(*schemas.USER.names, F.regexp_extract("file_name", prefix + r"(\d+)", 1).cast("long").alias("file_no"))
     r = spark.read.schema(schemas.USER).option("pathGlobFilter", f"{prefix}*")
     if array_files:
         r = r.option("multiLine", True)
