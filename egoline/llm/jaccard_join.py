@@ -17,8 +17,9 @@ the frequency table has a fixed bound and only decides the work.
 A list never yields all of its pairs. Its members are held against one hub per
 size class (the member with the fewest shingles of its own), links are joined
 to components, and only members of different components that still share a
-list are held against each other. All candidate pairs are decided by the exact
-intersection of their sets.
+list are held against each other. A candidate pair is first held against the
+sketches of its sets, some bits a shingle, which rule out most pairs that share
+no more than a passage; the others are decided by the exact intersection.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import itertools
 import math
 from collections import Counter
 from dataclasses import dataclass
+from struct import unpack
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ from egoline.llm.components import components
 CHUNK, FREQUENT, SMALL = 1_000_000, 1 << 19, 16
 #: Most rows to re-read that are picked by a broadcast; beyond, by a shuffle.
 PICKED = 1_000_000
+#: Bits of the largest sketch of a set.
+FIELD = 1 << 15
 U = np.uint64
 MULTIPLY = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
 
@@ -105,11 +109,35 @@ def subset_keys(s: np.ndarray, boundary: int, rule: Rule = Rule()) -> tuple[list
     return keys, sides
 
 
-def klass(s: np.ndarray) -> bytes:
-    """Identity of a shingle set: a 128-bit hash of all of it."""
+def klass(s: np.ndarray) -> tuple[int, int]:
+    """Identity of a shingle set: a 128-bit hash of all of it. Its first half names the class (see ``told_apart``)."""
     from xxhash import xxh3_128_digest
 
-    return xxh3_128_digest(s.tobytes(), seed=len(s))
+    return unpack("<qq", xxh3_128_digest(s.tobytes(), seed=len(s)))
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """The set's bits in a field of four to eight times its size (a power of two, at most ``FIELD`` bits)."""
+    bits = min(FIELD, max(64, 1 << (4 * len(s) - 1).bit_length()))
+    field = np.zeros(bits, bool)
+    field[s & U(bits - 1)] = True
+    return np.packbits(field, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, n: int, y: bytes, m: int, rule: Rule) -> bool:
+    """Whether two sketches leave a link of their sets open.
+
+    A bit of one field that the other lacks is at least one shingle that the
+    other lacks, so the fields bound the intersection from above. A larger field
+    folds onto a smaller one.
+    """
+    a, b = np.frombuffer(x, U), np.frombuffer(y, U)
+    while len(a) > len(b):
+        a = a[:len(a) // 2] | a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] | b[len(b) // 2:]
+    need = rule.overlap(n, m)
+    return n - int(np.bitwise_count(a & ~b).sum()) >= need and m - int(np.bitwise_count(b & ~a).sum()) >= need
 
 
 def census(batches, words: int):
@@ -154,20 +182,21 @@ def profiled(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary:
 
     ``h`` is the hash of the text, by which a row is found again. ``own``:
     shingles outside the frequency table; the first ``light`` of ``posts`` are such.
+    ``bits``: the sketch of the set.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     least = -(-rule.num * (boundary + 1) // rule.den)
 
     def work(batches):
         tokens, rank = shared.value
-        seen: set[bytes] = set()
+        seen: set[tuple[int, int]] = set()
         for b in small(batches):
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in range(9)]
             for text in b.column("text").to_pylist():
                 s = shingles(text, rule.words)
                 n = len(s)
-                k = klass(s) if n else None
-                posts = light = own = keys = sides = None
+                k = klass(s) if n else (None, None)
+                posts = light = own = keys = sides = bits = None
                 if n and k not in seen:
                     seen.add(k)
                     at = np.searchsorted(tokens, s)
@@ -179,15 +208,29 @@ def profiled(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], boundary:
                         p = rule.prefix(n)
                         light = min(p, own)
                         posts = np.concatenate([rest, often])[:p].astype(np.int64)
+                        bits = sketch(s)
                     keys, sides = subset_keys(s, boundary, rule) if n <= boundary else (None, None)
-                for column, x in zip(rows, (n, k, own, light, posts, keys, sides)):
+                for column, x in zip(rows, (n, *k, own, light, posts, keys, sides, bits)):
                     column.append(x)
-            yield pa.record_batch([b.column("doc_id"), b.column("h"), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.int32()),
-                                   pa.array(rows[3], pa.int32()), pa.array(rows[4], pa.list_(pa.int64())), pa.array(rows[5], pa.list_(pa.int64())),
-                                   pa.array(rows[6], pa.list_(pa.int32()))], ["doc_id", "h", "n", "c", "own", "light", "posts", "keys", "sides"])
+            yield pa.record_batch([b.column("doc_id"), b.column("h"), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()),
+                                   pa.array(rows[3], pa.int32()), pa.array(rows[4], pa.int32()), pa.array(rows[5], pa.list_(pa.int64())),
+                                   pa.array(rows[6], pa.list_(pa.int64())), pa.array(rows[7], pa.list_(pa.int32())), pa.array(rows[8], pa.binary())],
+                                  ["doc_id", "h", "n", "c", "c2", "own", "light", "posts", "keys", "sides", "bits"])
 
     return docs.withColumn("h", F.xxhash64("text")).mapInArrow(
-        work, "doc_id long, h long, n long, c binary, own int, light int, posts array<long>, keys array<long>, sides array<int>")
+        work, "doc_id long, h long, n long, c long, c2 long, own int, light int, posts array<long>, keys array<long>, sides array<int>, bits binary")
+
+
+def told_apart(profiles: DataFrame) -> DataFrame:
+    """``profiles`` with one ``c`` per class: should the first halves of two different
+    identities agree, which few of many billion do, those classes are named anew from both halves."""
+    while True:
+        twice = profiles.filter("c IS NOT NULL").groupBy("c").agg(F.min("c2").alias("lo"), F.max("c2").alias("hi")).filter("lo <> hi").select("c")
+        if twice.isEmpty():
+            return profiles
+        again = profiles.join(twice.withColumn("_twice", F.lit(True)), "c", "left")
+        again = again.withColumn("c", F.when(F.col("_twice"), F.xxhash64("c", "c2")).otherwise(F.col("c")))
+        profiles = written(again.select(*profiles.columns), "profiles")
 
 
 def subset_links(profiles: DataFrame) -> DataFrame:
@@ -246,63 +289,62 @@ def rest_pairs(posts: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     rows = posts.join(labels, posts["c"] == labels["node"], "left").select("token", "c", "n", "reach", F.coalesce("label", "c").alias("k"))
     mixed = rows.groupBy("token").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo <> hi").select("token")
     rows = written(rows.join(mixed, "token").distinct(), "lists")
-    groups = rows.groupBy("token", "k").agg(F.min("n").alias("low"), F.max("reach").alias("top"))
-    other = groups.select("token", F.col("k").alias("l"), F.col("low").alias("low2"), F.col("top").alias("top2"))
-    couples = groups.join(other, "token").filter("k < l and low <= top2 and low2 <= top").select("token", "k", "l")
+    groups = rows.groupBy("token", "k").agg(F.min("n").alias("low"), F.max("reach").alias("top"), F.count(F.lit(1)).alias("held"))
+    other = groups.select("token", F.col("k").alias("l"), F.col("low").alias("low2"), F.col("top").alias("top2"), F.col("held").alias("held2"))
+    # the smaller component is opened first, so a large one is met by single rows, within their reach only
+    couples = groups.join(other, "token").filter("(held < held2 or held = held2 and k < l) and low <= top2 and low2 <= top").select("token", "k", "l")
     right = rows.select("token", F.col("k").alias("l"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("reach").alias("far"))
     return pairs_of(couples.join(rows, ["token", "k"]).join(right, ["token", "l"]), rule)
 
 
 def promising(pairs: DataFrame, profiles: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` that what they have posted does not rule out.
-
-    Both post in one global order. Up to the last shingle that they have both
-    posted, whatever one has posted and the other has not is not in the other
-    at all; with more such shingles than a link allows the pair is none.
-    """
+    """The pairs ``a, b`` that the sketches of their sets do not rule out."""
     nodes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    rows = profiles.filter("posts is not null").select("c", "n", "posts").join(nodes, "c", "left_semi").dropDuplicates(["c"])
-    rows = written(rows, "posted")
-    both = pairs.join(rows.select(F.col("c").alias("a"), "n", F.col("posts").alias("x")), "a")
-    both = both.join(rows.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("posts").alias("y")), "b")
-    both = both.withColumn("common", F.array_intersect("x", "y"))
-    last, shared = F.element_at("common", -1), F.size("common")
-    both = both.select("a", "b", "n", "m", (F.array_position("x", last) - shared).alias("u"), (F.array_position("y", last) - shared).alias("v"))
-    need = f"(({rule.num} * (n + m) + {rule.den + rule.num - 1}) div {rule.den + rule.num})"
-    return both.filter(f"n - u >= {need} and m - v >= {need}").select("a", "b")
+    nodes = written(nodes, "nodes")
+    nodes = F.broadcast(nodes) if nodes.count() <= PICKED else nodes
+    rows = profiles.filter("bits is not null").select("c", "n", "bits").join(nodes, "c", "left_semi").dropDuplicates(["c"])
+    rows = written(rows, "sketches")
+    both = pairs.join(rows.select(F.col("c").alias("a"), "n", F.col("bits").alias("x")), "a")
+    both = both.join(rows.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
+
+    def work(batches):
+        for b in small(batches):
+            x, n, y, m = (b.column(c).to_pylist() for c in ("x", "n", "y", "m"))
+            yield b.select(["a", "b"]).filter(pa.array([may_link(*z, rule) for z in zip(x, n, y, m)], pa.bool_()))
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(work, "a long, b long")
 
 
 def found_again(docs: DataFrame, profiles: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``c, text`` of one document of each class in ``nodes`` (rows that repeat id and text come more than once).
+    """``c, c2, text`` of one document of each class in ``nodes`` (rows that repeat id and text come more than once).
 
     A row is named by its id, null ids included, and the hash of its text.
     """
     name = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("h")]
-    ids = written(profiles.select("c", *name).join(nodes, "c").groupBy("c").agg(F.min(F.struct("none", "id", "h")).alias("r")).select("c", "r.*"), "nodes")
+    ids = written(profiles.select("c", "c2", *name).join(nodes, "c").groupBy("c", "c2").agg(F.min(F.struct("none", "id", "h")).alias("r")).select("c", "c2", "r.*"), "nodes")
     picked = F.broadcast(ids) if ids.count() <= PICKED else ids
-    return docs.withColumn("h", F.xxhash64("text")).select("text", *name).join(picked, ["none", "id", "h"]).select("c", "text")
+    return docs.withColumn("h", F.xxhash64("text")).select("text", *name).join(picked, ["none", "id", "h"]).select("c", "c2", "text")
 
 
 def linked(pairs: DataFrame, docs: DataFrame, profiles: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough, by their exact intersection.
 
     Sets are made anew, from the text of one document per class, only for the
-    classes of pairs that their postings leave open.
+    classes of pairs that their sketches leave open.
     """
     pairs = written(promising(written(pairs, "pairs"), profiles, rule), "pairs")
     nodes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
 
     def work(batches):
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for b in small(batches):
             found = []
-            for c, t in zip(b.column("c").to_pylist(), b.column("text").to_pylist()):
-                if c not in seen and len(s := shingles(t, rule.words)) and klass(s) == c:
+            for c, c2, t in zip(*(b.column(x).to_pylist() for x in ("c", "c2", "text"))):
+                if c not in seen and len(s := shingles(t, rule.words)) and klass(s)[1] == c2:
                     seen.add(c)
                     found.append((c, s.astype(np.int64)))
-            yield pa.record_batch([pa.array([c for c, _ in found], pa.binary()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["c", "s"])
+            yield pa.record_batch([pa.array([c for c, _ in found], pa.int64()), pa.array([s for _, s in found], pa.list_(pa.int64()))], ["c", "s"])
 
-    sets = found_again(docs, profiles, nodes).mapInArrow(work, "c binary, s array<long>").repartition("c")
+    sets = found_again(docs, profiles, nodes).mapInArrow(work, "c long, s array<long>")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("y")), "b")
     common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
     return written(common.filter(f"{rule.den + rule.num} * i >= {rule.num} * t").select("a", "b").distinct(), "links")
@@ -346,7 +388,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
     total = counts.filter("size is not null").agg(F.sum(F.col("n") * F.col("size"))).first()[0] or 0
     again = tokens.agg(F.sum(F.col("n") * F.col("n")), F.sum("n")).first()
     mean_list = (float(again[0] or 0) + total - (again[1] or 0)) / total if total else 1.0
-    profiles = written(profiled(docs, frequent, boundary_of(sizes, mean_list, rule), rule), "profiles")
+    profiles = told_apart(written(profiled(docs, frequent, boundary_of(sizes, mean_list, rule), rule), "profiles"))
     posts = written(posted(profiles, rule), "postings")
     small = written(subset_links(profiles), "links")
     first = small.union(linked(hub_pairs(posts, rule), docs, profiles, rule))

@@ -103,6 +103,34 @@ def test_names_that_clash(table):
     assert left.columns == d.columns and [r.doc_id for r in left.collect()] == [1]
 
 
+def test_sketches_never_rule_out_a_link(monkeypatch):
+    rng = np.random.default_rng(3)
+    out = 0
+    for k in range(600):
+        monkeypatch.setattr(jaccard_join, "FIELD", 1 << 15 if k % 3 else 256)
+        n = int(rng.integers(5, 400))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        kept = a[rng.random(len(a)) > rng.choice([0, 0.05, 0.1, 0.3])]
+        b = np.unique(np.concatenate([kept, rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 8))).astype(np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        rule = jaccard_join.Rule()
+        open_ = jaccard_join.may_link(jaccard_join.sketch(a), len(a), jaccard_join.sketch(b), len(b), rule)
+        if rule.den * common >= rule.num * (len(a) + len(b) - common):
+            assert open_
+        else:
+            out += not open_
+    assert out > 50
+
+
+def test_classes_whose_names_collide_are_told_apart(table):
+    whole = jaccard_join.klass
+    rows = [(1, 10, 7, 5), (2, 10, 8, 5), (3, 10, 8, 5), (4, 11, 7, 5), (5, None, None, None)]
+    d = table(rows, "doc_id long, c long, c2 long, n long")
+    got = {r.doc_id: r.c for r in jaccard_join.told_apart(d).collect()}
+    assert got[2] == got[3] != got[1] and got[4] == 11 and got[5] is None and len({got[1], got[2], 10}) == 3
+    assert whole(np.arange(3).astype(np.uint64)) != whole(np.arange(4).astype(np.uint64))
+
+
 def test_frequency_table_is_bounded(table, monkeypatch):
     monkeypatch.setattr(jaccard_join, "FREQUENT", 10)
     tokens = table([(i, 200_000 + i % 3) for i in range(40)] + [(100 + i, 5_000_000) for i in range(7)], "token long, n long")
