@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sys import getsizeof
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes after which a worker's table of words starts anew, the longest word that it keeps, and what an entry costs beside its parts.
+TABLE_BYTES, LONGEST, SLOT = 96 << 20, 256, 120
+
+
+class Table(dict):
+    """Word -> result, bounded by bytes: long words are not kept, and a full table starts anew."""
+
+    used = 0
+
+    def keep(self, word, value):
+        if len(word) <= LONGEST:
+            self.used += getsizeof(word) + getsizeof(value) + SLOT
+            if self.used > TABLE_BYTES:
+                self.clear()
+                self.used = 0
+            self[word] = value
+        return value
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(batches, rows: int = 512):
     """The batches in slices, so that a task holds few rows as Python objects at a time."""
     for b in batches:

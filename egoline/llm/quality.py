@@ -35,6 +35,8 @@ SHARES = [k / 100 for k in range(50, 101)]
 #: Groups with fewer documents that pass the base rules are judged by the estimate of their language, and languages
 #: with fewer by that of all documents.
 MIN_GROUP = 30
+#: Most pairs of language and source whose estimates (some 300 bytes each and start) are broadcast.
+FEW = 5_000
 #: Chi-square quantile with 5 degrees of freedom at 1 - 1e-9, at one half and at 0.975.
 CUTOFF = 51.4
 CHI_HALF = 4.351
@@ -122,8 +124,10 @@ def estimate() -> list[Column]:
             *[(F.covar_pop(XS[i], XS[j]) + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(f"s{i}{j}") for i, j in PAIRS]]
 
 
-def by_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    return rows.join(groups, "g")
+def by_group(rows: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
+    """Rows with what is known of their group. Up to ``FEW`` groups are broadcast, and no
+    group's rows meet in one task; more are joined by a shuffle."""
+    return rows.join(F.broadcast(groups) if few else groups, "g")
 
 
 def pools(stats: DataFrame) -> DataFrame:
@@ -143,18 +147,18 @@ def pools(stats: DataFrame) -> DataFrame:
                                           F.array_compact(into).alias("into")).checkpoint()
 
 
-def pooled(rows: DataFrame, of: DataFrame) -> DataFrame:
-    of = of.withColumnsRenamed({"lang": "_gl", "source": "_gs"})
+def pooled(rows: DataFrame, of: DataFrame, few: bool) -> DataFrame:
+    of = (F.broadcast(of) if few else of).withColumnsRenamed({"lang": "_gl", "source": "_gs"})
     return rows.join(of, rows["lang"].eqNullSafe(of["_gl"]) & rows["source"].eqNullSafe(of["_gs"]), "left").drop("_gl", "_gs")
 
 
-def starts(stats: DataFrame) -> DataFrame:
+def starts(stats: DataFrame, few: bool) -> DataFrame:
     """A row per group and start: ``n``, location ``m*``, scatter ``s*``."""
     med = stats.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(XS)]).checkpoint()
-    mad = by_group(stats, med).groupBy("g").agg(
+    mad = by_group(stats, med, few).groupBy("g").agg(
         F.first("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(5)],
         *[F.greatest(F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000) * 1.4826, F.lit(FLOORS[i])).alias(f"a{i}") for i, x in enumerate(XS)]).checkpoint()
-    z = by_group(stats, mad).select("g", *XS, *[((F.col(x) - F.col(f"m{i}")) / F.col(f"a{i}")).alias(f"z{i}") for i, x in enumerate(XS)])
+    z = by_group(stats, mad, few).select("g", *XS, *[((F.col(x) - F.col(f"m{i}")) / F.col(f"a{i}")).alias(f"z{i}") for i, x in enumerate(XS)])
     size = F.greatest(F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(5)), F.lit(0.0))), F.lit(1e-9))
     z = z.withColumn("size", size).withColumn("sum", sum((F.col(f"z{i}") for i in range(5)), F.lit(0.0)))
     # written, or the planner repeats the terms in each of the 45 sums below
@@ -172,7 +176,7 @@ def starts(stats: DataFrame) -> DataFrame:
             return F.when(over > 0, F.col(f"{name}{i}{j}") / over).otherwise(0.0)
         out.append(made.select("g", "n", F.lit(name).alias("start"), *[f"m{i}" for i in range(5)],
                                *[(cor(i, j) * F.col(f"a{i}") * F.col(f"a{j}")).alias(f"s{i}{j}") for i, j in PAIRS]))
-    low = by_group(z, made.select("g", "n", "half")).filter(F.col("sum") <= F.col("half")).groupBy("g").agg(F.first("n").alias("n"), *estimate())
+    low = by_group(z, made.select("g", "n", "half"), few).filter(F.col("sum") <= F.col("half")).groupBy("g").agg(F.first("n").alias("n"), *estimate())
     out.append(low.withColumn("start", F.lit(STARTS[4])).select(*out[0].columns))
     return reduce(DataFrame.unionByName, out)
 
@@ -180,42 +184,42 @@ def starts(stats: DataFrame) -> DataFrame:
 FITTED = ["det", *[f"m{i}" for i in range(5)], *[f"c{i}{j}" for i, j in PAIRS]]
 
 
-def concentrated(stats: DataFrame, groups: DataFrame) -> DataFrame:
+def concentrated(stats: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
     """One concentration step of each group and start: the estimate from the rows nearest to the ``last`` one.
 
     Written rather than checkpointed: a checkpoint keeps the planner's constraints, which double with every step.
     """
     x = [F.col(c) for c in XS]
     share = F.least(F.ceil((F.col("n") + 6) * 50 / F.col("n")) - 49, F.lit(len(SHARES))).cast("int")
-    cut = by_group(stats, groups).groupBy("g", "start").agg(F.element_at(F.percentile_approx(distance(x), SHARES, 10000), F.first(share)).alias("cut"))
+    cut = by_group(stats, groups, few).groupBy("g", "start").agg(F.element_at(F.percentile_approx(distance(x), SHARES, 10000), F.first(share)).alias("cut"))
     cut = groups.join(written(cut, "cuts"), ["g", "start"])
-    near = by_group(stats, cut).filter(distance(x) <= F.col("cut"))
+    near = by_group(stats, cut, few).filter(distance(x) <= F.col("cut"))
     return written(factored(near.groupBy("g", "start").agg(F.first("n").alias("n"), F.first(F.struct(*FITTED)).alias("last"), *estimate())), "step")
 
 
-def scaled(stats: DataFrame, groups: DataFrame) -> DataFrame:
+def scaled(stats: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
     """``groups`` with the consistency factor ``k``: their rows' median distance over that of the normal law, one at least."""
-    near = by_group(stats, groups).withColumn("d", distance([F.col(c) for c in XS]))
+    near = by_group(stats, groups, few).withColumn("d", distance([F.col(c) for c in XS]))
     scale = near.groupBy("g").agg(F.greatest(F.percentile_approx("d", 0.5, 10000) / CHI_HALF, F.lit(1.0)).alias("k"))
-    return by_group(groups, scale.checkpoint())
+    return by_group(groups, scale.checkpoint(), few)
 
 
-def mcd(stats: DataFrame) -> DataFrame:
+def mcd(stats: DataFrame, few: bool) -> DataFrame:
     """One row per group ``g``: location ``m*``, factor ``c*`` and the scale ``k`` of its distances.
 
     Starts whose determinant has stopped falling take no part in further steps.
     The first step of a start always counts, as it only then has a subset.
     """
-    active, settled = concentrated(stats, written(factored(starts(stats)), "starts")).drop("last"), []
+    active, settled = concentrated(stats, written(factored(starts(stats, few)), "starts"), few).drop("last"), []
     falls = F.col("det") < F.col("last.det") - FALL
     while not settled or not active.isEmpty():
-        after = concentrated(stats, active)
+        after = concentrated(stats, active, few)
         settled.append(after.filter(~falls).select("g", "start", "last.*"))
         active = after.filter(falls).drop("last")
     ends = reduce(DataFrame.unionByName, settled)
-    best = scaled(stats, ends.groupBy("g").agg(F.min(F.struct(*FITTED)).alias("b")).select("g", "b.*").checkpoint())
-    near = by_group(stats, best).filter(distance([F.col(c) for c in XS]) <= F.col("k") * CHI_NEAR)
-    return scaled(stats, factored(near.groupBy("g").agg(*estimate())).checkpoint()).drop("det")
+    best = scaled(stats, ends.groupBy("g").agg(F.min(F.struct(*FITTED)).alias("b")).select("g", "b.*").checkpoint(), few)
+    near = by_group(stats, best, few).filter(distance([F.col(c) for c in XS]) <= F.col("k") * CHI_NEAR)
+    return scaled(stats, factored(near.groupBy("g").agg(*estimate())).checkpoint(), few).drop("det")
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -227,7 +231,9 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     documents that pass the base rules are judged by their language, smaller
     languages by all documents. Only documents of a group with no document that
     passes the base rules have a null distance. Repeated rows are judged one by
-    one, alike. An empty table gives an empty result.
+    one, alike, texts of any length whole. Columns that are not kept are ignored,
+    whatever their names; kept ones may have any name but those of the result.
+    An empty table gives an empty result.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
@@ -237,7 +243,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     rows = written(rows.select("*", *[x.alias(XS[i]) for i, x in enumerate(transformed())]), "quality")
     stats = rows.filter(~F.col("base_failed")).select("lang", "source", *XS)
     of = pools(stats)
-    groups = mcd(written(pooled(stats, of).select(F.explode("into").alias("g"), *XS), "pools"))
-    out = pooled(rows, by_group(of.select("lang", "source", "g"), groups)).withColumn("distance", distance([F.col(c) for c in XS]) / F.col("k"))
+    few = of.count() <= FEW
+    groups = mcd(written(pooled(stats, of, few).select(F.explode("into").alias("g"), *XS), "pools"), few)
+    out = pooled(rows, by_group(of.select("lang", "source", "g"), groups, few), few).withColumn("distance", distance([F.col(c) for c in XS]) / F.col("k"))
     return out.select(*[F.col(f"k_{c}").alias(c) for c in keep], *COUNTS, "base_failed", "distance",
                       (~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= CUTOFF))).alias("kept"))

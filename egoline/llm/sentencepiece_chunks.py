@@ -8,8 +8,9 @@ the ids in a table, and joins them back by position. The library's dummy prefix
 stands for the marker, hence ``encode(word)`` is the segmentation of the marked
 word, and its ``decode`` takes the marker off again.
 
-The table is bounded: it starts anew beyond ``TABLE`` words. Texts are cut and
-joined whole, rows are independent, and nothing is shuffled.
+The table is bounded by bytes (``common.Table``), so texts without spaces, which
+are one long word each, are segmented and not kept. Texts are cut and joined
+whole, rows are independent, and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -23,15 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from egoline.llm.common import small
+from egoline.llm.common import Table, small
 
-TABLE = 800_000
 MARKS = " ▁"
 #: Where a marker follows another character and something follows the marker.
 CUT = re.compile(f"(?<=[^{MARKS}])[{MARKS}](?=.)", re.DOTALL)
 
 
-class ChunkTable(dict):
+class ChunkTable(Table):
     """Marked word -> its ids as text; ``plain`` holds what the ids decode to."""
 
     def __init__(self, model: str):
@@ -39,20 +39,18 @@ class ChunkTable(dict):
 
         super().__init__()
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.plain: dict[str, str] = {}
+        self.plain = Table()
+        self.lost = False  # whether some word met is not in the table
         pieces = map(self.sp.id_to_piece, range(self.sp.get_piece_size()))
         self.whole = any(re.search("[^▁]▁", p) for p in pieces)
 
     def __missing__(self, word: str) -> str:
-        if len(self) >= TABLE:
-            self.clear()
-        ids = self.sp.encode(word)
-        self[word] = text = ",".join(map(str, ids))
+        before, ids = len(self), self.sp.encode(word)
+        text = self.keep(word, ",".join(map(str, ids)))
         plain = self.sp.decode(ids)
         if plain != word:
-            self.plain[word] = plain
-            if len(self.plain) > TABLE:
-                self.plain = {word: plain}
+            self.plain.keep(word, plain)
+        self.lost |= len(self) <= before
         return text
 
     def chunks(self, text: str) -> list[str]:
@@ -70,15 +68,13 @@ class ChunkTable(dict):
         """``(ids as text, decoded text)``."""
         chunks = self.chunks(text)
         ids = ",".join([x for x in map(self.__getitem__, chunks) if x])
-        if not self.plain:
+        if not self.plain and not self.lost:
             return ids, " ".join(chunks)
         return ids, " ".join([self.decoded(c) if c in self.plain or c not in self else c for c in chunks])
 
     def decoded(self, word: str) -> str:
-        """Looked up again where the table has started anew meanwhile."""
-        if word not in self:
-            self[word]
-        return self.plain.get(word, word)
+        """Decoded anew where the tables have lost the word."""
+        return self.plain[word] if word in self.plain else self.sp.decode(self.sp.encode(word))
 
 
 @lru_cache(maxsize=2)
@@ -110,7 +106,7 @@ def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text (null: none); an earlier column of that name gives way."""
+    """``docs`` with the ids of each text (null: none); an earlier column of that name gives way, so name another to keep it."""
     rest = [c for c in docs.columns if c != ids_col]
     at = rest.index(text_col)
 

@@ -288,8 +288,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null texts are empty. Rows that repeat are documents of their own, so all
     windows of such texts are removed. Texts of fewer than ``LENGTH`` bytes
-    stay whole. A null id is given back as null. An empty table gives an empty
-    result.
+    stay whole, long ones are taken whole. A null id is given back as null.
+    Columns other than the id and the text are ignored, whatever their names. An
+    empty table gives an empty result.
     """
     docs = id_text(docs, id_col, text_col).withColumn("ref", F.xxhash64("doc_id", "text"))
     profile = written(docs.mapInArrow(profiled, PROFILE), "anchors")
@@ -308,8 +309,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = read(shared.filter((F.col("n") > 1) & (F.col("n") <= hot))).unionByName(bands.join(crowded, "g", "left_anti"))
     found = parts.repartition("g").sortWithinPartitions("g").mapInArrow(partial(sorted_shards, shard=shard), "key long, ctx long, found array<int>")
     single = written(bands.join(crowded, "g", "left_semi").select("key", "ctx", "m", "off", "bytes").mapInArrow(windows, WINDOW), "windows")
-    twice = single.groupBy("h").count().filter("count > 1").select("h")
-    # the hashes are unique on the right; a common window's rows on the left are split by adaptive execution
+    # written first: an aggregate by the same key in the same stage would keep a common window's rows on the left in one task
+    twice = written(single.groupBy("h").count().filter("count > 1").select("h"), "twice")
     single = single.filter("m = 1").join(twice, "h").select("key", "ctx", F.array(F.col("off"), F.col("off") + 1).alias("found"))
     found = found.unionByName(single)
     found = found.groupBy("key", "ctx").agg(F.flatten(F.collect_list("found")).alias("found"))

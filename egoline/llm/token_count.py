@@ -33,8 +33,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a piece; tables start anew beyond so many entries.
-PIECE, TABLE, STATES = 1 << 14, 800_000, 400_000
+from egoline.llm.common import Table
+
+#: Characters of a piece; states after which the transducer starts anew.
+PIECE, STATES = 1 << 14, 400_000
 NEVER = 1 << 60
 SURE = re.compile(r"(?<=\S) ")
 #: Other white space before a space: there the space is no sure cut.
@@ -197,7 +199,7 @@ class StateMap(NamedTuple):
     tail: str | None
 
 
-class Counter(dict):
+class Counter(Table):
     """Marked word (without its space) -> tokens: paths of the transducer from a sure cut to the next."""
 
     def __init__(self, path: str):
@@ -211,14 +213,13 @@ class Counter(dict):
         self.machine = Transducer(spec["model"]["vocab"], pairs)
         self.pre = Tokenizer.from_file(path).pre_tokenizer
         self.to_symbols = byte_alphabet()
-        self.words: dict[str, int] = {}
+        self.words = Table()
 
     def pre_token(self, text: str) -> int:
         n = self.words.get(text)
         if n is None:
-            if len(self.words) > TABLE:
-                self.words.clear()
-            n = self.words[text] = self.machine.count(text.encode().decode("latin-1").translate(self.to_symbols))
+            n = self.machine.count(text.encode().decode("latin-1").translate(self.to_symbols))
+            self.words.keep(text, n)
         return n
 
     def plain(self, text: str) -> int:
@@ -246,10 +247,7 @@ class Counter(dict):
             if end and (a := self.simple(last, " ")) is not None and (b := self.simple(first, "")) is not None:
                 return a + self.pre_token("\n") + b
             n = self.text(" " + word)
-        if len(self) >= TABLE:
-            self.clear()
-        self[word] = n
-        return n
+        return self.keep(word, n)
 
     def piece(self, text: str) -> StateMap:
         parts = sure_parts(text)

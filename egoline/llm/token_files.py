@@ -27,10 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from egoline.llm.common import Table
 from egoline.llm.token_count import ENDS, byte_alphabet, sure_parts
 
-#: Ids in a block, and entries of the table of encoded words before it starts anew.
-BLOCK, TABLE = 1 << 20, 800_000
+#: Ids in a block.
+BLOCK = 1 << 20
 FILE = "shard int, block int, first long, n_docs long, n_ids long, width int, n_null long, base long, doc_ids binary, ends binary, ids binary"
 
 
@@ -105,7 +106,7 @@ class EliasFano:
         return (one - k) << self.low_bits | low
 
 
-class Encoder(dict):
+class Encoder(Table):
     """Marked word (without its space) -> its ids as bytes, from the library."""
 
     def __init__(self, path: str):
@@ -116,7 +117,7 @@ class Encoder(dict):
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.model, self.symbols = self.tokenizer.model, byte_alphabet()
         self.code = "H" if self.kind == "<u2" else "I"
-        self.words: dict[str, bytes] = {}
+        self.words = Table()
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -125,11 +126,9 @@ class Encoder(dict):
         """One pre-token: the library's model alone gives its ids."""
         got = self.words.get(text)
         if got is None:
-            if len(self.words) >= TABLE:
-                self.words.clear()
             symbols = "Ġ" + text[1:] if text[0] == " " and text.isascii() else text.encode().decode("latin-1").translate(self.symbols)
             ids = [t.id for t in self.model.tokenize(symbols)]
-            got = self.words[text] = pack(f"<{len(ids)}{self.code}", *ids)
+            got = self.words.keep(text, pack(f"<{len(ids)}{self.code}", *ids))
         return got
 
     def plain(self, word: str, lead: str) -> bytes | None:
@@ -148,10 +147,7 @@ class Encoder(dict):
             if end and (a := self.plain(last, " ")) is not None and (b := self.plain(first, "")) is not None:
                 return a + self.word("\n") + b
             got = self.ids(" " + word)
-        if len(self) >= TABLE:
-            self.clear()
-        self[word] = got
-        return got
+        return self.keep(word, got)
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text: cut only where a pre-token ends whatever surrounds it."""

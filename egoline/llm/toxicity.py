@@ -194,7 +194,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``doc_id, held_out, score, predicted, n_passages`` per row.
 
     Null and empty texts hold no evidence and get the score of none. Repeated
-    rows give repeated results, an empty table an empty one.
+    rows give repeated results, an empty table an empty one. Texts of any length
+    are scored whole; other columns are ignored, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import public_tokenizers as P
 import pytest
-from egoline.llm import sentencepiece_chunks, token_count, token_files
+from egoline.llm import common, sentencepiece_chunks, token_count, token_files
 from egoline.session import shared_path
 
 BITS = ["a", "b", " ", "  ", "\n", "\t", "　", "1", "23", "'s", "'", "<|endoftext|>", "<|endoftext", "é", "日本", "😀",
@@ -45,7 +45,7 @@ def test_state_maps_compose_in_any_grouping(library):
 
 def test_transducer_starts_anew_beyond_its_bound(library, monkeypatch):
     monkeypatch.setattr(token_count, "STATES", 50)
-    monkeypatch.setattr(token_count, "TABLE", 20)
+    monkeypatch.setattr(common, "TABLE_BYTES", 4_000)
     c = token_count.Counter(P.path("byte_bpe_50k.json"))
     assert [c.count(t) for t in odd_texts(200, 3)[:200]] == [len(library(t)) for t in odd_texts(200, 3)[:200]]
 
@@ -74,7 +74,7 @@ def test_sentencepiece_as_the_library(docs, plain, table, monkeypatch):
     d = table([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in sentencepiece_chunks.digests(d, model).collect()}
     assert got == {i: want(t) for i, t in enumerate(texts)}
-    monkeypatch.setattr(sentencepiece_chunks, "TABLE", 3)
+    monkeypatch.setattr(common, "TABLE_BYTES", 4_000)
     t = sentencepiece_chunks.ChunkTable(model)
     assert all(t.both(x) == (",".join(map(str, sp.encode(x))), sp.decode(sp.encode(x)) if x else "") for x in odd_texts(300, 6)[:300])
     coded = sentencepiece_chunks.decode(sentencepiece_chunks.encode(d, model), model)
