@@ -359,6 +359,16 @@ def upsert_snapshot(spark, sf):
     return K.upsert(existing, new, "c_custkey")
 
 
+def upsert_buckets(spark, sf):
+    """K2 on a stored table: the second batch rewrites the buckets that it touches and commits them."""
+    root = shared_path(spark, "customers")
+    c = B.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    key = F.col("c_custkey")
+    upsert_table(spark, root, c.filter((key % 2 == 0) | (key < 500)), "c_custkey", buckets=16)
+    upsert_table(spark, root, c.filter((key % 2 == 1) | (key < 500)).withColumn("c_acctbal", F.col("c_acctbal") + F.lit(1.0)), "c_custkey")
+    return R.read_table(spark, root).select("c_custkey", "c_name", "c_acctbal")
+
+
 # --- R1, R2 -----------------------------------------------------------------------
 def page_stitch(spark, sf):
     st = PG.stitch_pages(B.pages_table(spark, sf), fetched="fetched", keep=("id",))
@@ -476,6 +486,7 @@ QUERIES = {
     "missing_users": missing_users,
     "id_range": id_range,
     "upsert_snapshot": upsert_snapshot,
+    "upsert_buckets": upsert_buckets,
     "page_stitch": page_stitch,
     "extract_links": extract_links,
     "follow_pages_html": follow_pages_html,

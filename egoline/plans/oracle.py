@@ -346,6 +346,13 @@ FROM customer WHERE c_custkey BETWEEN 200 AND 800""",
 nw AS (
   SELECT c_custkey, c_name, c_acctbal + 1.0 AS c_acctbal FROM customer WHERE c_custkey % 2 = 1 OR c_custkey < 500)
 SELECT * FROM ex WHERE c_custkey NOT IN (SELECT c_custkey FROM nw)
+UNION ALL SELECT * FROM nw""",
+
+    "upsert_buckets": """WITH ex AS (
+  SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 2 = 0 OR c_custkey < 500),
+nw AS (
+  SELECT c_custkey, c_name, c_acctbal + 1.0 AS c_acctbal FROM customer WHERE c_custkey % 2 = 1 OR c_custkey < 500)
+SELECT * FROM ex WHERE c_custkey NOT IN (SELECT c_custkey FROM nw)
 UNION ALL SELECT * FROM nw""",
 
     "page_stitch": """WITH p AS (
