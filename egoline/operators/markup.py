@@ -7,6 +7,7 @@ stack of open elements on top of it tells what lies inside what.
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -27,18 +28,22 @@ class FollowLinks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.cls = cls
         self.open: list[str] = []
-        self.headings: list[dict] = []  # in order of their start tags; "in": depth while open
+        self.count: Counter[str] = Counter()  # of the open elements
+        self.headings: list[dict] = []  # in order of their start tags
+        self.inside: list[dict] = []  # the open ones; "in" is their depth
         self.anchors: list[dict] = []  # the open ones
 
     def handle_starttag(self, tag, attrs):
         values = dict(attrs)
         if tag not in VOID:
             self.open.append(tag)
+            self.count[tag] += 1
         depth = len(self.open)
         if tag == "h3" and self.cls in (values.get("class") or "").split():
             self.headings.append({"in": depth, "anchor": None})
+            self.inside.append(self.headings[-1])
         elif tag == "a":
-            wanting = [h for h in self.headings if h["in"] and h["anchor"] is None]
+            wanting = [h for h in self.inside if h["anchor"] is None]
             if wanting:
                 anchor = {"in": depth, "href": values.get("href"), "text": []}
                 self.anchors.append(anchor)
@@ -46,15 +51,16 @@ class FollowLinks(HTMLParser):
                     h["anchor"] = anchor
 
     def handle_endtag(self, tag):
-        if tag not in self.open:
+        if not self.count[tag]:
             return
-        while self.open.pop() != tag:
-            pass
+        closed = None
+        while closed != tag:
+            closed = self.open.pop()
+            self.count[closed] -= 1
         depth = len(self.open)
-        self.anchors = [a for a in self.anchors if a["in"] <= depth]
-        for h in self.headings:
-            if h["in"] and h["in"] > depth:
-                h["in"] = 0
+        if self.anchors or self.inside:
+            self.anchors = [a for a in self.anchors if a["in"] <= depth]
+            self.inside = [h for h in self.inside if h["in"] <= depth]
 
     def handle_data(self, data):
         if self.anchors and self.open[-1] not in ("script", "style"):
@@ -67,9 +73,13 @@ class FollowLinks(HTMLParser):
 
 
 def links_of(html: str | None, cls: str = FOLLOW_LINK_CLASS) -> list[dict]:
+    """The links of one page; markup that the tokenizer rejects ends it there."""
     parser = FollowLinks(cls)
-    parser.feed(html or "")
-    parser.close()
+    try:
+        parser.feed(html or "")
+        parser.close()
+    except AssertionError:  # how the tokenizer rejects a declaration
+        pass
     return parser.links()
 
 

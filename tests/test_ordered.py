@@ -155,6 +155,10 @@ def test_broken_markup_ends(spark):
     assert markup.links_of('</h3></a><h3 class="follow-list-name"></h3><a href="/a">x</a><h3 class><a>') == []
     assert markup.links_of("<h3 class=follow-list-name><a>no target</a><a href=/b>b</a></h3>") == []
     assert markup.links_of("<" * 2000 + "&#xFFFFFFFF; <h3") == []
+    link = "<h3 class=follow-list-name><a href=/b>b</a></h3>"
+    assert markup.links_of(link + "<![odd one]> <!bad <![CDATA[x") == [{"slug": "b", "text": "b"}]
+    deep = markup.links_of("<p>" * 50_000 + link + "<i></i>" * 50_000 + link * 3_000)  # linear in the page
+    assert len(deep) == 3_001
 
 
 def dump(n, seed):
