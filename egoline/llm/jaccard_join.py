@@ -304,14 +304,15 @@ def promising(pairs: DataFrame, profiles: DataFrame, rule: Rule) -> DataFrame:
     nodes = F.broadcast(nodes) if nodes.count() <= PICKED else nodes
     rows = profiles.filter("bits is not null").select("c", "n", "bits").join(nodes, "c", "left_semi").dropDuplicates(["c"])
     rows = written(rows, "sketches")
-    both = pairs.join(rows.select(F.col("c").alias("a"), "n", F.col("bits").alias("x")), "a")
-    both = both.join(rows.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
+    # both sides rename every column, so that the planner sees one exchange and uses it twice
+    both = pairs.join(rows.select(F.col("c").alias("a"), F.col("n").alias("size_a"), F.col("bits").alias("x")), "a")
+    both = both.join(rows.select(F.col("c").alias("b"), F.col("n").alias("size_b"), F.col("bits").alias("y")), "b")
 
     def work(batches):
         for b in small(batches):
-            x, n, y, m = (b.column(c).to_pylist() for c in ("x", "n", "y", "m"))
+            x, n, y, m = (b.column(c).to_pylist() for c in ("x", "size_a", "y", "size_b"))
             yield b.select(["a", "b"]).filter(pa.array([may_link(*z, rule) for z in zip(x, n, y, m)], pa.bool_()))
-    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(work, "a long, b long")
+    return both.select("a", "b", "size_a", "size_b", "x", "y").mapInArrow(work, "a long, b long")
 
 
 def found_again(docs: DataFrame, profiles: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -347,7 +348,8 @@ def linked(pairs: DataFrame, docs: DataFrame, profiles: DataFrame, rule: Rule) -
     sets = found_again(docs, profiles, nodes).mapInArrow(work, "c long, s array<long>")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("s").alias("y")), "b")
     common = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("i"), (F.size("x") + F.size("y")).alias("t"))
-    return written(common.filter(f"{rule.den + rule.num} * i >= {rule.num} * t").select("a", "b").distinct(), "links")
+    # not made distinct here: an aggregate on top would keep a hub's pairs in one task; components() does that
+    return written(common.filter(f"{rule.den + rule.num} * i >= {rule.num} * t").select("a", "b"), "links")
 
 
 def frequent_ones(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
