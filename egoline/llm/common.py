@@ -34,7 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Bytes after which a worker's table of words starts anew, the longest word that it keeps, and what an entry costs beside its parts.
-TABLE_BYTES, LONGEST, SLOT = 96 << 20, 256, 120
+TABLE_BYTES, LONGEST, SLOT = 96 << 20, 256, 150
 
 
 class Table(dict):
@@ -43,8 +43,9 @@ class Table(dict):
     used = 0
 
     def keep(self, word, value):
-        if len(word) <= LONGEST:
-            self.used += getsizeof(word) + getsizeof(value) + SLOT
+        n = len(word)
+        if n <= LONGEST:
+            self.used += 4 * n + getsizeof(value) + SLOT  # at most four bytes a character
             if self.used > TABLE_BYTES:
                 self.clear()
                 self.used = 0
