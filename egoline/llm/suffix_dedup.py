@@ -40,8 +40,8 @@ from egoline.llm.common import id_text, small, written
 from egoline.llm.jaccard_join import MULTIPLY, U, mix
 
 LENGTH, GRAM = 200, 64
-#: Window starts hashed at a time; bytes of a shard (a key's contexts stay together); distinct contexts from which a key is split; width of a band.
-CHUNK, SHARD, HOT, BAND = 1 << 19, 8 << 20, 2_000, 16
+#: Window starts hashed at a time; bytes of a shard (a key's contexts stay together; sorting takes some 40 bytes of memory for each); distinct contexts from which a key is split; width of a band.
+CHUNK, SHARD, HOT, BAND = 1 << 19, 2 << 20, 2_000, 16
 #: Most ids for which the rows to re-read are picked by a broadcast; beyond, by a shuffle.
 PICKED = 1_000_000
 POSITION = U((1 << 24) - 1)

@@ -113,3 +113,20 @@ def test_small_shards_and_tables(docs, plain, table):
     d = docs.filter(docs.doc_id.isin([i for i, _ in rows]))
     assert got(d, shard=3000) == by_definition(rows)
     assert got(table([(1, "a")]).limit(0)) == []
+
+
+def test_shards_are_sorted_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    rows = [(i // 4, i // 4, i, 1, 0, rng.randbytes(336)) for i in range(13_000)]  # 4 MB in groups of four
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 4 + [pa.int32(), pa.binary()])]
+    batch = pa.record_batch(columns, ["g", "key", "ctx", "m", "off", "bytes"])
+    tracemalloc.start()
+    found = list(suffix_dedup.sorted_shards(iter([batch]), suffix_dedup.SHARD))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) > 1 and sum(b.num_rows for b in found) == 0
+    assert peak < 120 << 20
