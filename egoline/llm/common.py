@@ -53,6 +53,28 @@ class Table(dict):
         return value
 
 
+class Aging(Table):
+    """A table whose words live on while they are asked for: when its entries fill ``share``
+    of the bytes they become the old ones, and a word found there is taken over. Old and
+    new ones together hold twice the share at most."""
+
+    def __init__(self, share: float = 0.5):
+        super().__init__()
+        self.old: dict = {}
+        self.share = share
+
+    def keep(self, word, value):
+        n = len(word)
+        if n <= LONGEST:
+            self.used += 4 * n + getsizeof(value) + SLOT
+            if self.used > TABLE_BYTES * self.share:
+                self.old = dict(self)
+                self.clear()
+                self.used = 0
+            self[word] = value
+        return value
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
+from operator import itemgetter
 from struct import pack
 
 import numpy as np
@@ -27,11 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from egoline.llm.common import Table
-from egoline.llm.token_count import ENDS, byte_alphabet, sure_parts
+from egoline.llm.common import Aging
+from egoline.llm.token_count import byte_alphabet, sure_parts
 
 #: Ids in a block.
 BLOCK = 1 << 20
+#: Marks that end a word: a run of them after letters is a pre-token of its own (an apostrophe may begin one with letters).
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 FILE = "shard int, block int, first long, n_docs long, n_ids long, width int, n_null long, base long, doc_ids binary, ends binary, ids binary"
 
 
@@ -106,53 +109,65 @@ class EliasFano:
         return (one - k) << self.low_bits | low
 
 
-class Encoder(Table):
-    """Marked word (without its space) -> its ids as bytes, from the library."""
+class Encoder(Aging):
+    """Marked word (without its space) -> its ids as bytes, from the library.
+
+    ``words`` holds pre-tokens without a space before them: marks, and the first words of lines.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(0.75)
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.model, self.symbols = self.tokenizer.model, byte_alphabet()
         self.code = "H" if self.kind == "<u2" else "I"
-        self.words = Table()
+        self.words = Aging(0.25)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # no special string may lie in a word of letters and marks
+        self.marks = MARKS if not any(t.rstrip(MARKS).isalpha() or not t.rstrip(MARKS) for t in added) else ""
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def word(self, text: str) -> bytes:
+    def pre_token(self, text: str) -> bytes:
         """One pre-token: the library's model alone gives its ids."""
+        symbols = "Ġ" + text[1:] if text[0] == " " and text.isascii() else text.encode().decode("latin-1").translate(self.symbols)
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return pack(f"<{len(ids)}{self.code}", *ids)
+
+    def word(self, text: str) -> bytes:
         got = self.words.get(text)
         if got is None:
-            symbols = "Ġ" + text[1:] if text[0] == " " and text.isascii() else text.encode().decode("latin-1").translate(self.symbols)
-            ids = [t.id for t in self.model.tokenize(symbols)]
-            got = self.words.keep(text, pack(f"<{len(ids)}{self.code}", *ids))
+            got = self.words.keep(text, self.words.old.get(text) or self.pre_token(text))
         return got
 
     def plain(self, word: str, lead: str) -> bytes | None:
-        """The ids of a word of letters, perhaps with one mark at its end; None for any other."""
-        if word.isalpha():
-            return self.word(lead + word)
-        if word[-1:] in ENDS and word[:-1].isalpha():
-            return self.word(lead + word[:-1]) + self.word(word[-1])
-        return None
+        """The ids of a word of letters, perhaps with marks at its end; None for any other."""
+        letters = word.rstrip(self.marks)
+        if not letters.isalpha():
+            return None
+        ids = self[letters] if lead else self.word(letters)
+        return ids if len(letters) == len(word) else ids + self.word(word[len(letters):])
 
     def __missing__(self, word: str) -> bytes:
-        got = self.plain(word, " ")
+        got = self.old.get(word)
         if got is None:
-            # the last word of a line and the first of the next: the line's end is a pre-token of its own
-            last, end, first = word.partition("\n")
-            if end and (a := self.plain(last, " ")) is not None and (b := self.plain(first, "")) is not None:
-                return a + self.word("\n") + b
-            got = self.ids(" " + word)
+            if word.isalpha():
+                got = self.pre_token(" " + word)
+            elif (got := self.plain(word, " ")) is None:
+                # the last word of a line and the first of the next: the line's end is a pre-token of its own
+                last, end, first = word.partition("\n")
+                if end and (a := self.plain(last, " ")) is not None and (b := self.plain(first, "")) is not None:
+                    return a + self.word("\n") + b
+                got = self.ids(" " + word)
         return self.keep(word, got)
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text: cut only where a pre-token ends whatever surrounds it."""
-        parts = sure_parts(text)
-        return self.ids(parts[0]) + b"".join(map(self.__getitem__, parts[1:])) if text else b""
+        first, *rest = sure_parts(text)
+        return self.ids(first) + b"".join(itemgetter(*rest, "")(self)[:-1] if rest else ()) if text else b""
 
 
 @lru_cache(maxsize=2)

@@ -1,5 +1,6 @@
 """Memory bounds: tables of words, and the automaton of the benchmark."""
 
+import random
 import time
 
 import public_tokenizers as P
@@ -61,3 +62,28 @@ def test_item_of_one_repeated_word_is_linear():
     seconds(1000)
     assert seconds(100_000) < 30 * max(seconds(10_000), 0.02)
     assert SuffixAutomaton([("a", words("x y z " * 4))], 10).scan(words("q x y z x y z x y z x q")) == ([(1, 11)], ["a"])
+
+
+def test_words_that_are_asked_for_outlive_a_full_table(monkeypatch):
+    monkeypatch.setattr(common, "TABLE_BYTES", 20_000)
+    encoder, asked = token_files.Encoder(P.path("byte_bpe_50k.json")), []
+    plain = encoder.pre_token
+    encoder.pre_token = lambda text: asked.append(text) or plain(text)
+    for i in range(3_000):
+        word = "".join(chr(97 + i // 26**k % 26) for k in range(4))
+        assert encoder.encode(f"a hot {word}") == encoder.ids(f"a hot {word}")
+    assert asked.count(" hot") == 1 and len(encoder) + len(encoder.old) < 200
+    assert encoder.used <= 20_000
+
+
+def test_marks_after_letters_need_no_whole_tokenizer():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library, encoder, rng = Tokenizer.from_file(path), token_files.Encoder(path), random.Random(3)
+    bits = ["a", "word", "é", "日本", "ǅ", " ", "\n", "'s", "'", "1", "<|endoftext|>", "<|", "|>", "%%%", "###", *token_files.MARKS]
+    for _ in range(3_000):
+        text = "".join(rng.choices(bits, k=rng.randint(0, 12)))
+        assert encoder.encode(text) == b"".join(i.to_bytes(2, "little") for i in library.encode(text, add_special_tokens=False).ids), repr(text)
+    whole, encoder.ids = encoder.ids, None
+    assert encoder["thhaed,%%%"] == whole(" thhaed,%%%") and encoder["é_***"] == whole(" é_***")
