@@ -49,8 +49,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their SentencePiece ids, and the text that these decode to."""
-    model = public_tokenizers.path(PIECES)
-    return sentencepiece_chunks.decode(sentencepiece_chunks.encode(docs, model), model)
+    return sentencepiece_chunks.encode_decode(docs, public_tokenizers.path(PIECES))
 
 
 STAGES = [

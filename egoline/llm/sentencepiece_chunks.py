@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -105,17 +105,26 @@ def digests(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     return slim.mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def _encoded(batches, model: str, at: int, names: list[str]):
+    """The batches with the ids of column ``at`` after them."""
+    t = table(model)
+    for b in small(batches, 256):
+        ids = [np.array(e.split(","), np.int32) if (e := t.encode(text or "")) else [] for text in b.column(at).to_pylist()]
+        yield pa.record_batch([*b.columns, pa.array(ids, pa.list_(pa.int32()))], names)
+
+
+def _decoded(batches, model: str, at: int, names: list[str]):
+    """The batches with the text of the ids of column ``at`` after them."""
+    sp = table(model).sp
+    for b in small(batches, 256):
+        text = [sp.decode(x or []) if x else "" for x in b.column(at).to_pylist()]
+        yield pa.record_batch([*b.columns, pa.array(text, pa.string())], names)
+
+
 def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text (null: none); an earlier column of that name gives way, so name another to keep it."""
     rest = [c for c in docs.columns if c != ids_col]
-    at = rest.index(text_col)
-
-    def work(batches):
-        t = table(model)
-        for b in small(batches, 256):
-            ids = [np.array(e.split(","), np.int32) if (e := t.encode(text or "")) else [] for text in b.column(at).to_pylist()]
-            yield pa.record_batch([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*rest, ids_col])
-
+    work = partial(_encoded, model=model, at=rest.index(text_col), names=[*rest, ids_col])
     slim = docs.select(*rest)
     return slim.mapInArrow(work, slim.withColumn(ids_col, F.lit(None).cast("array<int>")).schema)
 
@@ -123,13 +132,20 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "
 def decode(docs: DataFrame, model: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with the text that the library decodes from ``ids_col`` (null: empty)."""
     rest = [c for c in docs.columns if c != text_col]
-    at = rest.index(ids_col)
+    work = partial(_decoded, model=model, at=rest.index(ids_col), names=[*rest, text_col])
+    slim = docs.select(*rest)
+    return slim.mapInArrow(work, slim.withColumn(text_col, F.lit("")).schema)
+
+
+def encode_decode(docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """:func:`decode` of :func:`encode`, both steps in one Python worker of a task: the ids
+    go from one to the other in small batches, and a task does not hold two workers and
+    a large batch of texts and ids between them."""
+    rest = [c for c in docs.columns if c not in (ids_col, decoded_col)]
+    names = [*rest, ids_col, decoded_col]
 
     def work(batches):
-        sp = table(model).sp
-        for b in small(batches, 256):
-            text = [sp.decode(x or []) if x else "" for x in b.column(at).to_pylist()]
-            yield pa.record_batch([*b.columns, pa.array(text, pa.string())], [*rest, text_col])
+        return _decoded(_encoded(batches, model, rest.index(text_col), names[:-1]), model, len(rest), names)
 
     slim = docs.select(*rest)
-    return slim.mapInArrow(work, slim.withColumn(text_col, F.lit("")).schema)
+    return slim.mapInArrow(work, slim.withColumn(ids_col, F.lit(None).cast("array<int>")).withColumn(decoded_col, F.lit("")).schema)

@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 from conftest import DOC_SCHEMA, SF
 from egoline.llm.common import written
+from pyspark.sql import functions as F
 from test_filters import NORMAL, brute_hits, lower
 from test_jaccard import brute as brute_components
 
@@ -90,3 +91,16 @@ def test_edge_rows(spark):
         e = written(stage(spark, d, SF), "test-pipeline")
         assert e.columns == d.columns and stage(spark, d.limit(0), SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, d, SF).count() == len(rows)
+
+
+def test_encoding_and_decoding_share_a_worker(table, capsys):
+    from egoline.llm import sentencepiece_chunks as S
+
+    stage, model = dict(corpus_pipeline.STAGES)["SentencePiece"], P.path("piece_bpe_32k.model")
+    docs = table([(i, t, "x") for i, t in enumerate(["a b", "", None, "Zeile\nzwei", "ﬁne ｆｕｌｌ", "a b"])], "doc_id long, text string, lang string")
+    got = stage(docs.sparkSession, docs.withColumn("ids", F.lit("x")).withColumn("decoded", F.lit(1)), "")
+    want = S.decode(S.encode(docs, model), model)
+    assert got.schema == want.schema and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    capsys.readouterr()
+    got.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
