@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BUCKETS = 32
+#: Rows of a task where the partitions follow the rows.
+TASK_ROWS = 200_000
+
+
+def partitions_for(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """As many partitions as ``df`` needs for about ``rows`` rows each, one per core at least.
+
+    Counts ``df``, so it should be a table read from files. Adaptive execution
+    leaves a partition count that is asked for as it is, so what a task sorts
+    or hashes does not grow with the table.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
 
 
 def hot_keys(df: DataFrame, on, min_rows: int) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from egoline import schemas
+from egoline.operators.skew import partitions_for
 from egoline.session import table_path
 
 # --- fixed values of the bindings --------------------------------------------
@@ -140,9 +141,12 @@ def all_user_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def follower_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Follower lists ``(login, following)`` where ``following`` holds *followers*
     with a one-character prefix: per (order, supplier), the order's customer once
-    per line item."""
+    per line item. Both sides are dealt by order into partitions that follow the
+    rows: the join and the lists of an order stay in one task of bounded memory."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    n = partitions_for(li)
+    li, o = li.repartition(n, "l_orderkey"), o.repartition(n, "o_orderkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .groupBy("l_orderkey", "l_suppkey")
             .agg(F.collect_list(F.concat(F.lit("/c"), F.col("o_custkey").cast("string"))).alias("following"))
