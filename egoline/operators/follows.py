@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from egoline.functions import columns as C
 from egoline.functions.constants import STATUS_NOT_FOLLOWING, STATUS_OK
 from egoline.operators.edges import SEGMENT
-from egoline.operators.ordered import segments
+from egoline.operators.ordered import segments, stored
+from egoline.operators.skew import partitions_for
 
 
 def _status(lst):
@@ -74,21 +75,27 @@ def follow_edges(userfollow: DataFrame, key: str = "username", following: str =
                              F.posexplode_outer(following).alias("pos", "followee"))
 
 
-def _follower_counts(df: DataFrame, key: str, list_col: str, strip: int) -> DataFrame:
-    """``(member, k, n)``: how often ``k`` lists a member, counted map-side."""
+def _follower_counts(df: DataFrame, key: str, list_col: str, strip: int) -> tuple[DataFrame, int]:
+    """``(member, k, n)``: how often ``k`` lists a member, and the number of partitions
+    it lies in, by member and ``k``.
+
+    The pairs are stored and counted first: the partitions follow their number, so
+    what a task counts does not grow with the table. A plain aggregate would leave
+    that to adaptive execution, which makes about as many tasks as there are cores.
+    """
     member = F.col("m")
     for _ in range(strip):
         member = C.strip_first(member)
-    return (df.select(F.col(key).alias("k"), F.explode(list_col).alias("m"))
-            .select(member.alias("member"), F.col("k"))
-            .groupBy("member", "k").agg(F.count(F.lit(1)).alias("n")))
+    pairs = stored(df.select(F.col(key).alias("k"), F.explode(list_col).alias("m")).select(member.alias("member"), F.col("k")), "pairs")
+    n = partitions_for(pairs)
+    return pairs.repartition(n, "member", "k").groupBy("member", "k").agg(F.count(F.lit(1)).alias("n")), n
 
 
 def invert_segments(df: DataFrame, key: str = "login", list_col: str = "following", strip: int = 1, size: int = SEGMENT) -> DataFrame:
     """``(username, segment, entries)``: :func:`invert` in cells of at most ``size``
     entries ``(follower, n)``, so a member with a third of all followers fills
     many cells, written by many tasks."""
-    pairs = _follower_counts(df, key, list_col, strip).select(F.col("member").alias("username"), F.col("k").alias("follower"), "n")
+    pairs = _follower_counts(df, key, list_col, strip)[0].select(F.col("member").alias("username"), F.col("k").alias("follower"), "n")
     return segments(pairs, ["username"], ["follower"], F.struct("follower", "n"), size)
 
 
@@ -98,9 +105,10 @@ def invert(df: DataFrame, key: str = "login", list_col: str = "following", strip
 
     Each member loses its first ``strip`` characters (the stored follower names
     carry a one-character prefix). Lists keep duplicates and are sorted. The
-    pairs are counted first (map-side combine), so the per-member group holds
-    one entry per distinct partner, not one per raw row.
+    pairs are counted first, so the per-member group holds one entry per distinct
+    partner, not one per raw row; the members are dealt into as many partitions.
     """
-    grouped = _follower_counts(df, key, list_col, strip).groupBy("member").agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("p"))
+    counts, n = _follower_counts(df, key, list_col, strip)
+    grouped = counts.repartition(n, "member").groupBy("member").agg(F.array_sort(F.collect_list(F.struct("k", "n"))).alias("p"))
     lst = F.flatten(F.transform("p", lambda x: F.array_repeat(x["k"], x["n"].cast("int"))))
     return grouped.select(F.col("member").alias(out_key), lst.alias(out_list))
