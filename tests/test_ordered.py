@@ -44,6 +44,21 @@ def test_places_match_a_running_sum(spark, eager, seed):
     assert got == want
 
 
+def test_places_are_dealt_by_rows(spark, monkeypatch):
+    from egoline.operators.skew import partitions_for
+
+    monkeypatch.setattr(ordered, "partitions_for", lambda df: partitions_for(df, 10), raising=False)
+    rows = [(k, o, (o * 7 + len(k or "")) % 11 - 3) for k, n in (("hot", 130), (None, 60), ("b", 9)) for o in range(n)] + [(f"k{i}", 0, 5) for i in range(101)]
+    df = spark.createDataFrame(rows, "k string, o long, w long")
+    got = ordered.preceded(df, ["k"], ["o"], "w")
+    assert got.select(F.spark_partition_id()).distinct().count() > 12
+    assert {(r.k, r.o): r.before for r in got.collect()} == {(k, o): sum(x for a, b, x in rows if a == k and b < o) for k, o, _ in rows}
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()  # nothing sorts what it has read to find a partition's ends
+    seg = ordered.segments(df, ["k"], ["o"], F.col("o"), 4)
+    assert seg.select(F.spark_partition_id()).distinct().count() > 12
+    assert {(r.k, r.segment): r.entries for r in seg.collect()} == {(k, o // 4): [b for a, b, _ in sorted((x for x in rows if x[0] == k), key=lambda x: x[1]) if b // 4 == o // 4] for k, o, _ in rows}
+
+
 def test_a_user_with_a_third_of_the_rows_spreads_over_tasks(spark, eager):
     rows = [("hot", f"r{i:04d}") for i in range(1200)] + [(f"u{i % 97}", f"r{i}") for i in range(2400)]
     e = spark.createDataFrame([(u, r, "2015") for u, r in rows] * 2, "username string, repo string, part string")
